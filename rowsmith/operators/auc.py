@@ -91,14 +91,14 @@ def ovr_auc_per_class(df: DataFrame, y_true: str, proba: str) -> DataFrame:
     return grouped_auc(rows).withColumnRenamed("grp", "label")
 
 
-def ovr_auc(df: DataFrame, y_true: str, proba: str, average: str = "weighted") -> DataFrame:
-    """One row: class AUCs averaged by prevalence (``weighted``) or evenly (``macro``)."""
-    per_class = ovr_auc_per_class(df, y_true, proba)
+def average_auc(average: str = "weighted") -> Column:
+    """Aggregate over class AUCs: by prevalence (``weighted``) or evenly (``macro``).
+
+    A class without positives or negatives makes the average undefined.
+    """
     weight = F.col("support").cast("double") if average == "weighted" else F.lit(1.0)
     value = F.sum(F.col("roc_auc") * weight) / F.sum(weight)
-    # A class without positives or negatives makes the average undefined.
-    undefined = F.count_if(F.col("roc_auc").isNull()) > 0
-    return per_class.agg(F.when(~undefined, value).alias("roc_auc"))
+    return F.when(F.count_if(F.col("roc_auc").isNull()) == 0, value)
 
 
 def roc_auc(
@@ -129,4 +129,5 @@ def roc_auc(
         )
         hit = (F.col("truth") == F.col("label")).alias("hit")
         return grouped_auc(rows.select(F.lit("all").alias("grp"), "score", hit)).first()["roc_auc"]
-    return ovr_auc(df, y_true, proba, average).first()["roc_auc"]
+    per_class = ovr_auc_per_class(df, y_true, proba)
+    return per_class.agg(average_auc(average).alias("roc_auc")).first()["roc_auc"]
