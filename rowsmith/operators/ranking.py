@@ -111,16 +111,15 @@ def serving_choice(current: DataFrame, metrics: DataFrame, primary: str = "f1_sc
     """One row describing the model to score with: best by metric, else newest, else none."""
     rated = compare_models(metrics_of_known(metrics, current), primary).select("model_id", F.col(primary).alias("score"))
     described = current.join(rated, "model_id", "left")
-    # Rated models come first by score, then by id; unrated ones by age.
+    # Rated models come first by score, unrated ones by age; equal ones by id.
     rank = F.struct(
-        F.col("score").isNotNull(),
-        F.coalesce("score", F.lit(0.0)),
-        F.when(F.col("score").isNull(), F.col("created")),
+        F.col("score").isNull(),
+        -F.coalesce("score", F.lit(0.0)),
+        F.when(F.col("score").isNull(), -F.unix_micros("created")),
+        F.col("model_id"),
     )
-    top = F.max(rank).alias("top")
-    at_top = described.join(F.broadcast(described.agg(top)), rank.eqNullSafe(F.col("top")))
-    chosen = F.min_by(F.struct("model_id", "model_type", "classes", "created", "score"), F.col("model_id"))
-    return at_top.agg(F.count("*").alias("n"), chosen.alias("m")).select(
+    chosen = F.min_by(F.struct("model_id", "model_type", "classes", "created", "score"), rank)
+    return described.agg(F.count("*").alias("n"), chosen.alias("m")).select(
         (F.col("n") > 0).alias("model_loaded"),
         F.when(F.col("n") > 0, "healthy").otherwise("unhealthy").alias("status"),
         "m.*",

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -23,42 +23,83 @@ BUCKET_DIGITS = 4
 MAX_STRATA = 100_000
 
 
-def hash_cuts(hashed: DataFrame, targets: DataFrame, digits: int = BUCKET_DIGITS) -> DataFrame:
-    """For each ``(stratum, cut, k)`` the k-th smallest hash of the stratum, as ``threshold``.
+class HashOrder:
+    """Rows of a table in the pseudo-random order of their key hash, within strata.
 
-    ``hashed`` has columns ``stratum`` and ``h``. Pass one counts rows per hash bucket, which
-    tells the bucket holding each cut; pass two looks only at those buckets.
+    Creating it counts rows per stratum and hash bucket. That small table answers how many rows
+    each stratum has and which bucket holds its k-th row.
     """
-    bucketed = hashed.withColumn("bucket", F.substring("h", 1, digits))
-    sizes = bucketed.groupBy("stratum", "bucket").agg(F.count("*").alias("n"))
-    running = W.partitionBy("stratum").orderBy("bucket")
-    reach = sizes.withColumn("upto", F.sum("n").over(running))
-    edges = pin_small(
-        reach.join(targets, "stratum")
-        .filter((F.col("upto") - F.col("n") < F.col("k")) & (F.col("k") <= F.col("upto")))
-        .select("stratum", "cut", "bucket", (F.col("k") - F.col("upto") + F.col("n")).alias("need"))
-    )
-    # A semi join ignores repeated edges, and keeping the edges undisturbed keeps their hint.
-    inside = bucketed.join(edges, ["stratum", "bucket"], "left_semi")
-    ranks = W.partitionBy("stratum", "bucket").orderBy("h")
-    ranked = (
-        inside.groupBy("stratum", "bucket", "h")
-        .agg(F.count("*").alias("n"))
-        .withColumn("upto", F.sum("n").over(ranks))
-    )
-    return (
-        ranked.join(edges, ["stratum", "bucket"])
-        .filter((F.col("upto") - F.col("n") < F.col("need")) & (F.col("need") <= F.col("upto")))
-        .select("stratum", "cut", F.col("h").alias("threshold"))
-    )
-
 
-def class_counts(df: DataFrame, stratum: Column) -> list[tuple[str, int]]:
-    """Rows per class in label order; a label set is small by nature, and that is checked."""
-    rows = df.groupBy(stratum.alias("stratum")).agg(F.count("*").alias("n")).limit(MAX_STRATA + 1).collect()
+    def __init__(self, df: DataFrame, stratum: Column, h: Column, digits: int = BUCKET_DIGITS):
+        bucket = F.substring("h", 1, digits).alias("bucket")
+        self.spark = df.sparkSession
+        self.rows = df.select(stratum.alias("stratum"), h.alias("h")).select("*", bucket)
+        self.sizes = self.rows.groupBy("stratum", "bucket").agg(F.count("*").alias("n")).persist()
+
+    def __enter__(self) -> HashOrder:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.sizes.unpersist()
+
+    def counts(self) -> list[tuple[str, int]]:
+        """Rows per stratum, in stratum order."""
+        return small_counts(self.sizes.groupBy("stratum").agg(F.sum("n").alias("n")))
+
+    def cuts(self, targets: list[tuple[str, int, int]]) -> DataFrame:
+        """For each ``(stratum, cut, k)`` the k-th smallest hash of the stratum, as ``threshold``.
+
+        Only the rows of the buckets that hold a cut are looked at.
+        """
+        wanted = F.broadcast(self.spark.createDataFrame(targets, "stratum string, cut int, k bigint"))
+        running = W.partitionBy("stratum").orderBy("bucket")
+        reach = self.sizes.withColumn("upto", F.sum("n").over(running))
+        start = F.col("upto") - F.col("n")
+        edges = pin_small(
+            reach.join(wanted, "stratum")
+            .filter((start < F.col("k")) & (F.col("k") <= F.col("upto")))
+            .select("stratum", "cut", "bucket", (F.col("k") - start).alias("need"))
+        )
+        # A semi join ignores repeated edges, and keeping the edges undisturbed keeps their hint.
+        inside = self.rows.join(edges, ["stratum", "bucket"], "left_semi")
+        ranks = W.partitionBy("stratum", "bucket").orderBy("h")
+        ranked = (
+            inside.groupBy("stratum", "bucket", "h")
+            .agg(F.count("*").alias("n"))
+            .withColumn("upto", F.sum("n").over(ranks))
+        )
+        return (
+            ranked.join(edges, ["stratum", "bucket"])
+            .filter((start < F.col("need")) & (F.col("need") <= F.col("upto")))
+            .select("stratum", "cut", F.col("h").alias("threshold"))
+        )
+
+    def thresholds(self, targets: list[tuple[str, int, int]]) -> DataFrame:
+        """One broadcast row per stratum with its sorted thresholds.
+
+        A cut at row 0 lies before every hash, so its threshold is the empty text. There are
+        strata times cuts of them, and the number of strata was checked by ``counts``.
+        """
+        found: dict[str, list[str]] = {}
+        for name, _, k in targets:
+            found.setdefault(name, []).extend([""] * (k == 0))
+        for row in self.cuts(targets).collect():
+            found[row["stratum"]].append(row["threshold"])
+        rows = [(name, sorted(cuts)) for name, cuts in found.items()]
+        return F.broadcast(self.spark.createDataFrame(rows, "stratum_ string, thresholds array<string>"))
+
+
+def small_counts(counted: DataFrame) -> list[tuple[str, int]]:
+    """Sorted ``(label, n)`` pairs; a label set is small by nature, and that is checked."""
+    rows = counted.limit(MAX_STRATA + 1).collect()
     if len(rows) > MAX_STRATA:
         raise ValueError(f"more than {MAX_STRATA} classes: the column is not a class label")
-    return sorted((r["stratum"], r["n"]) for r in rows)
+    return sorted((r[0], r[1]) for r in rows)
+
+
+def class_counts(df: DataFrame, label: Column) -> list[tuple[str, int]]:
+    """Rows per class, in label order."""
+    return small_counts(df.groupBy(label.alias("label")).agg(F.count("*").alias("n")))
 
 
 def proportional_quotas(counts: list[int], draws: int) -> list[int]:
@@ -78,24 +119,6 @@ def holdout_sizes(n: int, test_size: float) -> tuple[int, int]:
     return n - n_test, n_test
 
 
-def _thresholds(df: DataFrame, stratum: Column, h: Column, wanted: list[tuple[str, int, int]]) -> DataFrame:
-    """One broadcast row per stratum with its sorted thresholds.
-
-    A cut at row 0 lies before every hash, so its threshold is the empty text. The number of
-    rows is strata times cuts, and strata were checked by ``class_counts``.
-    """
-    spark = df.sparkSession
-    targets = F.broadcast(spark.createDataFrame(wanted, "stratum string, cut int, k bigint"))
-    hashed = df.select(stratum.alias("stratum"), h.alias("h"))
-    found: dict[str, list[str]] = {}
-    for name, _, k in wanted:
-        found.setdefault(name, []).extend([""] * (k == 0))
-    for row in hash_cuts(hashed, targets).collect():
-        found[row["stratum"]].append(row["threshold"])
-    rows = [(name, sorted(cuts)) for name, cuts in found.items()]
-    return F.broadcast(spark.createDataFrame(rows, "stratum_ string, thresholds array<string>"))
-
-
 def _with_thresholds(df: DataFrame, stratum: Column, h: Column, found: DataFrame) -> DataFrame:
     """Attach ``h_`` and ``thresholds`` to the rows, which stay where they are."""
     keyed = df.withColumns({"stratum_": stratum, "h_": h})
@@ -116,28 +139,20 @@ def train_test_split(
     """
     label = F.col(quote(target)).cast("string")
     rows = df.filter(label.isNotNull())
-    everything = F.lit("all")
-    stratum = everything
-    if stratify:
-        counted = class_counts(rows, label)
-        sizes = [n for _, n in counted]
-        if sizes and min(sizes) >= 2:
-            stratum = label
-        else:
-            counted = [("all", sum(sizes))]
-    else:
-        counted = class_counts(rows, everything)
-    n_train, n_test = holdout_sizes(sum(n for _, n in counted), test_size)
-    if stratum is label and min(n_train, n_test) < len(counted):
-        raise ValueError(f"{n_train} training and {n_test} test rows cannot cover {len(counted)} classes")
-    train = proportional_quotas([n for _, n in counted], n_train)
-    wanted = [(name, 0, n - q) for (name, n), q in zip(counted, train) if n > q]
     h = key_hash(seed, key)
-    found = _thresholds(rows, stratum, h, wanted)
-    is_test = F.coalesce(F.col("h_") <= F.col("thresholds")[0], F.lit(False))
+    stratum = label if stratify else F.lit("all")
+    with HashOrder(rows, stratum, h) as order:
+        counted = order.counts()
+        n_train, n_test = holdout_sizes(sum(n for _, n in counted), test_size)
+        if stratify and min(n for _, n in counted) < 2:
+            return train_test_split(df, key, target, test_size, seed, stratify=False)
+        if min(n_train, n_test) < len(counted):
+            raise ValueError(f"{n_train} training and {n_test} test rows cannot cover {len(counted)} classes")
+        train = proportional_quotas([n for _, n in counted], n_train)
+        found = order.thresholds([(name, 0, n - q) for (name, n), q in zip(counted, train)])
     return (
         _with_thresholds(rows, stratum, h, found)
-        .withColumn("split", F.when(is_test, "test").otherwise("train"))
+        .withColumn("split", F.when(F.col("h_") <= F.col("thresholds")[0], "test").otherwise("train"))
         .drop("h_", "thresholds")
     )
 
@@ -161,14 +176,15 @@ def stratified_folds(
     """Rows with a target plus an integer ``fold`` of 0..folds-1, balanced within each class."""
     label = F.col(quote(target)).cast("string")
     rows = df.filter(label.isNotNull())
-    counted = class_counts(rows, label)
-    if counted and max(n for _, n in counted) < folds:
-        raise ValueError(f"{folds} folds need a class with at least that many rows")
-    wanted = []
-    for (name, _), quotas in zip(counted, fold_quotas([n for _, n in counted], folds)):
-        wanted += [(name, cut, sum(quotas[: cut + 1])) for cut in range(folds - 1)]
     h = key_hash(seed, key)
-    found = _thresholds(rows, label, h, wanted)
+    with HashOrder(rows, label, h) as order:
+        counted = order.counts()
+        if max((n for _, n in counted), default=0) < folds:
+            raise ValueError(f"{folds} folds need a class with at least that many rows")
+        wanted = []
+        for (name, _), quotas in zip(counted, fold_quotas([n for _, n in counted], folds)):
+            wanted += [(name, cut, sum(quotas[: cut + 1])) for cut in range(folds - 1)]
+        found = order.thresholds(wanted)
     passed = F.size(F.filter("thresholds", lambda t: t < F.col("h_")))
     return _with_thresholds(rows, label, h, found).withColumn("fold", passed).drop("h_", "thresholds")
 
@@ -183,13 +199,14 @@ def balanced_sample(
     """
     label = F.col(quote(target)).cast("string")
     rows = df.filter(label.isNotNull())
-    counted = class_counts(rows, label)
-    if not counted:
-        return rows.withColumn("sample_rank", F.lit(None).cast("int"))
-    share = max(1, n // len(counted))
-    quotas = [(name, 0, min(size, share)) for name, size in counted]
     h = key_hash(seed, key)
-    found = _thresholds(rows, label, h, quotas)
+    with HashOrder(rows, label, h) as order:
+        counted = order.counts()
+        if not counted:
+            return rows.withColumn("sample_rank", F.lit(None).cast("int"))
+        share = max(1, n // len(counted))
+        quotas = [(name, 0, min(size, share)) for name, size in counted]
+        found = order.thresholds(quotas)
     marked = _with_thresholds(rows, label, h, found).withColumn("drawn", F.col("h_") <= F.col("thresholds")[0])
     drawn = marked.filter("drawn")
     missing = max(0, n - sum(q for *_, q in quotas))

@@ -1 +1,76 @@
+"""Structured Streaming over the event and document tables."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from rowsmith.plans.train import fit_pipeline
+from rowsmith.queries.base import query, r6, table
+from rowsmith.queries.training import TEXT_SPEC, TREE, text_table
+from rowsmith.session import scratch_path
+from rowsmith.spec import CategoryField, NumericField, TableSpec
+from rowsmith.streaming.scoring import (
+    prediction_log_stream,
+    quarantine_stream,
+    read_json_stream,
+    read_table_stream,
+    score_stream,
+)
+
+EVENT_SPEC = TableSpec(
+    key=("event_id",),
+    numeric=(NumericField("value", low=1, high=150), NumericField("k", "int", low=0, high=90)),
+    categorical=(CategoryField("event_type", ("click", "view", "purchase", "signup"), null_tokens=("view",)),),
+)
+
+
+@query(
+    "stream_quarantine",
+    """WITH e AS (SELECT event_id, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+        CASE WHEN event_type = 'view' THEN NULL ELSE event_type END AS event_type FROM events)
+    SELECT event_id, value, k, event_type, concat_ws(',',
+        CASE WHEN value NOT BETWEEN 1 AND 150 THEN 'value:range' END,
+        CASE WHEN k NOT BETWEEN 0 AND 90 THEN 'k:range' END,
+        CASE WHEN event_type = 'error' THEN 'event_type:vocabulary' END) AS reasons,
+      CASE WHEN value BETWEEN 1 AND 150 AND (k IS NULL OR k BETWEEN 0 AND 90) AND event_type IS DISTINCT FROM 'error'
+        THEN 'valid' ELSE 'rejected' END AS verdict FROM e""",
+)
+def stream_quarantine(spark, sf):
+    root = scratch_path(spark, "quarantine")
+    schema = table(spark, sf, "events").schema
+    # The pattern also fits a table that is a single file, which a stream source cannot name.
+    stream = read_table_stream(spark, f"{sf}/events.parquet*", schema)
+    stream = stream.withColumn("k", F.get_json_object("props", "$.k"))
+    quarantine_stream(stream, EVENT_SPEC, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    reason = F.transform("violations", lambda v: F.concat_ws(":", v["field"], v["rule"]))
+    return spark.read.parquet(f"{root}/out").select(
+        "event_id", "value", "k", "event_type", F.concat_ws(",", reason).alias("reasons"), "verdict"
+    )
+
+
+def _request_stream(spark, sf, root):
+    """The documents as JSON request files, read back as a stream."""
+    rows = text_table(spark, sf).drop("language")
+    rows.write.json(f"{root}/requests")
+    return read_json_stream(spark, f"{root}/requests", rows.schema, max_files=2)
+
+
+@query("stream_score")
+def stream_score(spark, sf):
+    root = scratch_path(spark, "stream")
+    model = fit_pipeline(text_table(spark, sf), TEXT_SPEC, TREE)
+    stream = _request_stream(spark, sf, root)
+    score_stream(stream, model, TEXT_SPEC, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/out/scored").select(
+        "doc_id", "prediction", r6("confidence").alias("confidence")
+    )
+
+
+@query("stream_prediction_log")
+def stream_prediction_log(spark, sf):
+    root = scratch_path(spark, "log")
+    model = fit_pipeline(text_table(spark, sf), TEXT_SPEC, TREE)
+    stream = _request_stream(spark, sf, root)
+    prediction_log_stream(stream, model, TEXT_SPEC, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    schema = "timestamp timestamp, input struct<doc_id:bigint,source:string>, prediction string, confidence double"
+    return spark.read.schema(schema).json(f"{root}/out").select("input.doc_id", "prediction", "confidence")

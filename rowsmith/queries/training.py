@@ -1 +1,172 @@
+"""Training, tuning, persistence and scoring over the given tables."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from rowsmith.plans import experiments as X
+from rowsmith.plans.score import ensemble, predict, predict_proba, score
+from rowsmith.plans.train import fit_pipeline, train
+from rowsmith.plans.tune import tune
+from rowsmith.queries.base import ORDERS_SPEC, clean_orders, derive, query, r6, raw_orders
+from rowsmith.session import scratch_path
+from rowsmith.sources.files import write_document
+from rowsmith.sources.registry import ModelRegistry
+from rowsmith.spec import CategoryField, ExperimentSpec, NumericField, TableSpec, TargetField, TuneSpec
+
+# Whole documents described by letter shares; the language is the label to learn.
+TEXT_SHAPE = """
+SELECT doc_id, source, lang AS language, CAST(n_chars AS DOUBLE) AS n_chars,
+  (n - length(replace(low, 'th', ''))) / n AS share_th,
+  (n - length(translate(low, 'éèêç', ''))) / n AS share_accents,
+  (n - length(translate(low, 'äöüß', ''))) / n AS share_umlauts,
+  (n - length(translate(low, 'ñáíóú', ''))) / n AS share_tildes,
+  (n - length(replace(low, 'w', ''))) / n AS share_w,
+  (n - length(replace(low, 'e', ''))) / n AS share_e,
+  (n - length(replace(low, ' ', ''))) / n AS share_blank
+FROM (SELECT *, lower(text) AS low, CAST(greatest(length(text), 1) AS DOUBLE) AS n FROM {documents})
+"""
+SHARES = ("share_th", "share_accents", "share_umlauts", "share_tildes", "share_w", "share_e", "share_blank")
+TEXT_SPEC = TableSpec(
+    key=("doc_id",),
+    numeric=(
+        NumericField("n_chars", low=0, score_low=1, score_high=10_000_000),
+        *[NumericField(s, low=0, high=1, score_low=0, score_high=1) for s in SHARES],
+    ),
+    categorical=(CategoryField("source"),),
+    target=TargetField("language"),
+)
+
+EMBEDDING_SPEC = TableSpec(
+    key=("vec_id",), numeric=tuple(NumericField(f"e{i}") for i in range(64)), target=TargetField("label_name")
+)
+
+
+def text_table(spark, sf):
+    return derive(spark, sf, TEXT_SHAPE, "documents")
+
+
+def embedding_table(spark, sf):
+    cells = ", ".join(f"embedding[{i}] AS e{i}" for i in range(64))
+    return derive(spark, sf, f"SELECT vec_id, 'c' || label AS label_name, {cells} FROM {{embeddings}}", "embeddings")
+
+
+def _overall(spark, results: dict):
+    """Headline numbers of a training result, one row per part."""
+    rows = [
+        (split, m["total_samples"], m["num_classes"], m["accuracy"], m["f1_score"])
+        for split, m in (("train", results["train_metrics"]), ("test", results["test_metrics"]))
+    ]
+    return spark.createDataFrame(rows, "split string, n bigint, classes int, accuracy double, f1_score double")
+
+
+FOREST = ExperimentSpec(
+    "RandomForestClassifier", {"n_estimators": 20, "max_depth": 6, "min_samples_split": 5, "min_samples_leaf": 2}
+)
+LOGISTIC = ExperimentSpec("LogisticRegression", {"max_iter": 50, "C": 1.0})
+TREE = ExperimentSpec("DecisionTreeClassifier", {"max_depth": 5, "criterion": "gini"})
+MARGIN = ExperimentSpec("SVC", {"kernel": "linear", "C": 1.0, "max_iter": 20})
+
+
+@query("train_random_forest")
+def train_random_forest(spark, sf):
+    return _overall(spark, train(text_table(spark, sf), TEXT_SPEC, FOREST).results)
+
+
+@query("train_logistic")
+def train_logistic(spark, sf):
+    return _overall(spark, train(embedding_table(spark, sf), EMBEDDING_SPEC, LOGISTIC).results)
+
+
+@query("train_decision_tree")
+def train_decision_tree(spark, sf):
+    return _overall(spark, train(clean_orders(spark, sf), ORDERS_SPEC, TREE).results)
+
+
+@query("train_linear_svc")
+def train_linear_svc(spark, sf):
+    return _overall(spark, train(text_table(spark, sf), TEXT_SPEC, MARGIN).results)
+
+
+GRID = ({"max_depth": [2, 5], "criterion": ["gini", "entropy"]}, {"classifier__min_samples_leaf": [1, 20]})
+
+
+@query("tune_grid")
+def tune_grid(spark, sf):
+    experiment = ExperimentSpec(
+        "DecisionTreeClassifier", {"max_depth": 4}, tune=TuneSpec(GRID, cv=3, scoring="f1_macro", parallelism=4)
+    )
+    found = tune(text_table(spark, sf), TEXT_SPEC, experiment).results["cv_results"]
+    rows = [
+        (i, str(sorted(p.items())), m, s)
+        for i, (p, m, s) in enumerate(zip(found["params"], found["mean_test_scores"], found["std_test_scores"]))
+    ]
+    return spark.createDataFrame(rows, "candidate int, params string, mean_score double, std_score double")
+
+
+@query("model_save_load")
+def model_save_load(spark, sf):
+    registry = ModelRegistry(spark, scratch_path(spark, "registry"))
+    rows = text_table(spark, sf)
+    done = train(rows, TEXT_SPEC, TREE, registry)
+    loaded = registry.load_model(done.model_id)
+    return predict(rows, loaded).select("doc_id", "prediction", r6("confidence").alias("confidence"))
+
+
+@query("model_export_import")
+def model_export_import(spark, sf):
+    root = scratch_path(spark, "export")
+    rows = text_table(spark, sf)
+    first, second = ModelRegistry(spark, f"{root}/a"), ModelRegistry(spark, f"{root}/b")
+    done = train(rows, TEXT_SPEC, TREE, first)
+    first.export_model(done.model_id, f"{root}/out")
+    second.import_model(f"{root}/out/model", "imported", f"{root}/out/metadata")
+    return predict(rows, second.load_latest_model()).select("doc_id", "prediction")
+
+
+@query("sink_results_json")
+def sink_results_json(spark, sf):
+    path = scratch_path(spark, "results")
+    write_document(spark, train(text_table(spark, sf), TEXT_SPEC, TREE).results, path)
+    schema = "model_name string, data_info struct<train_size:bigint,test_size:bigint>, test_metrics struct<accuracy:double>"
+    return spark.read.schema(schema).json(path).select(
+        "model_name", "data_info.train_size", "data_info.test_size", F.col("test_metrics.accuracy").alias("accuracy")
+    )
+
+
+@query("score_batch")
+def score_batch(spark, sf):
+    rows = text_table(spark, sf)
+    model = fit_pipeline(rows, TEXT_SPEC, TREE)
+    accepted, _ = score(rows, model, TEXT_SPEC, mode="quarantine")
+    return accepted.select("doc_id", "prediction", r6("confidence").alias("confidence"), "probabilities")
+
+
+@query("score_proba")
+def score_proba(spark, sf):
+    rows = text_table(spark, sf)
+    return predict_proba(rows, fit_pipeline(rows, TEXT_SPEC, LOGISTIC), ["doc_id"])
+
+
+@query("score_ensemble")
+def score_ensemble(spark, sf):
+    rows = text_table(spark, sf)
+    models = [fit_pipeline(rows, TEXT_SPEC, e) for e in (FOREST, LOGISTIC, TREE)]
+    return ensemble(rows, models, ["doc_id"]).select("doc_id", "prediction", r6("confidence").alias("confidence"))
+
+
+@query("experiments_compare")
+def experiments_compare(spark, sf):
+    registry = ModelRegistry(spark, scratch_path(spark, "registry"))
+    X.run_experiments(text_table(spark, sf), TEXT_SPEC, {"tree": TREE, "logistic": LOGISTIC}, registry)
+    return X.compare_experiments(registry).drop("timestamp")
+
+
+@query("score_orders")
+def score_orders(spark, sf):
+    from rowsmith.operators.clean import derive_year, rename_columns
+
+    model = fit_pipeline(clean_orders(spark, sf), ORDERS_SPEC, TREE)
+    raw = derive_year(rename_columns(raw_orders(spark, sf), ORDERS_SPEC), ORDERS_SPEC)
+    scored, _ = score(raw.drop("order_status"), model, ORDERS_SPEC, mode="quarantine")
+    return scored.select("o_orderkey", "prediction", r6("confidence").alias("confidence"))

@@ -50,11 +50,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/rowsmith/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, which cuts its lineage."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def pin_small(df: DataFrame, bound: int = 100_000) -> DataFrame:

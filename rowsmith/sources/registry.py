@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 from typing import Any
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import StringIndexerModel
+from pyspark.ml.feature import IndexToString
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,10 +27,10 @@ class ModelNotFound(LookupError):
     """The id is not in the registry."""
 
 
-def label_model(model: PipelineModel) -> StringIndexerModel | None:
-    """The stage that indexes the label, if the pipeline has one."""
-    named = [s for s in model.stages if isinstance(s, StringIndexerModel) and s.isSet(s.outputCol)]
-    return next((s for s in named if s.getOutputCol() == "label"), None)
+def model_labels(model: PipelineModel) -> list[str] | None:
+    """Class labels in probability order, if the pipeline ends by naming its predictions."""
+    last = model.stages[-1] if model.stages else None
+    return list(last.getLabels()) if isinstance(last, IndexToString) else None
 
 
 class ModelRegistry:
@@ -69,7 +69,6 @@ class ModelRegistry:
             raise ValueError(f"model {model_id!r} already exists; pass overwrite=True to replace it")
         artifact = f"{self.path}/artifacts/{model_id}/{uuid.uuid4().hex}"
         model.write().save(artifact)
-        labels = label_model(model)
         row = (
             model_id,
             "save",
@@ -78,7 +77,7 @@ class ModelRegistry:
             type(model).__name__,
             folder_size(self.spark, artifact),
             [type(s).__name__ for s in model.stages],
-            None if labels is None else list(labels.labels),
+            model_labels(model),
             {k: v if isinstance(v, str) else json.dumps(v, default=str) for k, v in (metadata or {}).items()},
         )
         self._append(self.spark.createDataFrame([row], EVENT_COLUMNS).coalesce(1))
