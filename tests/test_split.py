@@ -1,0 +1,138 @@
+from collections import Counter
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from rowsmith.operators import split as S
+
+
+def labelled(spark, counts, start=0):
+    rows, i = [], start
+    for label, n in counts.items():
+        rows += [(i + j, label) for j in range(n)]
+        i += n
+    return spark.createDataFrame(rows, "k bigint, y string")
+
+
+def tally(df, *cols):
+    return {tuple(r[c] for c in cols): r["count"] for r in df.groupBy(*cols).count().collect()}
+
+
+def test_published_stratified_counts(spark):
+    df = labelled(spark, {"Adelie": 152, "Chinstrap": 68, "Gentoo": 124})
+    parts = S.train_test_split(df, ["k"], "y")
+    assert tally(parts, "y", "split") == {
+        ("Adelie", "train"): 122, ("Chinstrap", "train"): 54, ("Gentoo", "train"): 99,
+        ("Adelie", "test"): 30, ("Chinstrap", "test"): 14, ("Gentoo", "test"): 25,
+    }
+    assert parts.select("k").distinct().count() == 344
+
+
+def test_one_class(spark):
+    parts = S.train_test_split(labelled(spark, {"Adelie": 5}), ["k"], "y", test_size=0.4)
+    assert tally(parts, "split") == {("train",): 3, ("test",): 2}
+
+
+def test_single_row_class_turns_stratification_off(spark):
+    df = labelled(spark, {"a": 20, "b": 1})
+    plain = S.train_test_split(df, ["k"], "y", stratify=False).orderBy("k").collect()
+    assert S.train_test_split(df, ["k"], "y").orderBy("k").collect() == plain
+    assert Counter(r["split"] for r in plain) == {"train": 16, "test": 5}
+
+
+def test_split_is_reproducible_and_seeded(spark):
+    df = labelled(spark, {"a": 60, "b": 40})
+    first = S.train_test_split(df, ["k"], "y").orderBy("k").collect()
+    again = S.train_test_split(df.repartition(7), ["k"], "y").orderBy("k").collect()
+    other = S.train_test_split(df, ["k"], "y", seed=7).orderBy("k").collect()
+    assert first == again and first != other
+
+
+def test_rows_without_target_are_left_out(spark):
+    df = labelled(spark, {"a": 10, "b": 10}).unionByName(spark.createDataFrame([(99, None)], "k bigint, y string"))
+    assert S.train_test_split(df, ["k"], "y").count() == 20
+
+
+def test_copies_of_a_key_stay_together(spark):
+    df = labelled(spark, {"a": 30}).withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(F.col("k") == 3, 40).otherwise(1))))
+    parts = S.train_test_split(df, ["k"], "y", stratify=False)
+    assert parts.groupBy("k").agg(F.count_distinct("split").alias("s")).filter("s > 1").isEmpty()
+    assert parts.count() == df.count()
+
+
+def test_impossible_splits(spark):
+    with pytest.raises(ValueError, match="no training rows"):
+        S.train_test_split(labelled(spark, {"a": 3}), ["k"], "y", test_size=1.0)
+    with pytest.raises(ValueError, match="cannot cover"):
+        S.train_test_split(labelled(spark, {"a": 2, "b": 2, "c": 2}), ["k"], "y", test_size=0.2)
+
+
+@pytest.mark.parametrize("digits", [1, 2, 4])
+def test_cuts_are_exact_ranks(spark, digits):
+    df = labelled(spark, {"a": 500, "b": 37})
+    h = F.md5(F.col("k").cast("string").cast("binary"))
+    with S.HashOrder(df, F.col("y"), h, digits) as order:
+        assert order.counts() == [("a", 500), ("b", 37)]
+        wanted = [("a", 0, 1), ("a", 1, 250), ("a", 2, 500), ("b", 0, 17)]
+        got = {(r["stratum"], r["cut"]): r["threshold"] for r in order.cuts(wanted).collect()}
+    ranked = {c: sorted(r["h"] for r in df.filter(F.col("y") == c).select(h.alias("h")).collect()) for c in "ab"}
+    assert got == {(c, i): ranked[c][k - 1] for c, i, k in wanted}
+
+
+def test_folds_are_balanced(spark):
+    folds = S.stratified_folds(labelled(spark, {"a": 52, "b": 13, "c": 3}), ["k"], "y", folds=5)
+    sizes = tally(folds, "fold")
+    assert sum(sizes.values()) == 68 and max(sizes.values()) - min(sizes.values()) <= 1
+    per_class = tally(folds, "y", "fold")
+    for label in "ab":
+        inside = [per_class.get((label, f), 0) for f in range(5)]
+        assert max(inside) - min(inside) <= 1
+    assert sum(per_class.get(("c", f), 0) for f in range(5)) == 3
+    with pytest.raises(ValueError, match="folds need"):
+        S.stratified_folds(labelled(spark, {"a": 3}), ["k"], "y", folds=5)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 10**12), min_size=1, max_size=8), st.floats(0.05, 0.95))
+def test_quota_properties(counts, share):
+    draws = int(share * sum(counts))
+    quotas = S.proportional_quotas(counts, draws)
+    assert sum(quotas) == draws
+    assert all(abs(q * sum(counts) - draws * n) < sum(counts) for q, n in zip(quotas, counts))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 10**6), min_size=1, max_size=8), st.integers(2, 10))
+def test_fold_quota_properties(counts, folds):
+    quotas = S.fold_quotas(counts, folds)
+    assert [sum(q) for q in quotas] == counts
+    assert all(max(q) - min(q) <= 1 for q in quotas)
+    totals = [sum(q[f] for q in quotas) for f in range(folds)]
+    assert max(totals) - min(totals) <= 1
+
+
+def test_balanced_sample(spark):
+    df = labelled(spark, {"a": 100, "b": 2, "c": 50})
+    sample = S.balanced_sample(df, ["k"], "y", n=12).collect()
+    assert len(sample) == 12 and len({r["k"] for r in sample}) == 12
+    counts = Counter(r["y"] for r in sample)
+    assert counts["b"] == 2 and counts["a"] >= 4 and counts["c"] >= 4
+    assert sorted(r["sample_rank"] for r in sample) == list(range(1, 13))
+
+
+def test_small_samples(spark):
+    df = labelled(spark, {"Adelie": 2, "Chinstrap": 2, "Gentoo": 1})
+    assert len(S.balanced_sample(df, ["k"], "y", n=3).collect()) == 3
+    holes = spark.createDataFrame([(1, "Adelie"), (2, None), (3, "Chinstrap")], "k int, y string")
+    rows = S.balanced_sample(holes, ["k"], "y", n=5).collect()
+    assert len(rows) == 2 and all(r["y"] for r in rows)
+    assert S.balanced_sample(df, ["k"], "y", n=2).count() == 2
+    assert S.balanced_sample(df.filter("k < 0"), ["k"], "y").count() == 0
+
+
+def test_large_side_is_not_shuffled(spark):
+    parts = S.train_test_split(labelled(spark, {"a": 60, "b": 40}), ["k"], "y")
+    plan = parts._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
