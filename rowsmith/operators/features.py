@@ -194,7 +194,7 @@ class Preprocessor:
             if self.numeric_strategy == "mean":
                 fills = {n: measured[n].mean for n in names}
             elif self.numeric_strategy == "median":
-                fills = medians(train, names)
+                fills = medians(train, names, measured)
             else:
                 fills = modes(train, names, "double")
         return [NumberState(n, fills[n], *scale_after_fill(measured[n], fills[n])) for n in names]

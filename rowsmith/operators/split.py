@@ -18,8 +18,10 @@ from rowsmith.functions.expressions import key_hash
 from rowsmith.operators.clean import quote
 from rowsmith.session import pin_small
 
-# Leading hash digits used for counting: 16**4 = 65,536 buckets per stratum.
-BUCKET_DIGITS = 4
+# Hash digits looked at in turn: 16**3 = 4,096 buckets per stratum, then, for large tables, as many
+# within the bucket that holds a cut, then the whole hash.
+LEVELS = (3, 6, 32)
+LARGE_TABLE = 50_000_000
 MAX_STRATA = 100_000
 
 
@@ -30,11 +32,16 @@ class HashOrder:
     each stratum has and which bucket holds its k-th row.
     """
 
-    def __init__(self, df: DataFrame, stratum: Column, h: Column, digits: int = BUCKET_DIGITS):
-        bucket = F.substring("h", 1, digits).alias("bucket")
+    def __init__(self, df: DataFrame, stratum: Column, h: Column):
         self.spark = df.sparkSession
-        self.rows = df.select(stratum.alias("stratum"), h.alias("h")).select("*", bucket)
-        self.sizes = self.rows.groupBy("stratum", "bucket").agg(F.count("*").alias("n")).persist()
+        self.rows = df.select(stratum.alias("stratum"), h.alias("h"))
+        self.sizes = self._sizes(self.rows, 0, LEVELS[0]).persist()
+
+    @staticmethod
+    def _sizes(rows: DataFrame, known: int, digits: int) -> DataFrame:
+        """Rows per bucket of ``digits`` digits, together with the ``known`` digits before."""
+        keys = ["stratum", F.substring("h", 1, known).alias("prefix"), F.substring("h", 1, digits).alias("bucket")]
+        return rows.groupBy(*keys).agg(F.count("*").alias("n"))
 
     def __enter__(self) -> HashOrder:
         return self
@@ -49,30 +56,29 @@ class HashOrder:
     def cuts(self, targets: list[tuple[str, int, int]]) -> DataFrame:
         """For each ``(stratum, cut, k)`` the k-th smallest hash of the stratum, as ``threshold``.
 
-        Only the rows of the buckets that hold a cut are looked at.
+        Each level finds the bucket that holds a cut and how far into it the cut lies; the next
+        level looks only at the rows of those buckets.
         """
-        wanted = F.broadcast(self.spark.createDataFrame(targets, "stratum string, cut int, k bigint"))
-        running = W.partitionBy("stratum").orderBy("bucket")
-        reach = self.sizes.withColumn("upto", F.sum("n").over(running))
-        start = F.col("upto") - F.col("n")
-        edges = pin_small(
-            reach.join(wanted, "stratum")
-            .filter((start < F.col("k")) & (F.col("k") <= F.col("upto")))
-            .select("stratum", "cut", "bucket", (F.col("k") - start).alias("need"))
-        )
-        # A semi join ignores repeated edges, and keeping the edges undisturbed keeps their hint.
-        inside = self.rows.join(edges, ["stratum", "bucket"], "left_semi")
-        ranks = W.partitionBy("stratum", "bucket").orderBy("h")
-        ranked = (
-            inside.groupBy("stratum", "bucket", "h")
-            .agg(F.count("*").alias("n"))
-            .withColumn("upto", F.sum("n").over(ranks))
-        )
-        return (
-            ranked.join(edges, ["stratum", "bucket"])
-            .filter((start < F.col("need")) & (F.col("need") <= F.col("upto")))
-            .select("stratum", "cut", F.col("h").alias("threshold"))
-        )
+        total = self.sizes.agg(F.sum("n").alias("n")).first()["n"] or 0
+        levels = LEVELS if total > LARGE_TABLE else (LEVELS[0], LEVELS[-1])
+        wanted = self.spark.createDataFrame(targets, "stratum string, cut int, k bigint")
+        wanted = F.broadcast(wanted.withColumn("prefix", F.lit("")))
+        sizes, inside = self.sizes, None
+        for i, digits in enumerate(levels):
+            if i:
+                sizes = self._sizes(inside, levels[i - 1], digits)
+            running = W.partitionBy("stratum", "prefix").orderBy("bucket")
+            start = F.col("upto") - F.col("n")
+            wanted = pin_small(
+                sizes.withColumn("upto", F.sum("n").over(running))
+                .join(wanted, ["stratum", "prefix"])
+                .filter((start < F.col("k")) & (F.col("k") <= F.col("upto")))
+                .select("stratum", "cut", F.col("bucket").alias("prefix"), (F.col("k") - start).alias("k"))
+            )
+            # A semi join ignores repeated cuts, and keeping ``wanted`` undisturbed keeps its hint.
+            keyed = (self.rows if inside is None else inside).withColumn("prefix", F.substring("h", 1, digits))
+            inside = keyed.join(wanted, ["stratum", "prefix"], "left_semi").select("stratum", "h")
+        return wanted.select("stratum", "cut", F.col("prefix").alias("threshold"))
 
     def thresholds(self, targets: list[tuple[str, int, int]]) -> DataFrame:
         """One broadcast row per stratum with its sorted thresholds.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -16,6 +16,9 @@ RANK_DIRECTLY = 200_000
 # Each pass cuts a bracket into this many quantile steps and keeps the few around the middle.
 STEPS = 500
 SKETCH_ACCURACY = 10_000
+# Rows that guide a pass. A sample keeps the sketches of all tasks together small, however many
+# tasks there are; it only decides where to count next, never what the result is.
+GUIDE_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -66,7 +69,7 @@ class _Bracket:
     high: float
     below: int
     inside: int
-    steps: list[float]
+    steps: list[float] | None = None
     spread: int = 1
 
     @property
@@ -75,7 +78,9 @@ class _Bracket:
         return (self.total + 1) // 2, self.total // 2 + 1
 
     def probe(self) -> tuple[float, float]:
-        """A narrower bracket aimed at the middle ranks."""
+        """A narrower bracket aimed at the middle ranks; without a sketch, the same one."""
+        if not self.steps:
+            return self.low, self.high
         first, last = self.middle
         start = (first - self.below) * STEPS // self.inside - self.spread
         stop = -(-(last - self.below) * STEPS // self.inside) + self.spread
@@ -85,56 +90,54 @@ class _Bracket:
         )
 
     @property
-    def narrowable(self) -> bool:
-        return self.inside > RANK_DIRECTLY and self.probe() != (self.low, self.high)
+    def open(self) -> bool:
+        """Too many rows to rank directly, and the next pass can still learn something."""
+        untried = self.steps is None or self.probe() != (self.low, self.high)
+        return self.inside > RANK_DIRECTLY and self.low < self.high and untried
+
+    def counted(self, below: int, inside: int, steps: list[float] | None) -> _Bracket:
+        """After counting the probed bracket: take it if it holds the middle, else widen it."""
+        first, last = self.middle
+        if below < first and last <= below + inside:
+            return _Bracket(self.total, *self.probe(), below, inside, steps or [])
+        return replace(self, spread=self.spread * 4)
 
 
-def medians(df: DataFrame, columns: list[str]) -> dict[str, float | None]:
-    """Exact medians of several columns at once.
+def medians(
+    df: DataFrame, columns: list[str], measured: dict[str, Moments] | None = None
+) -> dict[str, float | None]:
+    """Exact medians of several columns at once, in a few narrow passes.
 
-    A quantile sketch brackets the middle of each column. Every further pass counts what lies
-    below and inside the narrower bracket and sketches again within it, until few rows remain;
-    those are counted by value and ranked. Brackets are verified by the counts, so an error of
-    the sketch only costs another pass, never exactness.
+    Every pass counts the rows below and inside a bracket around the middle of each column, and
+    sketches the quantiles inside it to aim the next, much narrower bracket. Once few rows are
+    left they are counted by value and ranked. Brackets are only accepted after their rows were
+    counted, so a poor sketch costs another pass, never exactness.
     """
     if not columns:
         return {}
+    measured = measured or moments(df, columns)
     c = {name: number(name) for name in columns}
-    shares = [i / STEPS for i in range(STEPS + 1)]
-    aggs = []
-    for i, name in enumerate(columns):
-        aggs += [
-            F.count(c[name]).alias(f"n{i}"),
-            F.min(c[name]).alias(f"l{i}"),
-            F.max(c[name]).alias(f"h{i}"),
-            F.percentile_approx(c[name], shares, SKETCH_ACCURACY).alias(f"q{i}"),
-        ]
-    row = df.agg(*aggs).first()
     brackets = {
-        name: _Bracket(row[f"n{i}"], row[f"l{i}"], row[f"h{i}"], 0, row[f"n{i}"], row[f"q{i}"])
-        for i, name in enumerate(columns)
-        if row[f"n{i}"]
+        name: _Bracket(m.filled, m.low, m.high, 0, m.filled) for name, m in measured.items() if name in c and m.filled
     }
-    while wide := [name for name, b in brackets.items() if b.narrowable]:
-        aggs, probes = [], {}
+    shares = [i / STEPS for i in range(STEPS + 1)]
+    while wide := [name for name, b in brackets.items() if b.open]:
+        aggs = []
+        # Values not drawn into the guide are null there, and the sketch ignores nulls.
+        drawn = df.select(*[c[name].alias(name) for name in wide], F.rand(0).alias("rs_draw"))
         for i, name in enumerate(wide):
-            probes[name] = lo, hi = brackets[name].probe()
-            within = c[name].between(lo, hi)
+            lo, hi = brackets[name].probe()
+            value = F.col(quote(name))
+            within = value.between(lo, hi)
+            guide = within & (F.col("rs_draw") < GUIDE_ROWS / brackets[name].inside)
             aggs += [
-                F.count_if(c[name] < lo).alias(f"b{i}"),
+                F.count_if(value < lo).alias(f"b{i}"),
                 F.count_if(within).alias(f"i{i}"),
-                F.percentile_approx(F.when(within, c[name]), shares, SKETCH_ACCURACY).alias(f"q{i}"),
+                F.percentile_approx(F.when(guide, value), shares, SKETCH_ACCURACY).alias(f"q{i}"),
             ]
-        row = df.agg(*aggs).first()
+        row = drawn.agg(*aggs).first()
         for i, name in enumerate(wide):
-            first, last = brackets[name].middle
-            below, inside = row[f"b{i}"], row[f"i{i}"]
-            if below < first and last <= below + inside:
-                brackets[name] = _Bracket(
-                    brackets[name].total, *probes[name], below, inside, row[f"q{i}"]
-                )
-            else:
-                brackets[name].spread *= 4
+            brackets[name] = brackets[name].counted(row[f"b{i}"], row[f"i{i}"], row[f"q{i}"])
     found: dict[str, float | None] = dict.fromkeys(columns)
     found.update(_ranked_middles(df, c, brackets))
     return found

@@ -54,6 +54,8 @@ def _random_forest(params: dict[str, Any], seed: int, rows: int, classes: int) -
         "numTrees": int(params.pop("n_estimators", 100)),
         "featureSubsetStrategy": "all" if choice is None else str(choice),
         "bootstrap": bool(params.pop("bootstrap", True)),
+        # More memory for node statistics means fewer passes over the rows.
+        "maxMemoryInMB": 1024,
     }
     share = params.pop("max_samples", None)
     if share is not None:
@@ -100,11 +102,17 @@ def _support_vectors(params: dict[str, Any], seed: int, rows: int, classes: int)
         standardization=False,
         labelCol=LABEL,
     )
+    source = FEATURES if kernel == "linear" else "rs_poly"
+    machine = OneVsRest(
+        classifier=margin.setFeaturesCol(source),
+        featuresCol=source,
+        labelCol=LABEL,
+        # The classes share one cached input and are fitted side by side.
+        parallelism=max(1, min(classes, 8)),
+    )
     if kernel == "linear":
-        return OneVsRest(classifier=margin.setFeaturesCol(FEATURES), featuresCol=FEATURES, labelCol=LABEL)
-    expand = PolynomialExpansion(degree=degree, inputCol=FEATURES, outputCol="rs_poly")
-    machine = OneVsRest(classifier=margin.setFeaturesCol("rs_poly"), featuresCol="rs_poly", labelCol=LABEL)
-    return Pipeline(stages=[expand, machine])
+        return machine
+    return Pipeline(stages=[PolynomialExpansion(degree=degree, inputCol=FEATURES, outputCol=source), machine])
 
 
 CLASSIFIERS: dict[str, Factory] = {

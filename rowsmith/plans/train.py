@@ -126,19 +126,20 @@ def register_result(
 
 
 def split_parts(df: DataFrame, spec: TableSpec, experiment: ExperimentSpec) -> DataFrame:
-    """Key, features, target and ``split``, written once to the shared folder.
+    """Key, features, target and ``split`` of the rows that have a target.
 
-    Fitting and evaluating read the table about ten times; written out, each pass reads only its
-    columns and its part, and nothing upstream is computed again. A table that already has a
-    ``split`` column keeps it.
+    The rows are written once to the shared folder, because splitting, fitting and evaluating
+    read them about ten times: nothing upstream is computed again, and each pass reads only its
+    columns. A table that already has a ``split`` column keeps it.
     """
     wanted = [c for c in (*spec.key, *spec.columns, "split") if c in df.columns]
     rows = df.select(*[F.col(quote(c)) for c in wanted]).na.drop(subset=[spec.target.name])
-    if "split" not in df.columns:
-        rows = train_test_split(
-            rows, spec.key, spec.target.name, experiment.test_size, experiment.seed, experiment.stratify
-        )
-    return materialise(rows, "parts", "split")
+    rows = materialise(rows, "rows")
+    if "split" in wanted:
+        return rows
+    return train_test_split(
+        rows, spec.key, spec.target.name, experiment.test_size, experiment.seed, experiment.stratify
+    )
 
 
 def train(

@@ -7,6 +7,7 @@ from the held-out rows, and all candidates of the fold share the prepared vector
 from __future__ import annotations
 
 import itertools
+import math
 import statistics
 from dataclasses import replace
 from multiprocessing.pool import ThreadPool
@@ -33,6 +34,7 @@ from rowsmith.plans.train import (
     split_metrics,
     split_parts,
 )
+from rowsmith.session import materialise
 from rowsmith.sources.registry import ModelRegistry
 from rowsmith.spec import ExperimentSpec, TableSpec
 
@@ -83,6 +85,8 @@ def cross_validate(
     """Mean and population deviation of the fold scores of every candidate, in grid order."""
     cv = experiment.tune.cv
     folds = stratified_folds(train_rows, spec.key, spec.target.name, cv, experiment.seed)
+    # Written by fold: every pass over a training side then skips the held-out files.
+    folds = materialise(folds, "folds", "fold")
     by_fold = [_fold_scores(folds, i, candidates, spec, experiment) for i in range(cv)]
     table = []
     for params, scores in zip(candidates, zip(*by_fold)):
@@ -105,8 +109,8 @@ def tune(
     parts = split_parts(df, spec, experiment)
     train_rows = parts.filter("split = 'train'")
     table = cross_validate(train_rows, expand_grid(experiment.tune.grid), spec, experiment)
-    # On equal means the earlier candidate wins.
-    best = max(table, key=lambda c: c["mean"])
+    # On equal means the earlier candidate wins; an undefined mean ranks last.
+    best = max(table, key=lambda c: float("-inf") if math.isnan(c["mean"]) else c["mean"])
     chosen = replace(experiment, params={**experiment.params, **best["params"]})
     model = fit_pipeline(train_rows, spec, chosen)
     results = describe(chosen, spec, split_metrics(model, parts, spec)) | {

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rowsmith.plans.train import fit_pipeline
 from rowsmith.queries.base import query, r6, table
-from rowsmith.queries.training import TEXT_SPEC, TREE, text_table
+from rowsmith.queries.training import EXPECTED, RULE_TREE, SIZED_SPEC, sized_table
 from rowsmith.session import scratch_path
 from rowsmith.spec import CategoryField, NumericField, TableSpec
 from rowsmith.streaming.scoring import (
@@ -48,29 +48,36 @@ def stream_quarantine(spark, sf):
     )
 
 
+ACCEPTED = EXPECTED + " WHERE l_quantity BETWEEN 1 AND 45"
+
+
 def _request_stream(spark, sf, root):
-    """The documents as JSON request files, read back as a stream."""
-    rows = text_table(spark, sf).drop("language")
-    rows.write.json(f"{root}/requests")
+    """The line items as JSON request files, read back as a stream of several batches."""
+    rows = sized_table(spark, sf).drop("size_class")
+    rows.write.option("maxRecordsPerFile", 1_000_000).json(f"{root}/requests")
     return read_json_stream(spark, f"{root}/requests", rows.schema, max_files=2)
 
 
-@query("stream_score")
+@query("stream_score", ACCEPTED)
 def stream_score(spark, sf):
     root = scratch_path(spark, "stream")
-    model = fit_pipeline(text_table(spark, sf), TEXT_SPEC, TREE)
+    model = fit_pipeline(sized_table(spark, sf), SIZED_SPEC, RULE_TREE)
     stream = _request_stream(spark, sf, root)
-    score_stream(stream, model, TEXT_SPEC, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    score_stream(stream, model, SIZED_SPEC, f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{root}/out/scored").select(
-        "doc_id", "prediction", r6("confidence").alias("confidence")
+        "l_orderkey", "l_linenumber", "prediction", r6("confidence").alias("confidence")
     )
 
 
-@query("stream_prediction_log")
+@query("stream_prediction_log", ACCEPTED)
 def stream_prediction_log(spark, sf):
     root = scratch_path(spark, "log")
-    model = fit_pipeline(text_table(spark, sf), TEXT_SPEC, TREE)
+    model = fit_pipeline(sized_table(spark, sf), SIZED_SPEC, RULE_TREE)
     stream = _request_stream(spark, sf, root)
-    prediction_log_stream(stream, model, TEXT_SPEC, f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    schema = "timestamp timestamp, input struct<doc_id:bigint,source:string>, prediction string, confidence double"
-    return spark.read.schema(schema).json(f"{root}/out").select("input.doc_id", "prediction", "confidence")
+    prediction_log_stream(stream, model, SIZED_SPEC, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    schema = (
+        "timestamp timestamp, input struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double>, "
+        "prediction string, confidence double"
+    )
+    lines = spark.read.schema(schema).json(f"{root}/out")
+    return lines.select("input.l_orderkey", "input.l_linenumber", "prediction", r6("confidence").alias("confidence"))

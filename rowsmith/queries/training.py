@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from rowsmith.plans import experiments as X
 from rowsmith.plans.score import ensemble, predict, predict_proba, score
 from rowsmith.plans.train import fit_pipeline, train
-from rowsmith.plans.tune import tune
-from rowsmith.queries.base import ORDERS_SPEC, clean_orders, derive, query, r6, raw_orders
-from rowsmith.session import scratch_path
+from rowsmith.plans.tune import expand_grid, tune
+from rowsmith.queries.base import ORDERS_SPEC, clean_orders, derive, query, r6
+from rowsmith.session import materialise, scratch_path
 from rowsmith.sources.files import write_document
 from rowsmith.sources.registry import ModelRegistry
 from rowsmith.spec import CategoryField, ExperimentSpec, NumericField, TableSpec, TargetField, TuneSpec
@@ -37,13 +37,37 @@ TEXT_SPEC = TableSpec(
     target=TargetField("language"),
 )
 
+# Line items labelled by a rule on their quantity. A tree of depth two finds the rule exactly, so
+# the predictions of the whole chain have an expected value that SQL can state.
+SIZE_RULE = "CASE WHEN l_quantity <= 10 THEN 'small' WHEN l_quantity <= 30 THEN 'medium' ELSE 'large' END"
+SIZED = f"""
+SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, l_returnflag, l_linestatus, {SIZE_RULE} AS size_class
+FROM {{lineitem}}
+"""
+SIZED_SPEC = TableSpec(
+    key=("l_orderkey", "l_linenumber"),
+    numeric=(
+        NumericField("l_quantity", low=0, score_low=1, score_high=45),
+        NumericField("l_discount", low=0, score_low=0, score_high=1),
+        NumericField("l_tax", low=0, score_low=0, score_high=1),
+    ),
+    categorical=(CategoryField("l_returnflag", ("A", "N", "R")), CategoryField("l_linestatus", ("F", "O"))),
+    target=TargetField("size_class", ("small", "medium", "large")),
+)
+RULE_TREE = ExperimentSpec("DecisionTreeClassifier", {"max_depth": 2})
+
 EMBEDDING_SPEC = TableSpec(
     key=("vec_id",), numeric=tuple(NumericField(f"e{i}") for i in range(64)), target=TargetField("label_name")
 )
 
 
 def text_table(spark, sf):
-    return derive(spark, sf, TEXT_SHAPE, "documents")
+    """The letter shares, computed once per query and written out: fitting reads them often."""
+    return materialise(derive(spark, sf, TEXT_SHAPE, "documents"), "shapes")
+
+
+def sized_table(spark, sf):
+    return derive(spark, sf, SIZED, "lineitem")
 
 
 def embedding_table(spark, sf):
@@ -104,24 +128,30 @@ def tune_grid(spark, sf):
     return spark.createDataFrame(rows, "candidate int, params string, mean_score double, std_score double")
 
 
-@query("model_save_load")
+EXPECTED = f"SELECT l_orderkey, l_linenumber, {SIZE_RULE} AS prediction, 1.0::DOUBLE AS confidence FROM lineitem"
+
+
+def _scored(rows):
+    return rows.select("l_orderkey", "l_linenumber", "prediction", r6("confidence").alias("confidence"))
+
+
+@query("model_save_load", EXPECTED)
 def model_save_load(spark, sf):
     registry = ModelRegistry(spark, scratch_path(spark, "registry"))
-    rows = text_table(spark, sf)
-    done = train(rows, TEXT_SPEC, TREE, registry)
-    loaded = registry.load_model(done.model_id)
-    return predict(rows, loaded).select("doc_id", "prediction", r6("confidence").alias("confidence"))
+    rows = sized_table(spark, sf)
+    done = train(rows, SIZED_SPEC, RULE_TREE, registry)
+    return _scored(predict(rows, registry.load_model(done.model_id)))
 
 
-@query("model_export_import")
+@query("model_export_import", EXPECTED)
 def model_export_import(spark, sf):
     root = scratch_path(spark, "export")
-    rows = text_table(spark, sf)
+    rows = sized_table(spark, sf)
     first, second = ModelRegistry(spark, f"{root}/a"), ModelRegistry(spark, f"{root}/b")
-    done = train(rows, TEXT_SPEC, TREE, first)
-    first.export_model(done.model_id, f"{root}/out")
+    first.save_model(fit_pipeline(rows, SIZED_SPEC, RULE_TREE), "sizes")
+    first.export_model("sizes", f"{root}/out")
     second.import_model(f"{root}/out/model", "imported", f"{root}/out/metadata")
-    return predict(rows, second.load_latest_model()).select("doc_id", "prediction")
+    return _scored(predict(rows, second.load_latest_model()))
 
 
 @query("sink_results_json")
@@ -134,18 +164,59 @@ def sink_results_json(spark, sf):
     )
 
 
-@query("score_batch")
+@query("score_batch", EXPECTED + " WHERE l_quantity BETWEEN 1 AND 45")
 def score_batch(spark, sf):
-    rows = text_table(spark, sf)
-    model = fit_pipeline(rows, TEXT_SPEC, TREE)
-    accepted, _ = score(rows, model, TEXT_SPEC, mode="quarantine")
-    return accepted.select("doc_id", "prediction", r6("confidence").alias("confidence"), "probabilities")
+    rows = sized_table(spark, sf)
+    accepted, _ = score(rows, fit_pipeline(rows, SIZED_SPEC, RULE_TREE), SIZED_SPEC, mode="quarantine")
+    return _scored(accepted)
 
 
-@query("score_proba")
+@query(
+    "score_proba",
+    f"""WITH ruled AS (SELECT l_orderkey, l_linenumber, {SIZE_RULE} AS size_class FROM lineitem)
+    SELECT l_orderkey, l_linenumber, CASE WHEN size_class = 'large' THEN 1.0 ELSE 0.0 END::DOUBLE AS large,
+      CASE WHEN size_class = 'medium' THEN 1.0 ELSE 0.0 END::DOUBLE AS medium,
+      CASE WHEN size_class = 'small' THEN 1.0 ELSE 0.0 END::DOUBLE AS small FROM ruled""",
+)
 def score_proba(spark, sf):
-    rows = text_table(spark, sf)
-    return predict_proba(rows, fit_pipeline(rows, TEXT_SPEC, LOGISTIC), ["doc_id"])
+    rows = sized_table(spark, sf)
+    return predict_proba(rows, fit_pipeline(rows, SIZED_SPEC, RULE_TREE), ["l_orderkey", "l_linenumber"])
+
+
+# Every candidate of a grid of rules, rated over the whole table in one aggregate.
+RULE_GRID = ({"above": [10, 25, 40], "flag": ["A", "N", "R"]}, {"classifier__above": [30], "flag": ["R"], "below": [45]})
+
+
+@query(
+    "grid_expand",
+    """WITH grid AS (
+      SELECT a AS above, f AS flag, 1000 AS below, (row_number() OVER (ORDER BY a, f) - 1)::INTEGER AS candidate
+      FROM unnest([10, 25, 40]) x(a), unnest(['A', 'N', 'R']) y(f)
+      UNION ALL SELECT 30, 'R', 45, 9)
+    SELECT candidate, above, flag, below, round(avg(CASE WHEN (l_quantity > above AND l_quantity < below)
+      = (l_returnflag = flag) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS accuracy
+    FROM grid, lineitem GROUP BY ALL""",
+)
+def grid_expand(spark, sf):
+    candidates = [{"below": 1000, **c} for c in expand_grid(RULE_GRID)]
+    quantity, flag = F.col("l_quantity"), F.col("l_returnflag")
+    rated = sized_table(spark, sf).agg(
+        *[
+            F.avg((((quantity > c["above"]) & (quantity < c["below"])) == (flag == c["flag"])).cast("double")).alias(f"a{i}")
+            for i, c in enumerate(candidates)
+        ]
+    )
+    entries = [
+        F.struct(
+            F.lit(i).alias("candidate"),
+            F.lit(c["above"]).alias("above"),
+            F.lit(c["flag"]).alias("flag"),
+            F.lit(c["below"]).alias("below"),
+            r6(f"a{i}").alias("accuracy"),
+        )
+        for i, c in enumerate(candidates)
+    ]
+    return rated.select(F.inline(F.array(*entries)))
 
 
 @query("score_ensemble")
@@ -160,13 +231,3 @@ def experiments_compare(spark, sf):
     registry = ModelRegistry(spark, scratch_path(spark, "registry"))
     X.run_experiments(text_table(spark, sf), TEXT_SPEC, {"tree": TREE, "logistic": LOGISTIC}, registry)
     return X.compare_experiments(registry).drop("timestamp")
-
-
-@query("score_orders")
-def score_orders(spark, sf):
-    from rowsmith.operators.clean import derive_year, rename_columns
-
-    model = fit_pipeline(clean_orders(spark, sf), ORDERS_SPEC, TREE)
-    raw = derive_year(rename_columns(raw_orders(spark, sf), ORDERS_SPEC), ORDERS_SPEC)
-    scored, _ = score(raw.drop("order_status"), model, ORDERS_SPEC, mode="quarantine")
-    return scored.select("o_orderkey", "prediction", r6("confidence").alias("confidence"))

@@ -30,7 +30,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_document(spark: SparkSession, document: dict, path: str, mode: str = "overwrite") -> None:
     """Write one result document (training or tuning results) as a JSON line."""
-    line = json.dumps(document, default=str, allow_nan=False)
+    line = json.dumps(document, default=str)
     spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode(mode).text(path)
 
 

@@ -13,7 +13,7 @@ RAW = (
     "row_id bigint, `Culmen Length (mm)` string, `Culmen Depth (mm)` string, `Flipper Length (mm)` string, "
     "`Body Mass (g)` string, Island string, Sex string, Species string, `Date Egg` string, Comments string"
 )
-ADELIE = "Adelie Penguin (Pygoscelis adeliae)"
+ADELIE = "Adelie (Pygoscelis adeliae)"
 RAW_ROWS = [
     (1, "39.1", "18.7", "181", "3750", "Torgersen", "MALE", ADELIE, "11/11/07", "x"),
     (2, "39.5", "17.4", "186", "3800", "Torgersen", "FEMALE", ADELIE, "11/11/07", None),
@@ -84,7 +84,7 @@ def test_null_tokens(spark, token):
     ("text", "label"),
     [
         (ADELIE, "Adelie"),
-        ("Chinstrap penguin (Pygoscelis antarctica)", "Chinstrap"),
+        ("The Chinstrap (Pygoscelis antarctica)", "Chinstrap"),
         ("Gentoo or Adelie", "Adelie"),
         (None, None),
     ],

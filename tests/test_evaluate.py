@@ -97,6 +97,7 @@ def brute_auc(rows):
 @pytest.mark.parametrize("per_range", [500_000, 7])
 def test_auc_with_ties(spark, monkeypatch, per_range):
     monkeypatch.setattr(U, "SCORES_PER_RANGE", per_range)
+    monkeypatch.setattr(U, "GUIDE_ROWS", per_range * 20)
     rng = random.Random(1)
     rows = [(round(rng.gauss(0.3 * (i % 3 == 0), 1), 1), i % 3 == 0) for i in range(400)]
     # One score holds a third of all rows.

@@ -166,6 +166,7 @@ def test_info(spark, five):
 )
 def test_median_is_exact(spark, monkeypatch, values, limit):
     monkeypatch.setattr(stats, "RANK_DIRECTLY", limit)
+    monkeypatch.setattr(stats, "GUIDE_ROWS", limit * 50)
     df = spark.createDataFrame([(v, -v) for v in values] + [(None, None)], "a double, b double").repartition(4)
     assert stats.medians(df, ["a", "b"]) == {"a": statistics.median(values), "b": -statistics.median(values)}
 
@@ -173,6 +174,7 @@ def test_median_is_exact(spark, monkeypatch, values, limit):
 def test_median_survives_a_wrong_sketch(spark, monkeypatch):
     monkeypatch.setattr(stats, "RANK_DIRECTLY", 5)
     monkeypatch.setattr(stats, "SKETCH_ACCURACY", 3)
+    monkeypatch.setattr(stats, "GUIDE_ROWS", 10)
     values = [float(i * 31 % 997) for i in range(997)]
     df = spark.createDataFrame([(v,) for v in values], "a double").repartition(4)
     assert stats.medians(df, ["a"]) == {"a": statistics.median(values)}

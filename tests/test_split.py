@@ -69,11 +69,13 @@ def test_impossible_splits(spark):
         S.train_test_split(labelled(spark, {"a": 2, "b": 2, "c": 2}), ["k"], "y", test_size=0.2)
 
 
-@pytest.mark.parametrize("digits", [1, 2, 4])
-def test_cuts_are_exact_ranks(spark, digits):
+@pytest.mark.parametrize(("levels", "large"), [((3, 6, 32), 50_000_000), ((1, 2, 32), 10), ((1, 2, 3, 32), 10)])
+def test_cuts_are_exact_ranks(spark, monkeypatch, levels, large):
+    monkeypatch.setattr(S, "LEVELS", levels)
+    monkeypatch.setattr(S, "LARGE_TABLE", large)
     df = labelled(spark, {"a": 500, "b": 37})
     h = F.md5(F.col("k").cast("string").cast("binary"))
-    with S.HashOrder(df, F.col("y"), h, digits) as order:
+    with S.HashOrder(df, F.col("y"), h) as order:
         assert order.counts() == [("a", 500), ("b", 37)]
         wanted = [("a", 0, 1), ("a", 1, 250), ("a", 2, 500), ("b", 0, 17)]
         got = {(r["stratum"], r["cut"]): r["threshold"] for r in order.cuts(wanted).collect()}
