@@ -66,7 +66,7 @@ def project_available(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 def features_and_target(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Rows that have a target, with key, features and target only."""
-    return project_available(df, spec).na.drop(subset=[spec.target.name])
+    return project_available(df, spec).filter(F.col(quote(spec.target.name)).isNotNull())
 
 
 def _check_number(f: NumericField, stored: T.DataType) -> _Checked:

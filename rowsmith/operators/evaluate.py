@@ -19,8 +19,8 @@ def label_pairs(df: DataFrame, y_true: str, y_pred: str) -> DataFrame:
     """Occurring pairs ``(y_true, y_pred, n)``; rows without a label on either side are left out."""
     t, p = F.col(quote(y_true)).cast("string"), F.col(quote(y_pred)).cast("string")
     return (
-        df.select(t.alias("y_true"), p.alias("y_pred"))
-        .na.drop()
+        df.filter(t.isNotNull() & p.isNotNull())
+        .select(t.alias("y_true"), p.alias("y_pred"))
         .groupBy("y_true", "y_pred")
         .agg(F.count("*").alias("n"))
     )
@@ -171,7 +171,7 @@ def classification_report(df: DataFrame, y_true: str, y_pred: str) -> DataFrame:
 def regression_metrics(df: DataFrame, y_true: str, y_pred: str) -> DataFrame:
     """MAE, MSE, RMSE, R² and row count in one aggregate."""
     t, p = F.col(quote(y_true)).cast("double"), F.col(quote(y_pred)).cast("double")
-    pair = df.select(t.alias("t"), p.alias("p")).na.drop()
+    pair = df.filter(t.isNotNull() & p.isNotNull()).select(t.alias("t"), p.alias("p"))
     d = F.col("t") - F.col("p")
     sums = pair.agg(
         F.avg(F.abs(d)).alias("mae"),
@@ -255,19 +255,66 @@ def metrics_document(pairs: list[tuple[str, str, int]], average: str = "weighted
     }
 
 
-def score_value(df: DataFrame, y_true: str, y_pred: str, scoring: str = "accuracy", proba: str | None = None) -> float:
-    """One number for tuning, under the usual scorer names."""
-    if scoring.startswith("roc_auc"):
+def matthews(pairs: list[tuple[str, str, int]]) -> float:
+    """Correlation of truth and prediction over counted label pairs; 0 where it is undefined."""
+    labels = {x for t, p, _ in pairs for x in (t, p)}
+    total = sum(n for *_, n in pairs)
+    hits = sum(n for t, p, n in pairs if t == p)
+    truth = {c: sum(n for t, _, n in pairs if t == c) for c in labels}
+    guess = {c: sum(n for _, p, n in pairs if p == c) for c in labels}
+    cov = hits * total - sum(truth[c] * guess[c] for c in labels)
+    spread = (total**2 - sum(n * n for n in truth.values())) * (total**2 - sum(n * n for n in guess.values()))
+    return cov / spread**0.5 if spread else 0.0
+
+
+def jaccard(pairs: list[tuple[str, str, int]], average: str) -> float:
+    """Hits over the union of true and predicted rows, per label and averaged."""
+    labels = sorted({x for t, p, _ in pairs for x in (t, p)})
+    hit = {c: sum(n for t, p, n in pairs if t == p == c) for c in labels}
+    truth = {c: sum(n for t, _, n in pairs if t == c) for c in labels}
+    union = {c: truth[c] + sum(n for _, p, n in pairs if p == c) - hit[c] for c in labels}
+    if average == "micro":
+        return sum(hit.values()) / sum(union.values()) if labels else 0.0
+    weight = truth if average == "weighted" else dict.fromkeys(labels, 1)
+    total = sum(weight.values())
+    return sum(weight[c] * hit[c] / union[c] for c in labels) / total if total else 0.0
+
+
+def log_loss(df: DataFrame, y_true: str, proba: str) -> float:
+    """Mean negative log probability of the true label from a probability map column."""
+    label = F.col(quote(y_true)).cast("string")
+    tiny = F.lit(2.220446049250313e-16)
+    p = F.coalesce(F.try_element_at(F.col(quote(proba)), label), F.lit(0.0))
+    kept = df.filter(label.isNotNull())
+    return kept.agg(F.avg(-F.log(F.least(F.greatest(p, tiny), 1 - tiny))).alias("loss")).first()["loss"]
+
+
+AVERAGED = {"f1": "f1_score", "precision": "precision", "recall": "recall"}
+
+
+def score_value(
+    df: DataFrame, y_true: str, y_pred: str, scoring: str = "accuracy", proba: str | None = None
+) -> float:
+    """One number for tuning, under the usual scorer names; higher is better."""
+    if scoring in ("roc_auc", "roc_auc_ovr", "roc_auc_ovr_weighted", "neg_log_loss"):
+        if proba is None:
+            raise ValueError(f"scoring {scoring!r} needs a classifier with probabilities")
+        if scoring == "neg_log_loss":
+            return -log_loss(df, y_true, proba)
         from rowsmith.operators.auc import roc_auc
 
         average = "weighted" if scoring.endswith("weighted") else "macro"
         value = roc_auc(df, y_true, proba, average=average)
         return float("nan") if value is None else value
-    pairs = [(r["y_true"], r["y_pred"], r["n"]) for r in label_pairs(df, y_true, y_pred).collect()]
-    if scoring in ("accuracy", "balanced_accuracy"):
-        return metrics_document(pairs)[scoring]
     name, _, average = scoring.partition("_")
-    metric = {"f1": "f1_score", "precision": "precision", "recall": "recall"}.get(name)
-    if metric is None or average not in ("macro", "micro", "weighted"):
+    by_average = name in (*AVERAGED, "jaccard") and average in ("macro", "micro", "weighted")
+    if not by_average and scoring not in ("accuracy", "balanced_accuracy", "matthews_corrcoef"):
         raise ValueError(f"unknown scoring {scoring!r}")
-    return metrics_document(pairs, average)[metric]
+    pairs = [(r["y_true"], r["y_pred"], r["n"]) for r in label_pairs(df, y_true, y_pred).collect()]
+    if scoring == "matthews_corrcoef":
+        return matthews(pairs)
+    if name == "jaccard":
+        return jaccard(pairs, average)
+    if by_average:
+        return metrics_document(pairs, average)[AVERAGED[name]]
+    return metrics_document(pairs)[scoring]

@@ -25,7 +25,7 @@ IGNORED = {
     "RandomForestClassifier": {"n_jobs", "verbose", "min_samples_split", "oob_score", "warm_start"},
     "DecisionTreeClassifier": {"min_samples_split", "splitter"},
     "LogisticRegression": {"n_jobs", "verbose", "solver", "random_state", "warm_start", "multi_class", "dual"},
-    "SVC": {"probability", "cache_size", "shrinking", "verbose", "gamma", "random_state", "decision_function_shape"},
+    "SVC": {"cache_size", "shrinking", "verbose", "gamma", "random_state", "decision_function_shape"},
 }
 
 Factory = Callable[[dict[str, Any], int, int, int], Estimator]
@@ -88,7 +88,10 @@ def _logistic(params: dict[str, Any], seed: int, rows: int, classes: int) -> Est
 
 
 def _support_vectors(params: dict[str, Any], seed: int, rows: int, classes: int) -> Estimator:
-    """Linear margins, one class against the rest; a polynomial kernel expands the features."""
+    """Linear margins, one class against the rest; a polynomial kernel expands the features.
+
+    With ``probability`` a logistic fit on the margins gives probabilities beside them.
+    """
     kernel = params.pop("kernel", "linear")
     if kernel not in ("linear", "poly"):
         raise ValueError(f"kernel {kernel!r} needs all pairs of rows; use 'linear' or 'poly'")
@@ -110,9 +113,20 @@ def _support_vectors(params: dict[str, Any], seed: int, rows: int, classes: int)
         # The classes share one cached input and are fitted side by side.
         parallelism=max(1, min(classes, 8)),
     )
-    if kernel == "linear":
-        return machine
-    return Pipeline(stages=[PolynomialExpansion(degree=degree, inputCol=FEATURES, outputCol=source), machine])
+    stages: list = [machine]
+    if kernel == "poly":
+        stages.insert(0, PolynomialExpansion(degree=degree, inputCol=FEATURES, outputCol=source))
+    if params.pop("probability", False):
+        stages.append(
+            LogisticRegression(
+                featuresCol="rawPrediction",
+                labelCol=LABEL,
+                predictionCol="rs_calibrated",
+                rawPredictionCol="rs_calibrated_raw",
+                probabilityCol="probability",
+            )
+        )
+    return machine if len(stages) == 1 else Pipeline(stages=stages)
 
 
 CLASSIFIERS: dict[str, Factory] = {
@@ -143,8 +157,9 @@ def make_classifier(name: str, params: dict[str, Any], seed: int, rows: int, cla
 
 
 def _weighted(estimator: Estimator) -> None:
-    stages = estimator.getStages() if isinstance(estimator, Pipeline) else [estimator]
-    stages[-1].setWeightCol(WEIGHT)
+    for stage in estimator.getStages() if isinstance(estimator, Pipeline) else [estimator]:
+        if hasattr(stage, "setWeightCol"):
+            stage.setWeightCol(WEIGHT)
 
 
 def class_weights(weighting: Any, counts: dict[str, int]) -> dict[str, float]:

@@ -14,7 +14,9 @@ from rowsmith.sources.registry import model_labels
 from rowsmith.spec import TableSpec
 
 # Working columns of the fitted stages, not part of a scoring result.
-WORKING = ("features", "rs_poly", "rawPrediction", "probability", "prediction", PREDICTED)
+WORKING = (
+    "features", "rs_poly", "rawPrediction", "rs_calibrated", "rs_calibrated_raw", "probability", "prediction", PREDICTED
+)
 
 
 def _transform(df: DataFrame, model: PipelineModel) -> DataFrame:

@@ -133,8 +133,8 @@ def split_parts(df: DataFrame, spec: TableSpec, experiment: ExperimentSpec) -> D
     columns. A table that already has a ``split`` column keeps it.
     """
     wanted = [c for c in (*spec.key, *spec.columns, "split") if c in df.columns]
-    rows = df.select(*[F.col(quote(c)) for c in wanted]).na.drop(subset=[spec.target.name])
-    rows = materialise(rows, "rows")
+    labelled = df.filter(F.col(quote(spec.target.name)).isNotNull())
+    rows = materialise(labelled.select(*[F.col(quote(c)) for c in wanted]), "rows")
     if "split" in wanted:
         return rows
     return train_test_split(

@@ -89,6 +89,7 @@ FOREST = ExperimentSpec(
 )
 LOGISTIC = ExperimentSpec("LogisticRegression", {"max_iter": 50, "C": 1.0})
 TREE = ExperimentSpec("DecisionTreeClassifier", {"max_depth": 5, "criterion": "gini"})
+CALIBRATED = ExperimentSpec("SVC", {"kernel": "linear", "max_iter": 10, "probability": True})
 MARGIN = ExperimentSpec("SVC", {"kernel": "linear", "C": 1.0, "max_iter": 20})
 
 
@@ -222,7 +223,7 @@ def grid_expand(spark, sf):
 @query("score_ensemble")
 def score_ensemble(spark, sf):
     rows = text_table(spark, sf)
-    models = [fit_pipeline(rows, TEXT_SPEC, e) for e in (FOREST, LOGISTIC, TREE)]
+    models = [fit_pipeline(rows, TEXT_SPEC, e) for e in (FOREST, LOGISTIC, CALIBRATED)]
     return ensemble(rows, models, ["doc_id"]).select("doc_id", "prediction", r6("confidence").alias("confidence"))
 
 

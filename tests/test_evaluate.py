@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -82,12 +83,26 @@ def test_scores_for_tuning(spark):
     assert E.score_value(df, "t", "p") == doc["accuracy"]
     assert E.score_value(df, "t", "p", "f1_macro") == doc["f1_score"]
     assert E.score_value(df, "t", "p", "balanced_accuracy") == pytest.approx(doc["recall"])
-    with pytest.raises(ValueError, match="unknown scoring"):
-        E.score_value(df, "t", "p", "magic")
+    for name in ("magic", "f1_median", "jaccard"):
+        with pytest.raises(ValueError, match="unknown scoring"):
+            E.score_value(df, "t", "p", name)
+    with pytest.raises(ValueError, match="probabilities"):
+        E.score_value(df, "t", "p", "roc_auc_ovr")
     with pytest.raises(ValueError, match="unknown average"):
         E.overall_metrics(df, "t", "p", "median")
 
 
+def test_other_scorers(spark):
+    df = expand(spark, [[3, 1], [2, 4]], ["a", "b"])
+    assert E.score_value(df, "t", "p", "matthews_corrcoef") == pytest.approx((3 * 4 - 1 * 2) / (4 * 6 * 5 * 5) ** 0.5)
+    assert E.score_value(df, "t", "p", "jaccard_macro") == pytest.approx((3 / 6 + 4 / 7) / 2)
+    assert E.score_value(df, "t", "p", "jaccard_weighted") == pytest.approx((4 * 3 / 6 + 6 * 4 / 7) / 10)
+    assert E.score_value(df, "t", "p", "jaccard_micro") == pytest.approx(7 / 13)
+    assert E.matthews([("a", "a", 5)]) == 0.0
+    q = spark.createDataFrame([("a", {"a": 0.5, "b": 0.5}), ("b", {"a": 0.75, "b": 0.25})], "t string, q map<string,double>")
+    assert E.score_value(q, "t", "t", "neg_log_loss", "q") == pytest.approx(-1.5 * math.log(2))
+
+
 def brute_auc(rows):
     pos = [s for s, hit in rows if hit]
     neg = [s for s, hit in rows if not hit]

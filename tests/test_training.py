@@ -23,7 +23,7 @@ LOGISTIC = ExperimentSpec("LogisticRegression", {"max_iter": 50})
 TREE = ExperimentSpec("DecisionTreeClassifier", {"max_depth": 4})
 
 
-def test_unknown_model_and_parameters():
+def test_unknown_model_and_parameters(spark):
     with pytest.raises(ValueError, match="not supported"):
         K.make_classifier("Oracle", {}, 42, 10, 2)
     with pytest.raises(ValueError, match="without a counterpart.*depth"):
@@ -47,7 +47,7 @@ def test_parameter_mapping(spark):
     lasso = K.make_classifier("LogisticRegression", {"penalty": "l1", "C": 0.5, "solver": "liblinear"}, 42, 100, 3)
     assert (lasso.getRegParam(), lasso.getElasticNetParam(), lasso.getStandardization()) == (0.02, 1.0, False)
     assert K.make_classifier("LogisticRegression", {"penalty": None}, 42, 100, 3).getRegParam() == 0
-    margin = K.make_classifier("SVC", {"C": 10, "probability": True}, 42, 100, 3)
+    margin = K.make_classifier("SVC", {"C": 10, "gamma": "scale", "cache_size": 200}, 42, 100, 3)
     assert isinstance(margin, OneVsRest) and isinstance(margin.getClassifier(), LinearSVC)
     assert margin.getClassifier().getRegParam() == pytest.approx(0.001)
 
@@ -155,13 +155,15 @@ def test_probabilities(birds):
     assert table.columns == ["row_id", "Adelie", "Chinstrap", "Gentoo"]
     assert table.filter("abs(Adelie + Chinstrap + Gentoo - 1) > 1e-9").isEmpty()
     margin = fit_pipeline(birds, BIRD_SURVEY, ExperimentSpec("SVC", {"max_iter": 5}))
+    assert "probability" not in margin.transform(birds).columns
     with pytest.raises(ValueError, match="no probabilities"):
         predict_proba(birds, margin, ["row_id"])
     assert predict(birds, margin).first()["confidence"] is None
 
 
 def test_ensemble(birds):
-    models = [fit_pipeline(birds, BIRD_SURVEY, e) for e in (FOREST, LOGISTIC, TREE)]
+    calibrated = ExperimentSpec("SVC", {"max_iter": 5, "probability": True, "class_weight": "balanced"})
+    models = [fit_pipeline(birds, BIRD_SURVEY, e) for e in (FOREST, LOGISTIC, calibrated)]
     voted = ensemble(birds, models, ["row_id", "species"])
     assert voted.filter("prediction = species").count() > 220
     tables = [{r["row_id"]: r for r in predict_proba(birds, m, ["row_id"]).collect()} for m in models]
