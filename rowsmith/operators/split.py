@@ -36,6 +36,7 @@ class HashOrder:
         self.spark = df.sparkSession
         self.rows = df.select(stratum.alias("stratum"), h.alias("h"))
         self.sizes = self._sizes(self.rows, 0, LEVELS[0]).persist()
+        self._counts: list[tuple[str, int]] | None = None
 
     @staticmethod
     def _sizes(rows: DataFrame, known: int, digits: int) -> DataFrame:
@@ -51,7 +52,9 @@ class HashOrder:
 
     def counts(self) -> list[tuple[str, int]]:
         """Rows per stratum, in stratum order."""
-        return small_counts(self.sizes.groupBy("stratum").agg(F.sum("n").alias("n")))
+        if self._counts is None:
+            self._counts = small_counts(self.sizes.groupBy("stratum").agg(F.sum("n").alias("n")))
+        return self._counts
 
     def cuts(self, targets: list[tuple[str, int, int]]) -> DataFrame:
         """For each ``(stratum, cut, k)`` the k-th smallest hash of the stratum, as ``threshold``.
@@ -59,7 +62,7 @@ class HashOrder:
         Each level finds the bucket that holds a cut and how far into it the cut lies; the next
         level looks only at the rows of those buckets.
         """
-        total = self.sizes.agg(F.sum("n").alias("n")).first()["n"] or 0
+        total = sum(n for _, n in self.counts())
         levels = LEVELS if total > LARGE_TABLE else (LEVELS[0], LEVELS[-1])
         wanted = self.spark.createDataFrame(targets, "stratum string, cut int, k bigint")
         wanted = F.broadcast(wanted.withColumn("prefix", F.lit("")))

@@ -15,7 +15,16 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import PolynomialExpansion
 
-FEATURES, LABEL, WEIGHT = "features", "label", "row_weight"
+# Working columns carry a prefix, so a table may have columns called label or prediction.
+FEATURES, LABEL, WEIGHT = "rs_features", "rs_label", "rs_weight"
+PREDICTION, PROBABILITY, MARGINS = "rs_prediction", "rs_probability", "rs_margins"
+COLUMNS = {
+    "featuresCol": FEATURES,
+    "labelCol": LABEL,
+    "predictionCol": PREDICTION,
+    "probabilityCol": PROBABILITY,
+    "rawPredictionCol": MARGINS,
+}
 
 # Spark refuses deeper trees; "no limit" means this depth.
 MAX_TREE_DEPTH = 30
@@ -43,8 +52,6 @@ def _tree_options(params: dict[str, Any], seed: int) -> dict[str, Any]:
         "impurity": "entropy" if impurity == "log_loss" else impurity,
         "maxBins": int(params.pop("max_bins", 128)),
         "seed": seed if state is None else int(state),
-        "featuresCol": FEATURES,
-        "labelCol": LABEL,
     }
 
 
@@ -82,8 +89,6 @@ def _logistic(params: dict[str, Any], seed: int, rows: int, classes: int) -> Est
         tol=float(params.pop("tol", 1e-4)),
         fitIntercept=bool(params.pop("fit_intercept", True)),
         standardization=False,
-        featuresCol=FEATURES,
-        labelCol=LABEL,
     )
 
 
@@ -98,35 +103,37 @@ def _support_vectors(params: dict[str, Any], seed: int, rows: int, classes: int)
     limit = int(params.pop("max_iter", -1))
     degree = int(params.pop("degree", 3))
     params.pop("coef0", None)
+    source = FEATURES if kernel == "linear" else "rs_poly"
     margin = LinearSVC(
         regParam=1.0 / (float(params.pop("C", 1.0)) * rows),
         maxIter=100 if limit < 0 else limit,
         tol=float(params.pop("tol", 1e-3)),
         standardization=False,
-        labelCol=LABEL,
     )
-    source = FEATURES if kernel == "linear" else "rs_poly"
+    # A stored one-against-the-rest model forgets this name unless it is the default.
+    margins = "rawPrediction"
     machine = OneVsRest(
-        classifier=margin.setFeaturesCol(source),
-        featuresCol=source,
-        labelCol=LABEL,
+        classifier=_wire(margin, featuresCol=source, rawPredictionCol=margins),
         # The classes share one cached input and are fitted side by side.
         parallelism=max(1, min(classes, 8)),
     )
-    stages: list = [machine]
+    stages: list = [_wire(machine, featuresCol=source, rawPredictionCol=margins)]
     if kernel == "poly":
         stages.insert(0, PolynomialExpansion(degree=degree, inputCol=FEATURES, outputCol=source))
     if params.pop("probability", False):
+        calibrate = LogisticRegression()
         stages.append(
-            LogisticRegression(
-                featuresCol="rawPrediction",
-                labelCol=LABEL,
-                predictionCol="rs_calibrated",
-                rawPredictionCol="rs_calibrated_raw",
-                probabilityCol="probability",
-            )
+            _wire(calibrate, featuresCol=margins, predictionCol="rs_calibrated", rawPredictionCol="rs_calibrated_margins")
         )
-    return machine if len(stages) == 1 else Pipeline(stages=stages)
+    return stages[0] if len(stages) == 1 else Pipeline(stages=stages)
+
+
+def _wire(stage: Estimator, **other: str) -> Estimator:
+    """Connect a classifier to the working columns, with ``other`` ones where given."""
+    for name, column in {**COLUMNS, **other}.items():
+        if stage.hasParam(name):
+            stage.set(stage.getParam(name), column)
+    return stage
 
 
 CLASSIFIERS: dict[str, Factory] = {
@@ -138,7 +145,8 @@ CLASSIFIERS: dict[str, Factory] = {
 
 
 def register_classifier(name: str, factory: Factory) -> None:
-    """Add a classifier; the factory gets parameters, seed, training rows and class count."""
+    """Add a classifier. The factory gets parameters, seed, training rows and class count, takes
+    what it understands out of the parameters and returns an unfitted estimator."""
     CLASSIFIERS[name] = factory
 
 
@@ -151,6 +159,8 @@ def make_classifier(name: str, params: dict[str, Any], seed: int, rows: int, cla
     estimator = CLASSIFIERS[name](left, seed, rows, classes)
     if left:
         raise ValueError(f"parameters without a counterpart for {name}: {sorted(left)}")
+    if not isinstance(estimator, (Pipeline, OneVsRest)):
+        _wire(estimator)
     if weighting is not None:
         _weighted(estimator)
     return estimator

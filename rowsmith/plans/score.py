@@ -9,46 +9,40 @@ from pyspark.sql import functions as F
 
 from rowsmith.operators.clean import check_scoring_input, fail_on_violation, quote, rejected_rows, valid_rows
 from rowsmith.operators.vote import score_columns, soft_vote
+from rowsmith.plans.classifiers import PROBABILITY
 from rowsmith.plans.train import PREDICTED
 from rowsmith.sources.registry import model_labels
 from rowsmith.spec import TableSpec
 
-# Working columns of the fitted stages, not part of a scoring result.
-WORKING = (
-    "features", "rs_poly", "rawPrediction", "rs_calibrated", "rs_calibrated_raw", "probability", "prediction", PREDICTED
-)
-
-
-def _transform(df: DataFrame, model: PipelineModel) -> DataFrame:
-    return model.transform(df.drop(*WORKING))
+RESULTS = ("prediction", "confidence", "probabilities")
 
 
 def has_probabilities(scored: DataFrame) -> bool:
-    return "probability" in scored.columns
+    return PROBABILITY in scored.columns
 
 
 def predict(df: DataFrame, model: PipelineModel) -> DataFrame:
     """Input columns plus ``prediction``, ``confidence`` and the ``probabilities`` map; the last
     two are null for classifiers without probabilities."""
-    scored = _transform(df, model)
+    scored = model.transform(df)
     if has_probabilities(scored):
-        added = score_columns(vector_to_array("probability"), model_labels(model))
+        added = score_columns(vector_to_array(PROBABILITY), model_labels(model))
     else:
         added = {
             "confidence": F.lit(None).cast("double"),
             "probabilities": F.lit(None).cast("map<string,double>"),
         }
     added["prediction"] = F.col(PREDICTED)
-    kept = [F.col(quote(c)) for c in df.columns if c not in WORKING]
-    return scored.select(*kept, *[added[c].alias(c) for c in ("prediction", "confidence", "probabilities")])
+    kept = [F.col(quote(c)) for c in df.columns if c not in RESULTS]
+    return scored.select(*kept, *[added[c].alias(c) for c in RESULTS])
 
 
 def predict_proba(df: DataFrame, model: PipelineModel, keep: list[str]) -> DataFrame:
     """``keep`` columns and one probability column per class."""
-    scored = _transform(df, model)
+    scored = model.transform(df)
     if not has_probabilities(scored):
         raise ValueError("this classifier gives no probabilities")
-    cells = vector_to_array("probability")
+    cells = vector_to_array(PROBABILITY)
     return scored.select(
         *[F.col(quote(k)) for k in keep], *[cells[i].alias(c) for i, c in enumerate(model_labels(model))]
     )
@@ -79,9 +73,10 @@ def ensemble(
     rows, columns = df, []
     for i, model in enumerate(models):
         columns.append(f"rs_vote{i}")
-        scored = _transform(rows, model)
+        scored = model.transform(rows)
         if not has_probabilities(scored):
             raise ValueError("a soft vote needs classifiers with probabilities")
-        rows = scored.withColumn(columns[-1], vector_to_array("probability")).select(*rows.columns, columns[-1])
+        kept = [F.col(quote(c)) for c in rows.columns]
+        rows = scored.select(*kept, vector_to_array(PROBABILITY).alias(columns[-1]))
     voted = soft_vote(rows, columns, labels, weights)
     return voted.select(*[F.col(quote(k)) for k in keep], "prediction", "confidence", "probabilities")

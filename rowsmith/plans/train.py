@@ -14,12 +14,12 @@ from rowsmith.operators.clean import quote
 from rowsmith.operators.evaluate import metrics_document
 from rowsmith.operators.features import FittedPreprocessor, Preprocessor
 from rowsmith.operators.split import class_counts, train_test_split
-from rowsmith.plans.classifiers import FEATURES, LABEL, WEIGHT, class_weights, make_classifier
+from rowsmith.plans.classifiers import FEATURES, LABEL, PREDICTION, WEIGHT, class_weights, make_classifier
 from rowsmith.session import materialise
 from rowsmith.sources.registry import ModelRegistry
 from rowsmith.spec import ExperimentSpec, TableSpec
 
-PREDICTED = "predicted_label"
+PREDICTED = "rs_predicted"
 
 
 @dataclass
@@ -43,7 +43,7 @@ def prepare(train: DataFrame, spec: TableSpec, experiment: ExperimentSpec) -> Pr
     counts = dict(class_counts(train, F.col(quote(target)).cast("string")))
     fitted = Preprocessor(spec, **experiment.preprocess).fit(train)
     labels = sorted(counts)
-    rows = _vectors(train, fitted, labels, target)
+    rows = vectors(train, fitted, labels, target)
     weighting = experiment.params.get("class_weight")
     if weighting is not None:
         by_label = class_weights(weighting, counts)
@@ -52,7 +52,8 @@ def prepare(train: DataFrame, spec: TableSpec, experiment: ExperimentSpec) -> Pr
     return Prepared(rows, fitted, labels, counts)
 
 
-def _vectors(df: DataFrame, fitted: FittedPreprocessor, labels: list[str], target: str) -> DataFrame:
+def vectors(df: DataFrame, fitted: FittedPreprocessor, labels: list[str], target: str) -> DataFrame:
+    """``(label, features)`` of the rows, from fitted state."""
     index = StringIndexerModel.from_labels(labels, inputCol="rs_target", outputCol=LABEL, handleInvalid="error")
     rows = df.withColumn("rs_target", F.col(quote(target)).cast("string"))
     return PipelineModel([index, *fitted.stages(FEATURES)]).transform(rows).select(LABEL, FEATURES)
@@ -65,7 +66,7 @@ def fit_classifier(prepared: Prepared, experiment: ExperimentSpec) -> PipelineMo
     )
     model = estimator.fit(prepared.rows)
     fitted = model.stages if isinstance(estimator, Pipeline) else [model]
-    name = IndexToString(inputCol="prediction", outputCol=PREDICTED, labels=prepared.labels)
+    name = IndexToString(inputCol=PREDICTION, outputCol=PREDICTED, labels=prepared.labels)
     return PipelineModel([*prepared.preprocessor.stages(FEATURES), *fitted, name])
 
 
@@ -121,6 +122,7 @@ def register_result(
 ) -> None:
     """Save the pipeline with its parameters, and its metrics under the same id."""
     metadata = {k: results[k] for k in ("model_name", "model_params", "best_params") if k in results}
+    metadata["features"] = results["data_info"]["features"]
     registry.save_model(model, model_id, metadata)
     registry.metrics.save(results, model_id)
 

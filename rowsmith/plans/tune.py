@@ -20,19 +20,17 @@ from pyspark.sql import functions as F
 
 from rowsmith.operators.evaluate import score_value
 from rowsmith.operators.split import stratified_folds
+from rowsmith.plans.classifiers import LABEL, PREDICTION, PROBABILITY, make_classifier
 from rowsmith.plans.train import (
-    FEATURES,
-    LABEL,
     TrainResult,
-    _vectors,
     describe,
     fit_pipeline,
-    make_classifier,
     model_id_for,
     prepare,
     register_result,
     split_metrics,
     split_parts,
+    vectors,
 )
 from rowsmith.session import materialise
 from rowsmith.sources.registry import ModelRegistry
@@ -57,7 +55,7 @@ def _fold_scores(
     prepared = prepare(folds.filter(F.col("fold") != fold), spec, experiment)
     held_out = folds.filter((F.col("fold") == fold) & F.col(spec.target.name).isin(*prepared.labels))
     fit_rows = prepared.rows.persist(StorageLevel.MEMORY_AND_DISK)
-    check_rows = _vectors(held_out, prepared.preprocessor, prepared.labels, spec.target.name)
+    check_rows = vectors(held_out, prepared.preprocessor, prepared.labels, spec.target.name)
     check_rows = check_rows.persist(StorageLevel.MEMORY_AND_DISK)
     names = F.array(*[F.lit(str(float(i))) for i in range(len(prepared.labels))])
 
@@ -66,10 +64,10 @@ def _fold_scores(
         estimator = make_classifier(experiment.model, params, experiment.seed, prepared.size, len(prepared.labels))
         scored = estimator.fit(fit_rows).transform(check_rows)
         proba = None
-        if "probability" in scored.columns:
-            proba = "proba"
-            scored = scored.withColumn(proba, F.map_from_arrays(names, vector_to_array("probability")))
-        return score_value(scored, LABEL, "prediction", experiment.tune.scoring, proba)
+        if PROBABILITY in scored.columns:
+            proba = "rs_proba"
+            scored = scored.withColumn(proba, F.map_from_arrays(names, vector_to_array(PROBABILITY)))
+        return score_value(scored, LABEL, PREDICTION, experiment.tune.scoring, proba)
 
     try:
         with ThreadPool(max(1, experiment.tune.parallelism)) as pool:

@@ -75,18 +75,19 @@ def reg_list(spark, sf):
 
 @query(
     "reg_info",
-    f"""{NEWEST} SELECT model_id, model_type, file_size, round(accuracy, 6) AS accuracy, round(f1, 6) AS f1_score
-        FROM cur LEFT JOIN latest USING (model_id) WHERE model_id IN ('brand#1', 'brand#7', 'brand#12', 'absent')""",
+    f"""{NEWEST}, wanted AS (SELECT DISTINCT lower(p_brand) AS model_id FROM part
+      UNION SELECT DISTINCT 'old-' || lower(p_brand) FROM part)
+    SELECT model_id, model_type, file_size, round(accuracy, 6) AS accuracy, round(f1, 6) AS f1_score
+      FROM wanted JOIN cur USING (model_id) LEFT JOIN latest USING (model_id)""",
 )
 def reg_info(spark, sf):
-    events = _events(spark, sf)
-    wanted = spark.createDataFrame([("brand#1",), ("brand#7",), ("brand#12",), ("absent",)], "model_id string")
-    current = R.current_models(events)
-    found = R.known(current, wanted)
-    rated = R.compare_models(_metrics(spark, sf))
+    # Asked for: every brand, and as many ids that were never saved.
+    asked = "SELECT DISTINCT explode(array(lower(p_brand), 'old-' || lower(p_brand))) AS model_id FROM {part}"
+    current = R.current_models(_events(spark, sf))
+    found = R.known(current, derive(spark, sf, asked, "part"))
     return (
         current.join(found, "model_id", "left_semi")
-        .join(rated, "model_id", "left")
+        .join(R.compare_models(_metrics(spark, sf)), "model_id", "left")
         .select("model_id", "model_type", "file_size", r6("accuracy").alias("accuracy"), r6("f1_score").alias("f1_score"))
     )
 

@@ -12,8 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rowsmith.operators.clean import canonicalise, check_scoring_input, rejected_rows, valid_rows, write_by_verdict
-from rowsmith.plans.score import predict
+from rowsmith.operators.clean import (
+    canonicalise,
+    check_scoring_input,
+    quote,
+    rejected_rows,
+    valid_rows,
+    write_by_verdict,
+)
+from rowsmith.plans.score import RESULTS, predict
 from rowsmith.spec import TableSpec
 
 
@@ -68,8 +75,7 @@ def quarantine_stream(
 
 def prediction_log_rows(scored: DataFrame) -> DataFrame:
     """Log lines: time, the input as one struct, prediction and confidence."""
-    results = ("prediction", "confidence", "probabilities")
-    inputs = F.struct(*[c for c in scored.columns if c not in results])
+    inputs = F.struct(*[quote(c) for c in scored.columns if c not in RESULTS])
     return scored.select(F.current_timestamp().alias("timestamp"), inputs.alias("input"), "prediction", "confidence")
 
 

@@ -11,7 +11,15 @@ from rowsmith.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     shared = str(tmp_path_factory.mktemp("shared"))
-    session = build_session("tests", "*", **{"spark.checkpoint.dir": shared})
+    # Tiny tables need few partitions.
+    session = build_session(
+        "tests",
+        "*",
+        **{
+            "spark.checkpoint.dir": shared,
+            "spark.sql.shuffle.partitions": "2",
+        },
+    )
     yield session
     session.stop()
 
