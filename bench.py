@@ -15,13 +15,11 @@ from rowsmith.queries import QUERIES
 from rowsmith.session import build_session
 
 HEADLINE = [
-    "clean_full", "quarantine_rows", "validate_violations", "profile_missing", "score_validate",
-    "split_random", "split_stratified", "cv_folds", "sample_balanced",
-    "fit_impute_mean", "fit_impute_median", "fit_impute_mode", "feat_full", "feat_train_test",
-    "eval_confusion", "eval_per_class", "eval_report", "eval_auc_binary", "eval_auc_scores", "eval_auc_ovr",
-    "eval_regression", "score_assemble", "score_soft_vote",
-    "reg_current", "reg_compare", "reg_serving_choice",
-    "train_random_forest", "train_decision_tree", "score_batch", "stream_quarantine",
+    "clean_full", "quarantine_rows", "profile_missing", "score_validate",
+    "split_stratified", "cv_folds", "sample_balanced",
+    "fit_impute_mean", "fit_impute_median", "feat_full", "feat_train_test",
+    "eval_confusion", "eval_report", "eval_auc_scores", "eval_auc_ovr", "eval_regression", "score_soft_vote",
+    "reg_current", "reg_compare", "train_decision_tree", "score_batch", "stream_quarantine",
 ]
 
 

@@ -69,6 +69,15 @@ def features_and_target(df: DataFrame, spec: TableSpec) -> DataFrame:
     return project_available(df, spec).filter(F.col(quote(spec.target.name)).isNotNull())
 
 
+def _outside(number: Column, low: float | None, high: float | None) -> Column | None:
+    """Beyond the given bounds, which are themselves allowed; None if there are no bounds."""
+    if low is not None and high is not None:
+        return ~number.between(F.lit(low), F.lit(high))
+    if low is not None:
+        return number < F.lit(low)
+    return None if high is None else number > F.lit(high)
+
+
 def _check_number(f: NumericField, stored: T.DataType) -> _Checked:
     raw = F.col(quote(f.name))
     broken = {}
@@ -82,12 +91,9 @@ def _check_number(f: NumericField, stored: T.DataType) -> _Checked:
     if f.dtype in ("int", "bigint") and not isinstance(stored, T.IntegralType):
         fraction = number != F.floor(number)
         broken["type"] = broken["type"] | fraction if "type" in broken else fraction
-    if f.low is not None and f.high is not None:
-        broken["range"] = ~number.between(F.lit(f.low), F.lit(f.high))
-    elif f.low is not None:
-        broken["range"] = number < F.lit(f.low)
-    elif f.high is not None:
-        broken["range"] = number > F.lit(f.high)
+    outside = _outside(number, f.low, f.high)
+    if outside is not None:
+        broken["range"] = outside
     return _Checked(f.name, raw, value, broken)
 
 
@@ -200,8 +206,9 @@ def check_scoring_input(df: DataFrame, spec: TableSpec) -> DataFrame:
     for f in spec.numeric:
         c = _check_number(f, table.schema[f.name].dataType)
         broken = {"required": c.raw.isNull() | F.isnan(c.raw.try_cast("double")), **c.broken}
-        if f.score_low is not None:
-            broken["scoring_range"] = ~c.value.between(F.lit(f.score_low), F.lit(f.score_high))
+        outside = _outside(c.value, f.score_low, f.score_high)
+        if outside is not None:
+            broken["scoring_range"] = outside
         checks.append(_Checked(f.name, c.raw, c.value, broken))
     for f in spec.categorical:
         raw = F.col(quote(f.name)).cast("string")

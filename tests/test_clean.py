@@ -7,7 +7,7 @@ from rowsmith.operators import clean as C
 from rowsmith.operators import profile as P
 from rowsmith.presets import BIRD_SURVEY
 from rowsmith.sources.files import read_csv, write_csv
-from rowsmith.spec import TableSpec
+from rowsmith.spec import NumericField, TableSpec
 
 RAW = (
     "row_id bigint, `Culmen Length (mm)` string, `Culmen Depth (mm)` string, `Flipper Length (mm)` string, "
@@ -195,6 +195,13 @@ def test_scoring_needs_every_column(spark):
     assert [(v["field"], v["rule"]) for v in row["violations"]] == [("bill_length_mm", "required")]
 
 
+def test_one_sided_bounds(spark):
+    spec = TableSpec(key=("k",), numeric=(NumericField("x", high=5, score_low=1), NumericField("y", "bigint", score_high=3)))
+    df = spark.createDataFrame([(1, 9.0, 9), (2, 0.5, 3), (3, 5.0, 0)], "k int, x double, y bigint")
+    found = {r["k"]: [f"{v['field']}:{v['rule']}" for v in r["violations"]] for r in C.check_scoring_input(df, spec).collect()}
+    assert found == {1: ["x:range", "y:scoring_range"], 2: ["x:scoring_range"], 3: []}
+
+
 def test_profile(spark, raw):
     rows = C.clean(raw, BIRD_SURVEY).unionByName(C.clean(raw, BIRD_SURVEY).limit(1).withColumn("species", F.lit(None).cast("string")))
     summary = P.row_summary(rows, BIRD_SURVEY).first()
