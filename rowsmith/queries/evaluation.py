@@ -162,13 +162,13 @@ def eval_auc_ovr(spark, sf):
 
 @query(
     "eval_regression",
-    """WITH d AS (SELECT l_extendedprice AS y, 1500.0::DOUBLE * l_quantity AS p FROM lineitem)
+    """WITH d AS (SELECT l_extendedprice / 1000 AS y, 1.5::DOUBLE * l_quantity AS p FROM lineitem)
     SELECT round(avg(abs(y - p)), 6) AS mae, round(avg((y - p) * (y - p)), 6) AS mse,
       round(sqrt(avg((y - p) * (y - p))), 6) AS rmse,
       round(1 - sum((y - p) * (y - p)) / (count(*) * var_pop(y)), 6) AS r2, count(*) AS total_samples FROM d""",
 )
 def eval_regression(spark, sf):
-    df = derive(spark, sf, "SELECT l_extendedprice AS y, 1500.0D * l_quantity AS p FROM {lineitem}", "lineitem")
+    df = derive(spark, sf, "SELECT l_extendedprice / 1000 AS y, 1.5D * l_quantity AS p FROM {lineitem}", "lineitem")
     row = E.regression_metrics(df, "y", "p")
     return row.select(*[r6(c).alias(c) for c in ("mae", "mse", "rmse", "r2")], "total_samples")
 
