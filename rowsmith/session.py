@@ -2,16 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Local runs without a configured shared folder get one temporary root per application.
-_local_roots: dict[str, str] = {}
-
-
 def build_session(app: str = "rowsmith", cores: int | str = "*", **conf: str) -> SparkSession:
     """A local session for tests and the benchmark; on a cluster, bring your own."""
     builder = (
@@ -33,27 +28,69 @@ def build_session(app: str = "rowsmith", cores: int | str = "*", **conf: str) ->
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``."""
+    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
+
+    A local run without the setting uses a folder below the warehouse; a cluster has to name one.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    app_id = spark.sparkContext.applicationId
-    if app_id not in _local_roots:
-        _local_roots[app_id] = tempfile.mkdtemp(prefix="rowsmith-")
-    return _local_roots[app_id]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared root, never used before."""
-    return f"{shared_root(spark)}/rowsmith/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared root, never used before; it goes when the driver ends."""
+    path = f"{shared_root(spark)}/rowsmith/{label}-{uuid.uuid4().hex}"
+    fs, target = _file_system(spark, path)
+    fs.mkdirs(target.getParent())
+    fs.mkdirs(target)
+    fs.deleteOnExit(target)
+    return path
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder."""
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+
+
+class Scratch:
+    """Intermediate tables of one operator in the shared folder.
+
+    Used as a context: tables written inside are removed at its end, also after an error. A table
+    written with ``keep=True`` backs a result that is read later and stays until the driver ends.
+    """
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.label, self.paths = spark, label, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for path in self.paths:
+            drop_path(self.spark, path)
+
+    def write(self, df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+        """Write ``df`` and read it back, which cuts its lineage."""
+        path = scratch_path(self.spark, f"{self.label}-{label}")
+        if not keep:
+            self.paths.append(path)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
 
 def materialise(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, which cuts its lineage."""
     path = scratch_path(df.sparkSession, label)
-    df.write.partitionBy(*partition_by).parquet(path)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
