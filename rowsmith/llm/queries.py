@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsmith.llm import exact_dedup, sharding
+from rowsmith.llm import bpe, exact_dedup, packing, sharding
 from rowsmith.queries.base import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,19 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_sharding")
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op2_packing")
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
+@query("op6_bpe")
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary_path())
