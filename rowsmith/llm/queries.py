@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsmith.llm import bpe, embedding_dedup, exact_dedup, licenses, packing, quality, secrets, sharding, url_filter
+from rowsmith.llm import bpe, embedding_dedup, exact_dedup, licenses, minhash, packing, quality, secrets, sharding, url_filter
 from rowsmith.queries.base import derive, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,8 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_embedding_dedup")
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.annotate(table(spark, sf_dir, "embeddings"))
+
+
+@query("op10_minhash")
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.annotate(table(spark, sf_dir, "documents"))
