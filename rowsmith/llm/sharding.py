@@ -13,6 +13,7 @@ table gives an empty result and a map that still names every slot.
 
 from __future__ import annotations
 
+import bisect
 import heapq
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,6 +55,8 @@ def rebalance(shard_of: list[int], size: list[int], shards: int) -> list[int]:
         full = max(range(shards), key=load.__getitem__)
         bare = min(range(shards), key=load.__getitem__)
         gap = load[full] - load[bare]
+        if gap <= max(1, sum(load) // (shards * 10_000)):
+            return shard_of  # level
         choice = None  # how far from level, slot to move, slot to take back
         back = sorted((size[s], s) for s in own[bare])
         for slot in own[full]:
@@ -76,14 +79,10 @@ def rebalance(shard_of: list[int], size: list[int], shards: int) -> list[int]:
             shard_of[other] = full
         load[full] -= moved
         load[bare] += moved
-        if max(load) - min(load) <= max(1, sum(load) // (shards * 10_000)):
-            return shard_of
     return shard_of
 
 
 def _nearest(pairs: list[tuple[int, int]], want: float) -> tuple[int, int] | None:
-    import bisect
-
     if not pairs:
         return None
     i = bisect.bisect_left(pairs, (want, -1))
