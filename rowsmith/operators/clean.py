@@ -31,6 +31,10 @@ VIOLATION = T.ArrayType(
 )
 
 
+# The date text of rows whose date fits no format, where the specification asks for it.
+BAD_DATE = "rs_bad_date"
+
+
 @dataclass(frozen=True)
 class _Checked:
     """A canonical value and, per rule name, the condition under which the rule is broken."""
@@ -55,7 +59,11 @@ def derive_year(df: DataFrame, spec: TableSpec) -> DataFrame:
     rule = spec.date_year
     if rule is None or rule.source not in df.columns or rule.target in df.columns:
         return df
-    return df.withColumn(rule.target, year_from_text(F.col(quote(rule.source)), rule.formats))
+    text = F.col(quote(rule.source)).cast("string")
+    df = df.withColumn(rule.target, year_from_text(text, rule.formats))
+    if rule.flag_unparsable:
+        df = df.withColumn(BAD_DATE, F.when(text.rlike(r"\S") & F.col(quote(rule.target)).isNull(), text))
+    return df
 
 
 def project_available(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -91,6 +99,10 @@ def _check_number(f: NumericField, stored: T.DataType) -> _Checked:
     if f.dtype in ("int", "bigint") and not isinstance(stored, T.IntegralType):
         fraction = number != F.floor(number)
         broken["type"] = broken["type"] | fraction if "type" in broken else fraction
+    if f.dtype in ("int", "bigint"):
+        # A number that the column's type cannot hold is wrong, not missing.
+        beyond = number.isNotNull() & value.isNull()
+        broken["type"] = F.coalesce(broken["type"], F.lit(False)) | beyond if "type" in broken else beyond
     outside = _outside(number, f.low, f.high)
     if outside is not None:
         broken["range"] = outside
@@ -147,11 +159,18 @@ def _once(c: Column) -> Column:
 
 def canonicalise(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Key, typed canonical columns and the ``violations`` of every row."""
-    table = project_available(derive_year(rename_columns(df, spec), spec), spec)
+    dated = derive_year(rename_columns(df, spec), spec)
+    table = project_available(dated, spec)
+    if BAD_DATE in dated.columns:
+        table = dated.select(*[F.col(quote(c)) for c in table.columns], BAD_DATE)
     keys = [F.col(quote(k)) for k in spec.key if k in table.columns]
     if spec.key_type:
         keys = [k.cast(spec.key_type).alias(name) for k, name in zip(keys, spec.key)]
     checks = _checks(table, spec)
+    if BAD_DATE in table.columns:
+        for i, c in enumerate(checks):
+            if c.name == spec.date_year.target:
+                checks[i] = _Checked(c.name, F.coalesce(F.col(BAD_DATE), c.raw.cast("string")), c.value, {"date": F.col(BAD_DATE).isNotNull(), **c.broken})
     return table.select(
         *keys,
         *[c.value.alias(c.name) for c in checks],

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from rowsmith.functions.expressions import first_contained, nan_to_null, tokens_to_null, year_from_text
 from rowsmith.operators import clean as C
 from rowsmith.operators import profile as P
-from rowsmith.queries.base import CLEAN_SQL, ORDERS_SPEC, RAW_ORDERS, clean_orders, plain, query, raw_orders
+from rowsmith.queries.base import CLEAN_SQL, ORDERS_SPEC, RAW_ORDERS, clean_orders, derive, plain, query, raw_orders
 from rowsmith.session import scratch_path
 from rowsmith.sources.files import read_csv, write_csv
+from rowsmith.spec import DateYear, NumericField, TableSpec
 
 RAW = f"WITH raw AS ({plain(RAW_ORDERS)})"
 CLEAN_COLUMNS = "o_orderkey, total_price, cust_no, order_year, priority, channel, order_status"
@@ -177,3 +178,67 @@ def score_validate(spark, sf):
         F.concat_ws(",", reason).alias("reasons"),
         (F.size("violations") == 0).alias("accepted"),
     )
+
+
+NOTED = f"""
+SELECT *, ' said "' || coalesce(Priority, '') || '", twice ' AS Note FROM ({RAW_ORDERS})
+"""
+
+
+@query(
+    "src_csv_raw",
+    f"""{RAW} SELECT o_orderkey, CASE WHEN isnan(TotalPrice) THEN NULL ELSE TotalPrice END AS price,
+        CASE WHEN CustNo IN ('', 'n/a') THEN NULL ELSE CustNo END AS cust, Priority AS priority, nullif(Channel, '') AS channel,
+        nullif(Status, '') AS status, ' said "' || coalesce(Priority, '') || '", twice ' AS note FROM raw""",
+)
+def src_csv_raw(spark, sf):
+    """All raw rows through a file: missing texts, blanks, quotes and bad cells come back as they were."""
+    path = scratch_path(spark, "csv")
+    write_csv(derive(spark, sf, NOTED, "orders"), path)
+    back = read_csv(spark, path)
+    return back.select(
+        F.col("o_orderkey").cast("bigint").alias("o_orderkey"), F.col("TotalPrice").cast("double").alias("price"),
+        F.col("CustNo").alias("cust"), F.col("Priority").alias("priority"), F.col("Channel").alias("channel"),
+        F.col("Status").alias("status"), F.col("Note").alias("note"),
+    )
+
+
+WIDE_NUMBERS = """
+SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN CAST(o_custkey AS DOUBLE) * 10000000 WHEN o_orderkey % 7 = 0 THEN NULL
+  ELSE CAST(o_custkey AS DOUBLE) END AS amount FROM {orders}
+"""
+
+
+@query(
+    "clean_int_overflow",
+    f"""WITH w AS ({plain(WIDE_NUMBERS)}) SELECT o_orderkey, CASE WHEN abs(amount) <= 2147483647 THEN CAST(amount AS INTEGER) END AS amount,
+        CASE WHEN amount > 2147483647 THEN 'amount:type' ELSE '' END AS reasons FROM w""",
+)
+def clean_int_overflow(spark, sf):
+    """A number that the declared type cannot hold is a violation, not a missing value."""
+    spec = TableSpec(key=("o_orderkey",), numeric=(NumericField("amount", "int"),))
+    rows = C.clean(derive(spark, sf, WIDE_NUMBERS, "orders"), spec, mode="flag")
+    reason = F.transform("violations", lambda v: F.concat_ws(":", v["field"], v["rule"]))
+    return rows.select("o_orderkey", "amount", F.concat_ws(",", reason).alias("reasons"))
+
+
+DATED = """
+SELECT o_orderkey, CASE o_orderkey % 5
+  WHEN 0 THEN CAST(month(o_orderdate) AS STRING) || '/' || CAST(day(o_orderdate) AS STRING) || '/' || lpad(CAST(year(o_orderdate) % 100 AS STRING), 2, '0')
+  WHEN 1 THEN CAST(month(o_orderdate) AS STRING) || '/' || CAST(day(o_orderdate) AS STRING) || '/' || CAST(year(o_orderdate) AS STRING)
+  WHEN 2 THEN CAST(CAST(o_orderdate AS DATE) AS STRING)
+  WHEN 3 THEN 'some day' ELSE NULL END AS day, o_orderdate FROM {orders}
+"""
+
+
+@query(
+    "clean_date_formats",
+    f"""WITH d AS ({plain(DATED)}) SELECT o_orderkey, CASE WHEN o_orderkey % 5 < 3 THEN CAST(year(o_orderdate) AS INTEGER) END AS order_year,
+        CASE WHEN o_orderkey % 5 = 3 THEN 'order_year:date' ELSE '' END AS reasons FROM d""",
+)
+def clean_date_formats(spark, sf):
+    """Dates in several formats, and those in none of them flagged."""
+    spec = TableSpec(key=("o_orderkey",), numeric=(NumericField("order_year", "int"),), date_year=DateYear("day", "order_year", flag_unparsable=True))
+    rows = C.clean(derive(spark, sf, DATED, "orders"), spec, mode="flag")
+    reason = F.transform("violations", lambda v: F.concat_ws(":", v["field"], v["rule"]))
+    return rows.select("o_orderkey", "order_year", F.concat_ws(",", reason).alias("reasons"))

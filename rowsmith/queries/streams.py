@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from rowsmith.operators.clean import rejected_rows
 from rowsmith.plans.train import fit_pipeline
-from rowsmith.queries.base import query, r6, table
+from rowsmith.queries.base import derive, plain, query, r6, table
 from rowsmith.queries.training import EXPECTED, RULE_TREE, SIZED_SPEC, sized_table
 from rowsmith.session import scratch_path
 from rowsmith.spec import CategoryField, NumericField, TableSpec
 from rowsmith.streaming.scoring import (
+    checked_requests,
     prediction_log_stream,
     quarantine_stream,
     read_json_stream,
@@ -81,3 +84,36 @@ def stream_prediction_log(spark, sf):
     )
     lines = spark.read.schema(schema).json(f"{root}/out")
     return lines.select("input.l_orderkey", "input.l_linenumber", "prediction", r6("confidence").alias("confidence"))
+
+
+# Event requests as JSON lines of which some are cut off; chr(123) and chr(125) are the braces.
+REQUEST_LINES = """
+SELECT event_id, event_type, chr(123) || '"event_id": ' || CAST(event_id AS STRING) ||
+  CASE WHEN event_id % 13 = 0 THEN '' ELSE ', "event_type": "' || event_type || '"' || chr(125) END AS line
+FROM {events}
+"""
+
+
+@query(
+    "stream_bad_json",
+    f"""WITH l AS ({plain(REQUEST_LINES)})
+    SELECT CASE WHEN event_id % 13 = 0 THEN '_corrupt_record:json' ELSE 'event_type:vocabulary' END AS reason,
+      count(*) AS n, max(CASE WHEN event_id % 13 = 0 THEN line END) AS text
+    FROM l WHERE event_id % 13 = 0 OR event_type = 'error' GROUP BY 1""",
+)
+def stream_bad_json(spark, sf):
+    """Unreadable request lines keep their text among the rejected rows."""
+    root = scratch_path(spark, "lines")
+    lines = derive(spark, sf, REQUEST_LINES, "events")
+    lines.select("line").write.mode("overwrite").text(f"{root}/requests")
+    spec = TableSpec(key=("event_id",), categorical=(CategoryField("event_type", ("click", "view", "purchase", "signup")),))
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType())])
+    stream = read_json_stream(spark, f"{root}/requests", schema, max_files=4)
+
+    def handle(batch, batch_id):
+        rejected_rows(checked_requests(batch, spec)).write.mode("overwrite").parquet(f"{root}/out/batch_id={batch_id}")
+
+    stream.writeStream.foreachBatch(handle).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.parquet(f"{root}/out").select(F.inline("violations"))
+    reason = F.concat_ws(":", "field", "rule").alias("reason")
+    return rows.groupBy(reason).agg(F.count("*").alias("n"), F.max(F.when(F.col("rule") == "json", F.col("value"))).alias("text"))

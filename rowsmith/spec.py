@@ -20,12 +20,16 @@ class NumericField:
 
 @dataclass(frozen=True)
 class CategoryField:
-    """A text column, optionally with a closed vocabulary and tokens that mean "missing"."""
+    """A text column, optionally with a closed vocabulary and tokens that mean "missing".
+
+    ``sparse`` encodes it as one sparse vector, for vocabularies that are too wide for a column each.
+    """
 
     name: str
     allowed: tuple[str, ...] | None = None
     null_tokens: tuple[str, ...] = ()
     blank_is_null: bool = False
+    sparse: bool = False
 
 
 @dataclass(frozen=True)
@@ -39,11 +43,16 @@ class TargetField:
 
 @dataclass(frozen=True)
 class DateYear:
-    """Fill a missing year column from a date text column."""
+    """Fill a missing year column from a date text column.
+
+    The first format that fits decides. A text that fits none gives a null year; with
+    ``flag_unparsable`` it also breaks the rule ``date`` of the year column.
+    """
 
     source: str
     target: str
-    formats: tuple[str, ...] = ("M/d/yy",)
+    formats: tuple[str, ...] = ("M/d/yy", "M/d/yyyy", "yyyy-MM-dd", "yyyy/M/d")
+    flag_unparsable: bool = False
 
 
 @dataclass(frozen=True)

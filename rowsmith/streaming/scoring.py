@@ -10,9 +10,11 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from rowsmith.operators.clean import (
+    VIOLATION,
     canonicalise,
     check_scoring_input,
     quote,
@@ -24,6 +26,9 @@ from rowsmith.plans.score import RESULTS, predict
 from rowsmith.spec import TableSpec
 
 
+CORRUPT = "_corrupt_record"
+
+
 def read_table_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
     """New Parquet files below ``path`` as a stream."""
     reader = spark.readStream.schema(schema)
@@ -33,13 +38,23 @@ def read_table_stream(spark: SparkSession, path: str, schema, max_files: int | N
 
 
 def read_json_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
-    """New files of JSON request lines as a stream; unreadable lines become rows of nulls."""
-    reader = spark.readStream.schema(schema).option("mode", "PERMISSIVE")
+    """New files of JSON request lines as a stream; the text of unreadable lines is kept in ``_corrupt_record``."""
+    schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]) if CORRUPT not in schema.names else schema
+    reader = spark.readStream.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.json(path)
 
 
+def checked_requests(batch: DataFrame, spec: TableSpec) -> DataFrame:
+    """Flagged rows; a line that could not be read is rejected with its text, by the rule ``json``."""
+    checked = check_scoring_input(batch, spec)
+    if CORRUPT not in batch.columns:
+        return checked
+    unreadable = F.array(F.struct(F.lit(CORRUPT).alias("field"), F.lit("json").alias("rule"), F.col(CORRUPT).alias("value"))).cast(VIOLATION)
+    return checked.withColumn("violations", F.when(F.col(CORRUPT).isNull(), F.col("violations")).otherwise(unreadable))
+
+
 def _start(stream: DataFrame, handle, checkpoint: str, once: bool) -> StreamingQuery:
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
@@ -51,10 +66,10 @@ def score_stream(
     """Scored rows below ``target/scored``, refused rows with reasons below ``target/rejected``."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        checked = check_scoring_input(batch, spec).persist()
+        checked = checked_requests(batch, spec).persist()
         try:
             part = f"batch_id={batch_id}"
-            predict(valid_rows(checked), model).write.mode("overwrite").parquet(f"{target}/scored/{part}")
+            predict(valid_rows(checked).drop(CORRUPT), model).write.mode("overwrite").parquet(f"{target}/scored/{part}")
             rejected_rows(checked).write.mode("overwrite").parquet(f"{target}/rejected/{part}")
         finally:
             checked.unpersist()
@@ -90,7 +105,7 @@ def prediction_log_stream(
     """Score accepted rows as they arrive and write their log lines as JSON."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        scored = predict(valid_rows(check_scoring_input(batch, spec)), model)
+        scored = predict(valid_rows(checked_requests(batch, spec)).drop(CORRUPT), model)
         prediction_log_rows(scored).write.mode("overwrite").json(f"{target}/batch_id={batch_id}")
 
     return _start(stream, handle, checkpoint, once)

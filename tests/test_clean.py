@@ -7,7 +7,7 @@ from rowsmith.operators import clean as C
 from rowsmith.operators import profile as P
 from rowsmith.presets import BIRD_SURVEY
 from rowsmith.sources.files import read_csv, write_csv
-from rowsmith.spec import NumericField, TableSpec
+from rowsmith.spec import DateYear, NumericField, TableSpec
 
 RAW = (
     "row_id bigint, `Culmen Length (mm)` string, `Culmen Depth (mm)` string, `Flipper Length (mm)` string, "
@@ -238,3 +238,35 @@ def test_spec_from_dict():
 def test_tokens_without_blank(spark):
     df = spark.createDataFrame([(" ",), ("-",), ("a",)], "c string")
     assert [r[0] for r in df.select(tokens_to_null(F.col("c"), ("-",))).collect()] == [" ", None, "a"]
+
+
+def test_csv_gives_back_what_was_written(spark, tmp_path):
+    rows = [(1, " lead", 'say "hi", x'), (2, "trail ", "a\\b"), (3, "  ", "#"), (4, None, "4-NOT SPECIFIED ")]
+    df = spark.createDataFrame(rows, "k int, a string, b string").coalesce(1)
+    write_csv(df, str(tmp_path / "a"))
+    back = read_csv(spark, str(tmp_path / "a")).orderBy("k").collect()
+    assert [(int(r["k"]), r["a"], r["b"]) for r in back] == rows
+    broken = spark.createDataFrame([(1, "two\nlines", "x")], "k int, a string, b string")
+    with pytest.raises(PySparkException, match="line break"):
+        write_csv(broken, str(tmp_path / "b"))
+    write_csv(broken, str(tmp_path / "c"), multi_line=True)
+    assert [tuple(r) for r in read_csv(spark, str(tmp_path / "c"), multi_line=True).collect()] == [("1", "two\nlines", "x")]
+
+
+@pytest.mark.parametrize("stored", ["double", "bigint", "string"])
+def test_number_beyond_the_type_is_a_violation(spark, stored):
+    df = spark.createDataFrame([(1, "1000000000000"), (2, "7"), (3, None)], "k int, a string")
+    df = df.withColumn("a", F.col("a").cast(stored))
+    spec = TableSpec(key=("k",), numeric=(NumericField("a", "int"),))
+    got = {r["k"]: (r["a"], [v["rule"] for v in r["violations"]]) for r in C.clean(df, spec, mode="flag").collect()}
+    assert got == {1: (None, ["type"]), 2: (7, []), 3: (None, [])}
+
+
+def test_dates_in_several_formats(spark):
+    texts = ["11/11/07", "2007-11-11", "11/11/2007", "2007/11/3", "no day", " ", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, day string")
+    for flag in (False, True):
+        spec = TableSpec(key=("k",), numeric=(NumericField("year", "int"),), date_year=DateYear("day", "year", flag_unparsable=flag))
+        rows = C.clean(df, spec, mode="flag").orderBy("k").collect()
+        assert [r["year"] for r in rows] == [2007] * 4 + [None] * 3
+        assert [[(v["rule"], v["value"]) for v in r["violations"]] for r in rows] == [[]] * 4 + [[("date", "no day")] if flag else []] + [[]] * 2
