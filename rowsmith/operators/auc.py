@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from rowsmith.operators.clean import quote
 
 SCORES_PER_RANGE = 500_000
-MAX_RANGES = 20_000
 # Rows that place the range borders. Any borders give the same result; good ones balance the tasks.
 GUIDE_ROWS = 2_000_000
 
@@ -23,7 +22,7 @@ GUIDE_ROWS = 2_000_000
 def _range_edges(scored: DataFrame) -> list[float]:
     """Inner borders of the value ranges, from quantiles of a sample of the scores."""
     size = scored.agg(F.count("score").alias("n")).first()["n"]
-    ranges = min(MAX_RANGES, -(-size // SCORES_PER_RANGE))
+    ranges = -(-size // SCORES_PER_RANGE)
     if ranges < 2:
         return []
     guide = scored if size <= GUIDE_ROWS else scored.sample(GUIDE_ROWS / size, seed=0)
@@ -35,9 +34,11 @@ def _range_edges(scored: DataFrame) -> list[float]:
 def grouped_auc(scored: DataFrame) -> DataFrame:
     """AUC per group from rows ``(grp, score, hit)``, with ``support`` = number of positives.
 
-    The value is null where a group has only positives or only negatives.
+    The value is null where a group has only positives or only negatives, or a row without a score.
     """
-    scored = scored.filter(F.col("score").isNotNull() & ~F.isnan("score"))
+    known = F.col("score").isNotNull() & ~F.isnan("score")
+    unscored = scored.groupBy("grp").agg(F.count_if(~known).alias("unscored"), F.count_if(F.col("hit") & ~known).alias("missed"))
+    scored = scored.filter(known)
     counted = (
         scored.groupBy("grp", "score")
         .agg(
@@ -62,7 +63,7 @@ def grouped_auc(scored: DataFrame) -> DataFrame:
     )
     earlier = W.partitionBy("grp").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     neg_before = F.coalesce(F.sum("neg").over(earlier), F.lit(0.0))
-    return (
+    totals = (
         parts.withColumn("won", F.col("won") + F.col("pos") * neg_before)
         .groupBy("grp")
         .agg(
@@ -71,6 +72,13 @@ def grouped_auc(scored: DataFrame) -> DataFrame:
             F.sum("neg").cast("bigint").alias("negatives"),
         )
     )
+    zero = F.lit(0).cast("bigint")
+    return unscored.join(totals, "grp", "left").select(
+        "grp",
+        F.when(F.col("unscored") == 0, F.col("roc_auc")).alias("roc_auc"),
+        (F.coalesce("support", zero) + F.col("missed")).alias("support"),
+        (F.coalesce("negatives", zero) + F.col("unscored") - F.col("missed")).alias("negatives"),
+    )
 
 
 def binary_auc(df: DataFrame, y_true: str, score: Column, positive: str) -> DataFrame:

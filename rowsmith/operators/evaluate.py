@@ -13,38 +13,59 @@ from rowsmith.functions.expressions import ratio_or_zero
 from rowsmith.operators.clean import quote
 
 SCORES = ("precision", "recall", "f1_score")
+# Labels of a full matrix, and different label pairs that are collected for a document.
+MAX_CLASSES, MAX_PAIRS = 10_000, 1_000_000
+
+
+# The predicted label of rows that a model gave no prediction for: never right.
+UNSCORED = "(unscored)"
 
 
 def label_pairs(df: DataFrame, y_true: str, y_pred: str) -> DataFrame:
-    """Occurring pairs ``(y_true, y_pred, n)``; rows without a label on either side are left out."""
+    """Occurring pairs ``(y_true, y_pred, n)``.
+
+    Rows without truth are left out, there is nothing to compare them with. Rows without a prediction
+    count as wrong, under the predicted label ``UNSCORED``.
+    """
     t, p = F.col(quote(y_true)).cast("string"), F.col(quote(y_pred)).cast("string")
     return (
-        df.filter(t.isNotNull() & p.isNotNull())
-        .select(t.alias("y_true"), p.alias("y_pred"))
+        df.filter(t.isNotNull())
+        .select(t.alias("y_true"), F.coalesce(p, F.lit(UNSCORED)).alias("y_pred"))
         .groupBy("y_true", "y_pred")
         .agg(F.count("*").alias("n"))
     )
 
 
-def confusion_matrix(df: DataFrame, y_true: str, y_pred: str) -> DataFrame:
-    """The full matrix over the sorted union of labels, zero cells included."""
-    cells = label_pairs(df, y_true, y_pred).groupBy().agg(
-        F.map_from_entries(F.collect_list(F.struct(F.struct("y_true", "y_pred"), "n"))).alias("cells"),
-        F.array_sort(
-            F.array_union(F.collect_set("y_true"), F.collect_set("y_pred"))
-        ).alias("labels"),
-    )
-    return (
-        cells.select("cells", "labels", F.explode("labels").alias("y_true"))
-        .select("cells", "y_true", F.explode("labels").alias("y_pred"))
-        .select(
-            "y_true",
-            "y_pred",
-            F.coalesce(
-                F.try_element_at("cells", F.struct("y_true", "y_pred")), F.lit(0).cast("bigint")
-            ).alias("n"),
-        )
-    )
+def confusion_matrix(df: DataFrame, y_true: str, y_pred: str, max_classes: int = MAX_CLASSES) -> DataFrame:
+    """The full matrix over the union of labels, zero cells included; at most ``max_classes`` squared cells."""
+    pairs = label_pairs(df, y_true, y_pred)
+    labels = pairs.select(F.explode(F.array("y_true", "y_pred")).alias("label")).distinct()
+    names = [r["label"] for r in labels.limit(max_classes + 1).collect()]
+    if len(names) > max_classes:
+        raise ValueError(f"more than {max_classes} labels: their full matrix would be too large")
+    every = F.array(*map(F.lit, sorted(names))) if names else F.array().cast("array<string>")
+    rows = labels.select(F.col("label").alias("y_true"), F.explode(every).alias("y_pred"))
+    return rows.join(pairs, ["y_true", "y_pred"], "left").na.fill(0, ["n"])
+
+
+def collected_pairs(pairs: DataFrame, max_pairs: int = MAX_PAIRS) -> list[tuple[str, str, int]]:
+    """Counted label pairs on the driver; beyond ``max_pairs`` of them it raises."""
+    rows = pairs.limit(max_pairs + 1).collect()
+    if len(rows) > max_pairs:
+        raise ValueError(f"more than {max_pairs} different pairs of labels: use the table operators instead of one document")
+    return [(r["y_true"], r["y_pred"], r["n"]) for r in rows]
+
+
+def label_counts(pairs: list[tuple[str, str, int]]) -> tuple[dict[str, int], dict[str, int], dict[str, int]]:
+    """Hits, true rows and predicted rows of every label, in one pass over counted pairs."""
+    labels = sorted({x for t, p, _ in pairs for x in (t, p)})
+    hits, truth, guess = (dict.fromkeys(labels, 0) for _ in range(3))
+    for t, p, n in pairs:
+        truth[t] += n
+        guess[p] += n
+        if t == p:
+            hits[t] += n
+    return hits, truth, guess
 
 
 def confusion_array(df: DataFrame, y_true: str, y_pred: str) -> DataFrame:
@@ -169,9 +190,13 @@ def classification_report(df: DataFrame, y_true: str, y_pred: str) -> DataFrame:
 
 
 def regression_metrics(df: DataFrame, y_true: str, y_pred: str) -> DataFrame:
-    """MAE, MSE, RMSE, R² and row count in one aggregate."""
+    """MAE, MSE, RMSE, R² and row count in one aggregate.
+
+    Rows without truth are left out. A row without a prediction has no error, so it fails the job.
+    """
     t, p = F.col(quote(y_true)).cast("double"), F.col(quote(y_pred)).cast("double")
-    pair = df.filter(t.isNotNull() & p.isNotNull()).select(t.alias("t"), p.alias("p"))
+    stop = F.raise_error(F.lit("a row with a true value has no prediction")).cast("double")
+    pair = df.filter(t.isNotNull()).select(t.alias("t"), F.coalesce(p, stop).alias("p"))
     d = F.col("t") - F.col("p")
     sums = pair.agg(
         F.avg(F.abs(d)).alias("mae"),
@@ -194,13 +219,14 @@ def evaluate(
     proba: str | None = None,
     average: str = "weighted",
 ) -> dict:
-    """All metrics as one nested document. The predictions are aggregated once (twice with AUC).
+    """All metrics as one nested document. The pairs of labels are one aggregate; AUC reads the predictions
+    several times more, so hand in a written table where scoring them is costly.
 
     What reaches the driver is one row per pair of labels.
     """
     from rowsmith.operators.auc import roc_auc
 
-    pairs = [(r["y_true"], r["y_pred"], r["n"]) for r in label_pairs(df, y_true, y_pred).collect()]
+    pairs = collected_pairs(label_pairs(df, y_true, y_pred))
     doc = metrics_document(pairs, average)
     if proba is not None:
         doc["roc_auc"] = roc_auc(df, y_true, proba, labels=doc["classes"], average=average)
@@ -209,17 +235,15 @@ def evaluate(
 
 def metrics_document(pairs: list[tuple[str, str, int]], average: str = "weighted") -> dict:
     """The nested document for counted label pairs."""
-    classes = sorted({t for t, *_ in pairs} | {p for _, p, _ in pairs})
+    hits, support, guessed = label_counts(pairs)
+    classes = list(hits)
     total = sum(n for *_, n in pairs)
 
     def share(part: float, whole: float) -> float:
         return part / whole if whole else 0.0
 
-    per_class, hits = {}, {}
-    support = {c: sum(n for t, _, n in pairs if t == c) for c in classes}
-    guessed = {c: sum(n for _, p, n in pairs if p == c) for c in classes}
+    per_class = {}
     for c in classes:
-        hits[c] = sum(n for t, p, n in pairs if t == p == c)
         per_class[c] = {
             "precision": share(hits[c], guessed[c]),
             "recall": share(hits[c], support[c]),
@@ -257,22 +281,18 @@ def metrics_document(pairs: list[tuple[str, str, int]], average: str = "weighted
 
 def matthews(pairs: list[tuple[str, str, int]]) -> float:
     """Correlation of truth and prediction over counted label pairs; 0 where it is undefined."""
-    labels = {x for t, p, _ in pairs for x in (t, p)}
+    right, truth, guess = label_counts(pairs)
     total = sum(n for *_, n in pairs)
-    hits = sum(n for t, p, n in pairs if t == p)
-    truth = {c: sum(n for t, _, n in pairs if t == c) for c in labels}
-    guess = {c: sum(n for _, p, n in pairs if p == c) for c in labels}
-    cov = hits * total - sum(truth[c] * guess[c] for c in labels)
+    cov = sum(right.values()) * total - sum(truth[c] * guess[c] for c in right)
     spread = (total**2 - sum(n * n for n in truth.values())) * (total**2 - sum(n * n for n in guess.values()))
     return cov / spread**0.5 if spread else 0.0
 
 
 def jaccard(pairs: list[tuple[str, str, int]], average: str) -> float:
     """Hits over the union of true and predicted rows, per label and averaged."""
-    labels = sorted({x for t, p, _ in pairs for x in (t, p)})
-    hit = {c: sum(n for t, p, n in pairs if t == p == c) for c in labels}
-    truth = {c: sum(n for t, _, n in pairs if t == c) for c in labels}
-    union = {c: truth[c] + sum(n for _, p, n in pairs if p == c) - hit[c] for c in labels}
+    hit, truth, guess = label_counts(pairs)
+    labels = list(hit)
+    union = {c: truth[c] + guess[c] - hit[c] for c in labels}
     if average == "micro":
         return sum(hit.values()) / sum(union.values()) if labels else 0.0
     weight = truth if average == "weighted" else dict.fromkeys(labels, 1)

@@ -215,3 +215,46 @@ def score_soft_vote(spark, sf):
     )
     voted = soft_vote(rows, ["p1", "p2", "p3"], ["A", "N", "R"])
     return voted.select("l_orderkey", "l_linenumber", "prediction", r6("confidence").alias("confidence"))
+
+
+UNSCORED = """
+SELECT l_orderkey, l_linenumber, l_returnflag AS y_true,
+  CASE WHEN l_partkey % 11 = 0 THEN NULL WHEN l_partkey % 7 = 0 THEN 'R' ELSE l_returnflag END AS y_pred
+FROM {lineitem}
+"""
+
+
+@query(
+    "eval_unscored",
+    f"""WITH pred AS ({plain(UNSCORED)}) SELECT round(avg(CASE WHEN y_true IS NOT DISTINCT FROM y_pred THEN 1.0 ELSE 0 END), 6) AS accuracy,
+        count(*) AS total_samples, count(*) FILTER (WHERE y_pred IS NULL) AS unscored FROM pred""",
+)
+def eval_unscored(spark, sf):
+    """Rows without a prediction count as wrong."""
+    pairs = E.label_pairs(derive(spark, sf, UNSCORED, "lineitem"), "y_true", "y_pred")
+    row = E.averages_row(E.per_class_metrics(derive(spark, sf, UNSCORED, "lineitem"), "y_true", "y_pred"))
+    missing = pairs.agg(F.sum(F.when(F.col("y_pred") == E.UNSCORED, F.col("n")).otherwise(0)).alias("unscored"))
+    return row.select(r6("accuracy").alias("accuracy"), "total_samples").crossJoin(missing)
+
+
+GROUPED_SCORES = """
+SELECT l_linestatus || l_returnflag AS grp, l_quantity > 25 AS hit,
+  CASE WHEN l_returnflag = 'R' AND l_partkey % 1000 = 0 THEN NULL WHEN l_returnflag = 'A' AND l_partkey % 1000 = 1 THEN CAST('NaN' AS DOUBLE)
+       ELSE l_extendedprice END AS score
+FROM {lineitem} WHERE l_linestatus = 'F' OR l_quantity > 25
+"""
+
+
+@query(
+    "eval_auc_undefined",
+    f"""WITH s AS ({plain(GROUPED_SCORES)}),
+    r AS (SELECT *, rank() OVER (PARTITION BY grp ORDER BY score) + (count(*) OVER (PARTITION BY grp, score) - 1) / 2.0::DOUBLE AS k FROM s),
+    g AS (SELECT grp, count(*) FILTER (WHERE hit)::DOUBLE AS p, count(*) FILTER (WHERE NOT hit)::DOUBLE AS n,
+      sum(k) FILTER (WHERE hit) AS won, count(*) FILTER (WHERE score IS NULL OR isnan(score)) AS missing FROM r GROUP BY grp)
+    SELECT grp, CASE WHEN missing = 0 AND n > 0 THEN round((won - p * (p + 1) / 2) / (p * n), 6) END AS roc_auc,
+      p::BIGINT AS support, n::BIGINT AS negatives FROM g""",
+)
+def eval_auc_undefined(spark, sf):
+    """A group with a row without score, or without negatives, has no AUC; its counts are still whole."""
+    rows = U.grouped_auc(derive(spark, sf, GROUPED_SCORES, "lineitem"))
+    return rows.select("grp", r6("roc_auc").alias("roc_auc"), "support", "negatives")

@@ -2,6 +2,7 @@ import math
 import random
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from rowsmith.operators import auc as U
@@ -71,10 +72,11 @@ def test_labels_on_one_side_only(spark):
     doc = E.evaluate(df, "t", "p")
     assert doc["per_class"]["b"] == {"precision": 0.0, "recall": 0.0, "f1_score": 0.0}
     assert doc["per_class"]["c"] == {"precision": 0.0, "recall": 0.0, "f1_score": 0.0}
-    assert doc["total_samples"] == 3
-    assert doc["balanced_accuracy"] == pytest.approx(0.25)
+    # The row without a prediction counts, as wrong.
+    assert doc["total_samples"] == 4
+    assert doc["balanced_accuracy"] == pytest.approx(1 / 6)
     cells = {(r["y_true"], r["y_pred"]): r["n"] for r in E.confusion_matrix(df, "t", "p").collect()}
-    assert len(cells) == 9 and cells["c", "a"] == 1 and cells["b", "b"] == 0
+    assert len(cells) == 16 and cells["a", E.UNSCORED] == 1 and cells["c", "a"] == 1 and cells["b", "b"] == 0
 
 
 def test_scores_for_tuning(spark):
@@ -187,3 +189,26 @@ def test_soft_vote(spark):
     assert heavy["prediction"] == "x"
     one = assemble_scores(df, "a", ["x", "y"]).filter("k = 1").first()
     assert (one["prediction"], one["confidence"], one["probabilities"]) == ("x", 0.6, {"x": 0.6, "y": 0.4})
+
+
+def test_rows_without_prediction_or_score(spark):
+    df = spark.createDataFrame([("a", "a"), ("a", None), ("b", None), (None, "a")], "t string, p string")
+    doc = E.evaluate(df, "t", "p")
+    assert (doc["accuracy"], doc["total_samples"]) == (pytest.approx(1 / 3), 3)
+    scored = spark.createDataFrame([("g", 0.9, True), ("g", 0.1, False), ("g", None, True), ("g", float("nan"), False)], "grp string, score double, hit boolean")
+    assert [tuple(r) for r in U.grouped_auc(scored).collect()] == [("g", None, 2, 2)]
+    numbers = spark.createDataFrame([(1.0, 1.0), (2.0, None)], "t double, p double")
+    with pytest.raises(PySparkException, match="no prediction"):
+        E.regression_metrics(numbers, "t", "p").collect()
+
+
+def test_many_classes_are_counted_in_one_pass(spark):
+    pairs = [(f"c{i}", f"c{(i + j) % 5000}", 1 + j) for i in range(5000) for j in range(20)]
+    hits, truth, guess = E.label_counts(pairs)
+    assert sum(truth.values()) == sum(guess.values()) == 5000 * 210 and set(hits.values()) == {1}
+    assert E.jaccard(pairs, "micro") == pytest.approx(1 / 419)
+    wide = spark.createDataFrame([(f"c{i}", "c0") for i in range(30)], "t string, p string")
+    with pytest.raises(ValueError, match="more than 10 labels"):
+        E.confusion_matrix(wide, "t", "p", max_classes=10)
+    with pytest.raises(ValueError, match="more than 10 different pairs"):
+        E.collected_pairs(E.label_pairs(wide, "t", "p"), 10)
