@@ -2,14 +2,16 @@
 
 Fitting takes one aggregate over all number columns and one over all text columns. The fitted
 state is a handful of numbers and vocabularies, which become literals in a single projection,
-so transforming is map-only. Columns with very many categories go through Spark's indexer and
-sparse one-hot encoder instead of one dense column per category.
+so transforming is map-only. Columns that the table specification declares sparse go through Spark's
+indexer and sparse one-hot encoder instead of one dense column per category; names and cells are the
+same. A dense column that is too wide raises, it never changes its form by itself.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+import sys
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.feature import (
@@ -27,7 +29,10 @@ from rowsmith.operators.clean import quote
 from rowsmith.operators.statistics import medians, modes, moments, value_counts
 from rowsmith.spec import TableSpec
 
+# Categories of a dense column, and of a sparse one, whose vocabulary each task gets.
 MAX_DENSE_CATEGORIES = 256
+MAX_SPARSE_CATEGORIES = 1_000_000
+# Counted values of all columns that are collected at once; beyond it they are looked at column by column.
 VOCABULARY_BOUND = 10_000
 
 
@@ -41,11 +46,12 @@ class NumberState:
 
 @dataclass(frozen=True)
 class CategoryState:
-    """``categories`` is None for a wide column, whose vocabulary stays in Spark ML stages."""
+    """A ``sparse`` column is encoded by Spark ML stages."""
 
     name: str
     fill: str | None
-    categories: list[str] | None
+    categories: list[str]
+    sparse: bool = False
 
 
 def sql_number(value: float) -> str:
@@ -69,12 +75,20 @@ class FittedPreprocessor:
     wide_helpers: list[str] = field(default_factory=list)
 
     def _kept(self, state: CategoryState) -> list[str]:
-        return (state.categories or [])[1 if self.drop_first else 0 :]
+        return state.categories[1 if self.drop_first else 0 :]
+
+    def _category_names(self, sparse: bool) -> list[str]:
+        return [f"{s.name}_{c}" for s in self.categorical if s.sparse == sparse for c in self._kept(s)]
+
+    def _dense_names(self) -> list[str]:
+        return [s.name for s in self.numeric] + self._category_names(False)
 
     def feature_names(self) -> list[str]:
-        """Number columns, then ``column_category`` for each kept category."""
-        dense = [f"{s.name}_{c}" for s in self.categorical for c in self._kept(s)]
-        return [s.name for s in self.numeric] + dense + self.wide_outputs
+        """Number columns, then ``column_category`` for each kept category, sparse columns last.
+
+        This is the order of the cells of the assembled vector.
+        """
+        return self._dense_names() + self._category_names(True)
 
     def _sql(self) -> list[str]:
         """One SQL expression per dense output feature."""
@@ -84,7 +98,7 @@ class FittedPreprocessor:
             filled = f"coalesce(nanvl({cell}, CAST(NULL AS DOUBLE)), {sql_number(s.fill)})"
             out.append(f"({filled} - {sql_number(s.mean)}) / {sql_number(s.std)}")
         for s in self.categorical:
-            if s.categories is None:
+            if s.sparse:
                 continue
             cell = f"CAST({quote(s.name)} AS STRING)"
             if s.fill is not None:
@@ -99,10 +113,10 @@ class FittedPreprocessor:
         return out
 
     def transform(self, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
-        """``keep`` columns, then one DOUBLE column per feature (wide columns as vectors)."""
+        """``keep`` columns, then one DOUBLE column per feature (a sparse column as the vector ``column_onehot``)."""
         for stage in self.wide_stages:
             df = stage.transform(df)
-        dense = [F.expr(e).alias(n) for e, n in zip(self._sql(), self.feature_names())]
+        dense = [F.expr(e).alias(n) for e, n in zip(self._sql(), self._dense_names())]
         return df.select(*[F.col(quote(k)) for k in keep or []], *dense, *self.wide_outputs)
 
     def impute(self, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -133,7 +147,7 @@ class FittedPreprocessor:
             rows += [(s.name, "fill", s.fill, None), (s.name, "mean", s.mean, None), (s.name, "scale", s.std, None)]
         for s in self.categorical:
             rows.append((s.name, "fill", None, s.fill))
-            rows += [(s.name, "category", float(i), c) for i, c in enumerate(s.categories or [])]
+            rows += [(s.name, "category", float(i), c) for i, c in enumerate(s.categories)]
         rows += [(name, "output", float(i), None) for i, name in enumerate(self.feature_names())]
         return spark.createDataFrame(rows, "feature string, statistic string, value double, text string")
 
@@ -151,6 +165,7 @@ class Preprocessor:
         handle_unknown: str = "ignore",
         drop_first: bool = False,
         max_dense: int = MAX_DENSE_CATEGORIES,
+        max_sparse: int = MAX_SPARSE_CATEGORIES,
     ):
         if numeric_strategy not in ("mean", "median", "most_frequent", "constant"):
             raise ValueError(f"unknown numeric strategy {numeric_strategy!r}")
@@ -166,11 +181,13 @@ class Preprocessor:
         self.handle_unknown = handle_unknown
         self.drop_first = drop_first
         self.max_dense = max_dense
+        self.max_sparse = max_sparse
 
     def fit(self, train: DataFrame) -> FittedPreprocessor:
         numeric = self._fit_numbers(train)
         categorical = self._fit_categories(train)
-        wide_stages, wide_outputs, wide_helpers = self._fit_wide(train, categorical)
+        wide_stages, wide_outputs, wide_helpers, vocabularies = self._fit_wide(train, categorical)
+        categorical = [replace(s, categories=vocabularies.get(s.name, s.categories)) for s in categorical]
         return FittedPreprocessor(
             numeric,
             categorical,
@@ -203,40 +220,52 @@ class Preprocessor:
         names = [n for n in self.spec.categorical_names if n in train.columns]
         if not names:
             return []
+        sparse = {f.name for f in self.spec.categorical if f.sparse}
         counted = value_counts(train, names, "string")
         rows = counted.limit(VOCABULARY_BOUND + 1).collect()
         if len(rows) <= VOCABULARY_BOUND:
             seen = {n: {r["value"]: r["n"] for r in rows if r["feature"] == n} for n in names}
-            wide = {n for n in names if len(seen[n]) > self.max_dense}
+            sizes = {n: len(seen[n]) for n in names}
             most = {
                 n: min((v for v in seen[n] if v is not None), key=lambda v, n=n: (-seen[n][v], v), default=None)
                 for n in names
             }
         else:
-            sizes = counted.groupBy("feature").agg(F.count("*").alias("size"))
-            wide = {r["feature"] for r in sizes.collect() if r["size"] > self.max_dense}
-            narrow = counted.filter(~F.col("feature").isin(*wide)) if wide else counted
+            sizes = {r["feature"]: r["n"] for r in counted.groupBy("feature").agg(F.count("*").alias("n")).collect()}
+            self._check_width(sizes, sparse)
+            narrow = counted.filter(~F.col("feature").isin(*sparse)) if sparse else counted
             seen = {n: {} for n in names}
             for r in narrow.collect():
                 seen[r["feature"]][r["value"]] = r["n"]
             most = modes(train, names, "string")
+        self._check_width(sizes, sparse)
         states = []
         for n in names:
             fill = self.categorical_fill if self.categorical_strategy == "constant" else most[n]
-            if n in wide:
-                states.append(CategoryState(n, fill, None))
+            if n in sparse:
+                states.append(CategoryState(n, fill, [], True))
                 continue
             values = {fill if v is None else v for v in seen[n]} - {None}
             states.append(CategoryState(n, fill, sorted(values)))
         return states
 
+    def _check_width(self, sizes: dict[str, int], sparse: set[str]) -> None:
+        for name, n in sizes.items():
+            if name not in sparse and n > self.max_dense:
+                raise ValueError(f"{name!r} has {n} values, more than {self.max_dense} columns; declare it sparse or raise max_dense")
+            if name in sparse and n > self.max_sparse:
+                raise ValueError(f"{name!r} has {n} values, more than the {self.max_sparse} that every task may be sent")
+
     def _fit_wide(
         self, train: DataFrame, states: list[CategoryState]
-    ) -> tuple[list[Transformer], list[str], list[str]]:
-        """Indexer and sparse encoder for wide columns; unknown values encode as all zeros."""
-        wide = [(i, s) for i, s in enumerate(states) if s.categories is None]
+    ) -> tuple[list[Transformer], list[str], list[str], dict[str, list[str]]]:
+        """Indexer and sparse encoder for sparse columns; unknown values encode as all zeros.
+
+        The last part of the result is the vocabulary of each.
+        """
+        wide = [(i, s) for i, s in enumerate(states) if s.sparse]
         if not wide:
-            return [], [], []
+            return [], [], [], {}
         items = ", ".join(
             f"coalesce(CAST({quote(s.name)} AS STRING), {sql_text(s.fill)}) AS rs_w{i}" for i, s in wide
         )
@@ -262,14 +291,14 @@ class Preprocessor:
             for name, out, labels in zip(encoded, outputs, index.labelsArray):
                 stages.append(VectorSlicer(inputCol=name, outputCol=out, indices=list(range(1, len(labels)))))
         helpers = [f"rs_{p}{i}" for i, _ in wide for p in ("wie" if self.drop_first else "wi")]
-        return stages, outputs, helpers
+        return stages, outputs, helpers, {s.name: list(labels) for (_, s), labels in zip(wide, index.labelsArray)}
 
 
 def scale_after_fill(m, fill: float) -> tuple[float, float]:
     """Mean and population deviation of the column once its missing cells hold ``fill``.
 
     They follow from the moments of the filled cells, so no second scan is needed. A constant
-    column is divided by 1.
+    column is divided by 1, and so is one whose spread rounding cannot tell from 0.
     """
     n, k = m.filled, m.missing
     if n + k == 0 or n == 0:
@@ -283,7 +312,13 @@ def scale_after_fill(m, fill: float) -> tuple[float, float]:
         low, high = min(m.low, fill), max(m.high, fill)
     if low == high:
         return low, 1.0
-    return mean, math.sqrt(variance) or 1.0
+    return mean, 1.0 if is_constant(variance, mean, n + k) else math.sqrt(variance)
+
+
+def is_constant(variance: float, mean: float, rows: int) -> bool:
+    """Whether a variance is within what rounding the sums of ``rows`` cells can leave of 0."""
+    unit = sys.float_info.epsilon
+    return variance <= rows * unit * variance + (rows * mean * unit) ** 2
 
 
 class PreprocessEstimator(Estimator):

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from rowsmith.operators import statistics as st
 from rowsmith.operators.features import Preprocessor, preprocess
 from rowsmith.operators.split import train_test_split
-from rowsmith.queries.base import CLEAN_SQL, ORDERS_SPEC, clean_orders, query, r6
+from rowsmith.queries.base import CLEAN_SQL, ORDERS_SPEC, clean_orders, derive, query, r6
 from rowsmith.queries.splitting import HASHED, SIZES
+from rowsmith.spec import CategoryField, TableSpec
 
 NUMBERS = ("total_price", "cust_no", "order_year")
 PRIORITIES = ORDERS_SPEC.categorical[0].allowed
@@ -237,3 +240,22 @@ INFO_NUMBERS = " UNION ALL ".join(
 def feat_info(spark, sf):
     info = Preprocessor(ORDERS_SPEC).fit(clean_orders(spark, sf)).info(spark)
     return info.withColumn("value", r6("value"))
+
+
+@query("feat_onehot_wide", "SELECT o_orderkey, 'cust_' || CAST(o_custkey % 300 AS VARCHAR) AS dense, 'cust_' || CAST(o_custkey % 300 AS VARCHAR) AS sparse FROM orders")
+def feat_onehot_wide(spark, sf):
+    """A column with well over 256 values: dense and sparse encodings have the same names and cells."""
+    rows = derive(spark, sf, "SELECT o_orderkey, CAST(o_custkey % 300 AS STRING) AS cust FROM {orders}", "orders")
+    found = []
+    for sparse in (False, True):
+        spec = TableSpec(key=("o_orderkey",), categorical=(CategoryField("cust", sparse=sparse),))
+        fitted = Preprocessor(spec, max_dense=300).fit(rows)
+        names = F.array(*map(F.lit, fitted.feature_names()))
+        if sparse:
+            hot = F.array_position(vector_to_array("cust_onehot"), F.lit(1.0))
+            cells = fitted.transform(rows, ["o_orderkey"])
+        else:
+            cells = PipelineModel(fitted.stages()).transform(rows)
+            hot = F.array_position(vector_to_array("features"), F.lit(1.0))
+        found.append(cells.select("o_orderkey", F.element_at(names, hot.cast("int")).alias("sparse" if sparse else "dense")))
+    return found[0].join(found[1], "o_orderkey")
