@@ -8,6 +8,7 @@ map side), so one model with very many events is no hot spot.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 COMPARED = ("accuracy", "precision", "recall", "f1_score", "roc_auc")
@@ -53,9 +54,27 @@ def known(current: DataFrame, ids: DataFrame) -> DataFrame:
     return ids.join(current, "model_id", "left_semi")
 
 
-def metrics_of_known(metrics: DataFrame, current: DataFrame) -> DataFrame:
-    """Metric rows whose model still exists."""
-    return metrics.join(current.select("model_id"), "model_id", "left_semi")
+def metrics_of_known(metrics: DataFrame, current: DataFrame, events: DataFrame | None = None) -> DataFrame:
+    """Metric rows whose model still exists.
+
+    With the registry's ``events``, rows from before the newest deletion of an id stay with the model
+    that was deleted, and do not come back when the id is saved again.
+    """
+    kept = metrics.join(current.select("model_id"), "model_id", "left_semi")
+    return kept if events is None else metrics_since_delete(kept, events)
+
+
+def metrics_since_delete(metrics: DataFrame, events: DataFrame) -> DataFrame:
+    """Metric rows that are newer than the newest deletion of their id."""
+    ended = events.filter("event = 'delete'").groupBy("model_id").agg(F.max("created").alias("ended"))
+    return metrics.join(ended, "model_id", "left").filter("ended IS NULL OR timestamp > ended").drop("ended")
+
+
+def outdated_entries(metrics: DataFrame, n: int) -> DataFrame:
+    """Ids of all but the newest ``n`` metric entries of each model and suffix."""
+    newest = metrics.groupBy("model_id", "suffix", "entry_id").agg(F.max("timestamp").alias("timestamp"))
+    rank = F.row_number().over(W.partitionBy("model_id", "suffix").orderBy(F.desc("timestamp"), F.desc("entry_id")))
+    return newest.withColumn("nth", rank).filter(F.col("nth") > n).select("entry_id")
 
 
 def entries(metrics: DataFrame) -> DataFrame:
@@ -107,9 +126,11 @@ def best_of_list(rows: list[tuple[str, float | None]]) -> dict:
     return {"best_model_name": rows[best][0], "best_model_index": best, "best_score": score}
 
 
-def serving_choice(current: DataFrame, metrics: DataFrame, primary: str = "f1_score") -> DataFrame:
+def serving_choice(
+    current: DataFrame, metrics: DataFrame, primary: str = "f1_score", events: DataFrame | None = None
+) -> DataFrame:
     """One row describing the model to score with: best by metric, else newest, else none."""
-    rated = compare_models(metrics_of_known(metrics, current), primary).select("model_id", F.col(primary).alias("score"))
+    rated = compare_models(metrics_of_known(metrics, current, events), primary).select("model_id", F.col(primary).alias("score"))
     described = current.join(rated, "model_id", "left")
     # Rated models come first by score, unrated ones by age; equal ones by id.
     rank = F.struct(

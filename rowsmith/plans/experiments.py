@@ -24,4 +24,4 @@ def run_experiments(
 
 
 def compare_experiments(registry: ModelRegistry, primary: str = "f1_score") -> DataFrame:
-    return registry.metrics.compare(primary)
+    return registry.compare(primary)

@@ -166,7 +166,7 @@ def reg_list_metrics(spark, sf):
 def reg_metrics_roundtrip(spark, sf):
     store = MetricsStore(spark, scratch_path(spark, "metrics"))
     # One append holds all entries here; the entry column comes from the rows, not the folder.
-    _metrics(spark, sf).write.parquet(store.path)
+    _metrics(spark, sf).write.parquet(f"{store.path}/entries")
     return R.latest_entry_values(store.rows(), by_suffix=True).select(
         "model_id", "suffix", "metric", r6("value").alias("value")
     )
@@ -209,3 +209,31 @@ def reg_serving_choice(spark, sf):
         F.col("created").cast("string").alias("created"),
         r6("score").alias("score"),
     )
+
+
+@query(
+    "reg_resave",
+    f"""{NEWEST}, ended AS (SELECT model_id, max(created) AS ended FROM events WHERE event = 'delete' GROUP BY model_id)
+    SELECT model_id, count(*) AS metric_rows, CAST(min(timestamp) AS VARCHAR) AS oldest FROM vals SEMI JOIN cur USING (model_id)
+      LEFT JOIN ended USING (model_id) WHERE ended IS NULL OR timestamp > ended GROUP BY model_id""",
+)
+def reg_resave(spark, sf):
+    """Metrics end with their model: those from before a deletion do not belong to a model saved later."""
+    events = _events(spark, sf)
+    kept = R.metrics_of_known(_metrics(spark, sf), R.current_models(events), events)
+    return kept.groupBy("model_id").agg(
+        F.count_distinct("entry_id").alias("metric_rows"), F.min("timestamp").cast("string").alias("oldest")
+    )
+
+
+@query(
+    "reg_metrics_cleanup",
+    f"""{NEWEST}, nth AS (SELECT *, row_number() OVER (PARTITION BY model_id, suffix ORDER BY timestamp DESC, entry_id DESC) AS k FROM vals)
+    SELECT model_id, suffix, entry_id FROM nth WHERE k <= 3""",
+)
+def reg_metrics_cleanup(spark, sf):
+    """A store after keeping the newest three entries of each model and suffix."""
+    store = MetricsStore(spark, scratch_path(spark, "metrics"))
+    _metrics(spark, sf).write.parquet(f"{store.path}/entries")
+    store.cleanup(keep_latest=3)
+    return store.rows().select("model_id", "suffix", "entry_id").distinct()

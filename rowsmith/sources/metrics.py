@@ -69,8 +69,23 @@ class MetricsStore:
         self.spark = spark
         self.path = path.rstrip("/")
 
+    def all_rows(self) -> DataFrame:
+        return read_or_empty(self.spark, f"{self.path}/entries", METRIC_SCHEMA)
+
     def rows(self) -> DataFrame:
-        return read_or_empty(self.spark, self.path, METRIC_SCHEMA)
+        """All rows but those of deleted entries."""
+        gone = read_or_empty(self.spark, f"{self.path}/deleted", "entry_id string")
+        return self.all_rows().join(gone.distinct(), "entry_id", "left_anti").select(*self.all_rows().columns)
+
+    def delete(self, entry_ids: DataFrame) -> None:
+        """Take entries out of every reader's sight; their ids are appended to a table of their own."""
+        entry_ids = entry_ids.select("entry_id").distinct()
+        if not entry_ids.isEmpty():
+            entry_ids.write.mode("append").parquet(f"{self.path}/deleted")
+
+    def cleanup(self, keep_latest: int = 10) -> None:
+        """Delete all but the newest entries of each model and suffix."""
+        self.delete(ranking.outdated_entries(self.rows(), keep_latest))
 
     def save(self, document: dict, model_id: str, suffix: str = "", timestamp: datetime | None = None) -> str:
         """Append one entry and return its id."""
@@ -83,7 +98,7 @@ class MetricsStore:
     def append(self, rows: DataFrame) -> str:
         """Append metric rows computed by Spark as one entry."""
         entry_id = uuid.uuid4().hex
-        rows.write.parquet(f"{self.path}/entry_id={entry_id}")
+        rows.write.parquet(f"{self.path}/entries/entry_id={entry_id}")
         return entry_id
 
     def load(self, model_id: str, suffix: str = "") -> DataFrame:

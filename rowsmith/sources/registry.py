@@ -88,7 +88,8 @@ class ModelRegistry:
         found = ranking.current_models(self.events().filter(F.col("model_id") == model_id))
         if found.isEmpty():
             raise ModelNotFound(f"model {model_id!r} not found; available: {self.list_models()}")
-        rated = ranking.compare_models(self.metrics.rows().filter(F.col("model_id") == model_id))
+        own = self.metrics.rows().filter(F.col("model_id") == model_id)
+        rated = ranking.compare_models(ranking.metrics_since_delete(own, self.events()))
         return found.join(rated.drop("timestamp"), "model_id", "left")
 
     def load_model(self, model_id: str) -> PipelineModel:
@@ -109,7 +110,7 @@ class ModelRegistry:
 
     def best_model_id(self, primary: str = "f1_score") -> str | None:
         """Best by metric among the models that still exist."""
-        rows = ranking.metrics_of_known(self.metrics.rows(), self.current())
+        rows = ranking.metrics_of_known(self.metrics.rows(), self.current(), self.events())
         return ranking.best_model(ranking.compare_models(rows, primary), primary).first()["model_id"]
 
     def load_best_model(self, primary: str = "f1_score") -> PipelineModel | None:
@@ -117,18 +118,27 @@ class ModelRegistry:
         return None if model_id is None else self.load_model(model_id)
 
     def serving_choice(self, primary: str = "f1_score") -> DataFrame:
-        return ranking.serving_choice(self.current(), self.metrics.rows(), primary)
+        return ranking.serving_choice(self.current(), self.metrics.rows(), primary, self.events())
 
     def load_for_serving(self, primary: str = "f1_score") -> tuple[str | None, PipelineModel | None]:
         """The best model by metric, else the newest one, else nothing."""
         model_id = self.serving_choice(primary).first()["model_id"]
         return model_id, None if model_id is None else self.load_model(model_id)
 
-    def delete_model(self, model_id: str) -> None:
-        """Append a delete event. Metrics of deleted models no longer show in comparisons."""
+    def delete_model(self, model_id: str, delete_metrics: bool = True) -> None:
+        """Append a delete event. Its metrics no longer show in comparisons, also after a new save of the id.
+
+        With ``delete_metrics`` they are no longer readable either.
+        """
         if not self.exists(model_id):
             raise ModelNotFound(f"model {model_id!r} not found; available: {self.list_models()}")
         self._delete(self.spark.createDataFrame([(model_id,)], "model_id string"))
+        if delete_metrics:
+            self.metrics.delete(self.metrics.all_rows().filter(F.col("model_id") == model_id).select("entry_id"))
+
+    def compare(self, primary: str = "f1_score") -> DataFrame:
+        """The models that exist with their newest test metrics, best first."""
+        return ranking.compare_models(ranking.metrics_of_known(self.metrics.rows(), self.current(), self.events()), primary)
 
     def cleanup(self, keep_latest: int = 10) -> None:
         """Delete all but the newest models."""

@@ -175,3 +175,33 @@ def test_result_document(spark, tmp_path):
     write_document(spark, {"name": "é", "n": [1, 2]}, str(tmp_path / "r"))
     row = spark.read.json(str(tmp_path / "r")).first()
     assert (row["name"], row["n"]) == ("é", [1, 2])
+
+
+def test_metrics_end_with_their_model(spark, registry):
+    registry.save_model(tiny_model(), "m")
+    registry.metrics.save(scores(0.99), "m")
+    registry.delete_model("m", delete_metrics=False)
+    assert registry.metrics.rows().count() > 0
+    registry.save_model(tiny_model(), "m")
+    registry.save_model(tiny_model(), "n")
+    registry.metrics.save(scores(0.5), "n")
+    assert registry.serving_choice().first()["model_id"] == "n" == registry.best_model_id()
+    assert [r["model_id"] for r in registry.compare().collect()] == ["n"]
+    assert registry.info("m").first()["f1_score"] is None
+    registry.metrics.save(scores(0.7), "m")
+    assert registry.best_model_id() == "m"
+    registry.delete_model("m")
+    with pytest.raises(LookupError):
+        registry.metrics.load("m")
+    assert registry.metrics.load("n").count() > 0
+
+
+def test_metric_entries_are_cleaned_up(spark, registry):
+    for i in range(5):
+        registry.metrics.save(scores(i / 10), "m", timestamp=START + timedelta(hours=i))
+    registry.metrics.save(scores(0.9), "m", suffix="tuned", timestamp=START)
+    registry.metrics.cleanup(keep_latest=2)
+    left = registry.metrics.rows().filter("metric = 'f1_score'").collect()
+    assert sorted(r["value"] for r in left) == [0.3, 0.4, 0.9]
+    registry.metrics.cleanup(keep_latest=2)
+    assert registry.metrics.rows().filter("metric = 'f1_score'").count() == 3
