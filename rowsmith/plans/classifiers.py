@@ -29,13 +29,22 @@ COLUMNS = {
 # Spark refuses deeper trees; "no limit" means this depth.
 MAX_TREE_DEPTH = 30
 
-# Accepted without effect: they steer single-machine execution or have no counterpart here.
+# Accepted without effect: they steer single-machine execution and change no model.
 IGNORED = {
-    "RandomForestClassifier": {"n_jobs", "verbose", "min_samples_split", "oob_score", "warm_start"},
+    "RandomForestClassifier": {"n_jobs", "verbose", "oob_score", "warm_start"},
+    "DecisionTreeClassifier": set(),
+    "LogisticRegression": {"n_jobs", "verbose", "solver", "random_state", "warm_start"},
+    "SVC": {"cache_size", "shrinking", "verbose", "random_state", "decision_function_shape"},
+}
+# They would change the model and have no counterpart: refused, unless ``ignore_unmapped`` is among the parameters.
+UNMAPPED = {
+    "RandomForestClassifier": {"min_samples_split"},
     "DecisionTreeClassifier": {"min_samples_split", "splitter"},
-    "LogisticRegression": {"n_jobs", "verbose", "solver", "random_state", "warm_start", "multi_class", "dual"},
-    "SVC": {"cache_size", "shrinking", "verbose", "gamma", "random_state", "decision_function_shape"},
+    "LogisticRegression": {"multi_class", "dual"},
+    "SVC": {"gamma", "coef0"},
 }
+# Values of unmapped parameters that ask for what happens anyway.
+HARMLESS = {"min_samples_split": (None, 2), "splitter": (None, "best"), "multi_class": (None, "auto", "multinomial"), "dual": (None, False)}
 
 Factory = Callable[[dict[str, Any], int, int, int], Estimator]
 
@@ -43,10 +52,12 @@ Factory = Callable[[dict[str, Any], int, int, int], Estimator]
 def _tree_options(params: dict[str, Any], seed: int) -> dict[str, Any]:
     """Options shared by a single tree and a forest; consumes what it understands."""
     depth = params.pop("max_depth", None)
+    if depth is not None and int(depth) > MAX_TREE_DEPTH:
+        raise ValueError(f"max_depth={depth} is beyond the deepest tree possible, {MAX_TREE_DEPTH}; None asks for that one")
     impurity = params.pop("criterion", "gini")
     state = params.pop("random_state", None)
     return {
-        "maxDepth": MAX_TREE_DEPTH if depth is None else min(int(depth), MAX_TREE_DEPTH),
+        "maxDepth": MAX_TREE_DEPTH if depth is None else int(depth),
         "minInstancesPerNode": int(params.pop("min_samples_leaf", 1)),
         "minInfoGain": float(params.pop("min_impurity_decrease", 0.0)),
         "impurity": "entropy" if impurity == "log_loss" else impurity,
@@ -97,12 +108,13 @@ def _support_vectors(params: dict[str, Any], seed: int, rows: int, classes: int)
 
     With ``probability`` a logistic fit on the margins gives probabilities beside them.
     """
-    kernel = params.pop("kernel", "linear")
+    kernel = params.pop("kernel", None)
+    if kernel is None:
+        raise ValueError("name the kernel, 'linear' or 'poly'; there is no default")
     if kernel not in ("linear", "poly"):
         raise ValueError(f"kernel {kernel!r} needs all pairs of rows; use 'linear' or 'poly'")
     limit = int(params.pop("max_iter", -1))
     degree = int(params.pop("degree", 3))
-    params.pop("coef0", None)
     source = FEATURES if kernel == "linear" else "rs_poly"
     margin = LinearSVC(
         regParam=1.0 / (float(params.pop("C", 1.0)) * rows),
@@ -150,13 +162,27 @@ def register_classifier(name: str, factory: Factory) -> None:
     CLASSIFIERS[name] = factory
 
 
-def make_classifier(name: str, params: dict[str, Any], seed: int, rows: int, classes: int) -> Estimator:
-    """An unfitted classifier. Unknown names and unmapped parameters raise."""
+def make_classifier(
+    name: str, params: dict[str, Any], seed: int, rows: int, classes: int, weight: float | None = None
+) -> Estimator:
+    """An unfitted classifier. Unknown names and unmapped parameters raise.
+
+    ``weight`` is the sum of all row weights, where rows are weighted.
+    """
     if name not in CLASSIFIERS:
         raise ValueError(f"model {name!r} is not supported; available: {sorted(CLASSIFIERS)}")
-    left = {k: v for k, v in params.items() if k not in IGNORED.get(name, ())}
+    left = {k: v for k, v in params.items() if k not in IGNORED.get(name, ()) and k != "ignore_unmapped"}
+    # A linear margin has no use for what shapes a kernel.
+    harmless = HARMLESS | ({"gamma": (left["gamma"],)} if "gamma" in left and left.get("kernel") == "linear" else {})
+    unmapped = sorted(k for k in UNMAPPED.get(name, ()) if k in left and left[k] not in harmless.get(k, ()))
+    if unmapped and not params.get("ignore_unmapped"):
+        raise ValueError(f"{name} has no counterpart for {unmapped}; pass ignore_unmapped=True to train without")
+    for k in UNMAPPED.get(name, ()):
+        left.pop(k, None)
     weighting = left.pop("class_weight", None)
-    estimator = CLASSIFIERS[name](left, seed, rows, classes)
+    # A penalty is relative to a mean loss over weights; everything else counts rows.
+    penalised = name in ("LogisticRegression", "SVC") and weight is not None
+    estimator = CLASSIFIERS[name](left, seed, weight if penalised else rows, classes)
     if left:
         raise ValueError(f"parameters without a counterpart for {name}: {sorted(left)}")
     if not isinstance(estimator, (Pipeline, OneVsRest)):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import IndexToString, StringIndexerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +35,22 @@ class Prepared:
     def size(self) -> int:
         return sum(self.counts.values())
 
+    def estimator(self, name: str, params: dict[str, Any], seed: int) -> Estimator:
+        """An unfitted classifier for these rows."""
+        weighting = params.get("class_weight")
+        by_label = None if weighting is None else class_weights(weighting, self.counts)
+        weight = None if by_label is None else sum(by_label[c] * n for c, n in self.counts.items())
+        return make_classifier(name, params, seed, self.size, len(self.labels), weight)
+
+    def weighted(self, rows: DataFrame, params: dict[str, Any]) -> DataFrame:
+        """``rows`` with the weight of each label, where the parameters ask for weights."""
+        weighting = params.get("class_weight")
+        if weighting is None:
+            return rows
+        by_label = class_weights(weighting, self.counts)
+        cells = [x for i, c in enumerate(self.labels) for x in (F.lit(float(i)), F.lit(by_label[c]))]
+        return rows.withColumn(WEIGHT, F.create_map(*cells)[F.col(LABEL)])
+
 
 def prepare(train: DataFrame, spec: TableSpec, experiment: ExperimentSpec) -> Prepared:
     """Fit the preprocessor on ``train`` and turn its rows into indexed labels and vectors."""
@@ -44,27 +60,25 @@ def prepare(train: DataFrame, spec: TableSpec, experiment: ExperimentSpec) -> Pr
     fitted = Preprocessor(spec, **experiment.preprocess).fit(train)
     labels = sorted(counts)
     rows = vectors(train, fitted, labels, target)
-    weighting = experiment.params.get("class_weight")
-    if weighting is not None:
-        by_label = class_weights(weighting, counts)
-        cells = [x for i, c in enumerate(labels) for x in (F.lit(float(i)), F.lit(by_label[c]))]
-        rows = rows.withColumn(WEIGHT, F.create_map(*cells)[F.col(LABEL)])
     return Prepared(rows, fitted, labels, counts)
 
 
-def vectors(df: DataFrame, fitted: FittedPreprocessor, labels: list[str], target: str) -> DataFrame:
-    """``(label, features)`` of the rows, from fitted state."""
-    index = StringIndexerModel.from_labels(labels, inputCol="rs_target", outputCol=LABEL, handleInvalid="error")
+def vectors(
+    df: DataFrame, fitted: FittedPreprocessor, labels: list[str], target: str, unseen: str = "error"
+) -> DataFrame:
+    """``(label, features)`` of the rows, from fitted state.
+
+    With ``unseen="keep"`` other labels get the index after the last, which no model predicts.
+    """
+    index = StringIndexerModel.from_labels(labels, inputCol="rs_target", outputCol=LABEL, handleInvalid=unseen)
     rows = df.withColumn("rs_target", F.col(quote(target)).cast("string"))
     return PipelineModel([index, *fitted.stages(FEATURES)]).transform(rows).select(LABEL, FEATURES)
 
 
 def fit_classifier(prepared: Prepared, experiment: ExperimentSpec) -> PipelineModel:
     """Fit the classifier and return preprocessing, classifier and label naming as one pipeline."""
-    estimator = make_classifier(
-        experiment.model, experiment.params, experiment.seed, prepared.size, len(prepared.labels)
-    )
-    model = estimator.fit(prepared.rows)
+    estimator = prepared.estimator(experiment.model, experiment.params, experiment.seed)
+    model = estimator.fit(prepared.weighted(prepared.rows, experiment.params))
     fitted = model.stages if isinstance(estimator, Pipeline) else [model]
     name = IndexToString(inputCol=PREDICTION, outputCol=PREDICTED, labels=prepared.labels)
     return PipelineModel([*prepared.preprocessor.stages(FEATURES), *fitted, name])

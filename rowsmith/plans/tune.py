@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from rowsmith.operators.evaluate import score_value
 from rowsmith.operators.split import stratified_folds
-from rowsmith.plans.classifiers import LABEL, PREDICTION, PROBABILITY, make_classifier
+from rowsmith.plans.classifiers import LABEL, PREDICTION, PROBABILITY
 from rowsmith.plans.train import (
     TrainResult,
     describe,
@@ -32,7 +32,7 @@ from rowsmith.plans.train import (
     split_parts,
     vectors,
 )
-from rowsmith.session import materialise
+from rowsmith.session import Scratch
 from rowsmith.sources.registry import ModelRegistry
 from rowsmith.spec import ExperimentSpec, TableSpec
 
@@ -53,16 +53,17 @@ def _fold_scores(
 ) -> list[float]:
     """Score of every candidate on one held-out fold."""
     prepared = prepare(folds.filter(F.col("fold") != fold), spec, experiment)
-    held_out = folds.filter((F.col("fold") == fold) & F.col(spec.target.name).isin(*prepared.labels))
+    # A held-out row counts even if its label is absent from the training side: it cannot be right.
+    held_out = folds.filter(F.col("fold") == fold)
     fit_rows = prepared.rows.persist(StorageLevel.MEMORY_AND_DISK)
-    check_rows = vectors(held_out, prepared.preprocessor, prepared.labels, spec.target.name)
+    check_rows = vectors(held_out, prepared.preprocessor, prepared.labels, spec.target.name, unseen="keep")
     check_rows = check_rows.persist(StorageLevel.MEMORY_AND_DISK)
     names = F.array(*[F.lit(str(float(i))) for i in range(len(prepared.labels))])
 
     def run(candidate: dict[str, Any]) -> float:
         params = {**experiment.params, **candidate}
-        estimator = make_classifier(experiment.model, params, experiment.seed, prepared.size, len(prepared.labels))
-        scored = estimator.fit(fit_rows).transform(check_rows)
+        estimator = prepared.estimator(experiment.model, params, experiment.seed)
+        scored = estimator.fit(prepared.weighted(fit_rows, params)).transform(check_rows)
         proba = None
         if PROBABILITY in scored.columns:
             proba = "rs_proba"
@@ -83,9 +84,10 @@ def cross_validate(
     """Mean and population deviation of the fold scores of every candidate, in grid order."""
     cv = experiment.tune.cv
     folds = stratified_folds(train_rows, spec.key, spec.target.name, cv, experiment.seed)
-    # Written by fold: every pass over a training side then skips the held-out files.
-    folds = materialise(folds, "folds", "fold")
-    by_fold = [_fold_scores(folds, i, candidates, spec, experiment) for i in range(cv)]
+    with Scratch(train_rows.sparkSession, "tune") as scratch:
+        # Written by fold: every pass over a training side then skips the held-out files.
+        folds = scratch.write(folds, "folds", partition_by=["fold"])
+        by_fold = [_fold_scores(folds, i, candidates, spec, experiment) for i in range(cv)]
     table = []
     for params, scores in zip(candidates, zip(*by_fold)):
         table.append(

@@ -46,13 +46,15 @@ def _file_system(spark: SparkSession, path: str):
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared root, never used before; it goes when the driver ends."""
-    path = f"{shared_root(spark)}/rowsmith/{label}-{uuid.uuid4().hex}"
-    fs, target = _file_system(spark, path)
-    fs.mkdirs(target.getParent())
+    """A fresh path below the shared root, never used before.
+
+    All paths of an application lie in one folder, which goes when the driver ends.
+    """
+    folder = f"{shared_root(spark)}/rowsmith/{spark.sparkContext.applicationId}"
+    fs, target = _file_system(spark, folder)
     fs.mkdirs(target)
     fs.deleteOnExit(target)
-    return path
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
@@ -78,12 +80,12 @@ class Scratch:
         for path in self.paths:
             drop_path(self.spark, path)
 
-    def write(self, df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+    def write(self, df: DataFrame, label: str, keep: bool = False, partition_by: list[str] | None = None) -> DataFrame:
         """Write ``df`` and read it back, which cuts its lineage."""
         path = scratch_path(self.spark, f"{self.label}-{label}")
         if not keep:
             self.paths.append(path)
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").partitionBy(*partition_by or []).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
 

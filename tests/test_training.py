@@ -7,7 +7,7 @@ from rowsmith.plans.experiments import compare_experiments, run_experiments
 from rowsmith.plans.load import load_table
 from rowsmith.plans.score import ensemble, predict, predict_proba, score
 from rowsmith.plans.train import fit_pipeline, train
-from rowsmith.plans.tune import expand_grid, tune
+from rowsmith.plans.tune import cross_validate, expand_grid, tune
 from rowsmith.presets import BIRD_SURVEY
 from rowsmith.sources.registry import ModelRegistry
 from rowsmith.sources.files import write_csv
@@ -36,10 +36,41 @@ def test_unknown_model_and_parameters(spark):
         K.make_classifier("LogisticRegression", {"penalty": "l7"}, 42, 10, 2)
 
 
+def test_settings_that_would_be_lost_are_refused(spark):
+    for name, params in (
+        ("RandomForestClassifier", {"min_samples_split": 5}), ("DecisionTreeClassifier", {"splitter": "random"}),
+        ("LogisticRegression", {"multi_class": "ovr"}), ("LogisticRegression", {"dual": True}), ("SVC", {"kernel": "poly", "coef0": 1.0}),
+    ):
+        with pytest.raises(ValueError, match="no counterpart"):
+            K.make_classifier(name, params, 42, 10, 2)
+        K.make_classifier(name, {**params, "ignore_unmapped": True}, 42, 10, 2)
+    with pytest.raises(ValueError, match="deepest"):
+        K.make_classifier("DecisionTreeClassifier", {"max_depth": 60}, 42, 10, 2)
+    with pytest.raises(ValueError, match="name the kernel"):
+        K.make_classifier("SVC", {}, 42, 10, 2)
+
+
+def test_penalty_follows_the_weights(spark):
+    plain = K.make_classifier("LogisticRegression", {"C": 0.5}, 42, 100, 2)
+    heavy = K.make_classifier("LogisticRegression", {"C": 0.5, "class_weight": {"a": 3.0}}, 42, 100, 2, 200.0)
+    assert (plain.getRegParam(), heavy.getRegParam()) == (0.02, 0.01)
+
+
+def test_rare_held_out_class_counts_as_wrong(spark):
+    """A class that a fold never trains on lowers that fold's score, and weights may differ by candidate."""
+    rows = [(i, float(i % 2), "ab"[i % 2]) for i in range(30)] + [(30, 0.5, "c")]
+    df = spark.createDataFrame(rows, "k int, x double, y string")
+    spec = TableSpec(key=("k",), numeric=(NumericField("x"),), target=TargetField("y"))
+    spec_run = ExperimentSpec("DecisionTreeClassifier", {"max_depth": 2}, tune=TuneSpec(grid=({"class_weight": [None, "balanced"]},), cv=3))
+    for candidate in cross_validate(df, expand_grid(spec_run.tune.grid), spec, spec_run):
+        scores = sorted(candidate["scores"])
+        assert scores[0] < 1.0 == scores[1] == scores[2] or scores[0] < 1.0
+
+
 def test_parameter_mapping(spark):
     forest = K.make_classifier(
         "RandomForestClassifier",
-        {"n_estimators": 7, "max_depth": None, "min_samples_split": 5, "min_samples_leaf": 2, "criterion": "log_loss", "n_jobs": -1},
+        {"n_estimators": 7, "max_depth": None, "min_samples_split": 5, "min_samples_leaf": 2, "criterion": "log_loss", "n_jobs": -1, "ignore_unmapped": True},
         42, 100, 3,
     )
     got = [forest.getNumTrees(), forest.getMaxDepth(), forest.getMinInstancesPerNode(), forest.getImpurity(), forest.getSeed()]
@@ -49,7 +80,7 @@ def test_parameter_mapping(spark):
     lasso = K.make_classifier("LogisticRegression", {"penalty": "l1", "C": 0.5, "solver": "liblinear"}, 42, 100, 3)
     assert (lasso.getRegParam(), lasso.getElasticNetParam(), lasso.getStandardization()) == (0.02, 1.0, False)
     assert K.make_classifier("LogisticRegression", {"penalty": None}, 42, 100, 3).getRegParam() == 0
-    margin = K.make_classifier("SVC", {"C": 10, "gamma": "scale", "cache_size": 200}, 42, 100, 3)
+    margin = K.make_classifier("SVC", {"kernel": "linear", "C": 10, "gamma": "scale", "cache_size": 200}, 42, 100, 3)
     assert isinstance(margin, OneVsRest) and isinstance(margin.getClassifier(), LinearSVC)
     assert margin.getClassifier().getRegParam() == pytest.approx(0.001)
 
@@ -179,7 +210,7 @@ def test_probabilities(birds):
     table = predict_proba(birds, fit_pipeline(birds, BIRD_SURVEY, LOGISTIC), ["row_id"])
     assert table.columns == ["row_id", "Adelie", "Chinstrap", "Gentoo"]
     assert table.filter("abs(Adelie + Chinstrap + Gentoo - 1) > 1e-9").isEmpty()
-    margin = fit_pipeline(birds, BIRD_SURVEY, ExperimentSpec("SVC", {"max_iter": 5}))
+    margin = fit_pipeline(birds, BIRD_SURVEY, ExperimentSpec("SVC", {"kernel": "linear", "max_iter": 5}))
     assert K.PROBABILITY not in margin.transform(birds).columns
     with pytest.raises(ValueError, match="no probabilities"):
         predict_proba(birds, margin, ["row_id"])
@@ -187,7 +218,7 @@ def test_probabilities(birds):
 
 
 def test_ensemble(birds):
-    calibrated = ExperimentSpec("SVC", {"max_iter": 5, "probability": True, "class_weight": "balanced"})
+    calibrated = ExperimentSpec("SVC", {"kernel": "linear", "max_iter": 5, "probability": True, "class_weight": "balanced"})
     models = [fit_pipeline(birds, BIRD_SURVEY, e) for e in (FOREST, LOGISTIC, calibrated)]
     voted = ensemble(birds, models, ["row_id", "species"])
     assert voted.filter("prediction = species").count() > 220
@@ -224,7 +255,7 @@ def requests(birds, path):
 
 def test_stream_equals_batch(spark, birds, tmp_path):
     new = requests(birds, str(tmp_path / "in"))
-    model = fit_pipeline(birds, BIRD_SURVEY, ExperimentSpec("SVC", {"max_iter": 5}))
+    model = fit_pipeline(birds, BIRD_SURVEY, ExperimentSpec("SVC", {"kernel": "linear", "max_iter": 5}))
     stream = read_json_stream(spark, str(tmp_path / "in"), new.schema, max_files=1)
     score_stream(stream, model, BIRD_SURVEY, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     columns = ["row_id", "prediction"]
