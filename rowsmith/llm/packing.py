@@ -13,15 +13,19 @@ id are packed like any other. An empty table gives no sequence. Further columns
 
 from __future__ import annotations
 
+import sys
 import zlib
+from array import array
 from collections import defaultdict
+from functools import lru_cache
 
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rowsmith.llm.bpe import encoder
+from rowsmith.llm.bpe import WORDS, Vocabulary, encoder
 from rowsmith.llm.common import map_batches, whole_text
 from rowsmith.session import Scratch
 
@@ -33,18 +37,39 @@ PLACES_BOUND = 300_000
 RANK_GROUPS, RANKED = 64, 1_000_000
 
 
+# A word or a run of white space longer than this is encoded by the trie encoder, whose time is linear in it.
+LONG_RUN = 1024
+
+
+@lru_cache(maxsize=2)
+def _tokenizer(path: str) -> tiktoken.Encoding:
+    vocabulary = Vocabulary(path)
+    return tiktoken.Encoding("packing", pat_str=WORDS, mergeable_ranks=vocabulary.ids, special_tokens=vocabulary.added)
+
+
+def token_bytes(text: str, path: str) -> bytes:
+    """Token ids of a text as little-endian unsigned 32-bit integers."""
+    words = text.split()
+    inside = sum(map(len, words))
+    if max(map(len, words), default=0) > LONG_RUN or len(text) - inside - len(words) > LONG_RUN:
+        return encoder(path).encode_bytes([text])[0]
+    tokens = array("I", _tokenizer(path).encode(text, allowed_special="all"))
+    if sys.byteorder == "big":
+        tokens.byteswap()
+    return tokens.tobytes()
+
+
 def cut(docs: DataFrame, path: str, capacity: int, end_id: int) -> DataFrame:
     """The pieces of every document, with checksums of their token ids."""
 
     def make():
-        enc = encoder(path)
         end = end_id.to_bytes(4, "little")
         step = 4 * capacity
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             ids, starts, lengths, sums, totals = [], [], [], [], []
-            for doc, code in zip(batch.column(0).to_pylist(), enc.encode_bytes(batch.column(1).to_pylist())):
-                code += end
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                code = token_bytes(text, path) + end
                 for at in range(0, len(code), step):
                     piece = code[at : at + step]
                     ids.append(doc)
