@@ -20,6 +20,7 @@ HEADLINE = [
     "fit_impute_mean", "fit_impute_median", "feat_full", "feat_train_test",
     "eval_confusion", "eval_report", "eval_auc_scores", "eval_auc_ovr", "eval_regression", "score_soft_vote",
     "reg_current", "reg_compare", "train_decision_tree", "score_batch", "stream_quarantine",
+    "train_random_forest", "train_logistic", "train_linear_svc", "tune_grid", "score_ensemble", "stream_score",
 ]
 
 

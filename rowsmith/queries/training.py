@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from rowsmith.plans import experiments as X
 from rowsmith.plans.score import ensemble, predict, predict_proba, score
 from rowsmith.plans.train import fit_pipeline, train
-from rowsmith.plans.tune import expand_grid, tune
+from rowsmith.plans.tune import cross_validate, expand_grid, tune
 from rowsmith.queries.base import derive, query, r6
 from rowsmith.session import materialise, scratch_path
 from rowsmith.sources.files import write_document
@@ -252,3 +252,96 @@ def experiments_compare(spark, sf):
     deep = ExperimentSpec("DecisionTreeClassifier", {"max_depth": 3, "criterion": "entropy"})
     X.run_experiments(split_table(spark, sf), SIZED_SPEC, {"shallow": RULE_TREE, "deep": deep}, registry)
     return X.compare_experiments(registry).drop("timestamp")
+
+
+# Two labels that a wide gap in one feature separates: any sensible classifier predicts every row as the rule does.
+GAP_RULE = "CASE WHEN l_quantity > 25 THEN 'big' ELSE 'little' END"
+GAP = f"""
+SELECT l_orderkey, l_linenumber, l_quantity + CASE WHEN l_quantity > 25 THEN 1000 ELSE 0 END AS spread, l_discount, l_tax,
+  {GAP_RULE} AS size_label
+FROM {{lineitem}}
+"""
+GAP_SPEC = TableSpec(
+    key=("l_orderkey", "l_linenumber"),
+    numeric=tuple(NumericField(n) for n in ("spread", "l_discount", "l_tax")),
+    target=TargetField("size_label", ("big", "little")),
+)
+GAP_EXPECTED = f"SELECT l_orderkey, l_linenumber, {GAP_RULE} AS prediction FROM lineitem"
+GAP_FOREST = ExperimentSpec("RandomForestClassifier", {"n_estimators": 9, "max_depth": 4, "max_features": "all"})
+
+
+def _gap_predictions(spark, sf, experiment):
+    rows = derive(spark, sf, GAP, "lineitem")
+    return predict(rows, fit_pipeline(rows, GAP_SPEC, experiment)).select("l_orderkey", "l_linenumber", "prediction")
+
+
+@query("gap_random_forest", GAP_EXPECTED)
+def gap_random_forest(spark, sf):
+    return _gap_predictions(spark, sf, GAP_FOREST)
+
+
+@query("gap_logistic", GAP_EXPECTED)
+def gap_logistic(spark, sf):
+    return _gap_predictions(spark, sf, LOGISTIC)
+
+
+@query("gap_linear_svc", GAP_EXPECTED)
+def gap_linear_svc(spark, sf):
+    return _gap_predictions(spark, sf, MARGIN)
+
+
+@query("gap_ensemble", GAP_EXPECTED)
+def gap_ensemble(spark, sf):
+    rows = derive(spark, sf, GAP, "lineitem")
+    models = [fit_pipeline(rows, GAP_SPEC, e) for e in (GAP_FOREST, LOGISTIC, CALIBRATED)]
+    return ensemble(rows, models, ["l_orderkey", "l_linenumber"]).select("l_orderkey", "l_linenumber", "prediction")
+
+
+# A tree of depth one keeps the two smaller classes in one leaf, so its shares are fractions.
+STUMP = ExperimentSpec("DecisionTreeClassifier", {"max_depth": 1})
+CLASSES = f"WITH ruled AS (SELECT l_orderkey, l_linenumber, {SIZE_RULE} AS c FROM lineitem)"
+
+
+@query(
+    "score_proba_shares",
+    f"""{CLASSES}, n AS (SELECT count(*) FILTER (c = 'small')::DOUBLE AS s, count(*) FILTER (c = 'medium')::DOUBLE AS m FROM ruled)
+    SELECT l_orderkey, l_linenumber, CASE WHEN c = 'large' THEN 1.0 ELSE 0.0 END::DOUBLE AS large,
+      round(CASE WHEN c = 'large' THEN 0.0 ELSE m / (m + s) END, 6) AS medium, round(CASE WHEN c = 'large' THEN 0.0 ELSE s / (m + s) END, 6) AS small
+    FROM ruled, n""",
+)
+def score_proba_shares(spark, sf):
+    rows = sized_table(spark, sf)
+    cells = predict_proba(rows, fit_pipeline(rows, SIZED_SPEC, STUMP), ["l_orderkey", "l_linenumber"])
+    return cells.select("l_orderkey", "l_linenumber", *[r6(c).alias(c) for c in ("large", "medium", "small")])
+
+
+@query(
+    "tune_depths",
+    f"""{CLASSES}, dealt AS (SELECT c, (row_number() OVER (ORDER BY c) - 1) % 3 AS fold FROM ruled),
+    scored AS (SELECT fold, avg(CASE WHEN c = 'small' THEN 0.0 ELSE 1.0 END) AS a FROM dealt GROUP BY fold)
+    SELECT 1 AS depth, round(avg(a), 6) AS mean_score, round(stddev_pop(a), 6) AS std_score FROM scored
+    UNION ALL SELECT 2, 1.0, 0.0""",
+)
+def tune_depths(spark, sf):
+    """Fold scores of two depths: one level cannot tell the smallest class from the next, two can."""
+    experiment = ExperimentSpec("DecisionTreeClassifier", {}, tune=TuneSpec(({"max_depth": [1, 2]},), cv=3))
+    table = cross_validate(sized_table(spark, sf), expand_grid(experiment.tune.grid), SIZED_SPEC, experiment)
+    rows = [(c["params"]["max_depth"], round(c["mean"], 6), round(c["std"], 6)) for c in table]
+    return spark.createDataFrame(rows, "depth int, mean_score double, std_score double")
+
+
+@query(
+    "train_own_split",
+    f"""{CLASSES}, sizes AS (SELECT c, count(*) AS n FROM ruled GROUP BY 1),
+    whole AS (SELECT sum(n)::BIGINT AS n, ceil(0.2 * sum(n))::BIGINT AS n_test FROM sizes),
+    shares AS (
+      SELECT c, s.n, (w.n - n_test) * s.n // w.n AS q, (w.n - n_test) * s.n % w.n AS rest, w.n - n_test AS n_train FROM sizes s, whole w),
+    quotas AS (
+      SELECT c, n, q + CASE WHEN row_number() OVER (ORDER BY rest DESC, c) <= n_train - sum(q) OVER () THEN 1 ELSE 0 END AS train_rows FROM shares),
+    parts AS (SELECT 'train' AS split, c, train_rows AS n FROM quotas UNION ALL SELECT 'test', c, n - train_rows FROM quotas)
+    SELECT split, sum(n)::BIGINT AS n, 3 AS classes, round(1 - sum(n) FILTER (c = 'small') / sum(n), 6) AS accuracy FROM parts GROUP BY split""",
+)
+def train_own_split(spark, sf):
+    """Accuracy of a tree of depth one on the parts that training splits off itself."""
+    found = _overall(spark, train(sized_table(spark, sf), SIZED_SPEC, STUMP).results)
+    return found.select("split", "n", "classes", r6("accuracy").alias("accuracy"))
