@@ -16,13 +16,13 @@ from pyspark.sql import functions as F
 
 from rowsmith.functions.expressions import key_hash
 from rowsmith.operators.clean import quote
-from rowsmith.session import pin_small
+from rowsmith.session import Scratch, pin_small
 
-# Hash digits looked at in turn: 16**3 = 4,096 buckets per stratum, then, for large tables, as many
-# within the bucket that holds a cut, then the whole hash.
+# Hash digits looked at in turn: 16**3 = 4,096 buckets per stratum, then as many within the bucket
+# that holds a cut, then the whole hash.
 LEVELS = (3, 6, 32)
-LARGE_TABLE = 50_000_000
-MAX_STRATA = 100_000
+# Strata, and rows of a balanced sample, beyond which the operators refuse.
+MAX_STRATA, MAX_SAMPLE = 100_000, 1_000_000
 
 
 class HashOrder:
@@ -34,7 +34,9 @@ class HashOrder:
 
     def __init__(self, df: DataFrame, stratum: Column, h: Column):
         self.spark = df.sparkSession
-        self.rows = df.select(stratum.alias("stratum"), h.alias("h"))
+        self.scratch = Scratch(self.spark, "split")
+        # What lies upstream is read once here; every level looks at this narrow table.
+        self.rows = self.scratch.write(df.select(stratum.alias("stratum"), h.alias("h")), "hashes")
         self.sizes = self._sizes(self.rows, 0, LEVELS[0]).persist()
         self._counts: list[tuple[str, int]] | None = None
 
@@ -49,6 +51,7 @@ class HashOrder:
 
     def __exit__(self, *_) -> None:
         self.sizes.unpersist()
+        self.scratch.__exit__()
 
     def counts(self) -> list[tuple[str, int]]:
         """Rows per stratum, in stratum order."""
@@ -62,8 +65,7 @@ class HashOrder:
         Each level finds the bucket that holds a cut and how far into it the cut lies; the next
         level looks only at the rows of those buckets.
         """
-        total = sum(n for _, n in self.counts())
-        levels = LEVELS if total > LARGE_TABLE else (LEVELS[0], LEVELS[-1])
+        levels = LEVELS
         wanted = self.spark.createDataFrame(targets, "stratum string, cut int, k bigint")
         wanted = F.broadcast(wanted.withColumn("prefix", F.lit("")))
         sizes, inside = self.sizes, None
@@ -204,8 +206,11 @@ def balanced_sample(
     """About ``n`` rows spread evenly over the classes, topped up from the rest.
 
     Every class gives ``max(1, n // classes)`` rows if it has them. The result is ordered by
-    ``sample_rank`` and is all rows when the table has fewer than ``n``.
+    ``sample_rank`` and is all rows when the table has fewer than ``n``. The sample is ranked as a whole,
+    so ``n`` is limited to ``MAX_SAMPLE``.
     """
+    if n > MAX_SAMPLE:
+        raise ValueError(f"a balanced sample of {n} rows is more than {MAX_SAMPLE}; split the table instead")
     label = F.col(quote(target)).cast("string")
     rows = df.filter(label.isNotNull())
     h = key_hash(seed, key)

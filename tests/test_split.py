@@ -69,10 +69,9 @@ def test_impossible_splits(spark):
         S.train_test_split(labelled(spark, {"a": 2, "b": 2, "c": 2}), ["k"], "y", test_size=0.2)
 
 
-@pytest.mark.parametrize(("levels", "large"), [((3, 6, 32), 50_000_000), ((1, 2, 32), 10), ((1, 2, 3, 32), 10)])
-def test_cuts_are_exact_ranks(spark, monkeypatch, levels, large):
+@pytest.mark.parametrize("levels", [(3, 6, 32), (1, 2, 32), (1, 2, 3, 32)])
+def test_cuts_are_exact_ranks(spark, monkeypatch, levels):
     monkeypatch.setattr(S, "LEVELS", levels)
-    monkeypatch.setattr(S, "LARGE_TABLE", large)
     df = labelled(spark, {"a": 500, "b": 37})
     h = F.md5(F.col("k").cast("string").cast("binary"))
     with S.HashOrder(df, F.col("y"), h) as order:
@@ -138,3 +137,22 @@ def test_large_side_is_not_shuffled(spark):
     parts = S.train_test_split(labelled(spark, {"a": 60, "b": 40}), ["k"], "y")
     plan = parts._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_upstream_is_read_once_before_a_split_is_applied(spark):
+    """Counting and searching the cuts look at one narrow table; the input is computed for it and never again."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = labelled(spark, {"a": 300, "b": 40})
+    S.train_test_split(df.mapInArrow(count, df.schema), ["k"], "y")
+    assert seen.value == 340
+
+
+def test_sample_size_is_limited(spark):
+    with pytest.raises(ValueError, match="more than"):
+        S.balanced_sample(labelled(spark, {"a": 3}), ["k"], "y", n=S.MAX_SAMPLE + 1)
