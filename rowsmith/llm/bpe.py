@@ -34,10 +34,10 @@ from rowsmith.llm.common import map_batches, whole_text
 
 # How a byte-level vocabulary cuts text into words.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-# Pieces kept per cache generation and process, the longest piece kept, and the longest word put into a trie.
-GENERATION, LONGEST_KEPT, LONGEST_IN_TRIE = 500_000, 64, 256
+# Entries per cache generation and process, and the longest text kept there.
+GENERATION, LONGEST_KEPT = 500_000, 64
 # Characters of the texts whose new words go into one trie.
-GROUP_CHARS = 8_000_000
+GROUP_CHARS = 2_000_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -103,20 +103,6 @@ class Vocabulary:
             else:
                 later, b, by_right = made_b[0], made_b[1], True
 
-    def last_token(self, word: bytes, end: int, last: list[int]) -> int:
-        """The last token of ``word[:end]``; ``last[i]`` is the last token of ``word[:i]``."""
-        ids, known = self.ids, self._stable
-        for start in range(max(0, end - self.longest), end):
-            token = ids.get(word[start:end])
-            if token is not None:
-                if start == 0:
-                    return token
-                before = last[start]
-                stable = known.get(before << 32 | token)
-                if stable or (stable is None and self.stable(before, token)):
-                    return token
-        raise ValueError("the vocabulary has no token for a byte")
-
     def read_back(self, last: list[int], end: int) -> bytes:
         """The tokens that end at ``end``, as little-endian unsigned 32-bit integers."""
         out = []
@@ -129,59 +115,67 @@ class Vocabulary:
         return struct.pack(f"<{len(out)}I", *out)
 
     def encode_words(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Token ids of every distinct word, by one depth-first walk over their trie."""
+        """Token ids of every distinct word, by one depth-first walk over their trie.
+
+        The trie is held as its words in order: a node is the run of words that share a prefix, and
+        reading the list is the depth-first walk. ``last[i]`` is the state of the node at depth
+        ``i`` on the current path, so a word only computes what its predecessor does not share.
+        """
         out: dict[bytes, bytes] = {}
-        trie: dict = {}
+        words = sorted(words)
+        ids, known, longest = self.ids.get, self._stable.get, self.longest
+        last = [0] * (1 + max(map(len, words), default=0))
+        previous, before = b"", 0
         for word in words:
-            if len(word) > LONGEST_IN_TRIE:  # a chain of its own: no dictionaries per byte
-                last = [0]
-                for end in range(1, len(word) + 1):
-                    last.append(self.last_token(word, end, last))
-                out[word] = self.read_back(last, len(word))
-                continue
-            node = trie
-            for byte in word:
-                child = node.get(byte)
-                if child is None:
-                    child = node[byte] = {}
-                node = child
-            node[-1] = word
-        last = [0] * (LONGEST_IN_TRIE + 1)
-        path = bytearray(LONGEST_IN_TRIE)
-        todo = [(child, byte, 1) for byte, child in trie.items()]
-        pop, push = todo.pop, todo.append
-        while todo:
-            node, byte, depth = pop()
-            path[depth - 1] = byte
-            last[depth] = self.last_token(bytes(path[:depth]), depth, last)
-            for following, child in node.items():
-                if following >= 0:
-                    push((child, following, depth + 1))
+            size = len(word)
+            shared, most = 0, min(size, before)
+            while shared < most and word[shared] == previous[shared]:
+                shared += 1
+            for end in range(shared + 1, size + 1):
+                for start in range(end - longest if end > longest else 0, end):
+                    token = ids(word[start:end])
+                    if token is not None:
+                        if not start:
+                            break
+                        left = last[start]
+                        stable = known(left << 32 | token)
+                        if stable or (stable is None and self.stable(left, token)):
+                            break
                 else:
-                    out[child] = self.read_back(last, depth)
+                    raise ValueError("the vocabulary has no token for a byte")
+                last[end] = token
+            out[word] = self.read_back(last, size)
+            previous, before = word, size
         return out
 
 
-class _Pieces(dict):
-    """Encodings of pieces by text: the new generation, which asks the old one on a miss.
+class _Cache(dict):
+    """Encodings by text: the new generation, which asks the old one on a miss and notes what neither has.
 
-    None marks a piece that is empty or begins with white space: cutting at the blank before it is not safe.
+    With ``after_blank``, None marks a text that is empty or begins with white space: cutting at the
+    blank before it is not safe.
     """
 
-    def __init__(self, old: dict):
+    def __init__(self, after_blank: bool = False, old: dict | None = None):
         super().__init__()
-        self.old, self.missing = old, set()
+        self.after_blank, self.old = after_blank, old or {}
+        self.missing, self.misses = set(), 0
 
-    def __missing__(self, piece: str):
-        found = self.old.get(piece, b"")
+    def __missing__(self, text: str):
+        found = self.old.get(text, b"")
         if found == b"":
-            if piece and not piece[0].isspace():
-                self.missing.add(piece)
+            if not self.after_blank or (text and not text[0].isspace()):
+                self.missing.add(text)
+                self.misses += 1
                 return b""
             found = None
-        self[piece] = found
+        self[text] = found
         return found
 
+    def renewed(self) -> _Cache:
+        """Itself, or the next generation if it is full."""
+        return self if len(self) <= GENERATION else _Cache(self.after_blank, dict(self))
+
 
 class Encoder:
     """Encodes and decodes texts; one per process, see :func:`encoder`."""
@@ -189,9 +183,9 @@ class Encoder:
     def __init__(self, path: str):
         self.vocab = Vocabulary(path)
         self._words = regex.compile(WORDS)
-        self._pieces = _Pieces({})
-        self._first: dict[str, bytes] = {}
-        self._first_missing: set[str] = set()
+        self._pieces = _Cache(after_blank=True)
+        self._bare = _Cache()
+        self._known = _Cache()
         self._added = regex.compile("(" + "|".join(map(regex.escape, sorted(self.vocab.added, key=len, reverse=True))) + ")") if self.vocab.added else None
         empty = b""
         spelled = [self.vocab.bytes_of.get(i, empty) for i in range(self.vocab.size)]
@@ -219,46 +213,41 @@ class Encoder:
 
     def _encode_some(self, texts: list[str]) -> list[bytes]:
         """Looks every piece up once to learn what is missing, encodes that in one trie, then joins."""
-        look = self._pieces.__getitem__
-        found: list[list] = []
+        caches = self._pieces, self._bare, self._known = [c.renewed() for c in (self._pieces, self._bare, self._known)]
+        pieces, bare, known = caches
+        found: list[list[tuple]] = []
         for text in texts:
-            parts = []
+            parts: list[tuple] = []
             for part, is_added in self._sections(text):
                 if is_added:
-                    parts.append((None, [self.vocab.added[part].to_bytes(4, "little")]))
+                    parts.append((None, [self.vocab.added[part].to_bytes(4, "little")], None))
                     continue
-                pieces = part.split(" ")
-                first = self._bare(pieces[0])
-                codes = list(map(look, pieces))
-                if None in codes[1:]:
-                    parts += [(None, [self._bare(w)]) for w in self._words.findall(part)]
-                else:
-                    codes[0] = first
-                    parts.append((pieces, codes))
+                first, *rest = part.split(" ")
+                misses = pieces.misses
+                codes = list(map(pieces.__getitem__, rest))
+                if None in codes:  # blanks next to other white space: word by word
+                    words = self._words.findall(part)
+                    codes = list(map(known.__getitem__, words))
+                    parts.append((None, codes, (known, words)))
+                    continue
+                if first:
+                    bare[first]
+                parts.append((first, codes, (pieces, rest) if pieces.misses > misses else None))
             found.append(parts)
-        fresh, bare = self._encode_missing()
+        too_long = self._encode_missing()
         out = []
         for parts in found:
-            joined = []
-            for pieces, codes in parts:
-                if isinstance(codes[0], str):
-                    codes[0] = bare[codes[0]]
-                if fresh and pieces is not None and b"" in codes:
-                    codes = [c or fresh.get(p, b"") for c, p in zip(codes, pieces)]
-                joined += codes
+            joined: list[bytes] = []
+            for first, codes, again in parts:
+                if first:
+                    joined.append(bare[first])
+                joined += list(map(again[0].__getitem__, again[1])) if again else codes
             out.append(b"".join(joined))
+        for cache, texts_ in zip(caches, too_long):
+            for text in texts_:
+                del cache[text]
         return out
 
-    def _bare(self, piece: str) -> bytes | str:
-        """The encoding of text without a blank in front, or the text itself if it is still to come."""
-        if not piece:
-            return b""
-        found = self._first.get(piece)
-        if found is None:
-            self._first_missing.add(piece)
-            return piece
-        return found
-
     def _sections(self, text: str) -> list[tuple[str, bool]]:
         """A text cut at added tokens."""
         if not text:
@@ -267,28 +256,35 @@ class Encoder:
             return [(text, False)]
         return [(s, s in self.vocab.added) for s in self._added.split(text) if s]
 
-    def _encode_missing(self) -> tuple[dict[str, bytes], dict[str, bytes]]:
-        """Encodings of the pieces that no cache had: with a blank in front, and without."""
-        missing, self._pieces.missing = self._pieces.missing, set()
-        bare, self._first_missing = self._first_missing, set()
-        find = self._words.findall
-        split = {piece: find(" " + piece) for piece in missing}
-        split_bare = {piece: find(piece) for piece in bare}
-        words = {w for ws in split.values() for w in ws}
-        words.update(w for ws in split_bare.values() for w in ws)
-        spelled = {w: w.encode("utf-8") for w in words}
-        known = self.vocab.encode_words(list(spelled.values()))
-        packed = {w: known[b] for w, b in spelled.items()}
-        fresh, fresh_bare = (
-            {piece: packed[ws[0]] if len(ws) == 1 else b"".join([packed[w] for w in ws]) for piece, ws in some.items()} for some in (split, split_bare)
-        )
-        if len(self._pieces) + len(fresh) > GENERATION:
-            self._pieces = _Pieces(dict(self._pieces))
-        self._pieces.update((k, v) for k, v in fresh.items() if len(k) <= LONGEST_KEPT)
-        if len(self._first) + len(fresh_bare) > GENERATION // 8:
-            self._first = {}
-        self._first.update((k, v) for k, v in fresh_bare.items() if len(k) <= LONGEST_KEPT)
-        return fresh, fresh_bare
+    def _words_of(self, text: str) -> list[str]:
+        """The words of a piece; letters, perhaps with a mark at the end, need no pattern."""
+        if text.isalpha():
+            return [text]
+        body = text[1:-1] if text[0] == " " else text[:-1]
+        if body.isalpha() and text[-1] in ".,;:!?":
+            return [text[:-1], text[-1]]
+        if text[0] == " " and text[1:].isalpha():
+            return [text]
+        return self._words.findall(text)
+
+    def _encode_missing(self) -> list[list[str]]:
+        """Fills the caches with what they lacked; returns the entries of each that are too long to stay."""
+        known = self._known
+        work = []
+        for cache, lead in ((self._pieces, " "), (self._bare, "")):
+            missing, cache.missing, cache.misses = cache.missing, set(), 0
+            split = {p: self._words_of(lead + p) for p in missing}
+            work.append((cache, split))
+            for words in split.values():
+                for word in words:
+                    known[word]
+        fresh, known.missing, known.misses = known.missing, set(), 0
+        spelled = {w: w.encode("utf-8") for w in fresh}
+        codes = self.vocab.encode_words(list(spelled.values()))
+        known.update((w, codes[b]) for w, b in spelled.items())
+        for cache, split in work:
+            cache.update((p, known[ws[0]] if len(ws) == 1 else b"".join([known[w] for w in ws])) for p, ws in split.items())
+        return [[p for p in some if len(p) > LONGEST_KEPT] for some in (work[0][1], work[1][1], fresh)]
 
     def decode_bytes(self, ids: np.ndarray) -> bytes:
         return self._spelled(ids)
