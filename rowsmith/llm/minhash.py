@@ -12,8 +12,11 @@ Sets that are equal are one class from the start, by a digest, so copies cost no
 are not paired off within a key's group. First each class meets the smallest class of its groups
 that shares most keys with it; what this links is contracted to components. Only keys whose
 members still lie in different components are looked at again, in blocks of bounded size, and only
-pairs across components whose signatures are close are confirmed. No pair is given up: a large
-group of near copies collapses in the first step, and what is left is compared in full.
+for pairs across components whose signatures are close. Such a pair is confirmed by itself, unless
+one side lies in a large component: then the other side is compared with the full sets of all its
+members, in blocks, and one link is enough. No pair is given up: a large group of near copies
+collapses in the first step, and what is left around it meets it in full, in rows that grow with
+the number of documents and not of pairs.
 
 Defined cases: a null text counts as empty; texts without words have no shingles and link with nothing.
 A text with fewer words than a shingle is one shingle. Rows that repeat an id are one document as
@@ -37,10 +40,15 @@ from rowsmith.session import Scratch
 
 CHUNKS, WIDTH, ERRORS, SEED = 10, 6, 1, 19
 VALUES = CHUNKS * WIDTH
-BLOCK = 512
+# Signatures, and full sets, that a block holds.
+BLOCK, SET_BLOCK = 1024, 512
+# Groups of at most this many classes are paired by a plain join; larger ones meet in blocks.
+SMALL = 24
+# A component of more classes than this is met as a whole, in blocks of its full sets, instead of pair by pair.
+LARGE = 48
 # Signatures that differ in more than this share of their values are not confirmed. At a similarity of 0.8
 # a fifth differs on average, with a deviation of a twentieth.
-FAR = 0.5
+FAR = 0.45
 # Hash values kept per process.
 WORDS_KEPT = 500_000
 
@@ -165,44 +173,111 @@ def first_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(shared.any(axis=1), shared.argmax(axis=1), -1)
 
 
+CANDIDATES = "a bigint, b bigint, target bigint"
+
+
 def _across(left: pd.DataFrame, right: pd.DataFrame, far: float) -> pd.DataFrame:
-    """Close pairs of two blocks of a key's group that lie in different components, each at its first shared key."""
-    empty = pd.DataFrame({"a": np.zeros(0, dtype=np.int64), "b": np.zeros(0, dtype=np.int64)})
+    """Close pairs of two blocks of a key's group that lie in different components, each at its first shared key.
+
+    On the left stand the classes outside the group's largest component ``top``, on the right all. Where the larger of the two components is large, the pair becomes the other class and that component.
+    """
+    empty = pd.DataFrame({"a": [], "b": [], "target": []}, dtype="Int64")
     if not len(left) or not len(right):
         return empty
-    key = int(left["key"].iloc[0])
+    key, top = int(left["key"].iloc[0]), int(left["top"].iloc[0])
     x, y = (np.frombuffer(b"".join(d["signature"]), dtype=np.uint16).reshape(-1, VALUES) for d in (left, right))
-    nx, ny, cx, cy = (d[c].to_numpy() for c in ("node", "component") for d in (left, right))
+    nx, ny, cx, cy, sx, sy = (d[c].to_numpy() for c in ("node", "component", "members") for d in (left, right))
     out = []
     for i in range(0, len(x), 64):
         differ = np.zeros((len(x[i : i + 64]), len(y)), dtype=np.int16)
         for k in range(VALUES):
             differ += x[i : i + 64, k, None] != y[None, :, k]
-        close = (differ <= far * VALUES) & (nx[i : i + 64, None] < ny[None, :]) & (cx[i : i + 64, None] != cy[None, :])
+        once = (cy == top)[None, :] | (nx[i : i + 64, None] < ny[None, :])
+        close = (differ <= far * VALUES) & once & (cx[i : i + 64, None] != cy[None, :])
         row, col = np.nonzero(close)
         row += i
         if len(row):
             at = first_shared(x[row], y[col])
             here = keys_of(x[row])[np.arange(len(row)), at] == key
-            out.append(np.stack([nx[row][here], ny[col][here]]))
-    if not out:
+            row, col = row[here], col[here]
+            out.append(pd.DataFrame({"a": nx[row], "b": ny[col], "c": cx[row], "d": cy[col], "m": sx[row], "n": sy[col]}))
+    if not out or not sum(map(len, out)):
         return empty
-    a, b = np.concatenate(out, axis=1)
-    return pd.DataFrame({"a": a, "b": b})
+    met = pd.concat(out)
+    second = (met["n"] > met["m"]) | ((met["n"] == met["m"]) & (met["d"] > met["c"]))
+    large = met[["m", "n"]].max(axis=1) > LARGE
+    pairs = met.loc[~large, ["a", "b"]].assign(target=pd.NA)
+    whole = pd.DataFrame({"a": met["a"].where(second, met["b"]), "b": pd.NA, "target": met["d"].where(second, met["c"])})[large].drop_duplicates()
+    return pd.concat([pairs, whole]).astype("Int64")
+
+
+def _block_links(asking: pd.DataFrame, members: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """For each asking class one member of the block that it is similar enough to, by full sets."""
+    found: tuple[list, list] = ([], [])
+    if len(asking) and len(members):
+        sets = [np.asarray(v) for v in (*asking["shingles"], *members["shingles"])]
+        sizes = np.array(list(map(len, sets)))
+        _, ids = np.unique(np.concatenate(sets), return_inverse=True)
+        split = sizes[: len(asking)].sum()
+        own, theirs = np.split(ids[:split], np.cumsum(sizes[: len(asking)])[:-1]), ids[split:]
+        n = sizes[len(asking) :]
+        first = np.cumsum(n) - n
+        flag = np.zeros(ids.max() + 1, dtype=np.int32)
+        nodes = members["node"].to_numpy()
+        for node, shingles in zip(asking["node"], own):
+            flag[shingles] = 1
+            common = np.add.reduceat(flag[theirs], first)
+            flag[shingles] = 0
+            similar = np.flatnonzero(100 * common >= percent * (n + len(shingles) - common))
+            if len(similar):
+                found[0].append(node)
+                found[1].append(nodes[similar[0]])
+    return pd.DataFrame({"a": np.array(found[0], dtype=np.int64), "b": np.array(found[1], dtype=np.int64)})
+
+
+def _sets_of(nodes: DataFrame, docs: DataFrame, scratch: Scratch, size: int) -> DataFrame:
+    """``doc_id, shingles`` of the documents named in ``nodes``; only these are read out in full."""
+    nodes = scratch.write(nodes.toDF("doc_id").distinct(), "asked")
+    wanted = drop_ids(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), nodes, how="left_semi")
+    return scratch.write(shingle_table(wanted, size).distinct(), "sets")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, scratch: Scratch, size: int, percent: int) -> DataFrame:
-    """The pairs whose full shingle sets are similar enough. Only documents in a pair are read out in full."""
-    nodes = scratch.write(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(), "asked")
-    sets = scratch.write(shingle_table(drop_ids(docs.withColumn("doc_id", F.col("doc_id").cast("bigint")).select("doc_id", "text"), nodes, how="left_semi"), size).distinct(), "sets")
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a").join(
-        sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b"
-    )
+    """The pairs whose full shingle sets are similar enough."""
+    sets = _sets_of(pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))), docs, scratch, size)
+    both = pairs.select("a", "b").join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
     common = F.size(F.array_intersect("x", "y"))
     union = F.size("x") + F.size("y") - common
     return scratch.write(both.where(100 * common >= percent * union).select("a", "b"), "confirmed")
 
 
+def confirmed_whole(asked: DataFrame, roots: DataFrame, docs: DataFrame, scratch: Scratch, size: int, percent: int, block: int) -> DataFrame:
+    """Links ``a, b`` between classes and the large components ``target`` that they might belong to."""
+    n_asking = asked.groupBy("target").agg(F.count("*").alias("n_a"))
+    members = roots.select("node", F.col("component").alias("target")).join(n_asking.select("target"), "target", "left_semi")
+    n_members = members.groupBy("target").agg(F.count("*").alias("n_m"))
+    blocks = n_asking.join(n_members, "target").select(
+        "target", F.ceil(F.col("n_a") / block).cast("int").alias("a_blocks"), F.ceil(F.col("n_m") / block).cast("int").alias("m_blocks")
+    )
+    blocks = scratch.write(blocks, "blocks")
+    members = scratch.write(members, "members")
+    sets = _sets_of(asked.select("a").unionByName(members.select(F.col("node").alias("a"))), docs, scratch, size).withColumnRenamed("doc_id", "node")
+
+    def side(rows: DataFrame, prefix: str, own: str, other: str) -> DataFrame:
+        rows = rows.join(blocks, "target").join(sets, "node")
+        every = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+        rows = rows.select("target", "node", "shingles", F.pmod(F.xxhash64("node"), F.col(own)).cast("int").alias(own[0]), every.alias(other[0]))
+        return rows.select(*(F.col(c).alias(prefix + c) for c in ("target", "a", "m", "node", "shingles")))
+
+    def meet(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        return _block_links(x.rename(columns=lambda c: c[2:]), y.rename(columns=lambda c: c[2:]), percent)
+
+    asking = side(asked.select("target", F.col("a").alias("node")), "x_", "a_blocks", "m_blocks")
+    asked_of = side(members, "y_", "m_blocks", "a_blocks")
+    met = asking.groupBy("x_target", "x_a", "x_m").cogroup(asked_of.groupBy("y_target", "y_a", "y_m"))
+    return scratch.write(met.applyInPandas(meet, "a bigint, b bigint"), "whole")
+
+
 def annotate(docs: DataFrame, size: int = 2, percent: int = 80, far: float = FAR, block: int = BLOCK) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row; links are similarities of ``percent`` hundredths or more."""
     spark = docs.sparkSession
@@ -227,27 +302,52 @@ def annotate(docs: DataFrame, size: int = 2, percent: int = 80, far: float = FAR
 
         # What is still apart within a key's group.
         roots = components(links, scratch)
+        sizes = roots.groupBy("component").agg(F.count("*").alias("members")).where(F.col("members") > 1)
         placed = shared.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+        placed = placed.join(sizes, "component", "left").select("key", "node", "component", F.coalesce("members", F.lit(1)).alias("members"))
         placed = scratch.write(placed, "placed")
-        split = placed.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count("*").alias("n")).where("c != d")
-        split = split.select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-        mixed = placed.join(split, "key").join(signed, "node")
-        mixed = scratch.write(mixed.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "mixed")
-
-        def side(own: str, other: str, prefix: str) -> DataFrame:
-            every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-            out = mixed.select("key", "node", "component", "signature", F.col("mine").alias(own), every.alias(other))
-            return out.select(*(F.col(c).alias(prefix + c) for c in ("key", "x", "y", "node", "component", "signature")))
+        top = F.max(F.struct("members", "component"))
+        split = placed.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count("*").alias("n"), top.alias("t")).where("c != d")
+        split = scratch.write(split.select("key", "n", F.col("t.component").alias("top")), "split")
+
+        few = placed.join(split.where(F.col("n") <= SMALL).select("key"), "key")
+        apart = few.toDF("key", "a", "c", "m").join(few.toDF("key", "b", "d", "n"), "key").where("a < b AND c != d").drop("key").distinct()
+        second = (F.col("n") > F.col("m")) | ((F.col("n") == F.col("m")) & (F.col("d") > F.col("c")))
+        whole = F.greatest("m", "n") > LARGE
+        near = _close(apart, signed, far).select(
+            F.when(whole & ~second, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(~whole, F.col("b")).alias("b"),
+            F.when(whole, F.when(second, F.col("d")).otherwise(F.col("c"))).alias("target"),
+        )
+
+        # Within the largest component of a group nothing is left to find, so only the others ask.
+        mixed = scratch.write(placed.join(split.where(F.col("n") > SMALL), "key").join(signed, "node"), "mixed")
+        asking = mixed.where("component != top")
+        counts = asking.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("x_blocks"))
+
+        def side(rows: DataFrame, own: str, other: str, prefix: str) -> DataFrame:
+            rows = rows.join(counts, "key").withColumn("y_blocks", F.ceil(F.col("n") / block).cast("int"))
+            mine = F.pmod(F.xxhash64("node"), F.col(f"{own}_blocks")).cast("int").alias(own)
+            every = F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)).alias(other)
+            out = rows.select("key", "top", "node", "component", "members", "signature", mine, every)
+            return out.select(*(F.col(c).alias(prefix + c) for c in ("key", "x", "y", "top", "node", "component", "members", "signature")))
 
         def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
             return _across(a.rename(columns=lambda c: c[2:]), b.rename(columns=lambda c: c[2:]), far)
 
-        left, right = side("x", "y", "a_"), side("y", "x", "b_")
+        left, right = side(asking, "x", "y", "a_"), side(mixed, "y", "x", "b_")
         met = left.groupBy("a_key", "a_x", "a_y").cogroup(right.groupBy("b_key", "b_x", "b_y"))
-        rest = scratch.write(met.applyInPandas(meet, "a bigint, b bigint").distinct(), "rest")
-        rest = scratch.write(rest.join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "second")
-        if not rest.isEmpty():
-            links = links.unionByName(confirmed(rest, docs, scratch, size, percent))
+        rest = scratch.write(near.unionByName(met.applyInPandas(meet, CANDIDATES)).distinct(), "rest")
+        tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        single = scratch.write(rest.where("target IS NULL").select("a", "b").join(tried, ["a", "b"], "left_anti"), "single")
+        asked = scratch.write(rest.where("target IS NOT NULL").select("a", "target").distinct(), "whole")
+        more = []
+        if not single.isEmpty():
+            more.append(confirmed(single, docs, scratch, size, percent))
+        if not asked.isEmpty():
+            more.append(confirmed_whole(asked, roots, docs, scratch, size, percent, min(block, SET_BLOCK)))
+        if more:
+            for new in more:
+                links = links.unionByName(new)
             roots = components(links, scratch)
 
         per_class = classes.join(roots, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
@@ -257,18 +357,18 @@ def annotate(docs: DataFrame, size: int = 2, percent: int = 80, far: float = FAR
 
 
 def _close(pairs: DataFrame, signed: DataFrame, far: float) -> DataFrame:
-    """The pairs ``a, b`` whose signatures differ in at most the share ``far`` of their values."""
-    both = pairs.join(signed.toDF("a", "x"), "a").join(signed.toDF("b", "y"), "b")
+    """The rows of ``pairs`` (``a, b`` and others) whose signatures differ in at most the share ``far`` of their values."""
+    both = pairs.join(signed.toDF("a", "x"), "a").join(signed.toDF("b", "y"), "b").select(*pairs.columns, "x", "y")
+    kept = pairs.columns
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint16).reshape(-1, VALUES) for c in (2, 3))
-            near = (x != y).sum(axis=1) <= far * VALUES
-            return batch.select(["a", "b"]).filter(pa.array(near))
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint16).reshape(-1, VALUES) for c in ("x", "y"))
+            return batch.select(kept).filter(pa.array((x != y).sum(axis=1) <= far * VALUES))
 
         return work
 
-    return map_batches(both.select("a", "b", "x", "y"), make, "a bigint, b bigint")
+    return map_batches(both, make, pairs.schema)
 
 
 def drop_near_copies(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

@@ -120,8 +120,8 @@ def test_block_pairs_appear_at_one_key_only():
     keys = minhash.keys_of(np.stack([one, near]))
     met = []
     for key in set(keys[0]) & set(keys[1]):
-        rows = pd.DataFrame({"key": key, "node": [1, 2], "component": [1, 2], "members": [1, 1], "signature": [one.tobytes(), near.tobytes()]})
-        met += minhash._across(rows, rows, 0.5)[["a", "b"]].values.tolist()
+        rows = pd.DataFrame({"key": key, "top": 2, "node": [1, 2], "component": [1, 2], "members": [1, 1], "signature": [one.tobytes(), near.tobytes()]})
+        met += minhash._across(rows.iloc[:1], rows, 0.5)[["a", "b"]].values.tolist()
     assert met == [[1, 2]]
 
 
