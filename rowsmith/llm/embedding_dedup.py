@@ -33,7 +33,7 @@ from rowsmith.session import Scratch
 
 COSINE, RECALL, SAMPLE, BLOCK, SEED = 0.93, 0.999, 8192, 1024, 5
 # Cells of the grid hold about this many classes of a label at least.
-PER_CELL = 64
+PER_CELL = 256
 
 CLASSED = "vec_id bigint, part string, digest string, unit array<double>"
 
