@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from rowsmith.plans import experiments as X
@@ -353,3 +354,25 @@ def train_own_split(spark, sf):
     """Accuracy of a tree of depth one on the parts that training splits off itself."""
     found = _overall(spark, train(sized_table(spark, sf), SIZED_SPEC, STUMP).results)
     return found.select("split", "n", "classes", r6("accuracy").alias("accuracy"))
+
+
+@query(
+    "score_strict",
+    """SELECT 'all' AS batch, count(*) FILTER (l_quantity NOT BETWEEN 1 AND 45) > 0 AS refused,
+      CASE WHEN count(*) FILTER (l_quantity NOT BETWEEN 1 AND 45) > 0 THEN 0 ELSE count(*) END AS n FROM lineitem
+    UNION ALL SELECT 'in range', false, count(*) FROM lineitem WHERE l_quantity BETWEEN 1 AND 45""",
+)
+def score_strict(spark, sf):
+    """One bad row refuses a whole batch; a batch without any is scored in full."""
+    rows = sized_table(spark, sf)
+    model = fit_pipeline(rows, SIZED_SPEC, RULE_TREE)
+    out = []
+    for name, batch in (("all", rows), ("in range", rows.filter("l_quantity BETWEEN 1 AND 45"))):
+        try:
+            n, refused = score(batch, model, SIZED_SPEC, mode="strict").agg(F.count("prediction").alias("n")).first()["n"], False
+        except PySparkException as e:
+            if "invalid row" not in str(e):
+                raise
+            n, refused = 0, True
+        out.append((name, refused, n))
+    return spark.createDataFrame(out, "batch string, refused boolean, n bigint")
