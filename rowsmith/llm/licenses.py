@@ -1,9 +1,13 @@
 """Licence scans by sentence rules.
 
-A text is split into sentences, each is normalised and looked up among known licence sentences, and
-what remains of the text is the sequence of identifiers found. Ordered rules are matched against that
+Known licence sentences are looked for in a text, case and everything between words aside, and what
+remains of the text is the sequence of identifiers found. Ordered rules are matched against that
 sequence. Everything is one projection over the scan: no shuffle, no Python, and a text without any
-word that a known sentence needs is not split at all.
+word that a known sentence needs is not searched at all.
+
+Sentences end at end marks and at lines without a word, so a line break with its comment mark is a
+blank. A known sentence may also begin or end at any line break, colon or semicolon, as one-line
+notices and list heads do; of two that begin at the same place the longer one counts.
 
 Defined cases: a null or empty text has no sentences and no licence. Sentences that are not known may
 stand between two of a rule, up to ``MAX_GAP`` of them; a wider gap breaks the sequence. A rule that is
@@ -65,18 +69,31 @@ RULES = (
 ANCHORS = ("licens", "copyright", "software", "warrant", "permission", "redistribut")
 MAX_GAP = 2
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# Where the SQL of this query splits; it takes texts whose sentences are on one line each.
 BREAK = r"[.!?]+[ \t\r\n\f\x0b]+|\n+"
+# What ends a sentence: end marks before a blank, or lines without a word. Capitals are free as marks, texts are in lower case.
+# No place is tried twice and no group recurses, so long runs of marks or empty lines cost linear time.
+END = r"(?<![.!?])[.!?]++[ \t\r\n\f\x0b]++|\n(?:[^\p{L}\p{N}\n]*+\n)++"
 
 
 def normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(sentence, "[^a-z0-9]+", " "))
 
 
+def known_pattern(sentences: tuple[str, ...]) -> str:
+    """A known sentence between two places where one may begin or end; ``H`` stands for an END."""
+    one_of = "|".join(s.replace(" ", "[^a-z0-9H]++") for s in sorted(sentences, key=len, reverse=True))
+    begin = r"(?:(?<![^H])|(?<=[a-z0-9])(?=[^a-z0-9H\n;:]*+[\n;:]))[^a-z0-9H]*+"
+    return rf"{begin}({one_of})(?=[^a-z0-9H\n;:]*+(?:[H\n;:]|$))"
+
+
 def identifier_sequence(text: Column, sentences: tuple[str, ...] = SENTENCES, max_gap: int = MAX_GAP) -> Column:
     """Numbers of the known sentences in order, like ``,12,13,0,2,``; 0 marks a gap that is too wide."""
     low = F.translate(text, UPPER, LOWER)
     known = F.array(*(F.lit(s) for s in sentences))
-    numbers = F.transform(F.split(low, BREAK, -1), lambda s: F.array_position(known, normalised(s)).cast("int"))
+    marked = F.regexp_replace(F.regexp_replace(low, END, "H"), known_pattern(sentences), "HK$1H")
+    pieces = F.filter(F.split(marked, "H", -1), lambda s: F.rlike(s, F.lit(r"[\p{L}\p{N}]")))
+    numbers = F.transform(pieces, lambda s: F.when(F.startswith(s, F.lit("K")), F.array_position(known, normalised(s)).cast("int")))
     hits = F.filter(F.transform(numbers, lambda n, i: F.struct(i.alias("at"), n.alias("n"))), lambda h: h["n"] > 0)
     # A hit further than the gap from the one before is preceded by a 0.
     spelled = F.aggregate(

@@ -1,3 +1,4 @@
+import textwrap
 from datetime import datetime
 
 from rowsmith.llm import licenses, url_filter
@@ -39,6 +40,111 @@ def test_rules(spark):
     assert found[9] == ("15,16", "gpl3-notice-short", "GPL-3.0-or-later")
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL ...
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+GPL3 = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+BSD3 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+BSD2 = BSD3[: BSD3.index("3. ")]
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+WRAPPED = [
+    (MIT, "12,13,14", "mit-text", "MIT"),
+    (APACHE, "8,9,10,11", "apache-header", "Apache-2.0"),
+    (GPL3, "15,16,17", "gpl3-notice", "GPL-3.0-or-later"),
+    (BSD3, "18,19,20,21", "bsd3-text", "BSD-3-Clause"),
+    (BSD2, "18,19,20", "bsd2-text", "BSD-2-Clause"),
+    (ISC, "22", "isc-grant", "ISC"),
+]
+
+
+def commented(text, mark, first="", last=""):
+    return first + "".join(f"{mark}{line}".rstrip() + "\n" for line in text.splitlines()) + last
+
+
+def test_wrapped_and_commented_texts(spark):
+    ways = [
+        lambda t: t,
+        lambda t: commented(t, "# ", "#!/bin/sh\n"),
+        lambda t: commented(t, " * ", "/*\n", " */\nint main() { return 0; }\n"),
+        lambda t: commented(t, "// ").replace("\n", "\r\n"),
+        lambda t: "Copyright 2020 A. Person\n" + t,  # no end mark before
+        lambda t: "\n\n".join(textwrap.fill(p, 40) for p in t.split("\n\n")),
+        lambda t: "\n\n".join(" ".join(p.split()) for p in t.split("\n\n")),  # not wrapped
+    ]
+    found = scan(spark, [way(text) for way in ways for text, *_ in WRAPPED])
+    assert list(found.values()) == [tuple(expected) for _ in ways for _, *expected in WRAPPED]
+
+
+def test_sentences_and_line_breaks(spark):
+    s = licenses.SENTENCES
+    wrapped = "Some words of\na long sentence\nover many lines\nof the file. "
+    found = scan(
+        spark,
+        [
+            "words without an end\nReleased under the MIT License\nand further words",
+            "Released under\n\nthe MIT License.",  # a blank line ends a sentence
+            "Released under\n#\n# the MIT License.",
+            "words Released under the MIT License.",
+            f"{s[11]}. {wrapped}{wrapped}{s[12]}.",
+            f"{s[11]}. {wrapped}{wrapped}{wrapped}{s[12]}.",
+            f"{s[11]}.\n日本\n\n日本\n\n日本\n\n{s[12]}.",
+            f"{s[11]}.\n---\n***\n\n+++\n{s[12]}.",
+        ],
+    )
+    assert [r[0] for r in found.values()] == ["2", "", "", "", "12,13", "12,0,13", "12,0,13", "12,13"]
+
+
+def test_long_runs(spark):
+    long = ["\n" * 300_000, "#\n" * 150_000, "." * 300_000, ":;" * 150_000, "日\n" * 150_000, "a\n" * 150_000]
+    found = scan(spark, [f"Released under the MIT License.{run}\nThe license. Licensed under\nthe MIT License" for run in long])
+    assert {r[2] for r in found.values()} == {"MIT"}
+
+
 def test_cases(cases, nothing):
     assert licenses.scan(cases).count() == cases.count()
     assert licenses.scan(nothing).count() == 0
