@@ -10,9 +10,9 @@ blank. A known sentence may also begin or end at any line break, colon or semico
 notices and list heads do; of two that begin at the same place the longer one counts.
 
 Defined cases: a null or empty text has no sentences and no licence. Sentences that are not known may
-stand between two of a rule, up to ``MAX_GAP`` of them; a wider gap breaks the sequence. A rule that is
-part of a longer matched rule is not reported. Rows are neither joined nor grouped, so null, repeated
-and tied ids change nothing, and further columns are not read.
+stand between two of a rule, up to ``MAX_GAP`` of them; a wider gap breaks the sequence. A rule is
+reported if it matches at some place where it is not part of a longer rule's match. Rows are neither
+joined nor grouped, so null, repeated and tied ids change nothing, and further columns are not read.
 """
 
 from __future__ import annotations
@@ -115,16 +115,22 @@ def _spelled(numbers: tuple[int, ...]) -> str:
     return "," + ",".join(map(str, numbers)) + ","
 
 
+def _free(numbers: tuple[int, ...], rules: tuple) -> str:
+    """A pattern of these numbers where they are not part of a longer rule's numbers."""
+    own = ",".join(map(str, numbers)) + ","
+    inside = ""
+    for _, _, longer in rules:
+        if len(longer) > len(numbers):
+            for i in range(len(longer) - len(numbers) + 1):
+                if longer[i : i + len(numbers)] == numbers:
+                    before, after = _spelled(longer[:i]) if i else ",", "".join(f"{n}," for n in longer[i + len(numbers) :])
+                    inside += f"(?!(?<={before}){own}{after})"
+    return f"(?<=,){inside}{own}"
+
+
 def matched_rules(sequence: Column, rules: tuple = RULES) -> Column:
-    """Names of the rules whose numbers stand in the sequence, without those inside a longer matched rule."""
-    named = []
-    for name, _, numbers in rules:
-        found = F.contains(sequence, F.lit(_spelled(numbers)))
-        for _, _, longer in rules:
-            if len(longer) > len(numbers) and _spelled(numbers) in _spelled(longer):
-                found = found & ~F.contains(sequence, F.lit(_spelled(longer)))
-        named.append(F.when(found, F.lit(name)))
-    return F.array_compact(F.array(*named))
+    """Names of the rules whose numbers stand in the sequence somewhere outside a longer rule's numbers."""
+    return F.array_compact(F.array(*(F.when(F.rlike(sequence, F.lit(_free(numbers, rules))), F.lit(name)) for name, _, numbers in rules)))
 
 
 def scan(docs: DataFrame, rules: tuple = RULES) -> DataFrame:

@@ -139,6 +139,34 @@ def test_sentences_and_line_breaks(spark):
     assert [r[0] for r in found.values()] == ["2", "", "", "", "12,13", "12,0,13", "12,0,13", "12,13"]
 
 
+def test_part_of_a_longer_rule_elsewhere(spark):
+    other = "One. Two. Three.\n\n"
+    found = scan(spark, [BSD3 + other + BSD2, BSD2 + other + BSD3, BSD3 + other + BSD3, BSD3 + BSD2, BSD3 + BSD3, GPL3 + other + GPL3[: GPL3.index("See")]])
+    assert [r[1:] for r in found.values()] == [
+        ("bsd3-text,bsd2-text", "BSD-2-Clause,BSD-3-Clause"),
+        ("bsd3-text,bsd2-text", "BSD-2-Clause,BSD-3-Clause"),
+        ("bsd3-text", "BSD-3-Clause"),
+        ("bsd3-text,bsd2-text", "BSD-2-Clause,BSD-3-Clause"),
+        ("bsd3-text", "BSD-3-Clause"),
+        ("gpl3-notice,gpl3-notice-short", "GPL-3.0-or-later"),
+    ]
+
+
+def test_places_of_rules(spark):
+    rules = (("a", "A", (1, 2, 1)), ("b", "B", (1, 2)), ("c", "C", (2,)), ("d", "D", (2, 1)), ("e", "E", (1,)))
+    expected = {
+        ",1,2,1,": ["a"],
+        ",1,2,1,2,1,": ["a"],  # overlapping matches of the longer rule
+        ",1,2,1,2,": ["a", "b"],
+        ",2,1,0,1,2,1,": ["a", "d"],
+        ",2,0,11,12,": ["c"],
+        ",1,2,0,1,": ["b", "e"],
+        ",": [],
+    }
+    df = spark.createDataFrame([(s,) for s in expected], "s string")
+    assert {r["s"]: r["n"] for r in df.select("s", licenses.matched_rules(df["s"], rules).alias("n")).collect()} == expected
+
+
 def test_long_runs(spark):
     long = ["\n" * 300_000, "#\n" * 150_000, "." * 300_000, ":;" * 150_000, "日\n" * 150_000, "a\n" * 150_000]
     found = scan(spark, [f"Released under the MIT License.{run}\nThe license. Licensed under\nthe MIT License" for run in long])
