@@ -13,6 +13,8 @@ expressions only.
 Defined cases: a capture without URL, host or time is never blocked. Entries with a null in any
 column are ignored, repeated ones count once, and of an addition and a removal at the same time the
 removal holds. An interval includes its start and excludes its end. An empty list blocks nothing.
+Case counts in paths only; final and doubled slashes do not count, so a prefix of just a host is the
+whole host without its subdomains.
 """
 
 from __future__ import annotations
@@ -38,15 +40,24 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
 
 
+def segments(path: Column) -> Column:
+    """The parts of a path between slashes, without empty ones."""
+    return F.filter(F.split(path, "/"), lambda s: s != "")
+
+
+def entry_key(scope: Column, value: Column) -> Column:
+    """The key that an entry names: hosts in lower case, the path of a prefix as it is but for needless slashes."""
+    host = F.lower(F.substring_index(value, "/", 1))
+    prefix = F.array_join(F.concat(F.array(host), segments(F.regexp_replace(value, "^[^/]*", ""))), "/")
+    return F.concat(scope, F.lit(":"), F.when(scope == "prefix", prefix).otherwise(F.lower(value)))
+
+
 def keys_of(host: Column, path: Column) -> Column:
-    """What an entry must name to hit this URL: ``domain:`` and each parent, ``prefix:`` and each longer one."""
+    """What an entry must name to hit this URL: ``domain:`` and each parent, ``prefix:`` of the host and each longer one."""
     labels = F.split(host, r"\.")
     parents = F.transform(F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))), lambda i: F.concat(F.lit("domain:"), F.array_join(F.slice(labels, i, F.size(labels)), ".")))
-    parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    longer = F.when(
-        F.size(parts) > 0,
-        F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.concat(F.lit("prefix:"), host, F.lit("/"), F.array_join(F.slice(parts, F.lit(1), i), "/"))),
-    ).otherwise(F.array().cast("array<string>"))
+    parts = segments(path)
+    longer = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda i: F.concat(F.lit("prefix:"), F.array_join(F.concat(F.array(host), F.slice(parts, F.lit(1), i)), "/")))
     return F.array_distinct(F.concat(parents, longer))
 
 
@@ -57,7 +68,7 @@ def intervals(entries: DataFrame) -> DataFrame:
     """
     states = (
         entries.where("scope IS NOT NULL AND value IS NOT NULL AND dated IS NOT NULL AND action IN ('add', 'remove')")
-        .groupBy(F.concat("scope", F.lit(":"), F.lower("value")).alias("key"), "dated")
+        .groupBy(entry_key(F.col("scope"), F.col("value")).alias("key"), "dated")
         .agg(F.max("action").alias("action"))  # 'remove' sorts after 'add'
     )
     by_key = W.partitionBy("key").orderBy("dated")

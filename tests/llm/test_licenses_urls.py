@@ -228,6 +228,23 @@ def test_as_of(spark):
     assert got == {0: hit, 1: hit, 2: no, 3: no, 4: no, 5: no, 6: no, 7: no, 8: yes, 9: yes}
 
 
+def test_prefixes_with_capitals_and_slashes(spark):
+    urls = [
+        "http://site.org/Private/x", "http://SITE.org/Private", "http://site.org/private/x", "http://site.org/Private2",
+        "http://ads.org/ads", "http://ads.org/ads/", "http://ads.org/ads/x?y", "http://ads.org//ads//y", "http://ads.org/adserver",
+        "http://whole.org", "http://whole.org/?q", "http://whole.org/a/b", "http://www.whole.org/",
+    ]
+    entries = [
+        ("prefix", "Site.org/Private", "add", day(2)),
+        ("prefix", "site.org/Private/", "add", day(3)),  # the same entry
+        ("prefix", "ads.org/ads/", "add", day(2)),
+        ("prefix", "whole.org/", "add", day(2)),
+    ]
+    got = judged(spark, [(u, day(5)) for u in urls], entries)
+    private, ads, whole, no = [(1, f"prefix:{k}", True) for k in ("site.org/Private", "ads.org/ads", "whole.org")] + [(0, "", False)]
+    assert list(got[i] for i in range(len(urls))) == [private, private, no, no, ads, ads, ads, ads, no, whole, whole, whole, no]
+
+
 def test_hot_domain_is_salted_alike(spark):
     rows = [(f"http://h{i % 3}.bad.example/p{i}", day(1 + i % 25)) for i in range(300)]
     got = judged(spark, rows)
