@@ -53,9 +53,9 @@ def entry_key(scope: Column, value: Column) -> Column:
 
 
 def keys_of(host: Column, path: Column) -> Column:
-    """What an entry must name to hit this URL: ``domain:`` and each parent, ``prefix:`` of the host and each longer one."""
+    """What an entry must name to hit this URL: ``domain:`` and each parent up to the last label, ``prefix:`` of the host and each longer one."""
     labels = F.split(host, r"\.")
-    parents = F.transform(F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))), lambda i: F.concat(F.lit("domain:"), F.array_join(F.slice(labels, i, F.size(labels)), ".")))
+    parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat(F.lit("domain:"), F.array_join(F.slice(labels, i, F.size(labels)), ".")))
     parts = segments(path)
     longer = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda i: F.concat(F.lit("prefix:"), F.array_join(F.concat(F.array(host), F.slice(parts, F.lit(1), i)), "/")))
     return F.array_distinct(F.concat(parents, longer))

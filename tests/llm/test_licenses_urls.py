@@ -245,6 +245,20 @@ def test_prefixes_with_capitals_and_slashes(spark):
     assert list(got[i] for i in range(len(urls))) == [private, private, no, no, ads, ads, ads, ads, no, whole, whole, whole, no]
 
 
+def test_top_level_domain(spark):
+    urls = ["http://a.zip/x", "http://a.b.ZIP", "http://zip/", "http://a.unzip", "http://zip.example/zip", "http://b.zip"]
+    entries = [("domain", "zip", "add", day(2)), ("domain", "b.zip", "add", day(3))]
+    got = judged(spark, [(u, day(5)) for u in urls] + [("http://a.zip/x", day(1))], entries)
+    yes, no = (1, "domain:zip", True), (0, "", False)
+    assert got == {0: yes, 1: (2, "domain:b.zip domain:zip", True), 2: yes, 3: no, 4: no, 5: (2, "domain:b.zip domain:zip", True), 6: no}
+
+
+def test_hot_top_level_domain(spark):
+    rows = [(f"http://h{i}.zip/p{i}", day(1 + i % 25)) for i in range(300)]
+    got = judged(spark, rows, [("domain", "zip", "add", day(5)), ("domain", "zip", "remove", day(10))])
+    assert all(got[i] == ((1, "domain:zip", True) if day(5) <= t < day(10) else (0, "", False)) for i, (_, t) in enumerate(rows))
+
+
 def test_hot_domain_is_salted_alike(spark):
     rows = [(f"http://h{i % 3}.bad.example/p{i}", day(1 + i % 25)) for i in range(300)]
     got = judged(spark, rows)
