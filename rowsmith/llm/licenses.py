@@ -65,8 +65,39 @@ RULES = (
     ("bsd2-text", "BSD-2-Clause", (18, 19, 20)),
     ("isc-grant", "ISC", (22,)),
 )
+# What the SQL of this query knows: the sentences and rules above.
+SQL_SENTENCES, SQL_RULES = SENTENCES, RULES
+# Rule, licence and one sentence that is enough for it: notices, and the headings of whole texts.
+SINGLE = (
+    ("apache-full", "Apache-2.0", "apache license version 2 0 january 2004"),
+    ("gpl3-full", "GPL-3.0", "gnu general public license version 3 29 june 2007"),
+    ("gpl2-full", "GPL-2.0", "gnu general public license version 2 june 1991"),
+    ("lgpl3-full", "LGPL-3.0", "gnu lesser general public license version 3 29 june 2007"),
+    ("lgpl21-full", "LGPL-2.1", "gnu lesser general public license version 2 1 february 1999"),
+    ("agpl3-full", "AGPL-3.0", "gnu affero general public license version 3 19 november 2007"),
+    ("mpl2-full", "MPL-2.0", "mozilla public license version 2 0"),
+    ("epl2-full", "EPL-2.0", "eclipse public license v 2 0"),
+    ("epl1-full", "EPL-1.0", "eclipse public license v 1 0"),
+    ("cc0-full", "CC0-1.0", "cc0 1 0 universal"),
+    ("gpl2-notice", "GPL-2.0-or-later", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version"),
+    ("gpl2-only-notice", "GPL-2.0-only", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by the free software foundation"),
+    ("lgpl3-notice", "LGPL-3.0-or-later", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("lgpl21-notice", "LGPL-2.1-or-later", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version"),
+    ("agpl3-notice", "AGPL-3.0-or-later", "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("mpl2-notice", "MPL-2.0", "this source code form is subject to the terms of the mozilla public license v"),  # the text goes on with '. 2.0'
+    ("epl2-notice", "EPL-2.0", "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0"),
+    ("unlicense", "Unlicense", "this is free and unencumbered software released into the public domain"),
+)
+# Tags 'SPDX-License-Identifier: X' of one licence.
+SPDX = (
+    "Apache-2.0", "MIT", "ISC", "Unlicense", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "EPL-1.0", "EPL-2.0",
+    *(f"{x}{end}" for x in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0") for end in ("", "-only", "-or-later")),
+)
+SINGLE += tuple((f"spdx-{x.lower()}", x, "spdx license identifier " + x.lower().replace("-", " ").replace(".", " ")) for x in SPDX)
+RULES += tuple((name, licence, (i,)) for i, (name, licence, _) in enumerate(SINGLE, len(SENTENCES) + 1))
+SENTENCES += tuple(s for _, _, s in SINGLE)
 # Every known sentence holds one of these.
-ANCHORS = ("licens", "copyright", "software", "warrant", "permission", "redistribut")
+ANCHORS = ("licens", "copyright", "software", "warrant", "permission", "redistribut", "cc0")
 MAX_GAP = 2
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Where the SQL of this query splits; it takes texts whose sentences are on one line each.
@@ -87,6 +118,11 @@ def known_pattern(sentences: tuple[str, ...]) -> str:
     return rf"{begin}({one_of})(?=[^a-z0-9H\n;:]*+(?:[H\n;:]|$))"
 
 
+def anchors_of(sentences: tuple[str, ...]) -> tuple[str, ...]:
+    """ANCHORS, and the longest word of each sentence that holds none of them."""
+    return ANCHORS + tuple(sorted({max(s.split(), key=len) for s in sentences if not any(a in s for a in ANCHORS)}))
+
+
 def identifier_sequence(text: Column, sentences: tuple[str, ...] = SENTENCES, max_gap: int = MAX_GAP) -> Column:
     """Numbers of the known sentences in order, like ``,12,13,0,2,``; 0 marks a gap that is too wide."""
     low = F.translate(text, UPPER, LOWER)
@@ -106,7 +142,7 @@ def identifier_sequence(text: Column, sentences: tuple[str, ...] = SENTENCES, ma
         lambda seen: seen["s"],
     )
     anchored = F.lit(False)
-    for word in ANCHORS:
+    for word in anchors_of(sentences):
         anchored = anchored | F.contains(low, F.lit(word))
     return F.when(anchored, spelled).otherwise(F.lit(","))
 
@@ -133,10 +169,10 @@ def matched_rules(sequence: Column, rules: tuple = RULES) -> Column:
     return F.array_compact(F.array(*(F.when(F.rlike(sequence, F.lit(_free(numbers, rules))), F.lit(name)) for name, _, numbers in rules)))
 
 
-def scan(docs: DataFrame, rules: tuple = RULES) -> DataFrame:
-    """``doc_id, sentence_ids, rules, licenses, n_licenses`` of every document."""
+def scan(docs: DataFrame, rules: tuple = RULES, sentences: tuple[str, ...] = SENTENCES) -> DataFrame:
+    """``doc_id, sentence_ids, rules, licenses, n_licenses`` of every document; ``sentences`` are normalised."""
     licence_of = F.create_map(*(F.lit(x) for name, licence, _ in rules for x in (name, licence)))
-    found = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), identifier_sequence(whole_text()).alias("seq"))
+    found = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), identifier_sequence(whole_text(), sentences).alias("seq"))
     found = found.select("doc_id", "seq", matched_rules(F.col("seq"), rules).alias("named"))
     licences = F.array_sort(F.array_distinct(F.transform("named", lambda n: licence_of[n])))
     return found.select(
@@ -146,9 +182,9 @@ def scan(docs: DataFrame, rules: tuple = RULES) -> DataFrame:
 
 
 def oracle() -> str:
-    """The same as SQL: sentences as rows, gaps by a window, rules by joins."""
-    quoted = ", ".join(f"({i}, '{s}')" for i, s in enumerate(SENTENCES, 1))
-    rules = ", ".join(f"({k}, '{n}', '{c}', '{_spelled(x)}', {len(x)})" for k, (n, c, x) in enumerate(RULES))
+    """The same as SQL, for SQL_RULES: sentences as rows, gaps by a window, rules by joins."""
+    quoted = ", ".join(f"({i}, '{s}')" for i, s in enumerate(SQL_SENTENCES, 1))
+    rules = ", ".join(f"({k}, '{n}', '{c}', '{_spelled(x)}', {len(x)})" for k, (n, c, x) in enumerate(SQL_RULES))
     return rf"""
     WITH known(n, s) AS (VALUES {quoted}),
     rules(k, name, licence, seq, len) AS (VALUES {rules}),

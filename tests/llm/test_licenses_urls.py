@@ -167,6 +167,29 @@ def test_places_of_rules(spark):
     assert {r["s"]: r["n"] for r in df.select("s", licenses.matched_rules(df["s"], rules).alias("n")).collect()} == expected
 
 
+def test_more_licences(spark):
+    texts = {
+        "                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n": "Apache-2.0",
+        "                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n Copyright": "GPL-2.0",
+        "                   GNU LESSER GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n": "LGPL-3.0",
+        commented(GPL3.replace("version 3", "version 2"), " * ", "/*\n", " */\n"): "GPL-2.0-or-later",
+        commented(GPL3.replace("GNU General", "GNU Affero General"), "# "): "AGPL-3.0-or-later",
+        "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this\n * file, You can obtain one at http://mozilla.org/MPL/2.0/. */\n": "MPL-2.0",
+        "This is free and unencumbered software released into the public domain.\n": "Unlicense",
+        "CC0 1.0 Universal\n\nStatement of Purpose": "CC0-1.0",
+        "// SPDX-License-Identifier: GPL-2.0-or-later\nint x;\n": "GPL-2.0-or-later",
+        "/* SPDX-License-Identifier: MIT */\nint x;\n": "MIT",
+        "# SPDX-License-Identifier: LGPL-2.1-only\n": "LGPL-2.1-only",
+    }
+    assert [r[2] for r in scan(spark, list(texts)).values()] == list(texts.values())
+
+
+def test_own_sentences(spark):
+    df = spark.createDataFrame([(1, "Words. Use it\nas you like. End."), (2, "Released under the MIT License.")], "doc_id int, text string")
+    found = licenses.scan(df, (("own", "Own-1.0", (1,)),), ("use it as you like",)).collect()
+    assert {r["doc_id"]: (r["sentence_ids"], r["licenses"]) for r in found} == {1: ("1", "Own-1.0"), 2: ("", "")}
+
+
 def test_long_runs(spark):
     long = ["\n" * 300_000, "#\n" * 150_000, "." * 300_000, ":;" * 150_000, "日\n" * 150_000, "a\n" * 150_000]
     found = scan(spark, [f"Released under the MIT License.{run}\nThe license. Licensed under\nthe MIT License" for run in long])
