@@ -47,8 +47,8 @@ SMALL = 24
 # A component of more classes than this is met as a whole, in blocks of its full sets, instead of pair by pair.
 LARGE = 48
 # Signatures that differ in more than this share of their values are not confirmed. At a similarity of 0.8
-# a fifth differs on average, with a deviation of a twentieth.
-FAR = 0.45
+# a fifth differs on average, with a deviation of a twentieth, so 4.9e-8 of such pairs are lost.
+FAR = 0.5
 # Hash values kept per process.
 WORDS_KEPT = 500_000
 

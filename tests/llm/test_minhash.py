@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -142,3 +143,9 @@ def test_components(spark):
         got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a bigint, b bigint"), scratch).collect()}
         assert components(spark.createDataFrame([], "a bigint, b bigint"), scratch).count() == 0
     assert got == {i: find(i) for i in {x for p in links for x in p if p[0] != p[1]}}
+
+
+def test_few_similar_pairs_are_far():
+    n = minhash.VALUES
+    lost = sum(math.comb(n, k) * 0.2**k * 0.8 ** (n - k) for k in range(int(n * minhash.FAR) + 1, n + 1))
+    assert lost < 1e-7
