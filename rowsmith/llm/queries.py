@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsmith.llm import bpe, embedding_dedup, exact_dedup, licenses, minhash, packing, quality, secrets, sharding, url_filter
+from rowsmith.llm import (
+    bpe, divergence, embedding_dedup, exact_dedup, language_model, licenses, minhash, packing, quality, secrets, sharding, spelling, url_filter,
+)
 from rowsmith.queries.base import derive, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +132,18 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_minhash")
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.annotate(table(spark, sf_dir, "documents"))
+
+
+@query("op11_divergence", divergence.oracle())
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query("op12_language_model")
+def op12_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(table(spark, sf_dir, "documents"))
+
+
+@query("op13_spelling")
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"))

@@ -18,4 +18,4 @@ def test_matches_sql(spark, sf_dir, name):
 
 def test_every_operator_has_a_query():
     numbers = {int(name[2:].split("_")[0]) for name in LLM_QUERIES if name.startswith("op")}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
