@@ -57,28 +57,29 @@ def keyed(docs: DataFrame) -> DataFrame:
 def single_counts(rows: DataFrame) -> DataFrame:
     """``lang, source, term, n, df``, partly summed, of rows whose texts occur once."""
 
-    def table(totals: dict) -> pa.RecordBatch:
-        flat = [(lang, source, term.decode("utf-8"), n, df) for (lang, source), found in totals.items() for term, (n, df) in found.items()]
-        columns = list(zip(*flat)) or [[]] * 5
-        types = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64())
-        return pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], names=["lang", "source", "term", "n", "df"])
+    def tables(totals: dict) -> Iterator[pa.RecordBatch]:
+        while totals:
+            (lang, source), (n, df) = totals.popitem()
+            terms = pa.array([t.decode("utf-8") for t in n], pa.string())
+            groups = [pa.array([x] * len(n), pa.string()) for x in (lang, source)]
+            numbers = [pa.array(x, pa.int64()) for x in (list(n.values()), list(map(df.__getitem__, n)))]
+            yield pa.record_batch([*groups, terms, *numbers], names=["lang", "source", "term", "n", "df"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict = defaultdict(dict)
+        totals: dict = defaultdict(lambda: (Counter(), Counter()))
         held = 0
         for batch in batches:
             for lang, source, text in zip(*(c.to_pylist() for c in batch.columns)):
-                mine = totals[lang, source]
-                held -= len(mine)
-                for term, n in Counter(terms_of(text)).items():
-                    before = mine.get(term)
-                    mine[term] = (n, 1) if before is None else (before[0] + n, before[1] + 1)
-                held += len(mine)
+                n, df = totals[lang, source]
+                held -= len(n)
+                terms = terms_of(text)
+                n.update(terms)
+                df.update(set(terms))
+                held += len(n)
                 if held > COUNTED:
-                    yield table(totals)
-                    totals.clear()
+                    yield from tables(totals)
                     held = 0
-        yield table(totals)
+        yield from tables(totals)
 
     rows = rows.select("lang", "source", F.col("text").cast("binary").alias("text"))
     return rows.mapInArrow(run, "lang string, source string, term string, n bigint, df bigint")
@@ -114,7 +115,10 @@ def term_counts(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame
     held = held.select("key", "lang", "source", "copies", F.pmod(F.xxhash64("source"), F.col("parts")).cast("int").alias("part"))
     weighted = held.join(found, ["key", "part"]).select("lang", "source", "copies", F.inline("terms"))
     weighted = weighted.select("lang", "source", "term", (F.col("c") * F.col("copies")).alias("n"), F.col("copies").alias("df"))
-    counts = single_counts(once).unionByName(weighted).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
+    # Tasks have combined what they could, so these rows go straight to where they are summed; the copies are combined first.
+    group = ("lang", "source", "term")
+    sums = (F.sum("n").alias("n"), F.sum("df").alias("df"))
+    counts = single_counts(once).unionByName(weighted.groupBy(*group).agg(*sums)).repartition(*group).groupBy(*group).agg(*sums)
     return scratch.write(counts, "counts"), groups
 
 
