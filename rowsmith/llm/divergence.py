@@ -37,7 +37,7 @@ SOURCES, TERMS = 128, 4096
 # A text in more sources than this is met by several tasks.
 SPREAD = 1000
 # Counted (lang, source, term) entries that a task holds.
-COUNTED = 400_000
+COUNTED = 250_000
 
 # Bytes of terms stay, A-Z become lower case, every other ASCII byte parts terms; longer code points have no ASCII bytes.
 _TERM = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 0x80 else 32 for b in range(256))

@@ -42,13 +42,13 @@ from rowsmith.session import Scratch
 # Symbols that stand for one word each, the end among them, and classes of the other words.
 SHORT, CLASSES = 448, 64
 # Symbols of a context, numbers of a vector.
-CONTEXT, WIDTH = 3, 32
+CONTEXT, WIDTH = 2, 32
 # Words whose counts every task knows; about 30 bytes each.
 KNOWN = 131_072
 # Parts of 16 of the training documents that each round reads.
 ROUNDS = (1, 3, 12)
 # Tokens of a step, its noise samples, the step size of the first round.
-STEP, NOISE, RATE = 1024, 128, 0.15
+STEP, NOISE, RATE = 2048, 64, 0.25
 # Tokens that are scored together, and rows of a product.
 STRETCH, PRODUCT = 500_000, 4096
 # Distinct words that a task counts before it hands them on.
@@ -207,11 +207,10 @@ def contexts(symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def _added(target: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
-    """``target[rows] += values``, also where rows repeat."""
-    order = np.argsort(rows, kind="stable")
-    rows = rows[order]
-    first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-    target[rows[first]] += np.add.reduceat(values[order], first, axis=0)
+    """``target[rows] += values``, also where rows repeat; ``target`` is contiguous."""
+    width = target[0].size
+    places = rows[:, None] * width + np.arange(width)
+    np.add.at(target.reshape(-1), places.reshape(-1), values.reshape(-1))
 
 
 def train_steps(model: Model, symbols: np.ndarray, context: np.ndarray, noise: np.ndarray, rng, rate: float, moments: np.ndarray) -> None:
@@ -225,26 +224,29 @@ def train_steps(model: Model, symbols: np.ndarray, context: np.ndarray, noise: n
         at = order[i : i + STEP]
         target, ctx = symbols[at], context[at]
         drawn = np.minimum(np.searchsorted(cumulated, rng.random(NOISE)), len(noise) - 1)
-        vectors = r[ctx]
-        predicted = (vectors * c).sum(axis=1)
-        true = (predicted * q[target]).sum(axis=1) + b[target] - log_noise[target]
-        false = predicted @ q[drawn].T + b[drawn] - log_noise[drawn]
+        vectors = [r.take(ctx[:, k], axis=0) for k in range(CONTEXT)]
+        predicted = sum(v * c[k] for k, v in enumerate(vectors))
+        hit, missed = q.take(target, axis=0), q[drawn]
+        true = np.einsum("ij,ij->i", predicted, hit) + b[target] - log_noise[target]
+        false = predicted @ missed.T + (b[drawn] - log_noise[drawn])
         # The gradient of the log-likelihood of telling tokens from noise.
-        pull = (1 / (1 + np.exp(np.clip(true, -30, 30)))).astype(np.float32)
-        push = (-1 / (1 + np.exp(np.clip(-false, -30, 30)))).astype(np.float32)
+        pull = 1 / (1 + np.exp(np.clip(true, -30, 30)))
+        push = -1 / (1 + np.exp(np.clip(-false, -30, 30)))
         grad = Model(np.zeros_like(model.weights))
         gr, gc, gq, gb = grad.parts()
         _added(gq, target, pull[:, None] * predicted)
         _added(gq, drawn, push.T @ predicted)
-        _added(gb, target, pull)
-        _added(gb, drawn, push.sum(axis=0))
-        back = pull[:, None] * q[target] + push @ q[drawn]
-        for k in range(CONTEXT):
+        gb += np.bincount(target, pull, len(gb)) + np.bincount(drawn, push.sum(axis=0), len(gb))
+        back = pull[:, None] * hit + push @ missed
+        for k, v in enumerate(vectors):
             _added(gr, ctx[:, k], back * c[k])
-            gc[k] += (back * vectors[:, k]).sum(axis=0)
-        step = grad.weights / len(at)
+            gc[k] = np.einsum("ij,ij->j", back, v)
+        step = grad.weights
+        step /= np.float32(len(at))
         moments += step * step
-        model.weights += (rate * step / np.sqrt(moments + 1e-8)).astype(np.float32)
+        step *= np.float32(rate)
+        step /= np.sqrt(moments + np.float32(1e-8))
+        model.weights += step
 
 
 def coded(texts: list[bytes], codes: Codes) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
