@@ -45,10 +45,13 @@ SHORT, CLASSES = 448, 64
 CONTEXT, WIDTH = 2, 32
 # Words whose counts every task knows; about 30 bytes each.
 KNOWN = 131_072
-# Parts of 16 of the training documents that each round reads.
-ROUNDS = (1, 3, 12)
-# Tokens of a step, its noise samples, the step size of the first round.
-STEP, NOISE, RATE = 2048, 64, 0.25
+# For each round the parts of 16 of the training documents that it reads, and the tokens of a step.
+ROUNDS = ((1, 256), (3, 512), (12, 2048))
+# Noise samples of a step, the step size of the first round.
+NOISE, RATE = 64, 0.25
+# Products of this many multiplications are done in one thread by common BLAS libraries; the threads of a task
+# that shares its machine with others only wait for each other.
+SINGLE = 200_000
 # Tokens that are scored together, and rows of a product.
 STRETCH, PRODUCT = 500_000, 4096
 # Distinct words that a task counts before it hands them on.
@@ -149,18 +152,33 @@ class Codes(dict):
         return self.known + class_of(key)
 
 
+def frequent(counts: DataFrame) -> list[tuple[bytes, int]]:
+    """At most ``KNOWN`` of the words, all above a count that a histogram shows; no task sends more than is kept.
+
+    The end comes first, whatever its count; ties follow the order of the keys.
+    """
+    step = F.floor(F.log2("n") * 64).cast("int")
+    steps = {r["s"]: r["words"] for r in counts.groupBy(step.alias("s")).agg(F.count("*").alias("words")).collect()}
+    low, room = max(steps, default=0) + 1, KNOWN - 1
+    for s in sorted(steps, reverse=True):
+        room -= steps[s]
+        if room < 0:
+            break
+        low = s
+    rows = counts.where((step >= low) | (F.col("key") == F.lit(END))).collect()
+    found = {END: 0} | {bytes(r["key"]): r["n"] for r in rows}
+    return sorted(found.items(), key=lambda x: (x[0] != END, -x[1], x[0]))
+
+
 def vocabulary(counts: DataFrame) -> Vocabulary:
     """The most frequent words of the written table ``counts``, and totals of all others by class."""
     whole = counts.agg(F.sum("n").alias("total"), F.count("*").alias("words")).first()
-    # The end comes first, whatever its count; ties follow the order of the keys.
-    top = counts.orderBy((F.col("key") != F.lit(END)), F.col("n").desc(), "key").limit(KNOWN).collect()
-    keys, n = [bytes(r["key"]) for r in top], [r["n"] for r in top]
-    if not keys or keys[0] != END:
-        keys, n = [END, *keys], [0, *n]
+    top = frequent(counts)
+    keys, n = [k for k, _ in top], [c for _, c in top]
     of_class = {r["c"]: (r["n"], r["words"]) for r in counts.groupBy(class_column("key").alias("c")).agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect()}
     total = np.array([of_class.get(c, (0, 0))[0] for c in range(CLASSES)], dtype=np.int64)
     words = np.array([of_class.get(c, (0, 0))[1] for c in range(CLASSES)], dtype=np.int64)
-    for k, count in list(zip(keys, n))[:SHORT]:
+    for k, count in top[:SHORT]:
         if count:
             total[class_of(k)] -= count
             words[class_of(k)] -= 1
@@ -213,31 +231,51 @@ def _added(target: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
     np.add.at(target.reshape(-1), places.reshape(-1), values.reshape(-1))
 
 
-def train_steps(model: Model, symbols: np.ndarray, context: np.ndarray, noise: np.ndarray, rng, rate: float, moments: np.ndarray) -> None:
-    """Noise-contrastive steps over the tokens in random order, in place; ``moments`` are summed squares of gradients."""
+def product(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """``x @ y`` in blocks of rows."""
+    rows = max(1, SINGLE // y.size)
+    whole = len(x) // rows * rows
+    out = np.empty((len(x), y.shape[1]), dtype=x.dtype)
+    np.matmul(x[:whole].reshape(-1, rows, x.shape[1]), y, out=out[:whole].reshape(-1, rows, y.shape[1]))
+    out[whole:] = x[whole:] @ y
+    return out
+
+
+def inner_product(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """``x.T @ y`` in blocks of rows."""
+    rows = max(1, SINGLE // (x.shape[1] * y.shape[1]))
+    whole = len(x) // rows * rows
+    blocks = np.matmul(x[:whole].reshape(-1, rows, x.shape[1]).transpose(0, 2, 1), y[:whole].reshape(-1, rows, y.shape[1]))
+    return blocks.sum(axis=0) + x[whole:].T @ y[whole:]
+
+
+def train_steps(
+    model: Model, symbols: np.ndarray, context: np.ndarray, noise: np.ndarray, rng, rate: float, moments: np.ndarray, size: int = 2048
+) -> None:
+    """Noise-contrastive steps of ``size`` tokens each, in random order, in place; ``moments`` are summed squares of gradients."""
     weights = Model(model.weights)
     r, c, q, b = weights.parts()
     log_noise = np.log(noise * NOISE).astype(np.float32)
     order = rng.permutation(len(symbols))
     cumulated = np.cumsum(noise)
-    for i in range(0, len(order), STEP):
-        at = order[i : i + STEP]
+    for i in range(0, len(order), size):
+        at = order[i : i + size]
         target, ctx = symbols[at], context[at]
         drawn = np.minimum(np.searchsorted(cumulated, rng.random(NOISE)), len(noise) - 1)
         vectors = [r.take(ctx[:, k], axis=0) for k in range(CONTEXT)]
         predicted = sum(v * c[k] for k, v in enumerate(vectors))
         hit, missed = q.take(target, axis=0), q[drawn]
         true = np.einsum("ij,ij->i", predicted, hit) + b[target] - log_noise[target]
-        false = predicted @ missed.T + (b[drawn] - log_noise[drawn])
+        false = product(predicted, missed.T) + (b[drawn] - log_noise[drawn])
         # The gradient of the log-likelihood of telling tokens from noise.
         pull = 1 / (1 + np.exp(np.clip(true, -30, 30)))
         push = -1 / (1 + np.exp(np.clip(-false, -30, 30)))
         grad = Model(np.zeros_like(model.weights))
         gr, gc, gq, gb = grad.parts()
         _added(gq, target, pull[:, None] * predicted)
-        _added(gq, drawn, push.T @ predicted)
+        _added(gq, drawn, inner_product(push, predicted))
         gb += np.bincount(target, pull, len(gb)) + np.bincount(drawn, push.sum(axis=0), len(gb))
-        back = pull[:, None] * hit + push @ missed
+        back = pull[:, None] * hit + product(push, missed)
         for k, v in enumerate(vectors):
             _added(gr, ctx[:, k], back * c[k])
             gc[k] = np.einsum("ij,ij->j", back, v)
@@ -274,7 +312,7 @@ def stretches(texts: list[bytes]) -> Iterator[slice]:
         yield slice(first, len(texts))
 
 
-def train_round(rows: DataFrame, shared, number: int) -> np.ndarray | None:
+def train_round(rows: DataFrame, shared, number: int, size: int) -> np.ndarray | None:
     """The weights after one round over ``rows``, averaged over tasks; None without rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,7 +327,7 @@ def train_round(rows: DataFrame, shared, number: int) -> np.ndarray | None:
             for part in stretches(texts):
                 flat, starts, _ = coded(texts[part], codes)
                 symbols = known.symbol[flat]
-                train_steps(model, symbols, contexts(symbols, starts), known.noise, rng, RATE / (1 + number), moments)
+                train_steps(model, symbols, contexts(symbols, starts), known.noise, rng, RATE / (1 + number), moments, size)
                 tokens += len(symbols)
         if tokens:
             yield pa.record_batch([pa.array([tokens], pa.int64()), pa.array([model.weights.astype(np.float64)], pa.list_(pa.float64()))], names=["tokens", "weights"])
@@ -308,9 +346,9 @@ def train(rows: DataFrame, known: Vocabulary) -> Model:
     """A model of the rows; every row is read in one round."""
     context = rows.sparkSession.sparkContext
     model, low = Model.fresh(known.noise), 0
-    for number, parts in enumerate(ROUNDS):
+    for number, (parts, size) in enumerate(ROUNDS):
         shared = context.broadcast((known, model.weights))
-        weights = train_round(rows.where(F.col("part").between(low, low + parts - 1)), shared, number)
+        weights = train_round(rows.where(F.col("part").between(low, low + parts - 1)), shared, number, size)
         shared.unpersist()
         model, low = model if weights is None else Model(weights), low + parts
     return model
@@ -328,7 +366,7 @@ def log_probabilities(model: Model, symbols: np.ndarray, context: np.ndarray) ->
     predicted = (r[own] * c).sum(axis=1)
     total = np.empty(len(distinct))
     for i in range(0, len(distinct), PRODUCT):
-        scores = predicted[i : i + PRODUCT] @ q.T
+        scores = product(predicted[i : i + PRODUCT], q.T)
         scores += b
         top = scores.max(axis=1)
         scores -= top[:, None]

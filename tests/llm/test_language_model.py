@@ -140,6 +140,22 @@ def test_scores_of_a_plain_loop(spark, monkeypatch):
         assert abs(total - got[i]) < 1e-3 * max(1, abs(total))
 
 
+def test_blocks_of_products():
+    rng = np.random.default_rng(8)
+    x, y, z = (rng.normal(size=s).astype(np.float32) for s in ((1001, 32), (32, 512), (1001, 64)))
+    assert np.allclose(lm.product(x, y), x @ y, atol=1e-4) and np.allclose(lm.product(x[:3], y), x[:3] @ y, atol=1e-4)
+    assert np.allclose(lm.inner_product(z, x), z.T @ x, atol=1e-3) and lm.product(x[:0], y).shape == (0, 512)
+
+
+def test_frequent_words_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(lm, "KNOWN", 50)
+    counts = spark.createDataFrame([(bytearray(f"w{i}".encode()), 1 + i // 30) for i in range(300)] + [(bytearray(lm.END), 2)], "key binary, n bigint")
+    got = lm.frequent(counts)
+    assert got[0] == (lm.END, 2) and {k for k, _ in got[1:]} == {f"w{i}".encode() for i in range(270, 300)}
+    monkeypatch.setattr(lm, "KNOWN", 20)
+    assert lm.frequent(counts.where("n = 1")) == [(lm.END, 0)]
+
+
 def test_gradient():
     """A small first step goes up the noise-contrastive objective."""
     rng = np.random.default_rng(7)
