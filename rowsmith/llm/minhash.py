@@ -11,12 +11,12 @@ of about 2e-5 with the default widths. Every candidate is confirmed on the full
 Sets that are equal are one class from the start, by a digest, so copies cost nothing. Candidates
 are not paired off within a key's group. First each class meets the smallest class of its groups
 that shares most keys with it; what this links is contracted to components. Only keys whose
-members still lie in different components are looked at again, in blocks of bounded size, and only
-for pairs across components whose signatures are close. Such a pair is confirmed by itself, unless
-one side lies in a large component: then the other side is compared with the full sets of all its
-members, in blocks, and one link is enough. No pair is given up: a large group of near copies
-collapses in the first step, and what is left around it meets it in full, in rows that grow with
-the number of documents and not of pairs.
+members still lie in different components are looked at again, in blocks of bounded size. Pairs across
+components whose sizes allow the similarity and whose signatures are close are not confirmed one by
+one: each block hands on a star over the components that they touch, and what stars connect is a
+cluster. Every candidate pair lies within one cluster, and in each cluster all classes outside its
+largest component meet all classes, in blocks of full sets that are sized by their shingles; again a block hands on
+a star. So rows grow with the classes and not with their pairs, and no pair is given up.
 
 Defined cases: a null text counts as empty; texts without words have no shingles and link with nothing.
 A text with fewer words than a shingle is one shingle. Rows that repeat an id are one document as
@@ -40,14 +40,12 @@ from rowsmith.session import Scratch
 
 CHUNKS, WIDTH, ERRORS, SEED = 10, 6, 1, 19
 VALUES = CHUNKS * WIDTH
-# Signatures, and full sets, that a block holds.
-BLOCK, SET_BLOCK = 1024, 512
+# Signatures that a block holds, and shingles of the full sets that a block holds; a larger set is a block of its own.
+BLOCK, SET_BLOCK = 1024, 200_000
 # Groups of at most this many classes are paired by a plain join; larger ones meet in blocks.
 SMALL = 24
-# A component of more classes than this is met as a whole, in blocks of its full sets, instead of pair by pair.
-LARGE = 48
-# Signatures that differ in more than this share of their values are not confirmed. At a similarity of 0.8
-# a fifth differs on average, with a deviation of a twentieth, so 4.9e-8 of such pairs are lost.
+# The distance of the join: pairs whose signatures differ in more than this share of their values are no candidates.
+# At a similarity of 0.8 a fifth differs on average, with a deviation of a twentieth, so 4.9e-8 of such pairs are beyond it.
 FAR = 0.5
 # Hash values kept per process.
 WORDS_KEPT = 500_000
@@ -166,53 +164,46 @@ def key_table(classes: DataFrame) -> DataFrame:
     return map_batches(classes.select("node", "signature"), make, "key bigint, node bigint")
 
 
-def first_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """For pairs of signatures, the number of the first key that they share; -1 if there is none."""
-    differs = (a != b).reshape(len(a), CHUNKS, WIDTH)
-    shared = np.stack([differs.sum(axis=2) - differs[:, :, list(left_out)].sum(axis=2) == 0 for left_out in _IGNORED], axis=2).reshape(len(a), -1)
-    return np.where(shared.any(axis=1), shared.argmax(axis=1), -1)
-
-
-CANDIDATES = "a bigint, b bigint, target bigint"
-
-
-def _across(left: pd.DataFrame, right: pd.DataFrame, far: float) -> pd.DataFrame:
-    """Close pairs of two blocks of a key's group that lie in different components, each at its first shared key.
-
-    On the left stand the classes outside the group's largest component ``top``, on the right all. Where the larger of the two components is large, the pair becomes the other class and that component.
+def _spanning(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+    """For the links ``a, b`` a star of each connected part, around its smallest member: fewer rows than members."""
+    names, place = np.unique(np.concatenate([a, b]).astype(np.int64), return_inverse=True)
+    x, y = place[: len(a)], place[len(a) :]
+    root = np.arange(len(names))
+    while True:
+        low = np.minimum(root[x], root[y])
+        new = root.copy()
+        np.minimum.at(new, x, low)
+        np.minimum.at(new, y, low)
+        new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    leaves = np.flatnonzero(root != np.arange(len(names)))
+    return pd.DataFrame({"a": names[leaves], "b": names[root[leaves]]})
+
+
+def _across(left: pd.DataFrame, right: pd.DataFrame, far: float, percent: int) -> pd.DataFrame:
+    """Stars over the components that candidates of two blocks of a key's group connect.
+
+    On the left stand the classes outside the group's largest component, on the right all.
     """
-    empty = pd.DataFrame({"a": [], "b": [], "target": []}, dtype="Int64")
-    if not len(left) or not len(right):
-        return empty
-    key, top = int(left["key"].iloc[0]), int(left["top"].iloc[0])
-    x, y = (np.frombuffer(b"".join(d["signature"]), dtype=np.uint16).reshape(-1, VALUES) for d in (left, right))
-    nx, ny, cx, cy, sx, sy = (d[c].to_numpy() for c in ("node", "component", "members") for d in (left, right))
-    out = []
-    for i in range(0, len(x), 64):
-        differ = np.zeros((len(x[i : i + 64]), len(y)), dtype=np.int16)
-        for k in range(VALUES):
-            differ += x[i : i + 64, k, None] != y[None, :, k]
-        once = (cy == top)[None, :] | (nx[i : i + 64, None] < ny[None, :])
-        close = (differ <= far * VALUES) & once & (cx[i : i + 64, None] != cy[None, :])
-        row, col = np.nonzero(close)
-        row += i
-        if len(row):
-            at = first_shared(x[row], y[col])
-            here = keys_of(x[row])[np.arange(len(row)), at] == key
-            row, col = row[here], col[here]
-            out.append(pd.DataFrame({"a": nx[row], "b": ny[col], "c": cx[row], "d": cy[col], "m": sx[row], "n": sy[col]}))
-    if not out or not sum(map(len, out)):
-        return empty
-    met = pd.concat(out)
-    second = (met["n"] > met["m"]) | ((met["n"] == met["m"]) & (met["d"] > met["c"]))
-    large = met[["m", "n"]].max(axis=1) > LARGE
-    pairs = met.loc[~large, ["a", "b"]].assign(target=pd.NA)
-    whole = pd.DataFrame({"a": met["a"].where(second, met["b"]), "b": pd.NA, "target": met["d"].where(second, met["c"])})[large].drop_duplicates()
-    return pd.concat([pairs, whole]).astype("Int64")
+    found = np.zeros((0, 2), dtype=np.int64)
+    if len(left) and len(right):
+        x, y = (np.frombuffer(b"".join(d["signature"]), dtype=np.uint16).reshape(-1, VALUES) for d in (left, right))
+        cx, cy, nx, ny = (d[c].to_numpy() for c in ("component", "n") for d in (left, right))
+        for i in range(0, len(x), 64):
+            differ = np.zeros((len(x[i : i + 64]), len(y)), dtype=np.int16)
+            for k in range(VALUES):
+                differ += x[i : i + 64, k, None] != y[None, :, k]
+            n = nx[i : i + 64, None]
+            fits = 100 * np.minimum(n, ny) >= percent * np.maximum(n, ny)
+            row, col = np.nonzero((differ <= far * VALUES) & fits & (cx[i : i + 64, None] != cy))
+            found = np.unique(np.concatenate([found, np.stack([cx[row + i], cy[col]], axis=1)]), axis=0)
+    return _spanning(found[:, 0], found[:, 1])
 
 
 def _block_links(asking: pd.DataFrame, members: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """For each asking class one member of the block that it is similar enough to, by full sets."""
+    """Stars over the classes of two blocks that are similar enough by full sets and lie in different components."""
     found: tuple[list, list] = ([], [])
     if len(asking) and len(members):
         sets = [np.asarray(v) for v in (*asking["shingles"], *members["shingles"])]
@@ -223,16 +214,17 @@ def _block_links(asking: pd.DataFrame, members: pd.DataFrame, percent: int) -> p
         n = sizes[len(asking) :]
         first = np.cumsum(n) - n
         flag = np.zeros(ids.max() + 1, dtype=np.int32)
-        nodes = members["node"].to_numpy()
-        for node, shingles in zip(asking["node"], own):
-            flag[shingles] = 1
-            common = np.add.reduceat(flag[theirs], first)
-            flag[shingles] = 0
-            similar = np.flatnonzero(100 * common >= percent * (n + len(shingles) - common))
-            if len(similar):
-                found[0].append(node)
-                found[1].append(nodes[similar[0]])
-    return pd.DataFrame({"a": np.array(found[0], dtype=np.int64), "b": np.array(found[1], dtype=np.int64)})
+        nodes, component = members["node"].to_numpy(), members["component"].to_numpy()
+        for node, of, shingles in zip(asking["node"], asking["component"], own):
+            fits = (100 * np.minimum(n, len(shingles)) >= percent * np.maximum(n, len(shingles))) & (component != of)
+            if fits.any():
+                flag[shingles] = 1
+                common = np.add.reduceat(flag[theirs], first)
+                flag[shingles] = 0
+                similar = nodes[fits & (100 * common >= percent * (n + len(shingles) - common))]
+                found[0].append(np.full(len(similar), node))
+                found[1].append(similar)
+    return _spanning(*(np.concatenate([np.zeros(0, dtype=np.int64), *f]) for f in found))
 
 
 def _sets_of(nodes: DataFrame, docs: DataFrame, scratch: Scratch, size: int) -> DataFrame:
@@ -251,34 +243,52 @@ def confirmed(pairs: DataFrame, docs: DataFrame, scratch: Scratch, size: int, pe
     return scratch.write(both.where(100 * common >= percent * union).select("a", "b"), "confirmed")
 
 
-def confirmed_whole(asked: DataFrame, roots: DataFrame, docs: DataFrame, scratch: Scratch, size: int, percent: int, block: int) -> DataFrame:
-    """Links ``a, b`` between classes and the large components ``target`` that they might belong to."""
-    n_asking = asked.groupBy("target").agg(F.count("*").alias("n_a"))
-    members = roots.select("node", F.col("component").alias("target")).join(n_asking.select("target"), "target", "left_semi")
-    n_members = members.groupBy("target").agg(F.count("*").alias("n_m"))
-    blocks = n_asking.join(n_members, "target").select(
-        "target", F.ceil(F.col("n_a") / block).cast("int").alias("a_blocks"), F.ceil(F.col("n_m") / block).cast("int").alias("m_blocks")
-    )
-    blocks = scratch.write(blocks, "blocks")
-    members = scratch.write(members, "members")
-    sets = _sets_of(asked.select("a").unionByName(members.select(F.col("node").alias("a"))), docs, scratch, size).withColumnRenamed("doc_id", "node")
+def met_in_blocks(left: DataFrame, right: DataFrame, keys: list[str], meet) -> DataFrame:
+    """``a, b`` of ``meet(left rows, right rows)`` for every value of ``keys``.
+
+    Blocks hold like amounts of work but few bytes, so they are dealt to a stated number of tasks.
+    """
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sides = []
+    for rows, prefix in ((left, "x_"), (right, "y_")):
+        rows = rows.select(*(F.col(c).alias(prefix + c) for c in rows.columns)).repartition(tasks, *(prefix + k for k in keys))
+        sides.append(rows.groupBy(*(prefix + k for k in keys)))
 
-    def side(rows: DataFrame, prefix: str, own: str, other: str) -> DataFrame:
-        rows = rows.join(blocks, "target").join(sets, "node")
-        every = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
-        rows = rows.select("target", "node", "shingles", F.pmod(F.xxhash64("node"), F.col(own)).cast("int").alias(own[0]), every.alias(other[0]))
-        return rows.select(*(F.col(c).alias(prefix + c) for c in ("target", "a", "m", "node", "shingles")))
+    def run(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        return meet(x.rename(columns=lambda c: c[2:]), y.rename(columns=lambda c: c[2:]))
 
-    def meet(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        return _block_links(x.rename(columns=lambda c: c[2:]), y.rename(columns=lambda c: c[2:]), percent)
+    return sides[0].cogroup(sides[1]).applyInPandas(run, "a bigint, b bigint")
 
-    asking = side(asked.select("target", F.col("a").alias("node")), "x_", "a_blocks", "m_blocks")
-    asked_of = side(members, "y_", "m_blocks", "a_blocks")
-    met = asking.groupBy("x_target", "x_a", "x_m").cogroup(asked_of.groupBy("y_target", "y_a", "y_m"))
-    return scratch.write(met.applyInPandas(meet, "a bigint, b bigint"), "whole")
 
+def confirmed_clusters(edges: DataFrame, placed: DataFrame, sizes: DataFrame, docs: DataFrame, scratch: Scratch, size: int, percent: int, block: int) -> DataFrame:
+    """Links ``a, b`` within what the candidate ``edges`` between components connect.
 
-def annotate(docs: DataFrame, size: int = 2, percent: int = 80, far: float = FAR, block: int = BLOCK) -> DataFrame:
+    ``placed`` has ``node, component`` of every class that shares a key, ``sizes`` its ``node, n``.
+    """
+    clusters = components(edges, scratch).select(F.col("node").alias("component"), F.col("component").alias("cluster"))
+    members = scratch.write(placed.select("node", "component").distinct().join(clusters, "component").join(sizes, "node"), "members")
+    each = members.groupBy("cluster", "component").agg(F.count("*").alias("count"), F.sum("n").alias("n"))
+    per_cluster = each.groupBy("cluster").agg(F.max(F.struct("count", "component", "n")).alias("t"), F.sum("n").alias("n"))
+    # Within the largest component nothing is left to find, so only the others ask.
+    per_cluster = per_cluster.select(
+        "cluster", F.col("t.component").alias("top"),
+        F.ceil((F.col("n") - F.col("t.n")) / block).cast("int").alias("x_blocks"), F.ceil(F.col("n") / block).cast("int").alias("y_blocks"),
+    )
+    members = members.drop("n").join(per_cluster, "cluster")
+    members = scratch.write(members, "clustered")
+    sets = _sets_of(members.select("node"), docs, scratch, size).withColumnRenamed("doc_id", "node")
+
+    def side(rows: DataFrame, own: str, other: str) -> DataFrame:
+        mine = F.pmod(F.xxhash64("node"), F.col(f"{own}_blocks")).cast("int").alias(own)
+        every = F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)).alias(other)
+        return rows.join(sets, "node").select("cluster", mine, every, "node", "component", "shingles")
+
+    asking, asked = side(members.where("component != top"), "x", "y"), side(members, "y", "x")
+    met = met_in_blocks(asking, asked, ["cluster", "x", "y"], lambda x, y: _block_links(x, y, percent))
+    return scratch.write(met, "clusters")
+
+
+def annotate(docs: DataFrame, size: int = 2, percent: int = 80, far: float = FAR, block: int = BLOCK, set_block: int = SET_BLOCK) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row; links are similarities of ``percent`` hundredths or more."""
     spark = docs.sparkSession
     with Scratch(spark, "minhash") as scratch:
@@ -295,8 +305,8 @@ def annotate(docs: DataFrame, size: int = 2, percent: int = 80, far: float = FAR
         met = shared.where("node != low").groupBy("node", "low").agg(F.count("*").alias("n"))
         best = met.groupBy("node").agg(F.max(F.struct("n", (-F.col("low")).alias("low"))).alias("m"))
         pairs = best.select(F.col("node").alias("a"), (-F.col("m.low")).alias("b"))
-        signed = classes.select("node", "signature")
-        pairs = _close(pairs, signed, far)
+        signed = classes.select("node", "n", "signature")
+        pairs = _close(pairs, signed, far, percent)
         pairs = scratch.write(pairs, "first")
         links = confirmed(pairs, docs, scratch, size, percent)
 
@@ -308,46 +318,29 @@ def annotate(docs: DataFrame, size: int = 2, percent: int = 80, far: float = FAR
         placed = scratch.write(placed, "placed")
         top = F.max(F.struct("members", "component"))
         split = placed.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count("*").alias("n"), top.alias("t")).where("c != d")
-        split = scratch.write(split.select("key", "n", F.col("t.component").alias("top")), "split")
+        split = scratch.write(split.select("key", F.col("n").alias("group"), F.col("t.component").alias("top")), "split")
 
-        few = placed.join(split.where(F.col("n") <= SMALL).select("key"), "key")
-        apart = few.toDF("key", "a", "c", "m").join(few.toDF("key", "b", "d", "n"), "key").where("a < b AND c != d").drop("key").distinct()
-        second = (F.col("n") > F.col("m")) | ((F.col("n") == F.col("m")) & (F.col("d") > F.col("c")))
-        whole = F.greatest("m", "n") > LARGE
-        near = _close(apart, signed, far).select(
-            F.when(whole & ~second, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(~whole, F.col("b")).alias("b"),
-            F.when(whole, F.when(second, F.col("d")).otherwise(F.col("c"))).alias("target"),
-        )
+        few = placed.join(split.where(F.col("group") <= SMALL).select("key"), "key").drop("members")
+        apart = few.toDF("key", "a", "c").join(few.toDF("key", "b", "d"), "key").where("a < b AND c != d").drop("key").distinct()
+        near = _close(apart, signed, far, percent).select(F.col("c").alias("a"), F.col("d").alias("b"))
 
         # Within the largest component of a group nothing is left to find, so only the others ask.
-        mixed = scratch.write(placed.join(split.where(F.col("n") > SMALL), "key").join(signed, "node"), "mixed")
+        mixed = scratch.write(placed.join(split.where(F.col("group") > SMALL), "key").join(signed, "node"), "mixed")
         asking = mixed.where("component != top")
         counts = asking.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("x_blocks"))
 
-        def side(rows: DataFrame, own: str, other: str, prefix: str) -> DataFrame:
-            rows = rows.join(counts, "key").withColumn("y_blocks", F.ceil(F.col("n") / block).cast("int"))
+        def side(rows: DataFrame, own: str, other: str) -> DataFrame:
+            rows = rows.join(counts, "key").withColumn("y_blocks", F.ceil(F.col("group") / block).cast("int"))
             mine = F.pmod(F.xxhash64("node"), F.col(f"{own}_blocks")).cast("int").alias(own)
             every = F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)).alias(other)
-            out = rows.select("key", "top", "node", "component", "members", "signature", mine, every)
-            return out.select(*(F.col(c).alias(prefix + c) for c in ("key", "x", "y", "top", "node", "component", "members", "signature")))
-
-        def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-            return _across(a.rename(columns=lambda c: c[2:]), b.rename(columns=lambda c: c[2:]), far)
-
-        left, right = side(asking, "x", "y", "a_"), side(mixed, "y", "x", "b_")
-        met = left.groupBy("a_key", "a_x", "a_y").cogroup(right.groupBy("b_key", "b_x", "b_y"))
-        rest = scratch.write(near.unionByName(met.applyInPandas(meet, CANDIDATES)).distinct(), "rest")
-        tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        single = scratch.write(rest.where("target IS NULL").select("a", "b").join(tried, ["a", "b"], "left_anti"), "single")
-        asked = scratch.write(rest.where("target IS NOT NULL").select("a", "target").distinct(), "whole")
-        more = []
-        if not single.isEmpty():
-            more.append(confirmed(single, docs, scratch, size, percent))
-        if not asked.isEmpty():
-            more.append(confirmed_whole(asked, roots, docs, scratch, size, percent, min(block, SET_BLOCK)))
-        if more:
-            for new in more:
-                links = links.unionByName(new)
+            return rows.select("key", mine, every, "component", "n", "signature")
+
+        met = met_in_blocks(side(asking, "x", "y"), side(mixed, "y", "x"), ["key", "x", "y"], lambda x, y: _across(x, y, far, percent))
+        edges = near.unionByName(met).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        edges = scratch.write(edges, "edges")
+        if not edges.isEmpty():
+            new = confirmed_clusters(edges, placed, classes.select("node", "n"), docs, scratch, size, percent, set_block)
+            links = links.unionByName(new)
             roots = components(links, scratch)
 
         per_class = classes.join(roots, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
@@ -356,9 +349,10 @@ def annotate(docs: DataFrame, size: int = 2, percent: int = 80, far: float = FAR
         return scratch.write(out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))), "rows", keep=True)
 
 
-def _close(pairs: DataFrame, signed: DataFrame, far: float) -> DataFrame:
-    """The rows of ``pairs`` (``a, b`` and others) whose signatures differ in at most the share ``far`` of their values."""
-    both = pairs.join(signed.toDF("a", "x"), "a").join(signed.toDF("b", "y"), "b").select(*pairs.columns, "x", "y")
+def _close(pairs: DataFrame, signed: DataFrame, far: float, percent: int) -> DataFrame:
+    """The rows of ``pairs`` (``a, b`` and others) whose sizes allow the similarity and whose signatures differ in at most the share ``far``."""
+    both = pairs.join(signed.toDF("a", "m", "x"), "a").join(signed.toDF("b", "n", "y"), "b")
+    both = both.where(100 * F.least("m", "n") >= percent * F.greatest("m", "n")).select(*pairs.columns, "x", "y")
     kept = pairs.columns
 
     def make():

@@ -78,9 +78,8 @@ def test_chains_and_hot_groups(spark, seed, monkeypatch):
     want = brute(rows, 2)
     assert found(docs, size=2) == want
     monkeypatch.setattr(minhash, "SMALL", 2)
-    assert found(docs, size=2, block=9) == want
-    monkeypatch.setattr(minhash, "LARGE", 1)
-    assert found(docs, size=2, block=9) == want
+    assert found(docs, size=2, block=9, set_block=300) == want
+    assert found(docs, size=2, far=1.0) == want
 
 
 def test_cases(spark, cases, nothing):
@@ -109,21 +108,58 @@ def test_pigeonhole():
         row[at] ^= 1
     shared = [set(x) & set(y) for x, y in zip(minhash.keys_of(a), minhash.keys_of(b))]
     assert all(shared)
-    first = minhash.first_shared(a, b)
-    assert all(minhash.keys_of(a[i : i + 1])[0, k] == minhash.keys_of(b[i : i + 1])[0, k] for i, k in enumerate(first))
 
 
-def test_block_pairs_appear_at_one_key_only():
+def test_stars_connect_what_links_connect():
     rng = np.random.default_rng(3)
-    one = rng.integers(0, 2**16, minhash.VALUES).astype(np.uint16)
-    near = one.copy()
-    near[:3] ^= 1
-    keys = minhash.keys_of(np.stack([one, near]))
-    met = []
-    for key in set(keys[0]) & set(keys[1]):
-        rows = pd.DataFrame({"key": key, "top": 2, "node": [1, 2], "component": [1, 2], "members": [1, 1], "signature": [one.tobytes(), near.tobytes()]})
-        met += minhash._across(rows.iloc[:1], rows, 0.5)[["a", "b"]].values.tolist()
-    assert met == [[1, 2]]
+    a, b = rng.integers(0, 60, 40), rng.integers(0, 60, 40)
+    got = minhash._spanning(a, b)
+    root = {i: i for i in range(60)}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for x, y in zip(a, b):
+        low, high = sorted((find(x), find(y)))
+        root[high] = low
+    members = {int(i) for i in (*a, *b)}
+    assert dict(zip(got["a"], got["b"])) == {i: find(i) for i in members if find(i) != i}
+    assert len(minhash._spanning(a[:0], b[:0])) == 0
+
+
+def test_rows_grow_with_members(spark, monkeypatch):
+    """A group whose pairs all lie near the threshold, few of them above it, hands on rows like its members and not like its pairs."""
+    handed = {}
+
+    def group(members):
+        rng = random.Random(members)
+        base = [f"w{i}" for i in range(120)]
+        rows = []
+        for i in range(members):
+            text = list(base)
+            for at in rng.sample(range(120), 12):
+                text[at] = f"n{i}x{at}"
+            rows.append((i, " ".join(text)))
+        return rows
+
+    real = Scratch.write
+
+    def counted(self, df, label, **more):
+        out = real(self, df, label, **more)
+        handed[label] = max(handed.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(Scratch, "write", counted)
+    rows = group(400)
+    assert found(spark.createDataFrame(rows, "doc_id bigint, text string"), size=1) == brute(rows, 1)
+    assert max(handed.values()) <= minhash.VALUES * len(rows)
+    once = dict(handed)
+    handed.clear()
+    rows = group(800)
+    assert found(spark.createDataFrame(rows, "doc_id bigint, text string"), size=1) == brute(rows, 1)
+    assert all(n <= 2.6 * max(once[label], 50) for label, n in handed.items()), (once, handed)
 
 
 def test_components(spark):
