@@ -322,7 +322,7 @@ def annotate(docs: DataFrame, size: int = 2, percent: int = 80, far: float = FAR
 
         few = placed.join(split.where(F.col("group") <= SMALL).select("key"), "key").drop("members")
         apart = few.toDF("key", "a", "c").join(few.toDF("key", "b", "d"), "key").where("a < b AND c != d").drop("key").distinct()
-        near = _close(apart, signed, far, percent).select(F.col("c").alias("a"), F.col("d").alias("b"))
+        near = _stars(_close(apart, signed, far, percent).select("c", "d"))
 
         # Within the largest component of a group nothing is left to find, so only the others ask.
         mixed = scratch.write(placed.join(split.where(F.col("group") > SMALL), "key").join(signed, "node"), "mixed")
@@ -365,6 +365,18 @@ def _close(pairs: DataFrame, signed: DataFrame, far: float, percent: int) -> Dat
     return map_batches(both, make, pairs.schema)
 
 
+def _stars(pairs: DataFrame) -> DataFrame:
+    """``a, b``: for every batch of the two columns of ``pairs`` stars that connect what the batch connects."""
+
+    def make():
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pandas(_spanning(*(np.asarray(c) for c in batch.columns)), preserve_index=False)
+
+        return work
+
+    return map_batches(pairs, make, "a bigint, b bigint")
+
+
 def drop_near_copies(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One document of every group of near copies, with all columns of ``docs``."""
     judged = annotate(docs, size, percent)
