@@ -326,15 +326,26 @@ def score_value(
         average = "weighted" if scoring.endswith("weighted") else "macro"
         value = roc_auc(df, y_true, proba, average=average)
         return float("nan") if value is None else value
+    check_label_scoring(scoring)
+    return score_pairs([(r["y_true"], r["y_pred"], r["n"]) for r in label_pairs(df, y_true, y_pred).collect()], scoring)
+
+
+def check_label_scoring(scoring: str) -> None:
+    """Raises unless the scorer needs only labels and predicted labels."""
     name, _, average = scoring.partition("_")
     by_average = name in (*AVERAGED, "jaccard") and average in ("macro", "micro", "weighted")
     if not by_average and scoring not in ("accuracy", "balanced_accuracy", "matthews_corrcoef"):
         raise ValueError(f"unknown scoring {scoring!r}")
-    pairs = [(r["y_true"], r["y_pred"], r["n"]) for r in label_pairs(df, y_true, y_pred).collect()]
+
+
+def score_pairs(pairs: list[tuple[str, str, int]], scoring: str) -> float:
+    """The score of counted pairs of label and predicted label."""
+    check_label_scoring(scoring)
+    name, _, average = scoring.partition("_")
     if scoring == "matthews_corrcoef":
         return matthews(pairs)
     if name == "jaccard":
         return jaccard(pairs, average)
-    if by_average:
+    if name in AVERAGED and average:
         return metrics_document(pairs, average)[AVERAGED[name]]
     return metrics_document(pairs)[scoring]

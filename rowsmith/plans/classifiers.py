@@ -14,6 +14,9 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.feature import PolynomialExpansion
+from pyspark.sql import DataFrame
+
+from rowsmith.plans.trees import TREES, least_to_split, with_least_split
 
 # Working columns carry a prefix, so a table may have columns called label or prediction.
 FEATURES, LABEL, WEIGHT = "rs_features", "rs_label", "rs_weight"
@@ -38,13 +41,12 @@ IGNORED = {
 }
 # They would change the model and have no counterpart: refused, unless ``ignore_unmapped`` is among the parameters.
 UNMAPPED = {
-    "RandomForestClassifier": {"min_samples_split"},
-    "DecisionTreeClassifier": {"min_samples_split", "splitter"},
+    "DecisionTreeClassifier": {"splitter"},
     "LogisticRegression": {"multi_class", "dual"},
     "SVC": {"gamma", "coef0"},
 }
 # Values of unmapped parameters that ask for what happens anyway.
-HARMLESS = {"min_samples_split": (None, 2), "splitter": (None, "best"), "multi_class": (None, "auto", "multinomial"), "dual": (None, False)}
+HARMLESS = {"splitter": (None, "best"), "multi_class": (None, "auto", "multinomial"), "dual": (None, False)}
 
 Factory = Callable[[dict[str, Any], int, int, int], Estimator]
 
@@ -54,6 +56,7 @@ def _tree_options(params: dict[str, Any], seed: int) -> dict[str, Any]:
     depth = params.pop("max_depth", None)
     if depth is not None and int(depth) > MAX_TREE_DEPTH:
         raise ValueError(f"max_depth={depth} is beyond the deepest tree possible, {MAX_TREE_DEPTH}; None asks for that one")
+    params.pop("min_samples_split", None)  # see fit_classifier_stage
     impurity = params.pop("criterion", "gini")
     state = params.pop("random_state", None)
     return {
@@ -66,6 +69,14 @@ def _tree_options(params: dict[str, Any], seed: int) -> dict[str, Any]:
     }
 
 
+def fit_classifier_stage(estimator: Estimator, frame: DataFrame, name: str, params: dict[str, Any], rows: int):
+    """The fitted classifier. A minimum of rows for a split is applied to the fitted trees."""
+    model = estimator.fit(frame)
+    if name not in TREES:
+        return model
+    return with_least_split(model, least_to_split(params.get("min_samples_split"), rows), frame.sparkSession)
+
+
 def _random_forest(params: dict[str, Any], seed: int, rows: int, classes: int) -> Estimator:
     choice = params.pop("max_features", "sqrt")
     options = {

@@ -14,7 +14,7 @@ from rowsmith.operators.clean import quote
 from rowsmith.operators.evaluate import metrics_document
 from rowsmith.operators.features import FittedPreprocessor, Preprocessor
 from rowsmith.operators.split import class_counts, train_test_split
-from rowsmith.plans.classifiers import FEATURES, LABEL, PREDICTION, WEIGHT, class_weights, make_classifier
+from rowsmith.plans.classifiers import FEATURES, LABEL, PREDICTION, WEIGHT, class_weights, fit_classifier_stage, make_classifier
 from rowsmith.session import materialise
 from rowsmith.sources.registry import ModelRegistry
 from rowsmith.spec import ExperimentSpec, TableSpec
@@ -78,7 +78,8 @@ def vectors(
 def fit_classifier(prepared: Prepared, experiment: ExperimentSpec) -> PipelineModel:
     """Fit the classifier and return preprocessing, classifier and label naming as one pipeline."""
     estimator = prepared.estimator(experiment.model, experiment.params, experiment.seed)
-    model = estimator.fit(prepared.weighted(prepared.rows, experiment.params))
+    rows = prepared.weighted(prepared.rows, experiment.params)
+    model = fit_classifier_stage(estimator, rows, experiment.model, experiment.params, prepared.size)
     fitted = model.stages if isinstance(estimator, Pipeline) else [model]
     name = IndexToString(inputCol=PREDICTION, outputCol=PREDICTED, labels=prepared.labels)
     return PipelineModel([*prepared.preprocessor.stages(FEATURES), *fitted, name])

@@ -1,7 +1,9 @@
 """Exhaustive grid search with stratified folds.
 
 The preprocessor is fitted once per fold on that fold's training rows, so no statistics leak
-from the held-out rows, and all candidates of the fold share the prepared vectors.
+from the held-out rows, and all candidates of the fold share the prepared vectors. Candidates of tree
+models that differ in depth, forest size or the minimum of a split are parts of one larger model: it is
+fitted once for each fold, and one pass over the held-out rows counts what all of them predict.
 """
 
 from __future__ import annotations
@@ -18,9 +20,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsmith.operators.evaluate import score_value
+from rowsmith.operators.evaluate import check_label_scoring, score_pairs, score_value
 from rowsmith.operators.split import stratified_folds
-from rowsmith.plans.classifiers import LABEL, PREDICTION, PROBABILITY
+from rowsmith.plans.classifiers import LABEL, PREDICTION, PROBABILITY, fit_classifier_stage
 from rowsmith.plans.train import (
     TrainResult,
     describe,
@@ -32,11 +34,14 @@ from rowsmith.plans.train import (
     split_parts,
     vectors,
 )
+from rowsmith.plans.trees import TREES, count_nested, families, largest
 from rowsmith.session import Scratch
 from rowsmith.sources.registry import ModelRegistry
 from rowsmith.spec import ExperimentSpec, TableSpec
 
 PREFIX = "classifier__"
+# Scorers that need probabilities: every candidate is fitted by itself.
+PROBABILITY_SCORERS = ("roc_auc", "roc_auc_ovr", "roc_auc_ovr_weighted", "neg_log_loss")
 
 
 def expand_grid(grid: list[dict[str, list[Any]]] | tuple[dict[str, list[Any]], ...]) -> list[dict[str, Any]]:
@@ -60,10 +65,25 @@ def _fold_scores(
     check_rows = check_rows.persist(StorageLevel.MEMORY_AND_DISK)
     names = F.array(*[F.lit(str(float(i))) for i in range(len(prepared.labels))])
 
-    def run(candidate: dict[str, Any]) -> float:
-        params = {**experiment.params, **candidate}
+    whole = [{**experiment.params, **candidate} for candidate in candidates]
+    nested = experiment.tune.nested and experiment.model in TREES and experiment.tune.scoring not in PROBABILITY_SCORERS
+    groups = families(whole) if nested else [(None, [i]) for i in range(len(whole))]
+
+    def fitted(params: dict[str, Any]):
         estimator = prepared.estimator(experiment.model, params, experiment.seed)
-        scored = estimator.fit(prepared.weighted(fit_rows, params)).transform(check_rows)
+        return fit_classifier_stage(estimator, prepared.weighted(fit_rows, params), experiment.model, params, prepared.size)
+
+    def run(group: tuple[dict[str, Any] | None, list[int]]) -> list[float]:
+        rest, places = group
+        own = [whole[i] for i in places]
+        if rest is None:
+            return [separate(params) for params in own]
+        check_label_scoring(experiment.tune.scoring)
+        counted = count_nested(fitted({**rest, **largest(own)}), check_rows, own, prepared.size, LABEL)
+        return [score_pairs([(str(t), str(p), n) for t, p, n in pairs], experiment.tune.scoring) for pairs in counted]
+
+    def separate(params: dict[str, Any]) -> float:
+        scored = fitted(params).transform(check_rows)
         proba = None
         if PROBABILITY in scored.columns:
             proba = "rs_proba"
@@ -72,7 +92,9 @@ def _fold_scores(
 
     try:
         with ThreadPool(max(1, experiment.tune.parallelism)) as pool:
-            return pool.map(inheritable_thread_target(fit_rows.sparkSession)(run), candidates)
+            by_group = pool.map(inheritable_thread_target(fit_rows.sparkSession)(run), groups)
+        scores = {i: score for (_, places), found in zip(groups, by_group) for i, score in zip(places, found)}
+        return [scores[i] for i in range(len(whole))]
     finally:
         fit_rows.unpersist()
         check_rows.unpersist()

@@ -93,7 +93,7 @@ def _overall(spark, results: dict):
 
 
 FOREST = ExperimentSpec(
-    "RandomForestClassifier", {"n_estimators": 20, "max_depth": 6, "min_samples_split": 5, "min_samples_leaf": 2, "ignore_unmapped": True}
+    "RandomForestClassifier", {"n_estimators": 20, "max_depth": 6, "min_samples_split": 5, "min_samples_leaf": 2}
 )
 LOGISTIC = ExperimentSpec("LogisticRegression", {"max_iter": 50, "C": 1.0})
 CALIBRATED = ExperimentSpec("SVC", {"kernel": "linear", "max_iter": 10, "probability": True})
@@ -376,3 +376,40 @@ def score_strict(spark, sf):
             n, refused = 0, True
         out.append((name, refused, n))
     return spark.createDataFrame(out, "batch string, refused boolean, n bigint")
+
+
+@query(
+    "train_min_split",
+    f"""WITH ruled AS (SELECT l_orderkey, l_linenumber, {SIZE_RULE} AS c FROM lineitem),
+    sizes AS (SELECT c, count(*) AS n FROM ruled GROUP BY c)
+    SELECT l_orderkey, l_linenumber,
+      round((SELECT n FROM sizes WHERE c = 'large') / (SELECT sum(n) FROM sizes), 6)::DOUBLE AS large,
+      round((SELECT n FROM sizes WHERE c = 'medium') / (SELECT sum(n) FROM sizes), 6)::DOUBLE AS medium,
+      round((SELECT n FROM sizes WHERE c = 'small') / (SELECT sum(n) FROM sizes), 6)::DOUBLE AS small
+    FROM ruled""",
+)
+def train_min_split(spark, sf):
+    """A tree whose splits need more rows than there are stays one leaf with the shares of all classes."""
+    rows = sized_table(spark, sf)
+    stays = ExperimentSpec("DecisionTreeClassifier", {"max_depth": 3, "min_samples_split": rows.count() + 1})
+    cells = predict_proba(rows, fit_pipeline(rows, SIZED_SPEC, stays), ["l_orderkey", "l_linenumber"])
+    return cells.select("l_orderkey", "l_linenumber", *[r6(c).alias(c) for c in ("large", "medium", "small")])
+
+
+@query(
+    "tune_nested",
+    f"""WITH ruled AS (SELECT {ORDER_RULE} AS c FROM orders), dealt AS (SELECT c, (row_number() OVER (ORDER BY c) - 1) % 3 AS fold FROM ruled),
+    counted AS (SELECT fold, c, count(*) AS n, sum(count(*)) OVER (PARTITION BY c) - count(*) AS others, sum(count(*)) OVER (PARTITION BY fold) AS held FROM dealt GROUP BY fold, c),
+    scored AS (
+      SELECT fold, 1 - sum(n) FILTER (c = 'small') / max(held) AS one, (list(n / held ORDER BY others DESC, c))[1] AS none FROM counted GROUP BY fold)
+    SELECT d.depth, m.least, round(CASE WHEN m.least > 2 THEN s.none WHEN d.depth = 1 THEN s.one ELSE 1.0 END, 6) AS mean_score
+    FROM (SELECT avg(one) AS one, avg(none) AS none FROM scored) s, (VALUES (1), (2), (4)) d(depth), (VALUES (2), (1000000000)) m(least)""",
+)
+def tune_nested(spark, sf):
+    """Scores of six candidates from one fit per fold: depths, and a minimum of rows that nothing or everything meets."""
+    experiment = ExperimentSpec(
+        "DecisionTreeClassifier", {}, tune=TuneSpec(({"max_depth": [1, 2, 4], "min_samples_split": [2, 1_000_000_000]},), cv=3)
+    )
+    table = cross_validate(derive(spark, sf, ORDER_SIZES, "orders"), expand_grid(experiment.tune.grid), ORDER_SIZE_SPEC, experiment)
+    rows = [(c["params"]["max_depth"], c["params"]["min_samples_split"], round(c["mean"], 6)) for c in table]
+    return spark.createDataFrame(rows, "depth int, least int, mean_score double")

@@ -80,6 +80,12 @@ class Scratch:
         for path in self.paths:
             drop_path(self.spark, path)
 
+    def path(self, label: str) -> str:
+        """A fresh path for what is not a table; it goes with the tables."""
+        path = scratch_path(self.spark, f"{self.label}-{label}")
+        self.paths.append(path)
+        return path
+
     def write(self, df: DataFrame, label: str, keep: bool = False, partition_by: list[str] | None = None) -> DataFrame:
         """Write ``df`` and read it back, which cuts its lineage."""
         path = scratch_path(self.spark, f"{self.label}-{label}")

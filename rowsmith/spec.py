@@ -129,6 +129,8 @@ class TuneSpec:
     cv: int = 5
     scoring: str = "accuracy"
     parallelism: int = 2
+    # One fit serves all depths, forest sizes and split minimums of trees.
+    nested: bool = True
 
 
 @dataclass(frozen=True)
@@ -177,6 +179,7 @@ class ExperimentSpec:
                 cv=tune.get("cv", TuneSpec.cv),
                 scoring=tune.get("scoring", TuneSpec.scoring),
                 parallelism=max(1, tune.get("parallelism", TuneSpec.parallelism)),
+                nested=tune.get("nested", TuneSpec.nested),
             ),
         )
 
