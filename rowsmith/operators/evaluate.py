@@ -316,6 +316,16 @@ def score_value(
     df: DataFrame, y_true: str, y_pred: str, scoring: str = "accuracy", proba: str | None = None
 ) -> float:
     """One number for tuning, under the usual scorer names; higher is better."""
+    if scoring in ("average_precision", "roc_auc_ovo", "roc_auc_ovo_weighted"):
+        if proba is None:
+            raise ValueError(f"scoring {scoring!r} needs a classifier with probabilities")
+        from rowsmith.operators import curves
+
+        if scoring == "average_precision":
+            value = curves.average_precision(df, y_true, proba)
+        else:
+            value = curves.ovo_auc(df, y_true, proba, "weighted" if scoring.endswith("weighted") else "macro")
+        return float("nan") if value is None else value
     if scoring in ("roc_auc", "roc_auc_ovr", "roc_auc_ovr_weighted", "neg_log_loss"):
         if proba is None:
             raise ValueError(f"scoring {scoring!r} needs a classifier with probabilities")

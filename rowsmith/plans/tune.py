@@ -41,7 +41,7 @@ from rowsmith.spec import ExperimentSpec, TableSpec
 
 PREFIX = "classifier__"
 # Scorers that need probabilities: every candidate is fitted by itself.
-PROBABILITY_SCORERS = ("roc_auc", "roc_auc_ovr", "roc_auc_ovr_weighted", "neg_log_loss")
+PROBABILITY_SCORERS = ("roc_auc", "roc_auc_ovr", "roc_auc_ovr_weighted", "roc_auc_ovo", "roc_auc_ovo_weighted", "average_precision", "neg_log_loss")
 
 
 def expand_grid(grid: list[dict[str, list[Any]]] | tuple[dict[str, list[Any]], ...]) -> list[dict[str, Any]]:

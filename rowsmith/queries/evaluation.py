@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rowsmith.operators import auc as U
+from rowsmith.operators import curves as C
 from rowsmith.operators import evaluate as E
 from rowsmith.operators.profile import distinct_labels
 from rowsmith.operators.vote import assemble_scores, soft_vote
@@ -258,3 +259,34 @@ def eval_auc_undefined(spark, sf):
     """A group with a row without score, or without negatives, has no AUC; its counts are still whole."""
     rows = U.grouped_auc(derive(spark, sf, GROUPED_SCORES, "lineitem"))
     return rows.select("grp", r6("roc_auc").alias("roc_auc"), "support", "negatives")
+
+
+@query(
+    "eval_average_precision",
+    """WITH counted AS (
+      SELECT l_extendedprice * (1 - l_discount) AS score, count(*) FILTER (l_returnflag = 'R') AS pos, count(*) AS n FROM lineitem GROUP BY 1),
+    running AS (SELECT pos, sum(pos) OVER w / sum(n) OVER w AS precision FROM counted WINDOW w AS (ORDER BY score DESC))
+    SELECT round(sum(pos * precision) / sum(pos), 6) AS average_precision, sum(pos)::BIGINT AS positives FROM running""",
+)
+def eval_average_precision(spark, sf):
+    df = derive(spark, sf, "SELECT l_returnflag, l_extendedprice * (1 - l_discount) AS score FROM {lineitem}", "lineitem")
+    return C.binary_average_precision(df, "l_returnflag", F.col("score"), "R").withColumn("average_precision", r6("average_precision"))
+
+
+PAIRWISE = """SELECT l_returnflag, (l_quantity % 7) / 10 AS pa, (l_partkey % 11) / 20 AS pn, (l_suppkey % 5) / 10 AS pr FROM {lineitem}"""
+
+
+@query(
+    "eval_auc_ovo",
+    f"""WITH rows AS ({plain(PAIRWISE)}), scores AS (
+      SELECT l_returnflag AS truth, unnest(['A', 'A', 'N']) AS a, unnest(['N', 'R', 'R']) AS b, pa, pn, pr FROM rows),
+    scored AS (
+      SELECT a || b || f.side AS grp, truth, a, b, CASE (CASE f.side WHEN 'a' THEN a ELSE b END) WHEN 'A' THEN pa WHEN 'N' THEN pn ELSE pr END AS score,
+             CASE WHEN truth = (CASE f.side WHEN 'a' THEN a ELSE b END) THEN 1 ELSE 0 END AS hit
+      FROM scores, (VALUES ('a'), ('b')) f(side) WHERE truth IN (a, b)){RANKED}
+    SELECT grp[1] AS a, grp[2] AS b, round(avg(auc), 6) AS roc_auc, max(pos + neg)::BIGINT AS support FROM aucs GROUP BY ALL""",
+)
+def eval_auc_ovo(spark, sf):
+    df = derive(spark, sf, PAIRWISE, "lineitem")
+    proba = F.create_map(F.lit("A"), F.col("pa"), F.lit("N"), F.col("pn"), F.lit("R"), F.col("pr"))
+    return C.ovo_auc_per_pair(df.withColumn("proba", proba), "l_returnflag", "proba").withColumn("roc_auc", r6("roc_auc"))
