@@ -28,6 +28,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +50,8 @@ KNOWN = 131_072
 ROUNDS = ((1, 256), (3, 512), (12, 2048))
 # Noise samples of a step, the step size of the first round.
 NOISE, RATE = 64, 0.25
+# The largest part of a step's tokens that share one context is one of this many.
+SHARE = 32
 # Products of this many multiplications are done in one thread by common BLAS libraries; the threads of a task
 # that shares its machine with others only wait for each other.
 SINGLE = 200_000
@@ -249,38 +252,72 @@ def inner_product(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return blocks.sum(axis=0) + x[whole:].T @ y[whole:]
 
 
+def shared_contexts(context: np.ndarray, most: int, rng) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the tokens in which groups of at most ``most`` tokens of one context follow each other, and the groups' starts.
+
+    Groups come in random order, and so do the tokens of one context.
+    """
+    n = len(context)
+    packed = np.zeros(n, dtype=np.int64)
+    for k in range(CONTEXT):
+        packed = packed * (SHORT + CLASSES + 1) + context[:, k]
+    order = rng.permutation(n)
+    order = order[np.argsort(packed[order], kind="stable")]
+    new = np.append(True, np.diff(packed[order]) != 0)
+    first = np.flatnonzero(new)
+    new |= (np.arange(n) - first[np.cumsum(new) - 1]) % most == 0
+    first = np.flatnonzero(new)
+    size = np.diff(np.append(first, n))
+    dealt = rng.permutation(len(first))
+    starts = np.cumsum(size[dealt]) - size[dealt]
+    return order[np.repeat(first[dealt] - starts, size[dealt]) + np.arange(n)], starts
+
+
 def train_steps(
     model: Model, symbols: np.ndarray, context: np.ndarray, noise: np.ndarray, rng, rate: float, moments: np.ndarray, size: int = 2048
 ) -> None:
-    """Noise-contrastive steps of ``size`` tokens each, in random order, in place; ``moments`` are summed squares of gradients."""
-    weights = Model(model.weights)
-    r, c, q, b = weights.parts()
+    """Noise-contrastive steps of about ``size`` tokens each, in random order, in place; ``moments`` are summed squares of gradients.
+
+    Tokens that share a context share its prediction and its products with the noise, weighted by their number;
+    no context makes up more than a ``SHARE``th of a step.
+    """
+    if not len(symbols):
+        return
+    r, c, q, b = Model(model.weights).parts()
     log_noise = np.log(noise * NOISE).astype(np.float32)
-    order = rng.permutation(len(symbols))
     cumulated = np.cumsum(noise)
-    for i in range(0, len(order), size):
-        at = order[i : i + size]
-        target, ctx = symbols[at], context[at]
+    order, starts = shared_contexts(context, max(1, size // SHARE), rng)
+    targets, own = symbols[order], context[order[starts]]
+    ends = np.append(starts[1:], len(order))
+    # Groups belong to the step in which they start.
+    steps = np.append(np.flatnonzero(np.diff(starts // size, prepend=-1)), len(starts))
+    grad = Model(np.zeros_like(model.weights))
+    gr, gc, gq, gb = grad.parts()
+    for i, j in zip(steps[:-1], steps[1:]):
+        target, ctx, first = targets[starts[i] : ends[j - 1]], own[i:j], starts[i:j] - starts[i]
+        n = (ends[i:j] - starts[i:j]).astype(np.float32)
+        group = np.repeat(np.arange(j - i), ends[i:j] - starts[i:j])
         drawn = np.minimum(np.searchsorted(cumulated, rng.random(NOISE)), len(noise) - 1)
         vectors = [r.take(ctx[:, k], axis=0) for k in range(CONTEXT)]
         predicted = sum(v * c[k] for k, v in enumerate(vectors))
-        hit, missed = q.take(target, axis=0), q[drawn]
-        true = np.einsum("ij,ij->i", predicted, hit) + b[target] - log_noise[target]
+        hit, missed, each = q.take(target, axis=0), q[drawn], predicted.take(group, axis=0)
+        true = np.einsum("ij,ij->i", each, hit) + b[target] - log_noise[target]
         false = product(predicted, missed.T) + (b[drawn] - log_noise[drawn])
         # The gradient of the log-likelihood of telling tokens from noise.
         pull = 1 / (1 + np.exp(np.clip(true, -30, 30)))
-        push = -1 / (1 + np.exp(np.clip(-false, -30, 30)))
-        grad = Model(np.zeros_like(model.weights))
-        gr, gc, gq, gb = grad.parts()
-        _added(gq, target, pull[:, None] * predicted)
+        push = -n[:, None] / (1 + np.exp(np.clip(-false, -30, 30)))
+        grad.weights[:] = 0
+        each *= pull[:, None]
+        _added(gq, target, each)
         _added(gq, drawn, inner_product(push, predicted))
         gb += np.bincount(target, pull, len(gb)) + np.bincount(drawn, push.sum(axis=0), len(gb))
-        back = pull[:, None] * hit + product(push, missed)
+        hit *= pull[:, None]
+        back = np.add.reduceat(hit, first, axis=0) + product(push, missed)
         for k, v in enumerate(vectors):
             _added(gr, ctx[:, k], back * c[k])
             gc[k] = np.einsum("ij,ij->j", back, v)
         step = grad.weights
-        step /= np.float32(len(at))
+        step /= np.float32(len(target))
         moments += step * step
         step *= np.float32(rate)
         step /= np.sqrt(moments + np.float32(1e-8))
@@ -300,6 +337,77 @@ def coded(texts: list[bytes], codes: Codes) -> tuple[np.ndarray, np.ndarray, lis
     return np.array(flat, dtype=np.int64), starts, words
 
 
+@cache
+def ending_classes() -> tuple[np.ndarray, np.ndarray]:
+    """The class of each last byte of a word of one byte, and of each last two bytes."""
+    one = [class_of(bytes([x])) for x in range(256)]
+    two = [class_of(bytes([x, y])) for x in range(256) for y in range(256)]
+    return np.array(one, dtype=np.int32), np.array(two, dtype=np.int32)
+
+
+def word_hashes(data: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words of ``data``, of their first ``LONGEST`` bytes; eight more bytes follow the last word."""
+    eights = np.lib.stride_tricks.sliding_window_view(data, 8)
+    masks = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+
+    def mixed(x: np.ndarray) -> np.ndarray:
+        x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+        return (x ^ (x >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
+
+    out = lengths.astype(np.uint64) << np.uint64(57)
+    rows = np.arange(len(begins))
+    for at in range(0, LONGEST, 8):
+        rows = rows[lengths[rows] > at]
+        if not len(rows):
+            break
+        eight = np.ascontiguousarray(eights[begins[rows] + at]).view("<u8").ravel() & masks[np.minimum(lengths[rows] - at, 8)]
+        out[rows] = mixed(out[rows] ^ mixed(eight + np.uint64(at)))
+    return out
+
+
+class Symbols:
+    """Symbols of whole texts, found for all words at once; the same as by ``coded``."""
+
+    def __init__(self, known: Vocabulary):
+        self.short = {k: i for i, k in enumerate(known.keys[:SHORT])}
+        plain = [k for k in self.short if 0 < len(k) <= LONGEST]
+        lengths = np.array([len(k) for k in plain], dtype=np.int64)
+        data = np.frombuffer(b"".join(plain) + bytes(LONGEST + 8), dtype=np.uint8)
+        hashes = word_hashes(data, np.cumsum(lengths) - lengths, lengths)
+        order = np.argsort(hashes)
+        # No word's hash is searched for behind the last place.
+        self.hashes = np.append(hashes[order], np.uint64(0))
+        self.numbers = np.append(np.array([self.short[k] for k in plain], dtype=np.int32)[order], np.int32(0))
+
+    def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of all tokens of the texts, and the start of each text."""
+        joined = b"\n" + b"\n".join(texts).translate(_LOWER) + b"\n" + bytes(LONGEST + 8)
+        data = np.frombuffer(joined, dtype=np.uint8)
+        text = data[: len(data) - LONGEST - 8]
+        blank = (text == 32) | ((text >= 9) & (text <= 13))
+        edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+        begins, ends = edges[::2], edges[1::2]
+        lengths = ends - begins
+        one, two = ending_classes()
+        last = data[ends - 1].astype(np.int32)
+        symbols = SHORT + np.where(lengths > 1, two[data[ends - 2] * np.int32(256) + last], one[last])
+        hashes = word_hashes(data, begins, lengths)
+        place = np.searchsorted(self.hashes[:-1], hashes)
+        symbols = np.where((self.hashes[place] == hashes) & (place < len(self.hashes) - 1), self.numbers[place], symbols)
+        for i in np.flatnonzero(lengths > LONGEST):
+            key = words_of(joined[begins[i] : ends[i]])[0]
+            symbols[i] = self.short.get(key, SHORT + class_of(key))
+        # An end stands behind the words of each text.
+        sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
+        words = np.diff(np.searchsorted(begins, 1 + np.cumsum(sizes)), prepend=0)
+        stops = np.cumsum(words + 1) - 1
+        out = np.full(len(begins) + len(texts), self.short[END], dtype=np.int32)
+        is_word = np.ones(len(out), dtype=bool)
+        is_word[stops] = False
+        out[is_word] = symbols
+        return out, stops - words
+
+
 def stretches(texts: list[bytes]) -> Iterator[slice]:
     """Slices of texts of bounded size together; a text is never cut."""
     first, size = 0, 0
@@ -317,16 +425,15 @@ def train_round(rows: DataFrame, shared, number: int, size: int) -> np.ndarray |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, start = shared.value
-        codes, tokens, model, moments, rng = None, 0, None, None, None
+        finder, tokens, model, moments, rng = None, 0, None, None, None
         for batch in batches:
-            if codes is None:
-                codes, model = Codes(known), Model(start.copy())
+            if finder is None:
+                finder, model = Symbols(known), Model(start.copy())
                 moments = np.zeros_like(model.weights)
                 rng = np.random.default_rng([number, TaskContext.get().partitionId()])
             texts = batch.column(0).to_pylist()
             for part in stretches(texts):
-                flat, starts, _ = coded(texts[part], codes)
-                symbols = known.symbol[flat]
+                symbols, starts = finder.of(texts[part])
                 train_steps(model, symbols, contexts(symbols, starts), known.noise, rng, RATE / (1 + number), moments, size)
                 tokens += len(symbols)
         if tokens:

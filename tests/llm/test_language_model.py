@@ -192,3 +192,57 @@ def test_long_words_keep_apart():
     a, b, short = b"a" * 5000, b"a" * 4999 + b"b", b"a" * 40
     keys = lm.words_of(b" ".join([a, b, a, short]))
     assert keys[0] == keys[2] != keys[1] and keys[3] == short and all(len(k) <= 41 for k in keys)
+
+
+def test_symbols_of_whole_texts(spark):
+    """All words at once get the symbols that one word after another gets."""
+    long = "y" * 300
+    words = counted() | {lm.words_of(long.encode())[0]: 5000, b"eight888": 3000, b"nine99999": 2900, b"a" * 40: 2800}
+    known = known_of(spark, words)
+    texts = ["", " ", "Word3. word3. x", f"\n{long} {'z' * 41} eight888 nine99999 eight88 nine9999", "a" * 40 + "\t" + "a" * 39, "é\x0b日本\x0cX \x00 \x00odd\r\n", "é", ""]
+    texts = [t.encode() for t in texts + [" ".join(k.decode() for k in words if k.isascii())]]
+    for some in (texts, texts[:1], texts[2:3]):
+        flat, starts, _ = lm.coded(some, lm.Codes(known))
+        got, places = lm.Symbols(known).of(some)
+        assert got.tolist() == known.symbol[flat].tolist() and places.tolist() == starts.tolist()
+    only = known_of(spark, {lm.END: 1})
+    assert lm.Symbols(only).of([b"a", b""])[0].tolist() == [lm.SHORT + lm.class_of(b"a"), 0, 0]
+
+
+def test_groups_of_one_context():
+    rng = np.random.default_rng(4)
+    context = rng.integers(0, 4, (900, 2)).astype(np.int32)
+    order, starts = lm.shared_contexts(context, 16, rng)
+    assert sorted(order) == list(range(900))
+    for group in np.split(order, starts[1:]):
+        assert 0 < len(group) <= 16 and len({tuple(context[i]) for i in group}) == 1
+
+
+def test_a_step_of_a_plain_loop():
+    """One step over tokens that share contexts equals the sum over tokens."""
+    rng, n = np.random.default_rng(9), lm.SHORT + lm.CLASSES
+    noise = np.full(n, 1 / n)
+    symbols = rng.integers(0, 6, 64)
+    context = rng.integers(0, 2, (64, 2)).astype(np.int32)
+    model = random_model()
+    r, c, q, b = (p.astype(np.float64) for p in model.parts())
+    rng.bit_generator.state = state = np.random.default_rng(3).bit_generator.state
+    lm.shared_contexts(context, 2048 // lm.SHARE, rng)
+    drawn = np.minimum(np.searchsorted(np.cumsum(noise), rng.random(lm.NOISE)), n - 1)
+    want = [np.zeros_like(p) for p in (r, c, q, b)]
+    for s, ctx in zip(symbols, context):
+        predicted = sum(r[ctx[k]] * c[k] for k in range(2))
+        for other, sign in [(s, 1)] + [(d, -1) for d in drawn]:
+            score = q[other] @ predicted + b[other] - math.log(noise[other] * lm.NOISE)
+            g = sign / (1 + math.exp(sign * score)) / 64
+            want[2][other] += g * predicted
+            want[3][other] += g
+            for k in range(2):
+                want[0][ctx[k]] += g * q[other] * c[k]
+                want[1][k] += g * q[other] * r[ctx[k]]
+    flat = np.concatenate([w.ravel() for w in want])
+    before, moments = model.weights.copy(), np.zeros_like(model.weights)
+    rng.bit_generator.state = state
+    lm.train_steps(model, symbols, context, noise, rng, 0.1, moments)
+    assert np.allclose(model.weights - before, 0.1 * flat / np.sqrt(flat * flat + 1e-8), atol=2e-3)
+    lm.train_steps(model, symbols[:0], context[:0], noise, rng, 0.1, moments)
