@@ -27,7 +27,7 @@ from rowsmith.llm.common import map_batches, whole_text
 
 PER_CLASS, BAG, PASSAGE, ACCEPT = 3000, 64, 768, 0.7
 HIDDEN, GATE, EPOCHS, SEED = 24, 12, 30, 7
-GROUP_BYTES = 2_000_000
+GROUP_BYTES = 500_000
 
 # Classes of bytes: letters, digits and blanks, each common mark by itself, other marks, non-ASCII.
 MARKS = b".,;:!?*#%$&|@/=_<>()[]{}\"'-+~^`\\"
@@ -213,10 +213,11 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, bag: i
     return fit(np.concatenate(cells), np.array([len(c) for c in cells]), y, weight / weight.mean())
 
 
-def _scores(model: Model, texts: list[bytes]) -> np.ndarray:
-    """Scores of a batch, a few megabytes of text at a time."""
+def _scores(model: Model, texts: pa.Array) -> np.ndarray:
+    """Scores of a batch's texts; only ``GROUP_BYTES`` of them are taken out at a time. A null counts as empty."""
     out, group, size = [], [], 0
-    for text in texts:
+    for cell in texts.cast(pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary()):
+        text = cell.as_py() or b""
         group.append(text)
         size += len(text)
         if size > GROUP_BYTES:
@@ -232,7 +233,7 @@ def score(docs: DataFrame, model: Model, accept: float = ACCEPT) -> DataFrame:
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            p = _scores(model, [t.encode() for t in batch.column(1).to_pylist()])
+            p = _scores(model, batch.column(1))
             return pa.record_batch(
                 [batch.column(0), batch.column(2), pa.array(p), pa.array((p >= accept).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"]
             )
@@ -249,8 +250,7 @@ def keep_good(docs: DataFrame, model: Model, accept: float = ACCEPT) -> DataFram
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts = [(t or "").encode() for t in batch.column(at).to_pylist()]
-            return batch.filter(pa.array(_scores(model, texts) >= accept))
+            return batch.filter(pa.array(_scores(model, batch.column(at)) >= accept))
 
         return work
 
