@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rowsmith.functions.expressions import first_contained, nan_to_null, tokens_to_null, year_from_text
 from rowsmith.operators import clean as C
 from rowsmith.operators import profile as P
+from rowsmith.operators.infer import infer_columns
 from rowsmith.queries.base import CLEAN_SQL, ORDERS_SPEC, RAW_ORDERS, clean_orders, derive, plain, query, raw_orders
 from rowsmith.session import scratch_path
 from rowsmith.sources.files import read_csv, write_csv
@@ -23,6 +24,39 @@ def src_csv_roundtrip(spark, sf):
     return C.clean(read_csv(spark, path), ORDERS_SPEC, mode="strict")
 
 
+def _inferred(name: str, text: str) -> str:
+    """What SQL says of one column."""
+    return f"""SELECT '{name}' AS "column", count(t) AS n,
+      count(*) FILTER (WHERE regexp_full_match(t, '[+-]?[0-9]{{1,18}}')) AS n_integer,
+      count(*) FILTER (WHERE regexp_full_match(t, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]{{1,3}})?')) AS n_number,
+      count(try_strptime(t, '%m/%d/%y')) AS n_date, count(DISTINCT t) AS d, string_agg(DISTINCT t, '|' ORDER BY t) AS v
+      FROM (SELECT {text} AS t FROM raw)"""
+
+
+@query(
+    "spec_inferred",
+    RAW
+    + ", each AS ("
+    + " UNION ALL ".join(
+        _inferred(name, text)
+        for name, text in (
+            ("o_orderkey", "CAST(o_orderkey AS VARCHAR)"), ("TotalPrice", "CASE WHEN NOT isnan(TotalPrice) THEN CAST(TotalPrice AS VARCHAR) END"),
+            ("CustNo", "CustNo"), ("OrderDate", "OrderDate"), ("Priority", "Priority"), ("Channel", "Channel"), ("Status", "nullif(Status, '')"),
+            ("Extra", "CAST(Extra AS VARCHAR)"),
+        )
+    )
+    + """), typed AS (SELECT *, CASE WHEN n_integer >= 0.95 * n THEN 'integer' WHEN n_number >= 0.95 * n THEN 'double'
+      WHEN n_date >= 0.95 * n THEN 'date' WHEN d <= 50 THEN 'category' ELSE 'text' END AS type FROM each)
+    SELECT "column", type, n, n_integer, n_number, n_date, CASE WHEN type = 'category' THEN v END AS vocabulary FROM typed""",
+)
+def spec_inferred(spark, sf):
+    """Types and vocabularies of the raw orders as a CSV file shows them."""
+    path = scratch_path(spark, "csv")
+    write_csv(raw_orders(spark, sf), path)
+    rows = infer_columns(read_csv(spark, path), formats=("M/d/yy",))
+    return rows.select("column", "type", "n", "n_integer", "n_number", "n_date", F.array_join("vocabulary", "|").alias("vocabulary"))
+
+
 @query(
     "clean_rename_project",
     f"""{RAW} SELECT o_orderkey, TotalPrice AS total_price, CustNo AS cust_no, Priority AS priority,
