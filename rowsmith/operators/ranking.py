@@ -21,6 +21,13 @@ def current_models(events: DataFrame) -> DataFrame:
     return latest.filter("event = 'save'").drop("event")
 
 
+def dead_artifacts(events: DataFrame, before: Column) -> DataFrame:
+    """``model_id, event_id, artifact, ended`` of saves that a later event of the id ended before the given time."""
+    in_order = W.partitionBy("model_id").orderBy("created", "event_id")
+    rows = events.select("model_id", "event_id", "event", "artifact", F.lead("created").over(in_order).alias("ended"))
+    return rows.filter((F.col("event") == "save") & (F.col("ended") < before)).drop("event")
+
+
 def models_summary(current: DataFrame) -> DataFrame:
     """Display table, newest first; absent values get defaults."""
     return current.select(

@@ -226,6 +226,20 @@ def reg_resave(spark, sf):
     )
 
 
+@query(
+    "reg_vacuum",
+    f"""WITH events AS ({plain(EVENTS)}), ended AS (SELECT model_id, event_id, event,
+      lead(created) OVER (PARTITION BY model_id ORDER BY created, event_id) AS ended FROM events)
+    SELECT model_id, event_id, 'a/' || event_id AS artifact, CAST(ended AS VARCHAR) AS ended FROM ended
+      WHERE event = 'save' AND ended < TIMESTAMP '2024-01-01 20:00:00'""",
+)
+def reg_vacuum(spark, sf):
+    """The artifacts that a removal with some retention takes away."""
+    events = _events(spark, sf).withColumn("artifact", F.concat(F.lit("a/"), "event_id"))
+    dead = R.dead_artifacts(events, F.to_timestamp(F.lit("2024-01-01 20:00:00")))
+    return dead.withColumn("ended", F.col("ended").cast("string"))
+
+
 @query(
     "reg_metrics_cleanup",
     f"""{NEWEST}, nth AS (SELECT *, row_number() OVER (PARTITION BY model_id, suffix ORDER BY timestamp DESC, entry_id DESC) AS k FROM vals)

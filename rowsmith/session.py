@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+
 def build_session(app: str = "rowsmith", cores: int | str = "*", **conf: str) -> SparkSession:
     """A local session for tests and the benchmark; on a cluster, bring your own."""
     builder = (
@@ -63,6 +67,36 @@ def drop_path(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def create_exclusively(spark: SparkSession, path: str) -> bool:
+    """Create an empty file and its folders; False if it is there already. Of several callers one gets True.
+
+    Shared file systems decide that themselves. Hadoop's local one looks before it creates, so there the
+    operating system is asked.
+    """
+    fs, target = _file_system(spark, path)
+    fs.mkdirs(target.getParent())
+    if fs.getUri().getScheme() == "file":
+        try:
+            os.close(os.open(fs.makeQualified(target).toUri().getPath(), os.O_CREAT | os.O_EXCL))
+        except FileExistsError:
+            return False
+        return True
+    try:
+        fs.create(target, False).close()
+    except Py4JJavaError:
+        if not fs.exists(target):
+            raise
+        return False
+    return True
+
+
+def list_folders(spark: SparkSession, pattern: str) -> list[tuple[str, datetime]]:
+    """Path and time of change of the folders that match a pattern."""
+    fs, target = _file_system(spark, pattern)
+    found = [s for s in fs.globStatus(target) or [] if s.isDirectory()]
+    return [(s.getPath().toString(), datetime.fromtimestamp(s.getModificationTime() / 1000, timezone.utc)) for s in found]
+
+
 class Scratch:
     """Intermediate tables of one operator in the shared folder.
 

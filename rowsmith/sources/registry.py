@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from typing import Any
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import IndexToString
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowsmith.operators import ranking
+from rowsmith.session import create_exclusively, drop_path, list_folders
 from rowsmith.sources.files import write_document
 from rowsmith.sources.metrics import MetricsStore, metric_documents, read_or_empty
 
@@ -64,9 +66,42 @@ class ModelRegistry:
         metadata: dict[str, Any] | None = None,
         overwrite: bool = True,
     ) -> str:
-        """Write the fitted pipeline, then register it. Returns the artifact path."""
-        if not overwrite and self.exists(model_id):
-            raise ValueError(f"model {model_id!r} already exists; pass overwrite=True to replace it")
+        """Write the fitted pipeline, then register it. Returns the artifact path.
+
+        With ``overwrite=False`` an existing id raises, and of several writers of a new id one succeeds.
+        """
+        if overwrite:
+            return self._save(model, model_id, metadata)
+        claim = self._claim(model_id)
+        try:
+            # Whoever saved between the look and the claim is seen now.
+            if self.exists(model_id):
+                raise self._taken(model_id)
+            return self._save(model, model_id, metadata)
+        except BaseException:
+            drop_path(self.spark, claim)
+            raise
+
+    @staticmethod
+    def _taken(model_id: str) -> ValueError:
+        return ValueError(f"model {model_id!r} already exists; pass overwrite=True to replace it")
+
+    def _claim(self, model_id: str) -> str:
+        """A file that one writer only can create for a new id, and again after each deletion of the id.
+
+        A driver that dies between its claim and its event leaves the claim; the id can then be saved with ``overwrite=True``.
+        """
+        own = self.events().filter(F.col("model_id") == model_id)
+        newest = F.max_by(F.struct("event", "event_id"), F.struct("created", "event_id"))
+        last = own.agg(newest.alias("e")).first()["e"]
+        if last is not None and last["event"] == "save":
+            raise self._taken(model_id)
+        claim = f"{self.path}/claims/{hashlib.sha256(model_id.encode()).hexdigest()}/{'first' if last is None else last['event_id']}"
+        if not create_exclusively(self.spark, claim):
+            raise self._taken(model_id)
+        return claim
+
+    def _save(self, model: PipelineModel, model_id: str, metadata: dict[str, Any] | None) -> str:
         artifact = f"{self.path}/artifacts/{model_id}/{uuid.uuid4().hex}"
         model.write().save(artifact)
         row = (
@@ -146,6 +181,26 @@ class ModelRegistry:
         if not lost.isEmpty():
             self._delete(lost)
 
+    def vacuum(self, retention: timedelta = timedelta(days=7)) -> int:
+        """Remove the artifact folders that no current model uses, and return their number.
+
+        An artifact goes once it was replaced or deleted longer than ``retention`` ago, so a reader has that long
+        to load what it looked up. A folder without any event, as a failed save leaves it, goes when it is that old.
+        """
+        before = datetime.now(timezone.utc) - retention
+        gone = ranking.dead_artifacts(self.events(), F.lit(before)).select("artifact")
+        found = list_folders(self.spark, f"{self.path}/artifacts/*/*")
+        there = self.spark.createDataFrame(found, "artifact string, modified timestamp")
+        registered = self.events().filter("artifact IS NOT NULL").select(folder_name(F.col("artifact")).alias("name"))
+        named = there.withColumn("name", folder_name(F.col("artifact")))
+        dead = named.join(gone.select(folder_name(F.col("artifact")).alias("name")), "name", "left_semi")
+        orphans = named.filter(F.col("modified") < F.lit(before)).join(registered, "name", "left_anti")
+        count = 0
+        for r in dead.unionByName(orphans).select("artifact").toLocalIterator():
+            drop_path(self.spark, r["artifact"])
+            count += 1
+        return count
+
     def _delete(self, lost: DataFrame) -> None:
         rows = ranking.tombstones(lost, F.lit(datetime.now(timezone.utc)))
         have = set(rows.columns)
@@ -179,6 +234,11 @@ class ModelRegistry:
         return self.save_model(model, model_id, metadata, overwrite)
 
 
+def folder_name(path: Column) -> Column:
+    """The last part of a path; artifact folders have names of their own."""
+    return F.substring_index(path, "/", -1)
+
+
 def folder_size(spark: SparkSession, path: str) -> int:
     """Bytes below a folder; only the file listing is read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)

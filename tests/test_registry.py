@@ -1,3 +1,5 @@
+import os
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
 import pytest
@@ -196,6 +198,52 @@ def test_metrics_end_with_their_model(spark, registry):
     assert registry.metrics.load("n").count() > 0
 
 
+def test_one_of_several_writers_of_a_new_id_succeeds(spark, registry):
+    def save(word):
+        try:
+            registry.save_model(tiny_model(word), "m/1", overwrite=False)
+            return word
+        except ValueError as e:
+            assert "already exists" in str(e)
+
+    def saved_by_one():
+        with ThreadPoolExecutor(4) as pool:
+            winners = [w for w in pool.map(save, "abcd") if w]
+        assert len(winners) == 1
+        assert registry.load_model("m/1").transform(spark.range(1)).first()["word"] == winners[0]
+
+    saved_by_one()
+    registry.delete_model("m/1")
+    saved_by_one()
+    assert registry.events().filter("event = 'save'").count() == 2
+
+
+def test_a_failed_save_frees_the_id(registry, monkeypatch):
+    with monkeypatch.context() as patch:
+        patch.setattr(registry, "_append", lambda rows: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            registry.save_model(tiny_model(), "m", overwrite=False)
+    registry.save_model(tiny_model(), "m", overwrite=False)
+    assert registry.list_models() == ["m"]
+
+
+def test_vacuum(spark, registry):
+    """Replaced, deleted and never registered artifacts go once they are old enough; current ones stay."""
+    old = registry.save_model(tiny_model("old"), "m")
+    new = registry.save_model(tiny_model("new"), "m")
+    lost = registry.save_model(tiny_model(), "n")
+    registry.delete_model("n")
+    orphan = f"{registry.path}/artifacts/x/unfinished"
+    tiny_model().write().save(orphan)
+    assert registry.vacuum(timedelta(hours=1)) == 0
+    assert all(map(os.path.isdir, (old, new, lost, orphan)))
+    assert registry.vacuum(timedelta(seconds=-5)) == 3
+    assert [os.path.isdir(p) for p in (old, new, lost, orphan)] == [False, True, False, False]
+    assert registry.load_model("m").transform(spark.range(1)).first()["word"] == "new"
+    assert registry.vacuum(timedelta(0)) == 0
+    assert ModelRegistry(spark, f"{registry.path}/none").vacuum() == 0
+
+
 def test_metric_entries_are_cleaned_up(spark, registry):
     for i in range(5):
         registry.metrics.save(scores(i / 10), "m", timestamp=START + timedelta(hours=i))
