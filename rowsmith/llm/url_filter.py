@@ -14,7 +14,8 @@ Defined cases: a capture without URL, host or time is never blocked. Entries wit
 column are ignored, repeated ones count once, and of an addition and a removal at the same time the
 removal holds. An interval includes its start and excludes its end. An empty list blocks nothing.
 Case counts in paths only; final and doubled slashes do not count, so a prefix of just a host is the
-whole host without its subdomains.
+whole host without its subdomains. Further columns of captures are kept; ``n_hits``, ``hits`` and ``blocked``
+replace columns of these names. Repeated captures are judged alike, an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rowsmith.llm.common import heavy_hitters
+from rowsmith.llm.common import fresh, heavy_hitters
 from rowsmith.session import Scratch
 
 SALTS = 32
@@ -98,6 +99,13 @@ def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
         .groupBy("url", "fetched_at")
         .agg(F.count("*").alias("n_hits"), F.array_join(F.array_sort(F.collect_set("key")), " ").alias("hits"))
     )
-    return captures.join(hits, ["url", "fetched_at"], "left").select(
-        *captures.columns, F.coalesce("n_hits", F.lit(0)).alias("n_hits"), F.coalesce("hits", F.lit("")).alias("hits"), F.col("n_hits").isNotNull().alias("blocked")
+    # Captures that nothing can hit are spread over all tasks: a listed URL never begins with a blank.
+    asks = F.col("url").isNotNull() & F.col("fetched_at").isNotNull()
+    spread = F.concat(F.lit(" "), F.monotonically_increasing_id().cast("string"))
+    at, when, count, found = (fresh(captures.columns, c) for c in ("at_url", "at_time", "hit_count", "hit_keys"))
+    rows = captures.withColumns({at: F.when(asks, F.col("url")).otherwise(spread), when: F.coalesce("fetched_at", F.lit(0).cast("timestamp"))})
+    joined = rows.join(hits.toDF(at, when, count, found), [at, when], "left")
+    own = [c for c in captures.columns if c.lower() not in ("n_hits", "hits", "blocked")]
+    return joined.select(
+        *own, F.coalesce(count, F.lit(0)).alias("n_hits"), F.coalesce(found, F.lit("")).alias("hits"), F.col(count).isNotNull().alias("blocked")
     )

@@ -291,3 +291,21 @@ def test_hot_domain_is_salted_alike(spark):
 def test_empty_list(spark):
     assert judged(spark, [("http://bad.example", day(6))], []) == {0: (0, "", False)}
     assert judged(spark, [], ENTRIES) == {}
+
+
+def test_captures_with_names_of_the_result(spark):
+    """Columns named like the result are replaced, others are kept; captures without URL or time are not blocked."""
+    T = datetime(2024, 1, 1)
+    captures = spark.createDataFrame(
+        [(1, "http://a.org/x", T, 9, "old", True, "u"), (1, "http://a.org/x", T, 9, "old", True, "u"), (2, None, T, 1, "h", True, "v"),
+         (3, "http://a.org/x", None, 1, "h", True, "v"), (4, "http://b.org/", T, 1, "h", True, "v")],
+        "page_id int, url string, fetched_at timestamp, n_hits int, Hits string, blocked boolean, at_url string",
+    )
+    entries = spark.createDataFrame([("domain", "a.org", "add", T)], "scope string, value string, action string, dated timestamp")
+    out = url_filter.judge(captures, entries)
+    assert out.columns == ["page_id", "url", "fetched_at", "at_url", "n_hits", "hits", "blocked"]
+    got = sorted((r["page_id"], r["at_url"], r["n_hits"], r["hits"], r["blocked"]) for r in out.collect())
+    hit, none = (1, "u", 1, "domain:a.org", True), [(2, "v", 0, "", False), (3, "v", 0, "", False), (4, "v", 0, "", False)]
+    assert got == [hit, hit, *none]
+    assert url_filter.judge(captures.limit(0), entries).count() == 0
+    assert url_filter.judge(captures, entries.limit(0)).where("blocked").count() == 0
