@@ -245,13 +245,10 @@ def score(docs: DataFrame, model: Model, accept: float = ACCEPT) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: Model, accept: float = ACCEPT) -> DataFrame:
-    """The rows of ``docs`` that the model accepts, all columns as they were."""
-    at = docs.columns.index("text")
+    """The rows of ``docs`` that the model accepts, all columns as they were. Only texts go to Python, only scores come back."""
 
-    def make():
-        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            return batch.filter(pa.array(_scores(model, batch.column(at)) >= accept))
-
-        return work
+    @F.arrow_udf("double")
+    def quality(texts: pa.Array) -> pa.Array:
+        return pa.array(_scores(model, texts) if len(texts) else [], pa.float64())
 
-    return map_batches(docs, make, docs.schema)
+    return docs.where(quality(whole_text()) >= accept)
