@@ -48,7 +48,7 @@ SMALL = 24
 # At a similarity of 0.8 a fifth differs on average, with a deviation of a twentieth, so 4.9e-8 of such pairs are beyond it.
 FAR = 0.5
 # Hash values kept per process.
-WORDS_KEPT = 500_000
+WORDS_KEPT = 100_000
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _RNG = np.random.default_rng(SEED)
