@@ -146,7 +146,10 @@ def serving_choice(
         F.when(F.col("score").isNull(), -F.unix_micros("created")),
         F.col("model_id"),
     )
-    chosen = F.min_by(F.struct("model_id", "model_type", "classes", "created", "score"), rank)
+    # What the model was trained on is stored as JSON in its metadata.
+    stored = F.col("metadata")["features"] if "metadata" in current.columns else F.lit(None).cast("string")
+    described = described.withColumn("features", F.from_json(stored, "array<string>"))
+    chosen = F.min_by(F.struct("model_id", "model_type", "classes", "created", "score", "features"), rank)
     return described.agg(F.count("*").alias("n"), chosen.alias("m")).select(
         (F.col("n") > 0).alias("model_loaded"),
         F.when(F.col("n") > 0, "healthy").otherwise("unhealthy").alias("status"),

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from rowsmith.operators import ranking as R
 from rowsmith.queries.base import derive, plain, query, r6
 from rowsmith.session import scratch_path
+from rowsmith.sources.log import AppendLog
 from rowsmith.sources.metrics import MetricsStore, read_metric_documents
 
 EVENTS = """
@@ -68,6 +71,26 @@ def reg_current(spark, sf):
     )
 
 
+@query(
+    "reg_compacted",
+    f"{NEWEST} SELECT model_id, event_id, CAST(created AS VARCHAR) AS created, model_type, file_size FROM cur",
+)
+def reg_compacted(spark, sf):
+    """The current models of a log whose first writes lie in a snapshot and whose last ones do not."""
+    rows = _events(spark, sf)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", write_id string"
+    log = AppendLog(spark, scratch_path(spark, "events"), schema, "write_id")
+    for part in range(4):
+        log.append(rows.filter(F.pmod(F.crc32("event_id"), F.lit(4)) == part))
+        if part == 1:
+            log.compact(timedelta(0))
+    log.compact()
+    log.append(rows.filter("event_id IS NULL"))
+    return R.current_models(log.rows()).select(
+        "model_id", "event_id", F.col("created").cast("string").alias("created"), "model_type", "file_size"
+    )
+
+
 @query("reg_list", f"{NEWEST} SELECT model_id FROM cur")
 def reg_list(spark, sf):
     return R.current_models(_events(spark, sf)).select("model_id").orderBy("model_id")
@@ -196,11 +219,13 @@ def reg_latest_metrics(spark, sf):
 @query(
     "reg_serving_choice",
     f"""{NEWEST} SELECT true AS model_loaded, 'healthy' AS status, model_id, model_type,
-        CAST(created AS VARCHAR) AS created, round(f1, 6) AS score
+        CAST(created AS VARCHAR) AS created, round(f1, 6) AS score,
+        step AS features
         FROM cur JOIN latest USING (model_id) ORDER BY f1 DESC, model_id LIMIT 1""",
 )
 def reg_serving_choice(spark, sf):
-    row = R.serving_choice(R.current_models(_events(spark, sf)), _metrics(spark, sf))
+    kept = F.create_map(F.lit("features"), F.to_json(F.split("step", " ")))
+    row = R.serving_choice(R.current_models(_events(spark, sf).withColumn("metadata", kept)), _metrics(spark, sf))
     return row.select(
         "model_loaded",
         "status",
@@ -208,6 +233,7 @@ def reg_serving_choice(spark, sf):
         "model_type",
         F.col("created").cast("string").alias("created"),
         r6("score").alias("score"),
+        F.concat_ws(" ", "features").alias("features"),
     )
 
 

@@ -92,8 +92,17 @@ def create_exclusively(spark: SparkSession, path: str) -> bool:
 
 def list_folders(spark: SparkSession, pattern: str) -> list[tuple[str, datetime]]:
     """Path and time of change of the folders that match a pattern."""
+    return _listed(spark, pattern, True)
+
+
+def list_files(spark: SparkSession, pattern: str) -> list[tuple[str, datetime]]:
+    """Path and time of change of the files that match a pattern."""
+    return _listed(spark, pattern, False)
+
+
+def _listed(spark: SparkSession, pattern: str, folders: bool) -> list[tuple[str, datetime]]:
     fs, target = _file_system(spark, pattern)
-    found = [s for s in fs.globStatus(target) or [] if s.isDirectory()]
+    found = [s for s in fs.globStatus(target) or [] if s.isDirectory() == folders]
     return [(s.getPath().toString(), datetime.fromtimestamp(s.getModificationTime() / 1000, timezone.utc)) for s in found]
 
 

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowsmith.operators import ranking
 from rowsmith.sources.files import read_documents
+from rowsmith.sources.log import AppendLog, read_or_empty
 
 METRIC_COLUMNS = (
     "model_id string, timestamp timestamp, suffix string, split string, "
@@ -29,16 +28,6 @@ DOCUMENT_SCHEMA = (
 )
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The table at ``path``, or an empty one with the fixed schema if nothing is there yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def flatten_metrics(document: dict) -> list[tuple[str, str, str | None, str, float]]:
     """Rows ``(split, scope, class, metric, value)`` of a metrics document.
 
@@ -68,14 +57,20 @@ class MetricsStore:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.log = AppendLog(spark, f"{self.path}/entries", METRIC_SCHEMA, "entry_id")
 
     def all_rows(self) -> DataFrame:
-        return read_or_empty(self.spark, f"{self.path}/entries", METRIC_SCHEMA)
+        return self.log.rows()
+
+    def compact(self, retention: timedelta = timedelta(days=7)) -> int:
+        """Gather the entries so far in few files; see ``AppendLog.compact``."""
+        return self.log.compact(retention)
 
     def rows(self) -> DataFrame:
         """All rows but those of deleted entries."""
         gone = read_or_empty(self.spark, f"{self.path}/deleted", "entry_id string")
-        return self.all_rows().join(gone.distinct(), "entry_id", "left_anti").select(*self.all_rows().columns)
+        rows = self.all_rows()
+        return rows.join(gone.distinct(), "entry_id", "left_anti").select(*rows.columns)
 
     def delete(self, entry_ids: DataFrame) -> None:
         """Take entries out of every reader's sight; their ids are appended to a table of their own."""
@@ -97,9 +92,7 @@ class MetricsStore:
 
     def append(self, rows: DataFrame) -> str:
         """Append metric rows computed by Spark as one entry."""
-        entry_id = uuid.uuid4().hex
-        rows.write.parquet(f"{self.path}/entries/entry_id={entry_id}")
-        return entry_id
+        return self.log.append(rows)
 
     def load(self, model_id: str, suffix: str = "") -> DataFrame:
         """Rows of the newest entry of a model and suffix; an absent entry raises."""

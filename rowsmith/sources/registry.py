@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from rowsmith.operators import ranking
 from rowsmith.session import create_exclusively, drop_path, list_folders
 from rowsmith.sources.files import write_document
-from rowsmith.sources.metrics import MetricsStore, metric_documents, read_or_empty
+from rowsmith.sources.log import AppendLog
+from rowsmith.sources.metrics import MetricsStore, metric_documents
 
 EVENT_COLUMNS = (
     "model_id string, event string, created timestamp, artifact string, model_type string, "
@@ -42,18 +43,21 @@ class ModelRegistry:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.log = AppendLog(spark, f"{self.path}/events", EVENT_SCHEMA, "event_id")
         self.metrics = MetricsStore(spark, f"{self.path}/metrics")
 
     def events(self) -> DataFrame:
-        return read_or_empty(self.spark, f"{self.path}/events", EVENT_SCHEMA)
+        return self.log.rows()
 
     def current(self) -> DataFrame:
         return ranking.current_models(self.events())
 
     def _append(self, rows: DataFrame) -> str:
-        event_id = uuid.uuid4().hex
-        rows.write.parquet(f"{self.path}/events/event_id={event_id}")
-        return event_id
+        return self.log.append(rows)
+
+    def compact(self, retention: timedelta = timedelta(days=7)) -> int:
+        """Gather events and metric entries so far in few files, so that readers list few folders."""
+        return self.log.compact(retention) + self.metrics.compact(retention)
 
     def exists(self, model_id: str) -> bool:
         wanted = self.events().filter(F.col("model_id") == model_id)

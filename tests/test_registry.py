@@ -253,3 +253,24 @@ def test_metric_entries_are_cleaned_up(spark, registry):
     assert sorted(r["value"] for r in left) == [0.3, 0.4, 0.9]
     registry.metrics.cleanup(keep_latest=2)
     assert registry.metrics.rows().filter("metric = 'f1_score'").count() == 3
+
+
+def test_compaction_keeps_models_and_metrics(registry):
+    for name in ("a", "b", "c"):
+        registry.save_model(tiny_model(name), name, {"features": ["x", "y"]})
+        registry.metrics.save(scores(0.5 + len(name) / 10), name)
+    registry.delete_model("b")
+    registry.compact(timedelta(0))
+    assert registry.list_models() == ["a", "c"]
+    registry.save_model(tiny_model("d"), "d")
+    registry.metrics.save(scores(0.9), "d")
+    assert registry.list_models() == ["a", "c", "d"] and registry.best_model_id() == "d"
+    with pytest.raises(ValueError, match="already exists"):
+        registry.save_model(tiny_model(), "a", overwrite=False)
+    registry.delete_model("d")
+    registry.compact(timedelta(0))
+    registry.compact(timedelta(0))
+    assert registry.list_models() == ["a", "c"]
+    assert sorted(r["model_id"] for r in registry.compare().collect()) == ["a", "c"]
+    row = registry.serving_choice().first()
+    assert row["features"] == ["x", "y"]
