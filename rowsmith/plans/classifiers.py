@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
-from pyspark.ml import Estimator, Pipeline
+from pyspark import inheritable_thread_target
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LinearSVC,
+    LinearSVCModel,
     LogisticRegression,
     OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import PolynomialExpansion
+from pyspark.ml.feature import PolynomialExpansion, SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rowsmith.plans.trees import TREES, least_to_split, with_least_split
 
@@ -115,9 +119,10 @@ def _logistic(params: dict[str, Any], seed: int, rows: int, classes: int) -> Est
 
 
 def _support_vectors(params: dict[str, Any], seed: int, rows: int, classes: int) -> Estimator:
-    """Linear margins, one class against the rest; a polynomial kernel expands the features.
+    """Linear margins; a polynomial kernel expands the features.
 
-    With ``probability`` a logistic fit on the margins gives probabilities beside them.
+    ``multi_class`` chooses between ``ovr`` (one class against the rest) and ``ovo`` (a machine for each pair of
+    classes; the class with most votes wins). With ``probability`` a logistic fit on the margins gives probabilities beside them.
     """
     kernel = params.pop("kernel", None)
     if kernel is None:
@@ -126,9 +131,13 @@ def _support_vectors(params: dict[str, Any], seed: int, rows: int, classes: int)
         raise ValueError(f"kernel {kernel!r} needs all pairs of rows; use 'linear' or 'poly'")
     limit = int(params.pop("max_iter", -1))
     degree = int(params.pop("degree", 3))
+    scheme = params.pop("multi_class", None) or "ovr"
+    if scheme not in ("ovr", "ovo"):
+        raise ValueError(f"unknown multi_class {scheme!r}; use 'ovr' or 'ovo'")
     source = FEATURES if kernel == "linear" else "rs_poly"
+    cost = float(params.pop("C", 1.0))
     margin = LinearSVC(
-        regParam=1.0 / (float(params.pop("C", 1.0)) * rows),
+        regParam=1.0 / (cost * rows),
         maxIter=100 if limit < 0 else limit,
         tol=float(params.pop("tol", 1e-3)),
         standardization=False,
@@ -141,6 +150,8 @@ def _support_vectors(params: dict[str, Any], seed: int, rows: int, classes: int)
         parallelism=max(1, min(classes, 8)),
     )
     stages: list = [_wire(machine, featuresCol=source, rawPredictionCol=margins)]
+    if scheme == "ovo":
+        stages = [OneVsOne(margin, cost, classes, source, margins)]
     if kernel == "poly":
         stages.insert(0, PolynomialExpansion(degree=degree, inputCol=FEATURES, outputCol=source))
     if params.pop("probability", False):
@@ -151,6 +162,59 @@ def _support_vectors(params: dict[str, Any], seed: int, rows: int, classes: int)
     return stages[0] if len(stages) == 1 else Pipeline(stages=stages)
 
 
+class OneVsOne(Estimator):
+    """A machine for every pair of classes, fitted on the rows of the two alone.
+
+    Each machine votes for one class of its pair. The class with most votes wins, the first one on a tie. The fitted
+    stages are native: machines, a vector of all their margins in ``margins``, and the count of votes.
+    """
+
+    def __init__(self, machine: LinearSVC, cost: float, classes: int, features: str, margins: str):
+        super().__init__()
+        self.machine, self.cost, self.classes = machine, cost, classes
+        self.features, self.margins, self.weight = features, margins, None
+
+    def setWeightCol(self, name: str) -> OneVsOne:
+        self.weight = name
+        return self
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        size = F.lit(1.0) if self.weight is None else F.col(self.weight)
+        # One row per class.
+        sizes = {int(r["c"]): r["n"] for r in dataset.groupBy(F.col(LABEL).alias("c")).agg(F.sum(size).alias("n")).collect()}
+        # A label that no training row has gets no votes.
+        pairs = [(low, high) for low in range(self.classes) for high in range(low + 1, self.classes) if low in sizes and high in sizes]
+
+        def fit(pair: tuple[int, int]) -> LinearSVCModel:
+            low, high = pair
+            name = f"rs_pair_{low}_{high}"
+            # The penalty is relative to the mean loss over the pair's own rows.
+            one = self.machine.copy({self.machine.regParam: 1.0 / (self.cost * (sizes[low] + sizes[high]))})
+            one.setFeaturesCol(self.features).setLabelCol("rs_upper").setPredictionCol(name).setRawPredictionCol(f"{name}_margin")
+            if self.weight is not None:
+                one.setWeightCol(self.weight)
+            rows = dataset.filter(F.col(LABEL).isin(low, high))
+            return one.fit(rows.withColumn("rs_upper", (F.col(LABEL) == high).cast("double")))
+
+        # The pairs share the input and are fitted side by side, each on its own rows.
+        with ThreadPool(max(1, min(len(pairs), 8))) as pool:
+            stages: list = pool.map(inheritable_thread_target(dataset.sparkSession)(fit), pairs)
+        votes = {c: ["0"] for c in range(max(1, self.classes))}
+        for low, high in pairs:
+            votes[low].append(f"CAST(1 - rs_pair_{low}_{high} AS INT)")
+            votes[high].append(f"CAST(rs_pair_{low}_{high} AS INT)")
+        machines = [m.getPredictionCol() for m in stages]
+        if machines:
+            stages.append(VectorAssembler(inputCols=[f"{m}_margin" for m in machines], outputCol=self.margins))
+        else:  # one class only: it is always predicted
+            votes[min(sizes, default=0)] = ["1"]
+        counted = ", ".join(" + ".join(votes[c]) for c in sorted(votes))
+        helpers = ", ".join(["rs_votes", *machines, *[f"{m}_margin" for m in machines]])
+        winner = "CAST(array_position(rs_votes, array_max(rs_votes)) - 1 AS DOUBLE)"
+        tally = f"SELECT * EXCEPT ({helpers}), {winner} AS {PREDICTION} FROM (SELECT *, array({counted}) AS rs_votes FROM __THIS__)"
+        return PipelineModel([*stages, SQLTransformer(statement=tally)])
+
+
 def _wire(stage: Estimator, **other: str) -> Estimator:
     """Connect a classifier to the working columns, with ``other`` ones where given."""
     for name, column in {**COLUMNS, **other}.items():
@@ -196,7 +260,7 @@ def make_classifier(
     estimator = CLASSIFIERS[name](left, seed, weight if penalised else rows, classes)
     if left:
         raise ValueError(f"parameters without a counterpart for {name}: {sorted(left)}")
-    if not isinstance(estimator, (Pipeline, OneVsRest)):
+    if not isinstance(estimator, (Pipeline, OneVsRest, OneVsOne)):
         _wire(estimator)
     if weighting is not None:
         _weighted(estimator)

@@ -10,6 +10,8 @@ from rowsmith.operators import evaluate as E
 from rowsmith.operators.profile import distinct_labels
 from rowsmith.operators.vote import assemble_scores, soft_vote
 from rowsmith.queries.base import PREDICTED, derive, plain, predicted, query, r6
+from rowsmith.session import scratch_path
+from rowsmith.sources.metrics import MetricsStore
 
 LABELS = f"""WITH pred AS ({plain(PREDICTED)}),
 labels_ AS (SELECT y_true AS label FROM pred UNION SELECT y_pred FROM pred),
@@ -22,6 +24,30 @@ scores AS (SELECT *, coalesce(tp / nullif(predicted, 0), 0) AS p, coalesce(tp /
   coalesce(2 * tp / nullif(predicted + support, 0), 0) AS f FROM totals)"""
 
 
+PARTS = ["accuracy", "precision", "recall", "f1_score", "balanced_accuracy", "total_samples", "num_classes"]
+
+
+@query(
+    "eval_document",
+    f"""{LABELS}, whole AS (SELECT sum(tp) / sum(support) AS accuracy, sum(p * support) / sum(support) AS precision,
+      sum(r * support) / sum(support) AS recall, sum(f * support) / sum(support) AS f1_score,
+      avg(r) FILTER (support > 0) AS balanced_accuracy, sum(support) AS total_samples, count(*)::DOUBLE AS num_classes FROM scores),
+    means AS (SELECT unnest(['macro', 'weighted']) AS scope, unnest([avg(p), sum(p * support) / sum(support)]) AS p,
+      unnest([avg(r), sum(r * support) / sum(support)]) AS r, unnest([avg(f), sum(f * support) / sum(support)]) AS f, sum(support) AS n FROM scores),
+    cells_ AS (
+      SELECT 'overall' AS scope, NULL AS label, unnest({PARTS}) AS metric,
+        unnest([{", ".join(PARTS)}]) AS value FROM whole
+      UNION ALL SELECT 'class', label, unnest(['precision', 'recall', 'f1_score', 'support']), unnest([p, r, f, support]) FROM scores
+      UNION ALL SELECT scope, NULL, unnest(['precision', 'recall', 'f1_score', 'support']), unnest([p, r, f, n]) FROM means)
+    SELECT 'm' AS model_id, 'test' AS split, scope, label, metric, round(value, 6) AS value FROM cells_""",
+)
+def eval_document(spark, sf):
+    """All metrics as one document, saved as an entry of a metric store and read back."""
+    store = MetricsStore(spark, scratch_path(spark, "metrics"))
+    store.save(E.evaluate(predicted(spark, sf), "y_true", "y_pred"), "m")
+    return store.load("m").select("model_id", "split", "scope", F.col("class").alias("label"), "metric", r6("value").alias("value"))
+
+
 @query("eval_classes", f"{LABELS} SELECT label FROM labels_")
 def eval_classes(spark, sf):
     return distinct_labels(predicted(spark, sf), "y_true", "y_pred")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -298,6 +300,22 @@ def gap_ensemble(spark, sf):
     return ensemble(rows, models, ["l_orderkey", "l_linenumber"]).select("l_orderkey", "l_linenumber", "prediction")
 
 
+# Three labels along one feature: no line parts the middle one from the rest, but one parts each pair of labels.
+STEPS = f"""
+SELECT l_orderkey, l_linenumber, l_quantity + CASE {SIZE_RULE} WHEN 'small' THEN 0 WHEN 'medium' THEN 1000 ELSE 2000 END AS spread,
+  l_discount, l_tax, {SIZE_RULE} AS size_label
+FROM {{lineitem}}
+"""
+STEPS_SPEC = replace(GAP_SPEC, target=TargetField("size_label", ("small", "medium", "large")))
+PAIRWISE = ExperimentSpec("SVC", {"kernel": "linear", "C": 1.0, "max_iter": 20, "multi_class": "ovo"})
+
+
+@query("train_svc_pairwise", f"SELECT l_orderkey, l_linenumber, {SIZE_RULE} AS prediction FROM lineitem")
+def train_svc_pairwise(spark, sf):
+    rows = derive(spark, sf, STEPS, "lineitem")
+    return predict(rows, fit_pipeline(rows, STEPS_SPEC, PAIRWISE)).select("l_orderkey", "l_linenumber", "prediction")
+
+
 # A tree of depth one keeps the two smaller classes in one leaf, so its shares are fractions.
 STUMP = ExperimentSpec("DecisionTreeClassifier", {"max_depth": 1})
 CLASSES = f"WITH ruled AS (SELECT l_orderkey, l_linenumber, {SIZE_RULE} AS c FROM lineitem)"

@@ -1,5 +1,7 @@
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from rowsmith.plans import classifiers as K
@@ -291,3 +293,35 @@ def test_quarantine_stream(spark, birds, tmp_path):
     quarantine_stream(stream, BIRD_SURVEY, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     counts = {r["verdict"]: r["count"] for r in spark.read.parquet(str(tmp_path / "out")).groupBy("verdict").count().collect()}
     assert counts == {"valid": 235, "rejected": 5}
+
+
+def test_pairwise_margins(spark, tmp_path):
+    """No line parts the middle class from the other two, but every pair is parted."""
+    rows = spark.createDataFrame([(float(10 * (i % 3) + i % 2), float(i % 7), float(i % 3)) for i in range(300)], "x double, z double, rs_label double")
+    rows = VectorAssembler(inputCols=["x", "z"], outputCol=K.FEATURES).transform(rows).coalesce(1)
+    params = {"kernel": "linear", "max_iter": 10, "multi_class": "ovo"}
+    model = K.make_classifier("SVC", params, 1, 300, 3).fit(rows)
+    scored = model.transform(rows)
+    assert scored.filter(f"{K.PREDICTION} != rs_label").isEmpty()
+    assert set(scored.columns) == {*rows.columns, "rawPrediction", K.PREDICTION}
+    # Each machine is what its pair alone gives.
+    pair = rows.filter("rs_label IN (0, 2)").withColumn("upper", F.expr("CAST(rs_label = 2 AS DOUBLE)"))
+    alone = LinearSVC(featuresCol=K.FEATURES, labelCol="upper", regParam=1 / 200, maxIter=10, tol=1e-3, standardization=False).fit(pair)
+    assert model.stages[1].coefficients.toArray() == pytest.approx(alone.coefficients.toArray())
+    model.write().save(str(tmp_path / "m"))
+    again = PipelineModel.load(str(tmp_path / "m")).transform(rows)
+    assert again.filter(f"{K.PREDICTION} != rs_label").isEmpty()
+    # A class without rows gets no votes; one class alone is always predicted.
+    some = K.make_classifier("SVC", params, 1, 200, 3).fit(rows.filter("rs_label != 0")).transform(rows)
+    assert {r[0] for r in some.select(K.PREDICTION).distinct().collect()} == {1.0, 2.0}
+    one = K.make_classifier("SVC", params, 1, 100, 3).fit(rows.filter("rs_label = 2")).transform(rows)
+    assert {r[0] for r in one.select(K.PREDICTION).distinct().collect()} == {2.0}
+    with pytest.raises(ValueError, match="multi_class"):
+        K.make_classifier("SVC", {"kernel": "linear", "multi_class": "x"}, 1, 10, 3)
+
+
+def test_pairwise_margins_in_a_pipeline(birds):
+    spec = ExperimentSpec("SVC", {"kernel": "linear", "max_iter": 5, "multi_class": "ovo", "probability": True, "class_weight": "balanced"})
+    model = fit_pipeline(birds, BIRD_SURVEY, spec)
+    assert predict(birds, model).filter("prediction = species").count() > 200
+    assert predict_proba(birds, model, ["row_id"]).columns == ["row_id", "Adelie", "Chinstrap", "Gentoo"]
