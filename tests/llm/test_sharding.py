@@ -2,6 +2,8 @@ import random
 import zlib
 from collections import defaultdict
 
+import pytest
+
 from rowsmith.llm import sharding
 from rowsmith.llm.queries import LLM_QUERIES
 
@@ -59,3 +61,32 @@ def test_maps_are_stored_by_version(spark, cases, tmp_path):
     sharding.shard_documents(cases, 3, slots=64, maps=str(tmp_path)).collect()
     maps = spark.read.parquet(str(tmp_path))
     assert {r["version"]: r["count"] for r in maps.groupBy("version").count().collect()} == {1: 64, 2: 64}
+
+
+def test_the_newest_map_is_read_and_edited(spark, tmp_path):
+    docs = spark.createDataFrame([(i, "x" * (i % 50)) for i in range(2000)], "doc_id bigint, text string")
+    maps = str(tmp_path)
+    first = {r["doc_id"]: r for r in sharding.shard_documents(docs, 4, slots=64, maps=maps).collect()}
+    number, stored = sharding.newest_map(spark, maps)
+    again = {r["doc_id"]: r for r in sharding.shard_documents(docs, 4, slots=64, maps=maps).collect()}
+    assert sharding.newest_map(spark, maps) == (number, stored)  # level already
+    assert all(again[i]["shard"] == r["shard"] == stored[r["vslot"]] and r["map_version"] == number for i, r in first.items())
+    more = sharding.shard_documents(docs, 5, slots=64, maps=maps).collect()
+    check(more, [(r["doc_id"], r["text"]) for r in docs.collect()], 5)
+    assert sharding.newest_map(spark, maps)[0] == number + 1 == more[0]["map_version"]
+    assert all(r["vslot"] == first[r["doc_id"]]["vslot"] for r in more)
+    with pytest.raises(ValueError, match="stored map"):
+        sharding.shard_documents(docs, 4, slots=64, maps=maps)
+
+
+def test_a_hot_id_is_spread(spark):
+    """A third of all rows share one id, once with many texts and once with one text."""
+    for text in ("CONCAT('text ', id)", "'the same text for all of them'"):
+        docs = spark.range(3000).selectExpr("IF(id % 3 = 0, 7, id) AS doc_id", f"{text} AS text")
+        docs = docs.unionByName(spark.range(300).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "'same' AS text"))
+        rows = sharding.shard_documents(docs, 6, slots=256).collect()
+        check(rows, [(r["doc_id"], r["text"]) for r in docs.collect()], 6)
+        load = defaultdict(int)
+        for r in rows:
+            load[r["shard"]] += r["size"]
+        assert max(load.values()) <= 1.02 * min(load.values())
