@@ -5,11 +5,13 @@ encoded (how character classes follow each other, and how words repeat), a gated
 learns from document labels which passages matter, and the score comes from the attention-weighted
 passage representation. The network is trained in numpy on a bounded, hash-ordered sample of
 labelled documents (``PER_CLASS`` of each label, bags of at most ``BAG`` passages; both are
-parameters); scoring encodes all passages of all documents, in one pass without a shuffle.
+parameters, and bound what reaches the driver to 150 MB); a longer document gives ``BAG`` passages spread over its whole
+text. Scoring encodes all passages of all documents, in one pass without a shuffle.
 
 Defined cases: a null text counts as empty; an empty text is one passage without content and gets the
 score that the model gives to it. Documents labelled both 0 and 1, or null, are not learnt from.
-Repeated label rows count once. Without labels of both kinds there is nothing to learn: every score is
+Repeated label rows count once. A document id that repeats is learnt from once, whatever its texts. Very long texts are scored
+whole. An empty table gives no rows. Other columns, whatever their names, are left alone. Without labels of both kinds there is nothing to learn: every score is
 the share of label 1, or 1.0 without any label. Rows that repeat a document are scored alike.
 Nothing but the text enters a score.
 """
@@ -92,6 +94,14 @@ def passages(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return out, counts
 
 
+def spread(text: bytes, bag: int) -> bytes:
+    """The text, or ``bag`` of its passages at even distances where it has more."""
+    n = -(-len(text) // PASSAGE)
+    if n <= bag:
+        return text
+    return b"".join(text[i * n // bag * PASSAGE : (i * n // bag + 1) * PASSAGE] for i in range(bag))
+
+
 @dataclass
 class Model:
     """Gated attention over encoded passages; ``constant`` replaces it where nothing could be learnt."""
@@ -189,11 +199,11 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, bag: i
     if not chosen:
         return Model(constant=1.0)
     ids = docs.sparkSession.createDataFrame(chosen, "doc_id bigint, q int")  # at most twice ``per_class`` rows
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text")).where(F.octet_length("text") <= bag * PASSAGE)
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            features, counts = passages([t.encode() for t in batch.column(1).to_pylist()])
+            features, counts = passages([spread(t.as_py().encode(), bag) for t in batch.column(1)])
             ends = np.cumsum(counts)
             cells = [features[e - n : e].tobytes() for e, n in zip(ends, counts)]
             return pa.record_batch([batch.column(0), batch.column(2), pa.array(cells, pa.binary())], names=["doc_id", "q", "cells"])
@@ -201,8 +211,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, bag: i
         return work
 
     bags = map_batches(rows.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "q"), make, "doc_id bigint, q int, cells binary")
-    found = {r["doc_id"]: r for r in bags.collect()}  # rows that repeat a document count once
-    found = [found[k] for k in sorted(found)]
+    once = bags.groupBy("doc_id", "q").agg(F.min("cells").alias("cells"))  # rows that repeat a document count once
+    found = sorted(once.collect(), key=lambda r: r["doc_id"])  # at most twice ``per_class`` rows of ``bag`` passages
     have = {q: sum(r["q"] == q for r in found) for q in (0, 1)}
     if not have[0] or not have[1]:
         return Model(constant=sizes.get(1, 0) / sum(sizes.values()))

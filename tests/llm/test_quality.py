@@ -1,6 +1,8 @@
+import math
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from rowsmith.llm import quality
 from rowsmith.llm.queries import LLM_QUERIES
@@ -82,3 +84,46 @@ def test_gradient():
             down = loss()
             v[i] = old
             assert abs((up - down) / 2e-5 - grad[k][i]) < 1e-6
+
+
+def test_long_documents_are_learnt_from(spark):
+    """Passages of every part of a text that has more of them than a bag holds."""
+    text = b"".join(bytes([65 + i % 26]) * quality.PASSAGE for i in range(10)) + b"end"
+    parts = [quality.spread(text, 4)[i : i + quality.PASSAGE] for i in range(0, 4 * quality.PASSAGE, quality.PASSAGE)]
+    assert [set(p.decode()) for p in parts] == [{"A"}, {"C"}, {"F"}, {"I"}] and quality.spread(text, 11) == text
+    docs, labels = labelled(spark, 80)
+    long = docs.withColumn("text", F.when(F.col("doc_id") % 4 == 0, F.repeat(F.lit("BUY!! NOW!! *** "), 300)).otherwise(F.repeat("text", 3)))
+    model = quality.train(long, labels, bag=3)
+    got = {r["doc_id"]: r for r in quality.score(long, model).collect()}
+    assert model.constant is None and all(r["predicted"] == int(i % 4 != 0) for i, r in got.items())
+
+
+def test_repeated_documents_count_once(spark):
+    docs, labels = labelled(spark, 40)
+    first = docs.where("doc_id = 1")
+    many = docs.unionByName(spark.range(200).join(first, F.lit(True)).drop("id"))
+    assert all(np.array_equal(quality.train(many, labels).weights[k], v) for k, v in quality.train(docs, labels).weights.items())
+
+
+def test_scores_against_a_plain_version(spark):
+    """The forward pass, passage by passage with plain loops."""
+    docs, labels = labelled(spark, 60)
+    model = quality.train(docs, labels)
+    w = model.weights
+    for r in quality.score(docs, model).collect():
+        text = docs.where(F.col("doc_id") == r["doc_id"]).first()["text"].encode() if r["doc_id"] % 15 == 0 else None
+        if text is None:
+            continue
+        encoded, _ = quality.passages([text])
+        hidden, gates = [], []
+        for x in encoded:
+            z = [min(8, max(-8, (a - m) / s)) for a, m, s in zip(x, model.mean, model.scale)]
+            h = [math.tanh(sum(a * b for a, b in zip(z, col)) + bias) for col, bias in zip(w["W"].T, w["b"])]
+            t = [math.tanh(sum(a * b for a, b in zip(h, col))) for col in w["V"].T]
+            g = [1 / (1 + math.exp(-sum(a * b for a, b in zip(h, col)))) for col in w["U"].T]
+            hidden.append(h)
+            gates.append(sum(a * b * c for a, b, c in zip(w["a"], t, g)))
+        weight = [math.exp(e) for e in gates]
+        bag = [sum(a * h[i] for a, h in zip(weight, hidden)) / sum(weight) for i in range(len(hidden[0]))]
+        logit = sum(a * b for a, b in zip(bag, w["c"])) + w["d"][0]
+        assert abs(1 / (1 + math.exp(-logit)) - r["score"]) < 1e-5
