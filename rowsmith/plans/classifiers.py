@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowsmith.plans.trees import TREES, least_to_split, with_least_split
+from rowsmith.session import Scratch
 
 # Working columns carry a prefix, so a table may have columns called label or prediction.
 FEATURES, LABEL, WEIGHT = "rs_features", "rs_label", "rs_weight"
@@ -33,6 +34,9 @@ COLUMNS = {
     "rawPredictionCol": MARGINS,
 }
 
+# Equal rows are merged for fitting if at most one row in so many is left.
+MERGED = 4
+
 # Spark refuses deeper trees; "no limit" means this depth.
 MAX_TREE_DEPTH = 30
 
@@ -73,9 +77,30 @@ def _tree_options(params: dict[str, Any], seed: int) -> dict[str, Any]:
     }
 
 
+def takes_merged_rows(name: str, params: dict[str, Any], rows: int) -> bool:
+    """Whether equal rows can stand as one with their number as its weight: losses add up, but leaves and draws count rows."""
+    return name == "SVC"
+
+
+def merged_rows(frame: DataFrame, rows: int, scratch: Scratch) -> DataFrame | None:
+    """The distinct labels and features with their weights, if at most one of ``MERGED`` rows is left; else None."""
+    distinct = frame.agg(F.approx_count_distinct(F.xxhash64(LABEL, FEATURES)).alias("n")).first()["n"]
+    if distinct * MERGED > rows:
+        return None
+    weight = F.col(WEIGHT) if WEIGHT in frame.columns else F.lit(1.0)
+    return scratch.write(frame.groupBy(LABEL, FEATURES).agg(F.sum(weight).alias(WEIGHT)), "merged")
+
+
 def fit_classifier_stage(estimator: Estimator, frame: DataFrame, name: str, params: dict[str, Any], rows: int):
-    """The fitted classifier. A minimum of rows for a split is applied to the fitted trees."""
-    model = estimator.fit(frame)
+    """The fitted classifier. A minimum of rows for a split is applied to the fitted trees.
+
+    Where rows repeat, iterations read each distinct row once.
+    """
+    with Scratch(frame.sparkSession, "fit") as scratch:
+        merged = merged_rows(frame, rows, scratch) if takes_merged_rows(name, params, rows) else None
+        if merged is not None:
+            _weighted(estimator)
+        model = estimator.fit(frame if merged is None else merged)
     if name not in TREES:
         return model
     return with_least_split(model, least_to_split(params.get("min_samples_split"), rows), frame.sparkSession)
