@@ -79,6 +79,8 @@ def _tree_options(params: dict[str, Any], seed: int) -> dict[str, Any]:
 
 def takes_merged_rows(name: str, params: dict[str, Any], rows: int) -> bool:
     """Whether equal rows can stand as one with their number as its weight: losses add up, but leaves and draws count rows."""
+    if name == "DecisionTreeClassifier":
+        return int(params.get("min_samples_leaf", 1)) <= 1 and least_to_split(params.get("min_samples_split"), rows) <= 2
     return name == "SVC"
 
 

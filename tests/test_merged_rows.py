@@ -35,3 +35,13 @@ def test_rows_that_do_not_repeat_stay(spark, monkeypatch):
     frame = repeated(spark, 1)
     _, (n, columns, _) = fitted_on(C.make_classifier("SVC", params, 1, 12, 3), frame, "SVC", params, monkeypatch)
     assert n == 12 and C.WEIGHT not in columns
+
+
+def test_a_tree_reads_each_distinct_row_once(spark, monkeypatch):
+    """A tree that counts rows in its leaves or splits still reads them all."""
+    frame = repeated(spark, 30)
+    for params, n in (({"max_depth": 2}, 12), ({"max_depth": 2, "min_samples_leaf": 5}, 360), ({"max_depth": 2, "min_samples_split": 50}, 360)):
+        name = "DecisionTreeClassifier"
+        model, (read, _, _) = fitted_on(C.make_classifier(name, params, 1, 360, 3), frame, name, params, monkeypatch)
+        assert read == n
+        assert model.transform(frame).where(F.col(C.PREDICTION) != F.col(C.LABEL)).isEmpty()
