@@ -57,7 +57,7 @@ ACCEPTED = EXPECTED + " WHERE l_quantity BETWEEN 1 AND 45"
 def _request_stream(spark, sf, root):
     """The line items as JSON request files, read back as a stream of several batches."""
     rows = sized_table(spark, sf).drop("size_class")
-    rows.write.option("maxRecordsPerFile", 1_000_000).json(f"{root}/requests")
+    rows.write.option("maxRecordsPerFile", 1_000_000).json(f"{root}/requests", compression="gzip")
     return read_json_stream(spark, f"{root}/requests", rows.schema, max_files=2)
 
 

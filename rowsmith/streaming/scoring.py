@@ -27,6 +27,8 @@ from rowsmith.spec import TableSpec
 
 
 CORRUPT = "_corrupt_record"
+# Log lines repeat the names of all inputs; Spark and common tools read the files as they are.
+LOG_COMPRESSION = "gzip"
 
 
 def read_table_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
@@ -96,7 +98,7 @@ def prediction_log_rows(scored: DataFrame) -> DataFrame:
 
 def log_predictions(scored: DataFrame, target: str) -> None:
     """Append a batch of scored rows to the JSON log."""
-    prediction_log_rows(scored).write.mode("append").json(target)
+    prediction_log_rows(scored).write.mode("append").json(target, compression=LOG_COMPRESSION)
 
 
 def prediction_log_stream(
@@ -106,6 +108,6 @@ def prediction_log_stream(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         scored = predict(valid_rows(checked_requests(batch, spec)).drop(CORRUPT), model)
-        prediction_log_rows(scored).write.mode("overwrite").json(f"{target}/batch_id={batch_id}")
+        prediction_log_rows(scored).write.mode("overwrite").json(f"{target}/batch_id={batch_id}", compression=LOG_COMPRESSION)
 
     return _start(stream, handle, checkpoint, once)

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowsmith.plans import classifiers as C
+from rowsmith.streaming.scoring import log_predictions
 
 
 def repeated(spark, copies, classes=3):
@@ -45,3 +46,11 @@ def test_a_tree_reads_each_distinct_row_once(spark, monkeypatch):
         model, (read, _, _) = fitted_on(C.make_classifier(name, params, 1, 360, 3), frame, name, params, monkeypatch)
         assert read == n
         assert model.transform(frame).where(F.col(C.PREDICTION) != F.col(C.LABEL)).isEmpty()
+
+
+def test_prediction_log_is_compressed(spark, tmp_path):
+    rows = spark.createDataFrame([(i, "small", 1.0) for i in range(50)], "id bigint, prediction string, confidence double")
+    log_predictions(rows, str(tmp_path / "log"))
+    files = [p.name for p in (tmp_path / "log").glob("part-*")]
+    assert files and all(f.endswith(".json.gz") for f in files)
+    assert spark.read.json(str(tmp_path / "log")).select("input.id").distinct().count() == 50
