@@ -11,7 +11,7 @@ Training reads every training document once, in ``ROUNDS`` of growing size. In e
 on from the last round's weights over its own documents, by noise-contrastive steps against samples of
 the symbols' counts, and the weights are averaged over tasks by their numbers of tokens. The average is a
 Spark aggregate; the driver holds one copy of the weights, whatever the number of tasks. Scoring
-multiplies the distinct contexts of a stretch of tokens with all symbols at once.
+multiplies each distinct context of a task's tokens with all symbols once.
 
 Counts of words that are not among the ``KNOWN`` most frequent ones are looked up by a join, so nothing is
 broadcast that grows with the corpus, and no word is cut off.
@@ -24,6 +24,7 @@ gives an empty result. Further columns are not read.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -235,7 +236,9 @@ def _added(target: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
 
 
 def product(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """``x @ y`` in blocks of rows."""
+    """``x @ y``, in blocks of rows where a library has several threads."""
+    if os.environ.get("OMP_NUM_THREADS") == "1":
+        return x @ y
     rows = max(1, SINGLE // y.size)
     whole = len(x) // rows * rows
     out = np.empty((len(x), y.shape[1]), dtype=x.dtype)
@@ -245,7 +248,9 @@ def product(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def inner_product(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """``x.T @ y`` in blocks of rows."""
+    """``x.T @ y``, in blocks of rows where a library has several threads."""
+    if os.environ.get("OMP_NUM_THREADS") == "1":
+        return x.T @ y
     rows = max(1, SINGLE // (x.shape[1] * y.shape[1]))
     whole = len(x) // rows * rows
     blocks = np.matmul(x[:whole].reshape(-1, rows, x.shape[1]).transpose(0, 2, 1), y[:whole].reshape(-1, rows, y.shape[1]))
@@ -278,8 +283,8 @@ def train_steps(
 ) -> None:
     """Noise-contrastive steps of about ``size`` tokens each, in random order, in place; ``moments`` are summed squares of gradients.
 
-    Tokens that share a context share its prediction and its products with the noise, weighted by their number;
-    no context makes up more than a ``SHARE``th of a step.
+    Tokens that share a context share its products with all symbols, from which those of the tokens and of the
+    noise are taken, weighted by their numbers; no context makes up more than a ``SHARE``th of a step.
     """
     if not len(symbols):
         return
@@ -287,40 +292,49 @@ def train_steps(
     log_noise = np.log(noise * NOISE).astype(np.float32)
     cumulated = np.cumsum(noise)
     order, starts = shared_contexts(context, max(1, size // SHARE), rng)
-    targets, own = symbols[order], context[order[starts]]
-    ends = np.append(starts[1:], len(order))
+    own = context[order[starts]]
+    bounds = np.append(starts, len(order))
+    # A cell is a symbol behind a group's context; cells that repeat are counted.
+    cells = np.repeat(np.arange(len(starts)) * len(q), np.diff(bounds)) + symbols[order]
+    cells.sort()
+    new = np.flatnonzero(np.diff(cells, prepend=-1))
+    times = np.diff(np.append(new, len(cells))).astype(np.float32)
+    cells = cells[new]
+    cell_bounds = np.searchsorted(cells, np.arange(len(starts) + 1) * len(q))
     # Groups belong to the step in which they start.
     steps = np.append(np.flatnonzero(np.diff(starts // size, prepend=-1)), len(starts))
-    grad = Model(np.zeros_like(model.weights))
+    grad, squares = Model(np.zeros_like(model.weights)), np.empty_like(model.weights)
     gr, gc, gq, gb = grad.parts()
     for i, j in zip(steps[:-1], steps[1:]):
-        target, ctx, first = targets[starts[i] : ends[j - 1]], own[i:j], starts[i:j] - starts[i]
-        n = (ends[i:j] - starts[i:j]).astype(np.float32)
-        group = np.repeat(np.arange(j - i), ends[i:j] - starts[i:j])
+        ctx, n = own[i:j], np.diff(bounds[i : j + 1]).astype(np.float32)
+        at = cells[cell_bounds[i] : cell_bounds[j]] - i * len(q)
         drawn = np.minimum(np.searchsorted(cumulated, rng.random(NOISE)), len(noise) - 1)
+        drawn, repeats = np.unique(drawn, return_counts=True)
         vectors = [r.take(ctx[:, k], axis=0) for k in range(CONTEXT)]
         predicted = sum(v * c[k] for k, v in enumerate(vectors))
-        hit, missed, each = q.take(target, axis=0), q[drawn], predicted.take(group, axis=0)
-        true = np.einsum("ij,ij->i", each, hit) + b[target] - log_noise[target]
-        false = product(predicted, missed.T) + (b[drawn] - log_noise[drawn])
-        # The gradient of the log-likelihood of telling tokens from noise.
-        pull = 1 / (1 + np.exp(np.clip(true, -30, 30)))
-        push = -n[:, None] / (1 + np.exp(np.clip(-false, -30, 30)))
-        grad.weights[:] = 0
-        each *= pull[:, None]
-        _added(gq, target, each)
-        _added(gq, drawn, inner_product(push, predicted))
-        gb += np.bincount(target, pull, len(gb)) + np.bincount(drawn, push.sum(axis=0), len(gb))
-        hit *= pull[:, None]
-        back = np.add.reduceat(hit, first, axis=0) + product(push, missed)
+        scores = product(predicted, q.T)
+        scores += b - log_noise
+        # The gradient of the log-likelihood of telling tokens from noise, by group and symbol.
+        pull = times[cell_bounds[i] : cell_bounds[j]] / (1 + np.exp(np.clip(scores.ravel().take(at), -30, 30)))
+        push = n[:, None] * repeats.astype(np.float32) / (1 + np.exp(np.clip(-scores[:, drawn], -30, 30)))
+        scores.fill(0)
+        scores.reshape(-1)[at] = pull
+        scores[:, drawn] -= push
+        gq[:] = inner_product(scores, predicted)
+        gb[:] = scores.sum(axis=0)
+        back = product(scores, q)
+        gr[:] = 0
         for k, v in enumerate(vectors):
             _added(gr, ctx[:, k], back * c[k])
             gc[k] = np.einsum("ij,ij->j", back, v)
         step = grad.weights
-        step /= np.float32(len(target))
-        moments += step * step
+        step /= np.float32(bounds[j] - bounds[i])
+        np.multiply(step, step, out=squares)
+        moments += squares
+        np.add(moments, np.float32(1e-8), out=squares)
+        np.sqrt(squares, out=squares)
         step *= np.float32(rate)
-        step /= np.sqrt(moments + np.float32(1e-8))
+        step /= squares
         model.weights += step
 
 
@@ -461,28 +475,36 @@ def train(rows: DataFrame, known: Vocabulary) -> Model:
     return model
 
 
-def log_probabilities(model: Model, symbols: np.ndarray, context: np.ndarray) -> np.ndarray:
-    """The natural logarithm of each symbol's normalised probability after its context."""
+def fresh_totals() -> np.ndarray:
+    """Room for what normalises the symbols after each context; what is not known yet is no number."""
+    return np.full((SHORT + CLASSES + 1) ** CONTEXT, np.nan)
+
+
+def log_probabilities(model: Model, symbols: np.ndarray, context: np.ndarray, totals: np.ndarray | None = None) -> np.ndarray:
+    """The natural logarithm of each symbol's normalised probability after its context.
+
+    ``totals`` keeps what was found for a context, for later calls with the same model.
+    """
     r, c, q, b = model.parts()
+    totals = fresh_totals() if totals is None else totals
     size = SHORT + CLASSES + 1
+    scaled = [r * c[k] for k in range(CONTEXT)]
     packed = np.zeros(len(context), dtype=np.int64)
     for k in range(CONTEXT):
         packed = packed * size + context[:, k]
-    distinct, place = np.unique(packed, return_inverse=True)
-    own = np.stack([distinct // size ** (CONTEXT - 1 - k) % size for k in range(CONTEXT)], axis=1)
-    predicted = (r[own] * c).sum(axis=1)
-    total = np.empty(len(distinct))
-    for i in range(0, len(distinct), PRODUCT):
-        scores = product(predicted[i : i + PRODUCT], q.T)
+    new = np.unique(packed[np.isnan(totals.take(packed))])
+    for i in range(0, len(new), PRODUCT):
+        some = new[i : i + PRODUCT]
+        scores = product(sum(scaled[k][some // size ** (CONTEXT - 1 - k) % size] for k in range(CONTEXT)), q.T)
         scores += b
         top = scores.max(axis=1)
         scores -= top[:, None]
-        total[i : i + PRODUCT] = np.log(np.exp(scores, out=scores).sum(axis=1, dtype=np.float64)) + top
+        totals[some] = np.log(np.exp(scores, out=scores).sum(axis=1, dtype=np.float64)) + top
     out = np.empty(len(symbols))
-    for i in range(0, len(symbols), 65536):
-        at = place[i : i + 65536]
-        s = symbols[i : i + 65536]
-        out[i : i + 65536] = np.einsum("ij,ij->i", predicted[at], q[s]) + b[s] - total[at]
+    for i in range(0, len(symbols), PRODUCT):
+        s, own = symbols[i : i + PRODUCT], context[i : i + PRODUCT]
+        predicted = sum(scaled[k].take(own[:, k], axis=0) for k in range(CONTEXT))
+        out[i : i + PRODUCT] = np.einsum("ij,ij->i", predicted, q.take(s, axis=0)) + b.take(s) - totals.take(packed[i : i + PRODUCT])
     return out
 
 
@@ -497,14 +519,14 @@ def score_rows(rows: DataFrame, shared) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, weights = shared.value
-        codes, model, at = Codes(known), Model(weights), TaskContext.get().partitionId() << 40
+        codes, model, totals, at = Codes(known), Model(weights), fresh_totals(), TaskContext.get().partitionId() << 40
         for batch in batches:
             texts = batch.column(2).to_pylist()
             columns: list[list] = [[], [], [], [], []]
             for part in stretches(texts):
                 flat, starts, words = coded(texts[part], codes)
                 symbols = known.symbol[flat]
-                logs = log_probabilities(model, symbols, contexts(symbols, starts)) / np.log(10) + known.within[flat]
+                logs = log_probabilities(model, symbols, contexts(symbols, starts), totals) / np.log(10) + known.within[flat]
                 columns[0].extend(np.diff(np.append(starts, len(flat))).tolist())
                 for column, values in zip(columns[1:4], (known.seen[flat], known.base[flat], logs)):
                     column.extend(np.add.reduceat(values, starts).tolist())

@@ -246,3 +246,19 @@ def test_a_step_of_a_plain_loop():
     lm.train_steps(model, symbols, context, noise, rng, 0.1, moments)
     assert np.allclose(model.weights - before, 0.1 * flat / np.sqrt(flat * flat + 1e-8), atol=2e-3)
     lm.train_steps(model, symbols[:0], context[:0], noise, rng, 0.1, moments)
+
+
+def test_totals_of_contexts_are_kept(monkeypatch):
+    """A context is multiplied with all symbols once, and later calls give the same."""
+    model, n = random_model(), lm.SHORT + lm.CLASSES
+    rng = np.random.default_rng(4)
+    symbols, context = rng.integers(0, n, 500), rng.integers(0, 6, (500, 2)).astype(np.int32)
+    alone, totals = lm.log_probabilities(model, symbols, context), lm.fresh_totals()
+    first = lm.log_probabilities(model, symbols[:300], context[:300], totals)
+    assert np.isfinite(totals).sum() == len({tuple(c) for c in context[:300]})
+    rows = []
+    product = lm.product
+    monkeypatch.setattr(lm, "product", lambda x, y: (rows.append(len(x)), product(x, y))[1])
+    again = lm.log_probabilities(model, symbols, context, totals)
+    assert sum(rows) == len({tuple(c) for c in context}) - len({tuple(c) for c in context[:300]})
+    assert np.allclose(first, alone[:300]) and np.allclose(again, alone)
