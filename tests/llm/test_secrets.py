@@ -109,3 +109,32 @@ def test_learned_spans_are_added(spark):
     assert sum(r["n_learned"] for r in got.values()) == 1
     left = {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect()}
     assert left[1000] == 'said taken = "[secret]" then'
+
+
+def test_all_findings_are_learnt_from(spark, monkeypatch):
+    """Slices, calibration and thresholds take in every distinct finding, long ones too; tables give what arrays give."""
+    rng = random.Random(7)
+    _, _, _, raw = sample(rng, 400)
+    raw.append(('token = "', "a1" * 400, '"'))
+    found = [[{"start": 0, "stop": 1, "before": b, "token": t, "after": a, "secret": "token" in b}] for b, t, a in raw]
+    rows = spark.createDataFrame([(f,) for f in found], "found array<struct<start:int,stop:int,before:string,token:string,after:string,secret:boolean>>")
+    read = []
+    train_round, logits = secrets._train_round, secrets._held_logits
+    monkeypatch.setattr(secrets, "_train_round", lambda r, *a: (read.append((r.count(), r.select("half", "part").distinct().count())), train_round(r, *a))[1])
+    monkeypatch.setattr(secrets, "_held_logits", lambda r, *a: (read.append((r.count(), 0)), logits(r, *a))[1])
+    networks = secrets.learn(rows, part=50)
+    assert read[0][0] + read[-1][0] == len(set(raw)) and read[0][1] > 4 and len(read) == secrets.ROUNDS + 1
+    fresh, z, d, _ = sample(rng, 100)
+    assert all((net.accepts(fresh, d) == (z == 1)).mean() > 0.9 for net in networks)
+
+
+def test_thresholds_of_tables(spark):
+    rng = np.random.default_rng(1)
+    y = rng.integers(0, 2, 500)
+    x = np.round(rng.normal(3 * y - 1.5, 1.5), 2)
+    held = spark.createDataFrame([(bool(s), float(v)) for s, v in zip(y, x)], "secret boolean, x double")
+    assert secrets._calibrated(held) == pytest.approx(secrets._calibrate(x, y))
+    a, b = secrets._calibrate(x, y)
+    p = 1 / (1 + np.exp(-(a * x + b)))
+    assert secrets._limit(held, (a, b), 0.6) == pytest.approx(secrets._threshold(p, y, 0.6))
+    assert [secrets._kth(held, k) for k in (0, 7, 499)] == [np.sort(x)[k] for k in (0, 7, 499)]
