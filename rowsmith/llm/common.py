@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -14,6 +15,8 @@ from rowsmith.session import Scratch
 BROADCAST_ROWS = 2_000_000
 # Slices in which frequent keys are looked for, and counters of each.
 SLICES, COUNTERS = 64, 1024
+# Rows of a batch that a task's function gets at a time.
+ROWS_AT_ONCE = 1000
 
 
 def whole_text(column: str = "text") -> Column:
@@ -63,14 +66,26 @@ def drop_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id", how: str = "l
     return docs.join(ids, key, how)
 
 
+def give_back() -> None:
+    """Return this process's free memory to the system: Python workers live on from task to task, and several share an executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim is not None:
+        trim(0)
+
+
 def map_batches(df: DataFrame, make, schema: str) -> DataFrame:
-    """``mapInArrow`` with a function made once per task; ``make()`` returns rows-to-rows on record batches."""
+    """``mapInArrow`` with a function made once per task; ``make()`` returns rows-to-rows on record batches.
+
+    It gets ``ROWS_AT_ONCE`` rows at a time, so the Python objects of a whole batch are never there together.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            if batch.num_rows:
-                yield work(batch)
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                yield work(batch.slice(at, ROWS_AT_ONCE))
+        give_back()
 
     return df.mapInArrow(run, schema)
 

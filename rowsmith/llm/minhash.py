@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsmith.llm.common import components, drop_ids, map_batches, whole_text
+from rowsmith.llm.common import components, drop_ids, give_back, map_batches, whole_text
 from rowsmith.session import Scratch
 
 CHUNKS, WIDTH, ERRORS, SEED = 10, 6, 1, 19
@@ -47,6 +47,8 @@ SMALL = 24
 # The distance of the join: pairs whose signatures differ in more than this share of their values are no candidates.
 # At a similarity of 0.8 a fifth differs on average, with a deviation of a twentieth, so 4.9e-8 of such pairs are beyond it.
 FAR = 0.5
+# Bytes of a block from which on the memory of its work is given back.
+LARGE = 8_000_000
 # Hash values kept per process.
 WORDS_KEPT = 100_000
 
@@ -255,7 +257,10 @@ def met_in_blocks(left: DataFrame, right: DataFrame, keys: list[str], meet) -> D
         sides.append(rows.groupBy(*(prefix + k for k in keys)))
 
     def run(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        return meet(x.rename(columns=lambda c: c[2:]), y.rename(columns=lambda c: c[2:]))
+        found = meet(x.rename(columns=lambda c: c[2:]), y.rename(columns=lambda c: c[2:]))
+        if x.memory_usage(deep=True).sum() + y.memory_usage(deep=True).sum() > LARGE:
+            give_back()
+        return found
 
     return sides[0].cogroup(sides[1]).applyInPandas(run, "a bigint, b bigint")
 
@@ -322,7 +327,7 @@ def annotate(docs: DataFrame, size: int = 2, percent: int = 80, far: float = FAR
 
         few = placed.join(split.where(F.col("group") <= SMALL).select("key"), "key").drop("members")
         apart = few.toDF("key", "a", "c").join(few.toDF("key", "b", "d"), "key").where("a < b AND c != d").drop("key").distinct()
-        near = _stars(_close(apart, signed, far, percent).select("c", "d"))
+        near = _stars(apart, signed, far, percent)
 
         # Within the largest component of a group nothing is left to find, so only the others ask.
         mixed = scratch.write(placed.join(split.where(F.col("group") > SMALL), "key").join(signed, "node"), "mixed")
@@ -349,32 +354,45 @@ def annotate(docs: DataFrame, size: int = 2, percent: int = 80, far: float = FAR
         return scratch.write(out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))), "rows", keep=True)
 
 
+def _signed_pairs(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``pairs`` (``a, b`` and others) whose sizes allow the similarity, with both signatures ``x`` and ``y``."""
+    both = pairs.join(signed.toDF("a", "m", "x"), "a").join(signed.toDF("b", "n", "y"), "b")
+    return both.where(100 * F.least("m", "n") >= percent * F.greatest("m", "n")).select(*pairs.columns, "x", "y")
+
+
+def _near(batch: pa.RecordBatch, far: float) -> pa.Array:
+    """Whether the signatures of each row differ in at most the share ``far``."""
+    x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint16).reshape(-1, VALUES) for c in ("x", "y"))
+    return pa.array((x != y).sum(axis=1) <= far * VALUES)
+
+
 def _close(pairs: DataFrame, signed: DataFrame, far: float, percent: int) -> DataFrame:
     """The rows of ``pairs`` (``a, b`` and others) whose sizes allow the similarity and whose signatures differ in at most the share ``far``."""
-    both = pairs.join(signed.toDF("a", "m", "x"), "a").join(signed.toDF("b", "n", "y"), "b")
-    both = both.where(100 * F.least("m", "n") >= percent * F.greatest("m", "n")).select(*pairs.columns, "x", "y")
     kept = pairs.columns
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint16).reshape(-1, VALUES) for c in ("x", "y"))
-            return batch.select(kept).filter(pa.array((x != y).sum(axis=1) <= far * VALUES))
+            return batch.select(kept).filter(_near(batch, far))
 
         return work
 
-    return map_batches(both, make, pairs.schema)
+    return map_batches(_signed_pairs(pairs, signed, percent), make, pairs.schema)
 
 
-def _stars(pairs: DataFrame) -> DataFrame:
-    """``a, b``: for every batch of the two columns of ``pairs`` stars that connect what the batch connects."""
+def _stars(pairs: DataFrame, signed: DataFrame, far: float, percent: int) -> DataFrame:
+    """``a, b``: for the close rows of every batch of ``pairs``, stars that connect what their columns ``c, d`` connect.
+
+    Closeness and stars are one function, so that a task needs one Python worker for both.
+    """
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            return pa.RecordBatch.from_pandas(_spanning(*(np.asarray(c) for c in batch.columns)), preserve_index=False)
+            close = batch.select(["c", "d"]).filter(_near(batch, far))
+            return pa.RecordBatch.from_pandas(_spanning(*(np.asarray(c) for c in close.columns)), preserve_index=False)
 
         return work
 
-    return map_batches(pairs, make, "a bigint, b bigint")
+    return map_batches(_signed_pairs(pairs, signed, percent), make, "a bigint, b bigint")
 
 
 def drop_near_copies(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowsmith.llm.common import map_batches, whole_text
+from rowsmith.llm.common import give_back, map_batches, whole_text
 
 PER_CLASS, BAG, PASSAGE, ACCEPT = 3000, 64, 768, 0.7
 HIDDEN, GATE, EPOCHS, SEED = 24, 12, 30, 7
@@ -259,6 +259,8 @@ def keep_good(docs: DataFrame, model: Model, accept: float = ACCEPT) -> DataFram
 
     @F.arrow_udf("double")
     def quality(texts: pa.Array) -> pa.Array:
-        return pa.array(_scores(model, texts) if len(texts) else [], pa.float64())
+        scores = pa.array(_scores(model, texts) if len(texts) else [], pa.float64())
+        give_back()
+        return scores
 
     return docs.where(quality(whole_text()) >= accept)

@@ -185,3 +185,16 @@ def test_few_similar_pairs_are_far():
     n = minhash.VALUES
     lost = sum(math.comb(n, k) * 0.2**k * 0.8 ** (n - k) for k in range(int(n * minhash.FAR) + 1, n + 1))
     assert lost < 1e-7
+
+
+def test_tasks_get_few_rows_at_a_time(spark):
+    """A function that takes texts out of a batch never holds a whole batch of Python objects."""
+    import pyarrow as pa
+
+    from rowsmith.llm import common
+
+    def make():
+        return lambda batch: pa.record_batch([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    sizes = [r["n"] for r in common.map_batches(spark.range(2500).coalesce(1), make, "n bigint").collect()]
+    assert sum(sizes) == 2500 and max(sizes) <= common.ROWS_AT_ONCE
